@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import StringType
 
+from linkloom.functions.local import bind
 from linkloom.functions.text import WS, collapse_whitespace, strip
 
 HIDDEN_RE = r"(?is)<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)|<!--.*?(?:-->|\z)"
@@ -48,11 +49,14 @@ def _c(col: Column | str) -> Column:
 
 
 def unescape(text: Column | str) -> Column:
-    text = _c(text)
-    out = text
-    for name, char in ENTITIES:
-        out = F.replace(out, F.lit(name), F.lit(char))
-    return F.when(F.contains(text, F.lit("&")), out).otherwise(text)
+
+    def decode(held: Column) -> Column:
+        out = held
+        for name, char in ENTITIES:
+            out = F.replace(out, F.lit(name), F.lit(char))
+        return F.when(F.contains(held, F.lit("&")), out).otherwise(held)
+
+    return bind(_c(text), decode)
 
 
 def html_to_text(html: Column | str) -> Column:
@@ -64,22 +68,32 @@ def html_to_text(html: Column | str) -> Column:
 def main_text(html: Column | str) -> Column:
     """Main content: ``<article>``, else ``<body>``, one line per block; null if empty."""
     kept = F.regexp_replace(_c(html), BOILERPLATE_RE, "")
-    article = F.regexp_extract(kept, ARTICLE_RE, 1)
-    body = F.regexp_extract(kept, BODY_RE, 1)
-    scope = F.when(article != "", article).when(body != "", body).otherwise(kept)
+
+    scopes = bind(
+        kept,
+        lambda page: F.struct(
+            F.regexp_extract(page, ARTICLE_RE, 1).alias("article"),
+            F.regexp_extract(page, BODY_RE, 1).alias("body"),
+            page.alias("page"),
+        ),
+    )
+    scope = bind(
+        scopes,
+        lambda s: F.when(F.length(s["article"]) > 0, s["article"])
+        .when(F.length(s["body"]) > 0, s["body"])
+        .otherwise(s["page"]),
+    )
     # Source line ends are blanks in HTML; only block tags start a new line.
     flat = F.regexp_replace(scope, rf"{WS}+", " ")
     lines = F.regexp_replace(F.regexp_replace(flat, BLOCK_RE, "\n"), TAG_RE, "")
     tidy = F.regexp_replace(unescape(lines), rf"{WS}*\n{WS}*", "\n")
-    return F.nullif(strip(tidy), F.lit(""))
+    return bind(strip(tidy), lambda t: F.nullif(t, F.lit("")))
 
 
 def attribute(tag: Column, name: str) -> Column:
     """Value of an attribute inside one tag's source; empty when absent."""
-    quoted = F.regexp_extract(tag, rf'(?is)\s{name}\s*=\s*"([^"]*)"', 1)
-    single = F.regexp_extract(tag, rf"(?is)\s{name}\s*=\s*'([^']*)'", 1)
-    bare = F.regexp_extract(tag, rf"(?is)\s{name}\s*=\s*([^\s\"'>]+)", 1)
-    return F.when(quoted != "", quoted).when(single != "", single).otherwise(bare)
+    value = F.regexp_extract(tag, rf"""(?is)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", 1)
+    return F.regexp_replace(value, r"""^["']|["']$""", "")
 
 
 def hrefs(html: Column | str) -> Column:
@@ -103,7 +117,7 @@ def page_metadata(html: Column | str, headers: Column | None = None) -> Column:
     root = F.regexp_extract(html, r"(?is)<html\b[^>]*>", 0)
     title = F.regexp_extract(html, r"(?is)<title\b[^>]*>(.*?)</title", 1)
     has_title = F.regexp_like(html, F.lit(r"(?is)<title\b"))
-    header = F.get(headers, F.lit("Content-Language")) if headers is not None else F.lit(None).cast("string")
+    header = F.try_element_at(headers, F.lit("Content-Language")) if headers is not None else F.lit(None).cast("string")
     return F.when(
         root != "",
         F.struct(

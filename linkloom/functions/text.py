@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from linkloom.functions.local import bind
+
 # Whitespace as Python's ``str`` methods see it, spelled so that Java and RE2 agree.
 WS = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]"
 
@@ -47,12 +49,16 @@ def tokens(text: Column | str) -> Column:
 
 def ngrams(items: Column, n: int, sep: str = "") -> Column:
     """All runs of ``n`` items joined by ``sep``; linear in the number of items."""
-    last = F.size(items) - (n - 1)
-    runs = F.transform(
-        F.sequence(F.lit(1), F.greatest(last, F.lit(1))),
-        lambda i: F.array_join(F.slice(items, i, F.lit(n)), sep),
-    )
-    return F.when(last >= 1, runs).otherwise(F.array().cast("array<string>"))
+
+    def runs(held: Column) -> Column:
+        last = F.size(held) - (n - 1)
+        cut = F.transform(
+            F.sequence(F.lit(1), F.greatest(last, F.lit(1))),
+            lambda i: F.array_join(F.slice(held, i, F.lit(n)), sep),
+        )
+        return F.when(last >= 1, cut).otherwise(F.array().cast("array<string>"))
+
+    return bind(items, runs)
 
 
 def truncate(text: Column | str, length: Column | int) -> Column:

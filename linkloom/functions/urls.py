@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from linkloom.constants import IGNORED_HOST_PARTS
+from linkloom.functions.local import bind
 
 SCHEME = r"[A-Za-z][A-Za-z0-9+.\-]*"
 SCHEME_RE = rf"^({SCHEME}):"
@@ -74,13 +75,20 @@ def site_name(host: Column | str) -> Column:
     Where that part has at most three characters and another one is left, the
     other one is taken; where every part is ignored, the very first one.
     """
-    parts = F.split(_c(host), r"\.")
-    kept = F.filter(parts, lambda part: ~F.lower(part).isin(IGNORED_HOST_PARTS))
-    return (
-        F.when(F.size(kept) == 0, F.get(parts, F.lit(0)))
-        .when((F.size(kept) > 1) & (F.length(F.get(kept, F.lit(0))) <= 3), F.get(kept, F.lit(1)))
-        .otherwise(F.get(kept, F.lit(0)))
-    )
+
+    def pick(parts: Column) -> Column:
+        kept = F.filter(parts, lambda part: ~F.lower(part).isin(list(IGNORED_HOST_PARTS)))
+        return bind(kept, lambda k: choose(parts, k))
+
+    def choose(parts: Column, kept: Column) -> Column:
+        first, second = F.get(kept, F.lit(0)), F.get(kept, F.lit(1))
+        return (
+            F.when(F.size(kept) == 0, F.get(parts, F.lit(0)))
+            .when((F.size(kept) > 1) & (F.length(first) <= 3), second)
+            .otherwise(first)
+        )
+
+    return bind(F.split(_c(host), r"\."), pick)
 
 
 def site_norm(url: Column | str) -> Column:
@@ -98,14 +106,20 @@ def link_norm(url: Column | str) -> Column:
 
 
 def _assemble(sch: Column, host: Column, pth: Column, qry: Column, frag: Column) -> Column:
-    rooted = F.when((pth == "") | pth.startswith("/"), pth).otherwise(F.concat(F.lit("/"), pth))
-    body = (
-        F.when(host != "", F.concat(F.lit("//"), host, rooted))
-        .when(sch.isin(*_HIERARCHICAL) & ((pth == "") | pth.startswith("/")), F.concat(F.lit("//"), pth))
-        .otherwise(pth)
+    def put(u: Column) -> Column:
+        path_, rooted = u["path"], (u["path"] == "") | u["path"].startswith("/")
+        body = (
+            F.when(u["host"] != "", F.concat(F.lit("//"), u["host"], F.when(rooted, F.lit("")).otherwise(F.lit("/")), path_))
+            .when(u["scheme"].isin(*_HIERARCHICAL) & rooted, F.concat(F.lit("//"), path_))
+            .otherwise(path_)
+        )
+        prefix = F.when(u["scheme"] != "", F.concat(u["scheme"], F.lit(":"))).otherwise(F.lit(""))
+        return F.concat(prefix, body, _marked("?", u["query"]), _marked("#", u["fragment"]))
+
+    parts = F.struct(
+        sch.alias("scheme"), host.alias("host"), pth.alias("path"), qry.alias("query"), frag.alias("fragment")
     )
-    prefix = F.when(sch != "", F.concat(sch, F.lit(":"))).otherwise(F.lit(""))
-    return F.concat(prefix, body, _marked("?", qry), _marked("#", frag))
+    return bind(parts, put)
 
 
 def _tidy_path(url: Column | str) -> Column:
@@ -133,37 +147,66 @@ def _remove_dots(segments: Column) -> Column:
     return F.when(joined == "", F.lit("/")).otherwise(joined)
 
 
-def resolve_link(base: Column | str, href: Column | str) -> Column:
-    """Absolute form of ``href`` found on page ``base`` (RFC 3986, section 5.2)."""
-    base, href = _c(base), _c(href)
-    b_scheme, b_path = scheme(base), _tidy_path(base)
-    h_scheme, h_host, h_path = scheme(href), netloc(href), _tidy_path(href)
-    h_query, h_frag = query(href), fragment(href)
+def _split(url: Column) -> Column:
+    return F.struct(
+        scheme(url).alias("scheme"),
+        netloc(url).alias("host"),
+        _tidy_path(url).alias("path"),
+        query(url).alias("query"),
+        fragment(url).alias("fragment"),
+    )
+
 
+def _target_path(base_path: Column, path_: Column) -> Column:
+    """Path of a link by the path of its base, dot segments removed."""
     # A relative path hangs below the folder of the base; inner empty parts vanish.
-    folder = F.regexp_replace(path(base), "[^/]*$", "")
-    merged = F.split(F.concat(folder, h_path), "/")
-    inner = F.filter(F.slice(merged, F.lit(2), F.greatest(F.size(merged) - 2, F.lit(0))), lambda s: s != "")
-    relative = F.when(
-        F.size(merged) > 1,
-        F.concat(F.slice(merged, F.lit(1), F.lit(1)), inner, F.slice(merged, F.lit(-1), F.lit(1))),
-    ).otherwise(F.concat(F.array(F.lit("")), merged))
-    rooted = F.split(h_path, "/")
-    # Only paths that hold a dot segment pay for the segment walk.
-    dotted = F.concat(F.lit("/"), h_path).contains("/.")
-    target = (
-        F.when(h_path.startswith("/") & ~dotted, h_path)
-        .when(h_path.startswith("/"), _remove_dots(rooted))
-        .otherwise(_remove_dots(relative))
+    folder = F.regexp_replace(F.regexp_replace(base_path, r";[^/]*$", ""), "[^/]*$", "")
+
+    def relative(merged: Column) -> Column:
+        inner = F.filter(F.slice(merged, F.lit(2), F.greatest(F.size(merged) - 2, F.lit(0))), lambda s: s != "")
+        return F.when(
+            F.size(merged) > 1,
+            F.concat(F.slice(merged, F.lit(1), F.lit(1)), inner, F.slice(merged, F.lit(-1), F.lit(1))),
+        ).otherwise(F.concat(F.array(F.lit("")), merged))
+
+    # Only rooted paths that hold a dot segment pay for the segment walk.
+    plain = path_.startswith("/") & ~path_.contains("/.")
+    segments = F.when(path_.startswith("/"), F.split(path_, "/")).otherwise(
+        bind(F.split(F.concat(folder, path_), "/"), relative)
     )
-    host = netloc(base)
-    return (
-        F.when(clean(href) == "", base)
-        .when((h_scheme != "") & (h_scheme != b_scheme), href)
-        .when(h_host != "", _assemble(b_scheme, h_host, h_path, h_query, h_frag))
-        .when(
-            h_path == "",
-            _assemble(b_scheme, host, b_path, F.when(h_query != "", h_query).otherwise(query(base)), h_frag),
+    return F.when(plain, path_).otherwise(bind(segments, _remove_dots))
+
+
+def resolve_link(base: Column | str, href: Column | str) -> Column:
+    """Absolute form of ``href`` found on page ``base`` (RFC 3986, section 5.2)."""
+    base = _c(base)
+    return bind(_split(base), lambda b: resolve_against(base, b, _c(href)))
+
+
+def resolve_against(base: Column, parts: Column, href: Column) -> Column:
+    """``resolve_link`` for a base that was split before."""
+
+    def resolve(h: Column) -> Column:
+        foreign = (h["scheme"] != "") & (h["scheme"] != parts["scheme"])
+        inherited = F.when(h["query"] != "", h["query"]).otherwise(parts["query"])
+        same = h["path"] == ""
+        own_host = h["host"] != ""
+        return (
+            F.when(clean(href) == "", base)
+            .when(foreign, href)
+            .otherwise(
+                _assemble(
+                    parts["scheme"],
+                    F.when(own_host, h["host"]).otherwise(parts["host"]),
+                    F.when(own_host, h["path"]).when(same, parts["path"]).otherwise(_target_path(parts["path"], h["path"])),
+                    F.when(own_host | ~same, h["query"]).otherwise(inherited),
+                    h["fragment"],
+                )
+            )
         )
-        .otherwise(_assemble(b_scheme, host, target, h_query, h_frag))
-    )
+
+    return bind(_split(href), resolve)
+
+
+def split_base(base: Column | str) -> Column:
+    return _split(_c(base))

@@ -148,7 +148,7 @@ def predict_by_join(df: DataFrame, profile: DataFrame, key: str, text: str = "te
     all_bases = bases.agg(F.sort_array(F.collect_list(F.struct("lid_label", "unseen"))).alias("b")).scalar()
     n_grams = F.greatest(F.length(drop_newlines(text)) - (n - 1), F.lit(0))
     per_text = matched.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("lid_label", "gain"))).alias("gains"))
-    gain_of = lambda base: F.coalesce(F.get(F.col("gains"), base["lid_label"]), F.lit(0.0))
+    gain_of = lambda base: F.coalesce(F.try_element_at(F.col("gains"), base["lid_label"]), F.lit(0.0))
     scores = F.transform(
         F.col("bases"),
         lambda base: F.struct((gain_of(base) + F.col("n_grams") * base["unseen"]).alias("score"), base["lid_label"].alias("label")),

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from linkloom.constants import NGRAM_ORDER
+from linkloom.functions.local import bind
 from linkloom.functions.text import char_tokenize, tokens
 from linkloom.operators.ordering import running_total
 from linkloom.session import materialize
@@ -69,19 +70,24 @@ def ngram_counts(corpus: DataFrame, order: int = NGRAM_ORDER) -> DataFrame:
     are the starts of longer ones and are summed from those counts, so the
     text is walked once and not once per order.
     """
-    sent = corpus.select("lid_label", sentence("text").alias("s"))
-    places = F.transform(
-        F.sequence(F.lit(1), F.size("s")), lambda i: F.array_join(F.slice(F.col("s"), i, F.lit(order)), " ")
-    )
+
+
+    def places(s: Column) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.size(s)), lambda i: F.array_join(F.slice(s, i, F.lit(order)), " "))
+
+    def starts(parts: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(1), F.size(parts)),
+            lambda n: F.struct(n.alias("n"), F.array_join(F.slice(parts, F.lit(1), n), " ").alias("ngram")),
+        )
+
     windows = (
-        sent.select("lid_label", F.explode(places).alias("w")).groupBy("lid_label", "w").agg(F.count(F.lit(1)).alias("c"))
-    )
-    starts = F.transform(
-        F.sequence(F.lit(1), F.size(F.split("w", " "))),
-        lambda n: F.struct(n.alias("n"), F.array_join(F.slice(F.split("w", " "), F.lit(1), n), " ").alias("ngram")),
+        corpus.select("lid_label", F.explode(bind(sentence("text"), places)).alias("w"))
+        .groupBy("lid_label", "w")
+        .agg(F.count(F.lit(1)).alias("c"))
     )
     return (
-        windows.select("lid_label", "c", F.inline(starts))
+        windows.select("lid_label", "c", F.inline(bind(F.split("w", " "), starts)))
         .groupBy("lid_label", "n", "ngram")
         .agg(F.sum("c").alias("cnt"))
     )
@@ -193,35 +199,38 @@ def score_documents(documents: DataFrame, model: DataFrame, order: int = NGRAM_O
     Equal windows of one label are scored once: windows are counted per
     document, scored as distinct (label, window), and joined back.
     """
-    sent = documents.select("lid_label", "doc_id", sentence("text").alias("s"))
-    places = F.transform(
-        F.sequence(F.lit(2), F.size("s")),
-        lambda i: F.array_join(
-            F.slice(F.col("s"), F.greatest(i - (order - 1), F.lit(1)), F.least(i, F.lit(order))), " "
-        ),
-    )
+
+    def places(s: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(2), F.size(s)),
+            lambda i: F.array_join(F.slice(s, F.greatest(i - (order - 1), F.lit(1)), F.least(i, F.lit(order))), " "),
+        )
+
+    def asked(parts: Column) -> Column:
+        """Suffixes of the window as predictions, suffixes of its context as backoffs."""
+        size = F.size(parts)
+        predictions = F.transform(
+            F.sequence(F.lit(1), size),
+            lambda n: F.struct(
+                n.alias("n"), F.array_join(F.slice(parts, size - n + 1, n), " ").alias("ngram"), F.lit(True).alias("predicts")
+            ),
+        )
+        backoffs = F.transform(
+            F.sequence(F.lit(1), size - 1),
+            lambda n: F.struct(
+                n.alias("n"), F.array_join(F.slice(parts, size - n, n), " ").alias("ngram"), F.lit(False).alias("predicts")
+            ),
+        )
+        return F.concat(predictions, backoffs)
+
     windows = (
-        sent.select("lid_label", "doc_id", F.explode(places).alias("w"))
+        documents.select("lid_label", "doc_id", F.explode(bind(sentence("text"), places)).alias("w"))
         .groupBy("lid_label", "doc_id", "w")
         .agg(F.count(F.lit(1)).alias("c"))
     )
-    parts = F.split("w", " ")
-    size = F.size(parts)
-    # Each window asks for its suffixes (as predictions) and for the suffixes of its context (as backoffs).
-    asked = F.transform(
-        F.sequence(F.lit(1), size),
-        lambda n: F.struct(n.alias("n"), F.array_join(F.slice(parts, size - n + 1, n), " ").alias("ngram"), F.lit(True).alias("predicts")),
-    )
-    context = F.slice(parts, F.lit(1), size - 1)
-    backed = F.transform(
-        F.sequence(F.lit(1), F.greatest(size - 1, F.lit(1))),
-        lambda n: F.struct(
-            n.alias("n"), F.array_join(F.slice(context, F.greatest(size - n, F.lit(1)), n), " ").alias("ngram"), F.lit(False).alias("predicts")
-        ),
-    )
     unknown = model.filter((F.col("n") == 1) & (F.col("ngram") == UNKNOWN)).select("lid_label", F.col("log10_prob").alias("unk"))
     distinct = windows.select("lid_label", "w").distinct()
-    asked_rows = distinct.select("lid_label", "w", F.inline(F.concat(asked, backed)))
+    asked_rows = distinct.select("lid_label", "w", F.inline(bind(F.split("w", " "), asked)))
     met = asked_rows.join(model, ["lid_label", "n", "ngram"], "left")
     longest = F.max_by("log10_prob", F.when(F.col("predicts") & F.col("log10_prob").isNotNull(), F.col("n")))
     # Backoffs apply for contexts at least as long as the longest known n-gram.

@@ -6,16 +6,27 @@ from pyspark.sql import DataFrame, functions as F
 
 from linkloom.functions import html as H
 from linkloom.functions import urls
+from linkloom.functions.local import bind, work_out
 
 
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """Edges (src, href, dst) of the link graph; one row per distinct target as written."""
-    found = pages.select(F.col(url).alias("src"), F.explode(H.hrefs(html)).alias("href"))
-    return found.select("src", "href", urls.resolve_link("src", "href").alias("dst"))
+    base = F.col(url)
+
+    def resolved(parts):
+        return F.transform(
+            H.hrefs(html), lambda href: F.struct(href.alias("href"), urls.resolve_against(base, parts, href).alias("dst"))
+        )
+
+    # Resolved before the explode: what a generator gives out is never worked out twice.
+    links = bind(urls.split_base(base), resolved)
+    return pages.select(base.alias("src"), F.inline(links)).select("src", "href", "dst")
 
 
 def page_texts(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    return pages.select(F.col(url).alias("link"), H.main_text(html).alias("text"))
+    """(link, text): main text per page, worked out once; null where there is none."""
+    sources = pages.select(F.col(url).alias("link"), F.col(html).alias("html"))
+    return work_out(sources, "text", H.main_text("html")).drop("html")
 
 
 def page_metadata(pages: DataFrame, url: str = "url", html: str = "html", headers: str | None = None) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 from linkloom.constants import BLOCKLIST
 from linkloom.operators.filters import blocklist_filter, exclude_labels
 from linkloom.operators.lid import Predictor, tag_language
+from linkloom.operators.pages import page_texts
 
 RESULT_SCHEMA = "iso_code string, pos int, snippet string, title string, link string, category string"
 
@@ -22,11 +23,17 @@ def tagged_results(
     predictor: Predictor,
     excluded: list[str],
     blocklist: list[str] = list(BLOCKLIST),
-    text: str = "snippet",
+    pages: DataFrame | None = None,
 ) -> DataFrame:
-    """Record-level chain: blocklist, language of the text at hand, exclusion. No state is kept."""
+    """Record-level chain: blocklist, language of page or snippet, exclusion. No state is kept.
+
+    With ``pages`` each new link meets the stored pages in a stream-static join.
+    """
     kept = blocklist_filter(results, blocklist)
-    return exclude_labels(tag_language(kept, predictor, text=text), excluded)
+    if pages is None:
+        return exclude_labels(tag_language(kept, predictor, text="snippet"), excluded)
+    scraped = kept.join(page_texts(pages), "link")
+    return exclude_labels(tag_language(scraped, predictor), excluded)
 
 
 def ingest(tagged: DataFrame, path: str, checkpoint: str, fmt: str = "json") -> StreamingQuery:
