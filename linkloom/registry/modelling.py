@@ -34,9 +34,12 @@ def truncate_min(spark, sf_dir):
 
 SQL_COUNTS = f"""{SQL_TEXTS}, sent AS (SELECT lid_label, doc_id,
     list_concat(list_concat(['<s>'], list_filter(string_split(regexp_replace(text, '{WS}+', '', 'g'), ''), lambda x: x <> '')), ['</s>']) AS s FROM texts),
-  spots AS (SELECT lid_label, doc_id, s, unnest(range(1, len(s) + 1)) AS i FROM sent),
-  counts AS (SELECT lid_label, n, array_to_string(s[i:i + n - 1], ' ') AS ngram, count(*) AS cnt
-    FROM spots, (VALUES (1), (2), (3), (4), (5)) o(n) WHERE i + n - 1 <= len(s) GROUP BY ALL)"""
+  toks AS (SELECT lid_label, doc_id, unnest(s) AS t1, unnest(range(1, len(s) + 1)) AS i FROM sent),
+  runs AS (SELECT *, lead(t1, 1) OVER w AS t2, lead(t1, 2) OVER w AS t3, lead(t1, 3) OVER w AS t4, lead(t1, 4) OVER w AS t5
+    FROM toks WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+  counts AS ({" UNION ALL ".join(
+    f"SELECT lid_label, {n} AS n, concat_ws(' ', {', '.join(f't{k}' for k in range(1, n + 1))}) AS ngram, count(*) AS cnt "
+    f"FROM runs WHERE t{n} IS NOT NULL GROUP BY ALL" for n in range(1, ORDER + 1))})"""
 
 
 def _counts(spark, sf_dir):
@@ -50,7 +53,7 @@ def ngram_counts(spark, sf_dir):
 
 SQL_ADJUSTED = f"""{SQL_COUNTS}, adjusted AS (
   SELECT lid_label, n, ngram, cnt AS adj FROM counts WHERE n = {ORDER} OR starts_with(ngram, '<s>')
-  UNION ALL SELECT lid_label, n - 1, regexp_replace(ngram, '^[^ ]+ ?', ''), count(DISTINCT split_part(ngram, ' ', 1))
+  UNION ALL SELECT lid_label, n - 1, regexp_replace(ngram, '^[^ ]+ ?', ''), count(*)
     FROM counts WHERE n > 1 GROUP BY ALL)"""
 
 
@@ -75,29 +78,28 @@ def kn_discounts(spark, sf_dir):
     return found.select("lid_label", "n", *[F.round(d, 6).alias(d) for d in ("d1", "d2", "d3")])
 
 
+# One joint key per join: with label and text apart, the planner may join contexts and suffixes by label alone.
 _LEVELS = ", ".join(
-    f"""p{n} AS (SELECT f.lid_label, f.ngram, (adj - d) / total + gamma * p.prob AS prob FROM freed f
-      JOIN ctx c ON c.lid_label = f.lid_label AND c.n = f.n AND c.context = f.context
-      JOIN p{n - 1} p ON p.lid_label = f.lid_label AND p.ngram = regexp_replace(f.ngram, '^[^ ]+ ?', '') WHERE f.n = {n})"""
+    f"""p{n} AS (SELECT f.lid_label, f.ngram, f.k, own + gamma * p.prob AS prob FROM own f
+      JOIN p{n - 1} p ON p.k = f.suffix_k WHERE f.n = {n})"""
     for n in range(2, ORDER + 1)
 )
 _UNION = " UNION ALL ".join(f"SELECT lid_label, {n} AS n, ngram, prob FROM p{n}" for n in range(1, ORDER + 1))
 SQL_MODEL = f"""{SQL_DISCOUNTS},
-  freed AS (SELECT t.*, CASE adj WHEN 1 THEN d1 WHEN 2 THEN d2 ELSE d3 END AS d, regexp_replace(ngram, ' ?[^ ]+$', '') AS context
-    FROM told t JOIN rates r ON r.lid_label = t.lid_label AND r.n = t.n),
-  ctx AS (SELECT lid_label, n, context, sum(adj) AS total, sum(d) / sum(adj) AS gamma FROM freed GROUP BY ALL),
-  vocab AS (SELECT lid_label, count(*) + 1 AS v FROM freed WHERE n = 1 GROUP BY lid_label),
-  p1 AS (SELECT f.lid_label, f.ngram, (adj - d) / total + gamma / v AS prob FROM freed f JOIN ctx c ON c.lid_label = f.lid_label AND c.n = 1
-      JOIN vocab w ON w.lid_label = f.lid_label WHERE f.n = 1
-    UNION ALL SELECT c.lid_label, '<unk>', gamma / v FROM ctx c JOIN vocab w ON w.lid_label = c.lid_label WHERE c.n = 1),
+  freed AS MATERIALIZED (SELECT t.*, CASE adj WHEN 1 THEN d1 WHEN 2 THEN d2 ELSE d3 END AS d,
+      t.lid_label || '|' || t.n || '|' || regexp_replace(ngram, ' ?[^ ]+$', '') AS context_k
+    FROM told t JOIN rates r ON r.lid_label || r.n = t.lid_label || t.n),
+  ctx AS MATERIALIZED (SELECT context_k, sum(adj) AS total, sum(d) / sum(adj) AS gamma FROM freed GROUP BY ALL),
+  own AS MATERIALIZED (SELECT f.lid_label, f.n, f.ngram, f.lid_label || '|' || f.ngram AS k,
+      f.lid_label || '|' || regexp_replace(f.ngram, '^[^ ]+ ?', '') AS suffix_k, (adj - d) / total AS own, gamma
+    FROM freed f JOIN ctx c ON c.context_k = f.context_k),
+  vocab AS (SELECT lid_label, count(*) + 1 AS v, max(gamma) AS gamma FROM own WHERE n = 1 GROUP BY lid_label),
+  p1 AS (SELECT f.lid_label, f.ngram, f.k, own + f.gamma / v AS prob FROM own f JOIN vocab w ON w.lid_label = f.lid_label WHERE f.n = 1
+    UNION ALL SELECT lid_label, '<unk>', lid_label || '|<unk>', gamma / v FROM vocab),
   {_LEVELS},
   probs AS ({_UNION} UNION ALL SELECT lid_label, 1, '<s>', NULL FROM vocab),
   model AS (SELECT p.lid_label, p.n, p.ngram, log10(prob) AS log10_prob, coalesce(log10(gamma), 0) AS log10_backoff FROM probs p
-    LEFT JOIN ctx c ON c.lid_label = p.lid_label AND c.n = p.n + 1 AND c.context = p.ngram)"""
-
-
-def _model(spark, sf_dir):
-    return lm.kn_model(materialize(_counts(spark, sf_dir)), ORDER)
+    LEFT JOIN ctx c ON c.context_k = p.lid_label || '|' || (p.n + 1) || '|' || p.ngram)"""
 
 
 @query("kn_model", f"WITH {SQL_MODEL} SELECT lid_label, n, ngram, round(log10_prob, 5) AS log10_prob, round(log10_backoff, 5) AS log10_backoff FROM model")
@@ -109,11 +111,12 @@ def kn_model(spark, sf_dir):
 # The documents made the model, so every window is known at full length.
 @query(
     "lm_perplexity",
-    f"""WITH {SQL_MODEL}, asked AS (SELECT lid_label, doc_id, least(i, {ORDER}) AS n, array_to_string(s[greatest(i - {ORDER - 1}, 1):i], ' ') AS ngram
-      FROM spots WHERE i >= 2)
+    f"""WITH {SQL_MODEL}, asked AS (SELECT * FROM (SELECT lid_label, doc_id, i, least(i, {ORDER}) AS n,
+        concat_ws(' ', lag(t1, 4) OVER w, lag(t1, 3) OVER w, lag(t1, 2) OVER w, lag(t1, 1) OVER w, t1) AS ngram
+      FROM toks WINDOW w AS (PARTITION BY doc_id ORDER BY i)) WHERE i >= 2)
     SELECT doc_id, a.lid_label, count(*) AS n_tokens, round(sum(log10_prob), 4) AS log10_prob,
       round(pow(10, -sum(log10_prob) / count(*)), 4) AS perplexity
-    FROM asked a JOIN model m ON m.lid_label = a.lid_label AND m.n = a.n AND m.ngram = a.ngram GROUP BY ALL""",
+    FROM asked a JOIN model m ON m.lid_label || '|' || m.ngram = a.lid_label || '|' || a.ngram GROUP BY ALL""",
 )
 def lm_perplexity(spark, sf_dir):
     scored = lm.score_documents(text_table(spark, sf_dir), materialize(_model(spark, sf_dir)), ORDER)
