@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from linkloom.functions.local import bind
-
 # Whitespace as Python's ``str`` methods see it, spelled so that Java and RE2 agree.
 WS = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]"
 
@@ -27,12 +25,6 @@ def drop_newlines(text: Column | str) -> Column:
     return F.replace(_c(text), F.lit("\n"), F.lit(""))
 
 
-def characters(text: Column | str) -> Column:
-    """Array of characters; empty for empty text."""
-    text = _c(text)
-    return F.when(F.length(text) > 0, F.split(text, "")).otherwise(F.array().cast("array<string>"))
-
-
 def char_tokenize(text: Column | str) -> Column:
     """Characters joined by one blank; blanks of the text show as two blanks."""
     text = _c(text)
@@ -42,23 +34,20 @@ def char_tokenize(text: Column | str) -> Column:
     )
 
 
-def tokens(text: Column | str) -> Column:
-    """Characters of the text that are not whitespace, in order."""
-    return characters(F.regexp_replace(_c(text), rf"{WS}+", ""))
-
+def squeeze(text: Column | str) -> Column:
+    """The text without any whitespace: its character tokens side by side."""
+    return F.regexp_replace(_c(text), rf"{WS}+", "")
 
-def ngrams(items: Column, n: int, sep: str = "") -> Column:
-    """All runs of ``n`` items joined by ``sep``; linear in the number of items."""
 
-    def runs(held: Column) -> Column:
-        last = F.size(held) - (n - 1)
-        cut = F.transform(
-            F.sequence(F.lit(1), F.greatest(last, F.lit(1))),
-            lambda i: F.array_join(F.slice(held, i, F.lit(n)), sep),
-        )
-        return F.when(last >= 1, cut).otherwise(F.array().cast("array<string>"))
+def char_ngrams(text: Column | str, n: int, shorter_at_end: bool = False) -> Column:
+    """All runs of ``n`` characters, overlapping, in one linear pass over the text.
 
-    return bind(items, runs)
+    With ``shorter_at_end`` a run starts at every character and the last ones are
+    shorter. A match must not start inside a character beyond the basic plane.
+    """
+    size = f"1,{n}" if shorter_at_end else str(n)
+    runs = rf"(?s)(?![\x{{DC00}}-\x{{DFFF}}])(?=(.{{{size}}}))"
+    return F.regexp_extract_all(_c(text), F.lit(runs), F.lit(1))
 
 
 def truncate(text: Column | str, length: Column | int) -> Column:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from linkloom.functions.labels import extract_label
-from linkloom.functions.text import characters, drop_newlines, ngrams
+from linkloom.functions.text import char_ngrams, drop_newlines
 from linkloom.operators.filters import exclude_labels, language_gate
 from linkloom.operators.pages import scrape_links
 from linkloom.session import materialize, row_count_within
@@ -33,7 +33,7 @@ Predictor = Callable[[Column], Column]
 
 def count_grams(df: DataFrame, keys: list[str], text: str = "text", n: int = GRAM) -> DataFrame:
     """(keys, gram, cnt) over whole texts, line feeds removed; combined before the shuffle."""
-    grams = ngrams(characters(drop_newlines(text)), n)
+    grams = char_ngrams(drop_newlines(text), n)
     return df.select(*keys, F.explode(grams).alias("gram")).groupBy(*keys, "gram").agg(F.count(F.lit(1)).alias("cnt"))
 
 

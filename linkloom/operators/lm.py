@@ -1,23 +1,35 @@
 """Character n-gram language models by interpolated modified Kneser-Ney smoothing.
 
 Chen & Goodman (1999), Heafield et al. (2013). Each document is one sentence.
-An n-gram is a string of tokens joined by blanks, so its context, its suffix and
-its first token are cut from it by string functions. All labels are modelled
-together; tables are keyed by label.
+Inside the tables an n-gram is packed as ``gram``: a string of n characters, one
+per token, with code points set aside for the sentence marks. Context and suffix
+are then substrings. All labels are modelled together; tables are keyed by label.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from linkloom.constants import NGRAM_ORDER
-from linkloom.functions.local import bind
-from linkloom.functions.text import char_tokenize, tokens
+from linkloom.functions.text import char_ngrams, char_tokenize, squeeze
 from linkloom.operators.ordering import running_total
 from linkloom.session import materialize
 
 BEGIN, END, UNKNOWN = "<s>", "</s>", "<unk>"
 
+# Noncharacters, which no text for interchange holds, stand for the marks inside packed n-grams.
+_BEGIN, _END, _UNKNOWN = "\ufdd0", "\ufdd1", "\ufdd2"
+
+
+def shown(gram: Column | str) -> Column:
+    """Packed n-gram as tokens joined by blanks."""
+    text = F.array_join(F.split(gram, ""), " ")
+    for packed, mark in ((_BEGIN, BEGIN), (_END, END), (_UNKNOWN, UNKNOWN)):
+        text = F.replace(text, F.lit(packed), F.lit(mark))
+    return text
+
 
 def label_corpus(documents: DataFrame, labels: list[str] | None = None) -> DataFrame:
     """(lid_label, doc_id, text) of the wanted labels with the text's length."""
@@ -49,72 +61,60 @@ def tokenize_corpus(corpus: DataFrame, tokenizer=char_tokenize) -> DataFrame:
     return corpus.withColumn("text", tokenizer("text"))
 
 
-def _last_space_cut(gram: Column) -> Column:
-    """All tokens but the last."""
-    return F.regexp_replace(gram, " ?[^ ]+$", "")
+def _context(gram: str = "gram") -> Column:
+    return F.substring(gram, F.lit(1), F.length(gram) - 1)
 
 
-def _first_space_cut(gram: Column) -> Column:
-    """All tokens but the first."""
-    return F.regexp_replace(gram, "^[^ ]+ ?", "")
+def _suffix(gram: str = "gram") -> Column:
+    return F.substring(gram, F.lit(2), F.length(gram))
 
 
 def sentence(text: Column | str) -> Column:
-    return F.concat(F.array(F.lit(BEGIN)), tokens(text), F.array(F.lit(END)))
+    """The character tokens of a text between sentence marks, packed."""
+    return F.concat(F.lit(_BEGIN), squeeze(text), F.lit(_END))
 
 
 def ngram_counts(corpus: DataFrame, order: int = NGRAM_ORDER) -> DataFrame:
-    """(lid_label, n, ngram, cnt) for n up to ``order``, sentence marks included.
+    """(lid_label, n, gram, cnt) for n up to ``order``, sentence marks included.
 
     Only the longest run at each place is exploded and counted; shorter n-grams
     are the starts of longer ones and are summed from those counts, so the
     text is walked once and not once per order.
     """
-
-
-    def places(s: Column) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.size(s)), lambda i: F.array_join(F.slice(s, i, F.lit(order)), " "))
-
-    def starts(parts: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(1), F.size(parts)),
-            lambda n: F.struct(n.alias("n"), F.array_join(F.slice(parts, F.lit(1), n), " ").alias("ngram")),
-        )
-
-    windows = (
-        corpus.select("lid_label", F.explode(bind(sentence("text"), places)).alias("w"))
-        .groupBy("lid_label", "w")
-        .agg(F.count(F.lit(1)).alias("c"))
-    )
+    places = char_ngrams(sentence("text"), order, shorter_at_end=True)
+    runs = corpus.select("lid_label", F.explode(places).alias("run")).groupBy("lid_label", "run").agg(F.count(F.lit(1)).alias("c"))
+    starts = F.transform(F.sequence(F.lit(1), F.length("run")), lambda n: F.substring(F.col("run"), F.lit(1), n))
     return (
-        windows.select("lid_label", "c", F.inline(bind(F.split("w", " "), starts)))
-        .groupBy("lid_label", "n", "ngram")
+        runs.select("lid_label", "c", F.explode(starts).alias("gram"))
+        .groupBy("lid_label", "gram")
         .agg(F.sum("c").alias("cnt"))
+        .select("lid_label", F.length("gram").alias("n"), "gram", "cnt")
     )
 
 
 def adjusted_counts(counts: DataFrame, order: int = NGRAM_ORDER) -> DataFrame:
     """Highest order as counted, lower ones by distinct left neighbours; starts of a sentence stay as counted."""
-    starts = F.startswith("ngram", F.lit(BEGIN))
-    kept = counts.filter((F.col("n") == order) | starts).select("lid_label", "n", "ngram", F.col("cnt").alias("adj"))
+    starts = F.startswith("gram", F.lit(_BEGIN))
+    kept = counts.filter((F.col("n") == order) | starts).select("lid_label", "n", "gram", F.col("cnt").alias("adj"))
     lower = (
         counts.filter(F.col("n") > 1)
-        .select("lid_label", (F.col("n") - 1).alias("n"), _first_space_cut(F.col("ngram")).alias("ngram"))
-        .groupBy("lid_label", "n", "ngram")
+        .select("lid_label", _suffix().alias("gram"))
+        .groupBy("lid_label", "gram")
         .agg(F.count(F.lit(1)).alias("adj"))
+        .select("lid_label", F.length("gram").alias("n"), "gram", "adj")
     )
     return kept.unionByName(lower)
 
 
-def _counted(adjusted: DataFrame) -> DataFrame:
+def _predicted(adjusted: DataFrame) -> DataFrame:
     """Without the begin mark as a unigram: it is never predicted."""
-    return adjusted.filter(~((F.col("n") == 1) & (F.col("ngram") == BEGIN)))
+    return adjusted.filter(F.col("gram") != _BEGIN)
 
 
 def discounts(adjusted: DataFrame) -> DataFrame:
     """(lid_label, n, d1, d2, d3) from counts of counts; 0.5, 1, 1.5 where they are undefined."""
     t = {k: F.count_if(F.col("adj") == k).cast("double") for k in (1, 2, 3, 4)}
-    tallies = _counted(adjusted).groupBy("lid_label", "n").agg(*[c.alias(f"t{k}") for k, c in t.items()])
+    tallies = _predicted(adjusted).groupBy("lid_label", "n").agg(*[c.alias(f"t{k}") for k, c in t.items()])
     y = F.try_divide("t1", F.col("t1") + 2 * F.col("t2"))
     raw = {k: k - F.try_divide((k + 1) * y * F.col(f"t{k + 1}"), F.col(f"t{k}")) for k in (1, 2, 3)}
     sound = F.lit(True)
@@ -129,7 +129,7 @@ def discounts(adjusted: DataFrame) -> DataFrame:
 
 
 def kn_model(counts: DataFrame, order: int = NGRAM_ORDER) -> DataFrame:
-    """(lid_label, n, ngram, log10_prob, log10_backoff) for every n-gram of the corpus and ``<unk>``.
+    """(lid_label, n, gram, log10_prob, log10_backoff) for every n-gram of the corpus and ``<unk>``.
 
     ``counts`` should be stored or materialised, as each order reads it.
     """
@@ -137,56 +137,50 @@ def kn_model(counts: DataFrame, order: int = NGRAM_ORDER) -> DataFrame:
     rates = discounts(adjusted)
     cut = F.when(F.col("adj") == 1, F.col("d1")).when(F.col("adj") == 2, F.col("d2")).otherwise(F.col("d3"))
     scored = (
-        _counted(adjusted)
+        _predicted(adjusted)
         .join(rates, ["lid_label", "n"])
-        .withColumn("discount", cut)
-        .withColumn("context", _last_space_cut(F.col("ngram")))
+        .select("lid_label", "n", "gram", "adj", cut.alias("discount"), _context().alias("context"))
     )
-    # Mass that discounting frees in a context, by the context's length n - 1.
-    contexts = materialize(
-        scored.groupBy("lid_label", "n", "context").agg(
-            F.sum("adj").alias("total"), (F.sum("discount") / F.sum("adj")).alias("gamma")
-        )
+    # Mass that discounting frees in a context; the context of a unigram is empty.
+    contexts = scored.groupBy("lid_label", "context").agg(
+        F.sum("adj").alias("total"), (F.sum("discount") / F.sum("adj")).alias("gamma")
     )
-    direct = scored.join(contexts, ["lid_label", "n", "context"]).select(
-        "lid_label", "n", "ngram", ((F.col("adj") - F.col("discount")) / F.col("total")).alias("own"), "gamma"
+    direct = materialize(
+        scored.join(contexts, ["lid_label", "context"]).select(
+            "lid_label", "n", "gram", "context", ((F.col("adj") - F.col("discount")) / F.col("total")).alias("own"), "gamma"
+        )
     )
-    direct = materialize(direct)
-
-    sizes = direct.filter(F.col("n") == 1).groupBy("lid_label").agg((F.count(F.lit(1)) + 1).alias("v"), F.max("gamma").alias("gamma"))
-    unigrams = (
-        direct.filter(F.col("n") == 1)
-        .join(sizes.select("lid_label", "v"), "lid_label")
-        .select("lid_label", "ngram", (F.col("own") + F.col("gamma") / F.col("v")).alias("prob"))
-        .unionByName(sizes.select("lid_label", F.lit(UNKNOWN).alias("ngram"), (F.col("gamma") / F.col("v")).alias("prob")))
+    first = direct.filter(F.col("n") == 1)
+    sizes = first.groupBy("lid_label").agg((F.count(F.lit(1)) + 1).alias("v"), F.max("gamma").alias("free"))
+    level = (
+        first.join(sizes, "lid_label")
+        .select("lid_label", "gram", (F.col("own") + F.col("free") / F.col("v")).alias("prob"))
+        .unionByName(sizes.select("lid_label", F.lit(_UNKNOWN).alias("gram"), (F.col("free") / F.col("v")).alias("prob")))
     )
-    levels = [unigrams.withColumn("n", F.lit(1))]
+    levels = [level]
     for n in range(2, order + 1):
-        shorter = levels[-1].select("lid_label", F.col("ngram").alias("suffix"), F.col("prob").alias("below"))
+        shorter = level.select("lid_label", F.col("gram").alias("suffix"), F.col("prob").alias("below"))
         level = (
             direct.filter(F.col("n") == n)
-            .withColumn("suffix", _first_space_cut(F.col("ngram")))
+            .withColumn("suffix", _suffix())
             .join(shorter, ["lid_label", "suffix"])
-            .select("lid_label", "ngram", (F.col("own") + F.col("gamma") * F.col("below")).alias("prob"), F.lit(n).alias("n"))
+            .select("lid_label", "gram", (F.col("own") + F.col("gamma") * F.col("below")).alias("prob"))
         )
-        levels.append(materialize(level) if n < order else level)
-    probabilities = levels[0]
-    for level in levels[1:]:
-        probabilities = probabilities.unionByName(level)
+        # The next order and the result both read a level.
+        level = materialize(level) if n < order else level
+        levels.append(level)
     # The begin mark has no probability but leads contexts.
-    begins = counts.select("lid_label").distinct().select(
-        "lid_label", F.lit(BEGIN).alias("ngram"), F.lit(None).cast("double").alias("prob"), F.lit(1).alias("n")
-    )
-    backoffs = contexts.filter(F.col("n") > 1).select(
-        "lid_label", (F.col("n") - 1).alias("n"), F.col("context").alias("ngram"), "gamma"
+    marks = sizes.select("lid_label", F.lit(_BEGIN).alias("gram"), F.lit(None).cast("double").alias("prob"))
+    backoffs = (
+        direct.filter(F.col("n") > 1).groupBy("lid_label", F.col("context").alias("gram")).agg(F.max("gamma").alias("gamma"))
     )
     return (
-        probabilities.unionByName(begins)
-        .join(backoffs, ["lid_label", "n", "ngram"], "left")
+        reduce(DataFrame.unionByName, [*levels, marks])
+        .join(backoffs, ["lid_label", "gram"], "left")
         .select(
             "lid_label",
-            "n",
-            "ngram",
+            F.length("gram").alias("n"),
+            "gram",
             F.log10("prob").alias("log10_prob"),
             F.coalesce(F.log10("gamma"), F.lit(0.0)).alias("log10_backoff"),
         )
@@ -196,57 +190,44 @@ def kn_model(counts: DataFrame, order: int = NGRAM_ORDER) -> DataFrame:
 def score_documents(documents: DataFrame, model: DataFrame, order: int = NGRAM_ORDER) -> DataFrame:
     """(doc_id, lid_label, n_tokens, log10_prob, perplexity) of documents under their label's model.
 
-    Equal windows of one label are scored once: windows are counted per
-    document, scored as distinct (label, window), and joined back.
+    A window is a token with its history. Equal windows of one label are scored
+    once: windows are counted per document, scored as distinct (label, window),
+    and joined back.
     """
-
-    def places(s: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(2), F.size(s)),
-            lambda i: F.array_join(F.slice(s, F.greatest(i - (order - 1), F.lit(1)), F.least(i, F.lit(order))), " "),
-        )
-
-    def asked(parts: Column) -> Column:
-        """Suffixes of the window as predictions, suffixes of its context as backoffs."""
-        size = F.size(parts)
-        predictions = F.transform(
-            F.sequence(F.lit(1), size),
-            lambda n: F.struct(
-                n.alias("n"), F.array_join(F.slice(parts, size - n + 1, n), " ").alias("ngram"), F.lit(True).alias("predicts")
-            ),
-        )
-        backoffs = F.transform(
-            F.sequence(F.lit(1), size - 1),
-            lambda n: F.struct(
-                n.alias("n"), F.array_join(F.slice(parts, size - n, n), " ").alias("ngram"), F.lit(False).alias("predicts")
-            ),
-        )
-        return F.concat(predictions, backoffs)
-
+    sent = sentence("text")
+    # Windows of full length, and the starts of the sentence where the history is shorter.
+    sized = [F.when(F.length(sent) >= k, F.substring(sent, F.lit(1), F.lit(k))) for k in range(2, order)]
+    starts = F.array_compact(F.array(*sized)) if sized else F.array().cast("array<string>")
     windows = (
-        documents.select("lid_label", "doc_id", F.explode(bind(sentence("text"), places)).alias("w"))
+        documents.select("lid_label", "doc_id", F.explode(F.concat(starts, char_ngrams(sent, order))).alias("w"))
         .groupBy("lid_label", "doc_id", "w")
         .agg(F.count(F.lit(1)).alias("c"))
     )
-    unknown = model.filter((F.col("n") == 1) & (F.col("ngram") == UNKNOWN)).select("lid_label", F.col("log10_prob").alias("unk"))
-    distinct = windows.select("lid_label", "w").distinct()
-    asked_rows = distinct.select("lid_label", "w", F.inline(bind(F.split("w", " "), asked)))
-    met = asked_rows.join(model, ["lid_label", "n", "ngram"], "left")
-    longest = F.max_by("log10_prob", F.when(F.col("predicts") & F.col("log10_prob").isNotNull(), F.col("n")))
-    # Backoffs apply for contexts at least as long as the longest known n-gram.
-    found = met.groupBy("lid_label", "w").agg(
-        longest.alias("p"),
-        F.coalesce(F.max(F.when(F.col("predicts") & F.col("log10_prob").isNotNull(), F.col("n"))), F.lit(0)).alias("known"),
-        F.collect_list(F.when(~F.col("predicts") & F.col("log10_backoff").isNotNull(), F.struct("n", "log10_backoff"))).alias("backs"),
+    # Each window asks for its suffixes (as predictions) and for the suffixes of its context (as backoffs).
+    w, size = F.col("w"), F.length("w")
+    predictions = F.transform(
+        F.sequence(F.lit(1), size), lambda n: F.struct(F.substring(w, size - n + 1, n).alias("gram"), F.lit(True).alias("predicts"))
+    )
+    backoffs = F.transform(
+        F.sequence(F.lit(1), size - 1), lambda n: F.struct(F.substring(w, size - n, n).alias("gram"), F.lit(False).alias("predicts"))
     )
+    asked = windows.select("lid_label", "w").distinct().select("lid_label", "w", F.inline(F.concat(predictions, backoffs)))
+    answers = asked.join(model.select("lid_label", "gram", "log10_prob", "log10_backoff"), ["lid_label", "gram"], "left")
+    known = F.when(F.col("predicts") & F.col("log10_prob").isNotNull(), F.length("gram"))
     # At most order - 1 backoffs per window.
-    backoff = F.aggregate(
-        F.filter("backs", lambda b: b["n"] >= F.greatest("known", F.lit(1))), F.lit(0.0), lambda acc, b: acc + b["log10_backoff"]
+    found = answers.groupBy("lid_label", "w").agg(
+        F.max_by("log10_prob", known).alias("p"),
+        F.coalesce(F.max(known), F.lit(1)).alias("known"),
+        F.collect_list(
+            F.when(~F.col("predicts") & F.col("log10_backoff").isNotNull(), F.struct(F.length("gram").alias("n"), "log10_backoff"))
+        ).alias("backs"),
     )
-    scored = (
-        found.join(unknown, "lid_label")
-        .select("lid_label", "w", (F.coalesce("p", "unk") + backoff).alias("logp"))
+    # Backoffs apply for contexts at least as long as the longest known n-gram.
+    backoff = F.aggregate(
+        F.filter("backs", lambda b: b["n"] >= F.col("known")), F.lit(0.0), lambda acc, b: acc + b["log10_backoff"]
     )
+    unknown = model.filter(F.col("gram") == _UNKNOWN).select("lid_label", F.col("log10_prob").alias("unk"))
+    scored = found.join(unknown, "lid_label").select("lid_label", "w", (F.coalesce("p", "unk") + backoff).alias("logp"))
     return (
         windows.join(scored, ["lid_label", "w"])
         .groupBy("doc_id", "lid_label")
@@ -261,8 +242,8 @@ def arpa_lines(model: DataFrame, order: int = NGRAM_ORDER) -> DataFrame:
     entry = F.concat_ws(
         "\t",
         F.when(F.col("log10_prob").isNull(), F.lit("-99")).otherwise(number("log10_prob")),
-        "ngram",
-        F.when((F.col("n") < order) & (F.col("ngram") != END), number("log10_backoff")),
+        shown("gram"),
+        F.when((F.col("n") < order) & ~F.endswith("gram", F.lit(_END)), number("log10_backoff")),
     )
     grams = model.select("lid_label", F.col("n").alias("section"), F.lit(1).alias("part"), entry.alias("line"))
     sizes = model.groupBy("lid_label", "n").agg(F.count(F.lit(1)).alias("c"))

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from linkloom.functions import urls
+from linkloom.session import spread
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,6 +32,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def page_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages for HTML parsing, on all cores."""
+    return spread(table(spark, sf_dir, "pages"))
+
+
 def label_of(lang: Column) -> Column:
     known = F.create_map(*[F.lit(x) for pair in LABELS.items() for x in pair])
     return F.try_element_at(known, lang)
@@ -151,7 +157,7 @@ SQL_SEEDS = f"""seeds AS (
 
 # Labelled texts.
 def text_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
     return docs.select(label_of(F.col("lang")).alias("lid_label"), "doc_id", "text")
 
 

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from linkloom.operators import filters, frontier, pages as page_ops, sets
-from linkloom.registry.base import LABELS, SQL_LINKS, SQL_SEEDS, label_of, link_table, query, seed_table, sql_label, sql_netloc, table
+from linkloom.registry.base import SQL_LINKS, SQL_SEEDS, label_of, link_table, query, seed_table, sql_label, sql_netloc, page_table, table
 from linkloom.registry.urls_pages import SQL_EDGES, SQL_HREFS, SQL_PAGE_TEXTS
-from linkloom.session import materialize
 
 # Link lists: https links stand for seeds, links without fragment for links that passed.
 SQL_LISTS = """s AS (SELECT lid_label, link AS url FROM links WHERE link LIKE 'https:%'),
@@ -57,7 +56,7 @@ def active_seeds(spark, sf_dir):
 )
 def all_links(spark, sf_dir):
     seeds, _ = _lists(spark, sf_dir)
-    found = page_ops.page_links(table(spark, sf_dir, "pages")).select(F.col("dst").alias("url"))
+    found = page_ops.page_links(page_table(spark, sf_dir)).select(F.col("dst").alias("url"))
     return sets.set_union(seeds.select("url"), found)
 
 
@@ -84,7 +83,7 @@ def crawl_stats(spark, sf_dir):
     f"""WITH {SQL_LINKS}, {SQL_PAGE_TEXTS} SELECT lid_label, ord, l.link, text FROM links l LEFT JOIN page_texts t ON t.link = l.link""",
 )
 def scrape_links(spark, sf_dir):
-    joined = page_ops.scrape_links(link_table(spark, sf_dir), table(spark, sf_dir, "pages"))
+    joined = page_ops.scrape_links(link_table(spark, sf_dir), page_table(spark, sf_dir))
     return joined.select("lid_label", "ord", "link", "text")
 
 
@@ -97,7 +96,7 @@ def scrape_links(spark, sf_dir):
 )
 def one_hop_links(spark, sf_dir):
     seeds = filters.seed_gate(seed_table(spark, sf_dir)).select("lid_label", F.col("link").alias("url"))
-    edges = page_ops.page_links(table(spark, sf_dir, "pages")).select("src", "dst")
+    edges = page_ops.page_links(page_table(spark, sf_dir)).select("src", "dst")
     return frontier.one_hop_links(seeds, edges)
 
 

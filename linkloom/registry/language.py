@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from linkloom.functions.text import drop_newlines
 from linkloom.operators import filters, lid, pages as page_ops, sets
 from linkloom.plans import jobs
-from linkloom.registry.base import SQL_LINKS, SQL_SEEDS, SQL_TEXTS, link_table, query, seed_table, sql_netloc, table, text_table
+from linkloom.registry.base import SQL_LINKS, SQL_SEEDS, SQL_TEXTS, link_table, query, seed_table, sql_netloc, page_table, table, text_table
 from linkloom.registry.screening import BLOCKED, EXCLUDED, SQL_BLOCKLIST
 from linkloom.registry.urls_pages import SQL_EDGES, SQL_HREFS, SQL_PAGE_TEXTS
 from linkloom.session import ensure_checkpoint_dir, materialize
@@ -62,21 +62,21 @@ SQL_PAGES_PREDICTED = f"""{SQL_PROFILE}, {SQL_PAGE_TEXTS},
 
 @query("lid_predict", f"WITH {SQL_PAGES_PREDICTED} SELECT link, predicted_lid, round(lid_confidence, 6) AS lid_confidence FROM predicted")
 def lid_predict(spark, sf_dir):
-    texts = page_ops.page_texts(table(spark, sf_dir, "pages"))
+    texts = page_ops.page_texts(page_table(spark, sf_dir))
     tagged = lid.tag_language(texts, _predictor(spark, sf_dir))
     return _rounded(tagged.select("link", "predicted_lid", "lid_confidence"))
 
 
 @query("lid_predict_join", f"WITH {SQL_PAGES_PREDICTED} SELECT link, predicted_lid, round(lid_confidence, 6) AS lid_confidence FROM predicted")
 def lid_predict_join(spark, sf_dir):
-    texts = page_ops.page_texts(table(spark, sf_dir, "pages"))
+    texts = page_ops.page_texts(page_table(spark, sf_dir))
     profile = materialize(lid.train_profile(text_table(spark, sf_dir)))
     return _rounded(lid.predict_by_join(texts, profile, "link"))
 
 
 @query("lid_tally", f"WITH {SQL_PAGES_PREDICTED} SELECT predicted_lid, count(*) AS n FROM predicted GROUP BY 1")
 def lid_tally(spark, sf_dir):
-    texts = page_ops.page_texts(table(spark, sf_dir, "pages"))
+    texts = page_ops.page_texts(page_table(spark, sf_dir))
     return lid.lid_tally(lid.tag_language(texts, _predictor(spark, sf_dir)))
 
 
@@ -92,7 +92,7 @@ _ALLOWED = "NOT EXISTS (SELECT 1 FROM blocklist WHERE contains({}, entry))"
 )
 def language_filter_job(spark, sf_dir):
     kept = jobs.search_language_filter(
-        link_table(spark, sf_dir), table(spark, sf_dir, "pages"), _predictor(spark, sf_dir), EXCLUDED, BLOCKED
+        link_table(spark, sf_dir), page_table(spark, sf_dir), _predictor(spark, sf_dir), EXCLUDED, BLOCKED
     )
     return _rounded(kept.select("lid_label", "ord", "link", "predicted_lid", "lid_confidence"))
 
@@ -105,7 +105,7 @@ def language_filter_job(spark, sf_dir):
 )
 def lang_filter_by_query(spark, sf_dir):
     results = link_table(spark, sf_dir).withColumnRenamed("lid_label", "iso_code")
-    kept = jobs.search_language_filter(results, table(spark, sf_dir, "pages"), _predictor(spark, sf_dir), EXCLUDED, BLOCKED)
+    kept = jobs.search_language_filter(results, page_table(spark, sf_dir), _predictor(spark, sf_dir), EXCLUDED, BLOCKED)
     return lid.lid_tally(kept, "iso_code")
 
 
@@ -132,7 +132,7 @@ SQL_FILTERED = f"""starts AS (SELECT DISTINCT lid_label, link AS url FROM seeds
 
 def _expansion(spark, sf_dir):
     seeds = filters.seed_gate(seed_table(spark, sf_dir)).filter(F.col("predicted_lid").isNotNull())
-    pages = table(spark, sf_dir, "pages")
+    pages = page_table(spark, sf_dir)
     return jobs.expand_seeds(seeds, pages, _predictor(spark, sf_dir), blocklist=BLOCKED, max_pages=10**6, growth_factor=None)
 
 
@@ -143,7 +143,7 @@ def _expansion(spark, sf_dir):
 def filter_seeds_job(spark, sf_dir):
     gated = filters.seed_gate(seed_table(spark, sf_dir)).filter(F.col("predicted_lid").isNotNull())
     seeds = gated.select("lid_label", F.col("link").alias("url"))
-    pages = table(spark, sf_dir, "pages")
+    pages = page_table(spark, sf_dir)
     from linkloom.operators.frontier import one_hop_links
 
     found = sets.set_union(seeds, one_hop_links(seeds, page_ops.page_links(pages).select("src", "dst")))

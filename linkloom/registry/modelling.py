@@ -48,7 +48,7 @@ def _counts(spark, sf_dir):
 
 @query("ngram_counts", f"WITH {SQL_COUNTS} SELECT lid_label, n, ngram, cnt FROM counts")
 def ngram_counts(spark, sf_dir):
-    return _counts(spark, sf_dir)
+    return _counts(spark, sf_dir).select("lid_label", "n", lm.shown("gram").alias("ngram"), "cnt")
 
 
 SQL_ADJUSTED = f"""{SQL_COUNTS}, adjusted AS (
@@ -59,7 +59,8 @@ SQL_ADJUSTED = f"""{SQL_COUNTS}, adjusted AS (
 
 @query("kn_adjusted_counts", f"WITH {SQL_ADJUSTED} SELECT * FROM adjusted")
 def kn_adjusted_counts(spark, sf_dir):
-    return lm.adjusted_counts(materialize(_counts(spark, sf_dir)), ORDER)
+    adjusted = lm.adjusted_counts(materialize(_counts(spark, sf_dir)), ORDER)
+    return adjusted.select("lid_label", "n", lm.shown("gram").alias("ngram"), "adj")
 
 
 SQL_DISCOUNTS = f"""{SQL_ADJUSTED}, told AS (SELECT * FROM adjusted WHERE ngram <> '<s>'),
@@ -102,10 +103,14 @@ SQL_MODEL = f"""{SQL_DISCOUNTS},
     LEFT JOIN ctx c ON c.context_k = p.lid_label || '|' || (p.n + 1) || '|' || p.ngram)"""
 
 
+def _model(spark, sf_dir):
+    return lm.kn_model(materialize(_counts(spark, sf_dir)), ORDER)
+
+
 @query("kn_model", f"WITH {SQL_MODEL} SELECT lid_label, n, ngram, round(log10_prob, 5) AS log10_prob, round(log10_backoff, 5) AS log10_backoff FROM model")
 def kn_model(spark, sf_dir):
     rounded = [F.round(c, 5).alias(c) for c in ("log10_prob", "log10_backoff")]
-    return _model(spark, sf_dir).select("lid_label", "n", "ngram", *rounded)
+    return _model(spark, sf_dir).select("lid_label", "n", lm.shown("gram").alias("ngram"), *rounded)
 
 
 # The documents made the model, so every window is known at full length.

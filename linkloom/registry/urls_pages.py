@@ -20,7 +20,9 @@ from linkloom.registry.base import (
     sql_scheme,
     sql_site,
     sql_strip,
+    page_table,
     table,
+    text_table,
 )
 
 
@@ -111,7 +113,7 @@ SQL_EDGES = f"edges AS (SELECT src, href, {sql_site('src')} || href AS dst FROM
 
 @query("page_links", f"WITH {SQL_HREFS}, {SQL_EDGES} SELECT src, href, dst FROM edges")
 def page_links(spark, sf_dir):
-    return page_ops.page_links(table(spark, sf_dir, "pages"))
+    return page_ops.page_links(page_table(spark, sf_dir))
 
 
 @query(
@@ -125,7 +127,7 @@ def page_links(spark, sf_dir):
     ),
 )
 def html_to_text(spark, sf_dir):
-    return table(spark, sf_dir, "pages").select("page_id", H.html_to_text("html").alias("text"))
+    return page_table(spark, sf_dir).select("page_id", H.html_to_text("html").alias("text"))
 
 
 SQL_PAGE_TEXTS = f"""kept AS (SELECT page_id, url, regexp_replace(html, '{H.BOILERPLATE_RE}', '', 'g') AS h FROM pages),
@@ -140,7 +142,7 @@ page_texts AS (SELECT page_id, url AS link, nullif({sql_strip_ws(
 
 @query("main_text", f"WITH {SQL_PAGE_TEXTS} SELECT link, text FROM page_texts")
 def main_text(spark, sf_dir):
-    return page_ops.page_texts(table(spark, sf_dir, "pages"))
+    return page_ops.page_texts(page_table(spark, sf_dir))
 
 
 @query(
@@ -153,7 +155,7 @@ def main_text(spark, sf_dir):
     FROM pages""",
 )
 def page_metadata(spark, sf_dir):
-    return page_ops.page_metadata(table(spark, sf_dir, "pages"))
+    return page_ops.page_metadata(page_table(spark, sf_dir))
 
 
 @query(
@@ -179,4 +181,4 @@ def extract_label(spark, sf_dir):
         f"regexp_replace(regexp_replace(text, '(?s)(.)', '\\1 ', 'g'), '{T.WS}{{2,}}', '  ', 'g')")} AS tokens FROM documents""",
 )
 def char_tokenize(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", T.char_tokenize("text").alias("tokens"))
+    return text_table(spark, sf_dir).select("doc_id", T.char_tokenize("text").alias("tokens"))

@@ -41,3 +41,14 @@ def row_count_within(df: DataFrame, bound: int) -> int | None:
     """Row count of ``df``, or None when it has more than ``bound`` rows."""
     n = df.limit(bound + 1).count()
     return n if n <= bound else None
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Rows of a file scan over at least as many partitions as there are cores.
+
+    For costly row-wise work on few or unsplittable files; a scan that already
+    has enough splits is left as it is, so large inputs are not shuffled. Only for
+    plain scans: counting partitions plans a scan but runs nothing.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)

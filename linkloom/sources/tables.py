@@ -5,11 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from linkloom.operators.ordering import with_line_numbers
+from linkloom.session import spread
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Fetched pages (url, html); a URL without a row is a failed fetch."""
-    return spark.read.parquet(path).select("url", "html")
+    return spread(spark.read.parquet(path).select("url", "html"))
+
+
+def read_texts(spark: SparkSession, path: str) -> DataFrame:
+    """Labelled texts (lid_label, doc_id, text)."""
+    return spread(spark.read.parquet(path).select("lid_label", "doc_id", "text"))
+
+
+def read_label_files(spark: SparkSession, path: str) -> DataFrame:
+    """Corpus of one text file per label, the file name being the label, as (lid_label, doc_id, text).
+
+    Each line is a document, so that a long file is read in many splits.
+    """
+    lines = spark.read.text(path).withColumn("lid_label", F.regexp_extract(F.input_file_name(), r"([^/]+?)(?:\.txt)?$", 1))
+    return lines.select("lid_label", F.monotonically_increasing_id().alias("doc_id"), F.col("value").alias("text"))
 
 
 def read_blocklist(spark: SparkSession, path: str) -> DataFrame:
