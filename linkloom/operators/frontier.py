@@ -21,6 +21,17 @@ class Crawl:
     all_links: DataFrame
 
 
+def site_pages(pages: DataFrame, seeds: DataFrame) -> DataFrame:
+    """Pages on the seeds' sites: the only ones a crawl can open.
+
+    Found on the URL column alone, so the HTML of other sites is never parsed.
+    """
+    hosted = pages.withColumn("page_host", urls.netloc("url"))
+    hosts = pages.select(urls.netloc("url").alias("page_host"))
+    allowed = same_site_hosts(hosts, seeds.select(urls.netloc("url").alias("seed_host")), [], "page_host", "seed_host")
+    return hosted.join(allowed, "page_host", "left_semi").select(*pages.columns)
+
+
 def reachable_edges(edges: DataFrame, seeds: DataFrame, keys: list[str], max_length: int = MAX_URL_LENGTH) -> DataFrame:
     """Edges (keys, src, dst) a crawl may follow: both ends on a site of the key's seeds.
 

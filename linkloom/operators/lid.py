@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from linkloom.functions.labels import extract_label
+from linkloom.functions.local import work_out
 from linkloom.functions.text import char_ngrams, drop_newlines
 from linkloom.operators.filters import exclude_labels, language_gate
 from linkloom.operators.pages import scrape_links
@@ -23,12 +24,13 @@ from linkloom.session import materialize, row_count_within
 
 GRAM = 3
 # A model is sent to every executor only up to this many (label, gram) rows and matrix cells.
-MODEL_ROWS = 20_000_000
+MODEL_ROWS = 5_000_000
 MODEL_CELLS = 50_000_000
 
 PREDICTION = StructType([StructField("label", StringType()), StructField("confidence", DoubleType())])
 
-Predictor = Callable[[Column], Column]
+# A column function (text to label and confidence), or a profile too large to send around.
+Predictor = Callable[[Column], Column] | DataFrame
 
 
 def count_grams(df: DataFrame, keys: list[str], text: str = "text", n: int = GRAM) -> DataFrame:
@@ -93,7 +95,7 @@ def load_model(profile: DataFrame, n: int = GRAM) -> LidModel | None:
     return LidModel(labels, bases["unseen"].to_numpy(), keys[order], gains)
 
 
-def profile_predictor(profile: DataFrame, n: int = GRAM) -> Predictor | None:
+def profile_predictor(profile: DataFrame, n: int = GRAM) -> Callable[[Column], Column] | None:
     """Predictor of a profile within the size bound: scores Arrow batches where the texts lie, no shuffle."""
     model = load_model(profile, n)
     if model is None or not model.labels:
@@ -172,21 +174,35 @@ def tag_language(
 ) -> DataFrame:
     """Add ``predicted_lid`` and ``lid_confidence``; rows without text are dropped.
 
-    ``raw_labels`` is for models that answer ``__label__xxx_Script``.
+    ``raw_labels`` is for models that answer ``__label__xxx_Script``. A profile as
+    predictor is applied by a join on grams.
     """
     source = F.col(text) if keep_newlines else drop_newlines(text)
-    tagged = df.filter(F.col(text).isNotNull()).withColumn("__p", predictor(source))
+    if isinstance(predictor, DataFrame):
+        return tag_by_join(df, predictor, text, source)
+    answered = df.filter(F.col(text).isNotNull()).withColumn("__raw", predictor(source))
+    # Gates on label and confidence come next; they must not run the model a second time.
+    tagged = work_out(answered, "__p", F.col("__raw"))
     label = F.col("__p.label")
     return (
         tagged.withColumn("predicted_lid", extract_label(label) if raw_labels else label)
         .withColumn("lid_confidence", F.col("__p.confidence"))
-        .drop("__p")
+        .drop("__raw", "__p")
     )
 
 
-def fit_predictor(training: DataFrame, label: str = "lid_label", text: str = "text", n: int = GRAM) -> Predictor | None:
-    """Train on a labelled corpus and return a predictor; the profile is materialised once."""
-    return profile_predictor(materialize(train_profile(training, label, text, n)), n)
+def tag_by_join(df: DataFrame, profile: DataFrame, text: str, source: Column) -> DataFrame:
+    """Tag through ``predict_by_join``; equal texts are scored once and share a key."""
+    keyed = df.filter(F.col(text).isNotNull()).withColumn("__key", F.sha2(source, 256))
+    distinct = keyed.select("__key", source.alias("__text")).dropDuplicates(["__key"])
+    found = predict_by_join(distinct, profile, "__key", "__text")
+    return keyed.join(found, "__key").drop("__key")
+
+
+def fit_predictor(training: DataFrame, label: str = "lid_label", text: str = "text", n: int = GRAM) -> Predictor:
+    """Train on a labelled corpus; the profile itself where it is beyond the bounds for sending it around."""
+    profile = materialize(train_profile(training, label, text, n))
+    return profile_predictor(profile, n) or profile
 
 
 def language_filter(results: DataFrame, pages: DataFrame, predictor: Predictor, excluded: DataFrame | list[str], **options) -> DataFrame:

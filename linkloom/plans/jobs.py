@@ -75,7 +75,8 @@ def expand_seeds(
     valid = seed_sources.valid_seeds(entries, required)
     allowed = filters.blocklist_filter(valid, blocklist)
     seeds = materialize(filters.seed_gate(allowed, minimum).select("lid_label", F.col("link").alias("url")))
-    edges = page_ops.page_links(pages).select("src", "dst")
+    # Each page of the seeds' sites is parsed once, whatever the number of levels and labels.
+    edges = materialize(page_ops.page_links(frontier.site_pages(pages, seeds)).select("src", "dst"))
     crawl = frontier.crawl(seeds, edges, ["lid_label"], max_pages, growth_factor, max_url_length)
     links = materialize(crawl.all_links.withColumnRenamed("url", "link"))
     crawled = materialize(lid.filter_links(links, pages, predictor, minimum, save_text, **options))

@@ -38,13 +38,22 @@ def test_both_predictors_equal_brute_force(spark, corpus):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(asked)], "k int, text string")
     profile = materialize(lid.train_profile(corpus))
     by_arrow = lid.tag_language(df, lid.profile_predictor(profile))
-    for got in (by_arrow, lid.predict_by_join(df, profile, "k")):
+    for got in (by_arrow, lid.predict_by_join(df, profile, "k"), lid.tag_language(df.union(df), profile)):
         rows = {r.k: r for r in got.collect()}
         for i, t in enumerate(asked):
             label, sure = brute_lid(TEXTS, t)
             assert rows[i].predicted_lid == label and abs(rows[i].lid_confidence - sure) < 1e-9
 
 
+def test_model_beyond_the_bound_is_joined(spark, corpus, monkeypatch):
+    monkeypatch.setattr(lid, "MODEL_ROWS", 3)
+    predictor = lid.fit_predictor(corpus)
+    assert not callable(predictor)
+    df = spark.createDataFrame([("the dog",), ("die katze",), (None,)], "text string")
+    got = {r.text: r.predicted_lid for r in lid.tag_language(df, predictor).collect()}
+    assert got == {"the dog": "eng_Latn", "die katze": "deu_Latn"}
+
+
 def test_missing_text_is_not_tagged(spark, corpus):
     df = spark.createDataFrame([(None,), ("the",)], "text string")
     assert lid.tag_language(df, lid.fit_predictor(corpus)).count() == 1
