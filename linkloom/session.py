@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,6 +38,22 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path under the shared checkpoint folder; nothing is made there yet."""
+    return f"{ensure_checkpoint_dir(spark)}/linkloom/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str = "table", partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and read it from there.
+
+    Cuts the lineage like ``materialize``, but later reads prune columns and
+    push filters down, and the files are compressed.
+    """
+    path = shared_path(df.sparkSession, name)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def row_count_within(df: DataFrame, bound: int) -> int | None:
     """Row count of ``df``, or None when it has more than ``bound`` rows."""
     n = df.limit(bound + 1).count()

@@ -2,6 +2,7 @@ import pytest
 
 import __spark_entry__ as entry
 import check
+from linkloom.registry import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -11,13 +12,18 @@ def con():
     return check.connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
     assert check.compare(spark, con, name, SF_DIR) is None
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+
+
+def test_all_are_offered():
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLES) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
