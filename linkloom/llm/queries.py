@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from linkloom.llm import exact_dedup
+from linkloom.llm import chat, exact_dedup, external_shuffle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -43,3 +43,79 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 )
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.mark_copies(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query("op4_external_shuffle")
+def op4_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written and read back; a test holds it against brute force, as the order is Spark's random numbers."""
+    written = external_shuffle.write_shards(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return written.select(
+        "row.doc_id",
+        external_shuffle.record_size(F.col("row.text")).alias("size"),
+        F.crc32(F.coalesce("row.text", F.lit(""))).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+# A conversation whose texts are made of control strings.
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+@query(
+    "op2_prefix_targets",
+    rf"""
+    WITH rows_ AS (
+      SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+      UNION ALL VALUES (-7, 0, 'user', '{CONTROL_TEXT}'), (-7, 1, 'assistant', '{CONTROL_TEXT}')),
+    sized AS (
+      SELECT *,
+        22 + length(regexp_replace(role, '([<\[])(\\*)(/?(?:s>|INST\]))', '\1\\\2\3', 'g'))
+          + length(regexp_replace(text, '([<\[])(\\*)(/?(?:s>|INST\]))', '\1\\\2\3', 'g')) AS size,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place,
+        count(*) OVER (PARTITION BY conv_id) AS n
+      FROM rows_),
+    summed AS (
+      SELECT *, sum(size) OVER (PARTITION BY conv_id ORDER BY place ROWS UNBOUNDED PRECEDING) AS upto FROM sized)
+    SELECT conv_id,
+      count(*) AS n_turns,
+      sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+      coalesce(CAST(sum(length(text)) FILTER (role = 'assistant') AS BIGINT), 0) AS loss_chars,
+      sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '')) AS loss_sha256,
+      CAST(sum(upto) FILTER (role = 'assistant' OR place = n) AS BIGINT) AS formatted_chars
+    FROM summed GROUP BY conv_id
+    """,
+)
+def op2_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(CONTROL_TEXT).alias("text"),
+    )
+    examples = chat.expand_prefixes(given.unionByName(control))
+    loss = F.when(
+        F.col("target_turn").isNotNull(),
+        F.struct("target_turn", chat.read_loss(F.col("text"), F.col("loss_start"), F.col("loss_end")).alias("text")),
+    )
+    read = examples.groupBy("conv_id").agg(
+        F.max(F.when(F.col("last"), F.col("text"))).alias("whole"),
+        F.sort_array(F.collect_list(loss)).alias("losses"),
+        F.sum(F.length("text")).alias("formatted_chars"),
+    )
+    spoken = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return (
+        read.withColumn("turns", chat.read_turns(F.col("whole")))
+        .withColumn("loss", F.array_join(F.transform("losses", lambda x: x["text"]), ""))
+        .select(
+            "conv_id",
+            F.size("turns").cast("long").alias("n_turns"),
+            F.sha2(F.array_join(spoken, ""), 256).alias("turns_sha256"),
+            F.length("loss").cast("long").alias("loss_chars"),
+            F.sha2("loss", 256).alias("loss_sha256"),
+            "formatted_chars",
+        )
+    )
