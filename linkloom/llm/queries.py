@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from linkloom.llm import chat, exact_dedup, external_shuffle
+from linkloom.llm import chat, exact_dedup, external_shuffle, mixing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -119,3 +119,67 @@ def op2_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
             "formatted_chars",
         )
     )
+
+
+# Parameters of the mixture, shared with its twin.
+MIX = {"entropy": 0.985, "max_repeats": 3.0, "block_tokens": 1 << 16, "seed": 17}
+
+
+@query(
+    "op7_temperature_mixing",
+    rf"""
+    WITH d AS (
+      SELECT doc_id, source,
+        coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS tokens FROM documents),
+    s AS (SELECT source, sum(tokens)::BIGINT AS total FROM d GROUP BY source),
+    t AS (SELECT sum(total)::BIGINT AS t, count(*) FILTER (total > 0) AS n FROM s),
+    p AS (SELECT source, total, total / t AS share FROM s, t WHERE total > 0),
+    least_share AS (SELECT min(share) AS least FROM p),
+    coarse AS (SELECT unnest(range(0, 1025)) * 1024 AS j),
+    judged AS (
+      SELECT j, ln(sum(pow(share, j / 1048576))) - j / 1048576 * sum(pow(share, j / 1048576) * ln(share))
+          / sum(pow(share, j / 1048576)) AS bits, sum(pow(share, j / 1048576)) AS z
+      FROM p, coarse GROUP BY j),
+    first_ AS (
+      SELECT coalesce(min(j), 1048576) AS j FROM judged, t, least_share
+      WHERE bits <= {MIX["entropy"]} * ln(n) + 1e-12
+        AND pow(least, j / 1048576 - 1) / z <= {MIX["max_repeats"]} + 1e-12),
+    fine AS (SELECT unnest(range(greatest(j - 1024, 0), j + 1)) AS j FROM first_),
+    judged2 AS (
+      SELECT j, ln(sum(pow(share, j / 1048576))) - j / 1048576 * sum(pow(share, j / 1048576) * ln(share))
+          / sum(pow(share, j / 1048576)) AS bits, sum(pow(share, j / 1048576)) AS z
+      FROM p, fine GROUP BY j),
+    found AS (
+      SELECT coalesce(min(j), 1048576) AS j FROM judged2, t, least_share
+      WHERE bits <= {MIX["entropy"]} * ln(n) + 1e-12
+        AND pow(least, j / 1048576 - 1) / z <= {MIX["max_repeats"]} + 1e-12),
+    q AS (
+      SELECT p.source, total, t,
+        CAST(floor(pow(share, found.j / 1048576) / z * t) AS BIGINT) AS quota,
+        greatest((t + {MIX["block_tokens"] - 1}) // {MIX["block_tokens"]}, 1) AS blocks
+      FROM p, t, found JOIN judged2 USING (j)),
+    e AS (
+      SELECT doc_id, d.source, tokens, coalesce(quota, 0) AS quota, coalesce(total, 0) AS total, blocks,
+        unnest(range(0, CAST(greatest(coalesce(ceil(quota / total), 1), 1) AS BIGINT))) AS pass
+      FROM d LEFT JOIN q ON d.source IS NOT DISTINCT FROM q.source),
+    a AS (
+      SELECT *, CAST(pass * total + coalesce(sum(tokens) OVER (PARTITION BY source, pass
+          ORDER BY md5('{MIX["seed"]}:' || pass || ':' || coalesce(CAST(doc_id AS VARCHAR), '')),
+            doc_id NULLS FIRST, tokens
+          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS pos
+      FROM e),
+    b AS (
+      SELECT doc_id, source, tokens, quota, pass,
+        CASE WHEN total > 0 THEN CAST(pos::HUGEINT * blocks // quota AS BIGINT) ELSE 0 END AS block
+      FROM a WHERE total = 0 OR pos < quota)
+    SELECT *, row_number() OVER (PARTITION BY block
+      ORDER BY md5('{MIX["seed"]}b:' || pass || ':' || coalesce(CAST(doc_id AS VARCHAR), '')),
+        doc_id NULLS FIRST, source NULLS FIRST, tokens) - 1 AS slot
+    FROM b
+    """,
+)
+def op7_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The budget is the corpus's own number of tokens."""
+    docs = table(spark, sf_dir, "documents")
+    taken = mixing.mix(docs, budget=mixing.ALL, carry=False, **MIX)
+    return mixing.with_slots(taken, MIX["seed"]).withColumnRenamed("id", "doc_id")
