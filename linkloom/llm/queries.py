@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from linkloom.llm import chat, exact_dedup, external_shuffle, mixing
+from linkloom.llm import chat, exact_dedup, external_shuffle, language_model, mixing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -183,3 +183,17 @@ def op7_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     taken = mixing.mix(docs, budget=mixing.ALL, carry=False, **MIX)
     return mixing.with_slots(taken, MIX["seed"]).withColumnRenamed("id", "doc_id")
+
+
+@query("op10_ppm_language_id")
+def op10_ppm_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A test holds the costs against a byte-by-byte coder and measures held-out accuracy."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_model.train(docs.where(~language_model.held_out(docs["doc_id"])))
+    return language_model.predict(docs.select("doc_id", "text"), model).select(
+        "row.doc_id",
+        language_model.held_out(F.col("row.doc_id")).alias("held_out"),
+        "lang_pred",
+        "score",
+        "bits_per_byte",
+    )
