@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from linkloom.llm import chat, exact_dedup, external_shuffle, language_model, mixing
+from linkloom.llm import chat, exact_dedup, external_shuffle, language_model, mixing, near_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -197,3 +197,15 @@ def op10_ppm_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         "bits_per_byte",
     )
+
+
+@query("op3_fast_similarity")
+def op3_fast_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A test holds it against all pairs of sets."""
+    groups = near_dedup.near_groups(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return groups.select(
+        F.col("id").alias("doc_id"),
+        "n_shingles",
+        "component_id",
+        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
+    )
