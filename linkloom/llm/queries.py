@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from linkloom.llm import chat, exact_dedup, external_shuffle, language_model, mixing, near_dedup
+from linkloom.llm import chat, exact_dedup, external_shuffle, language_model, mixing, near_dedup, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -209,3 +209,30 @@ def op3_fast_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "component_id",
         F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
     )
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op8_best_fit_packing")
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tests hold the ids against the tokenizer and the plan against piece-by-piece best fit."""
+    pieces = packing.cut_pieces(table(spark, sf_dir, "documents"), tokenizer_path())
+    keys = ["part", "row", "piece"]
+    sums = pieces.select(*keys, F.crc32("ids").alias("ids_crc32"))
+    return (
+        packing.place_pieces(pieces)
+        .join(sums, keys)
+        .select(
+            F.col("id").alias("doc_id"),
+            "piece",
+            "start",
+            F.col("length").cast("long").alias("length"),
+            "ids_crc32",
+            "sequence_id",
+            "offset",
+        )
+    )
