@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from linkloom.llm import chat, exact_dedup, external_shuffle, language_model, mixing, near_dedup, packing
+from linkloom.llm import archives, chat, exact_dedup, external_shuffle, language_model, mixing, near_dedup, packing
+
+from linkloom.session import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -236,3 +238,19 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
             "offset",
         )
     )
+
+
+@query("op6_arc_to_warc")
+def op6_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages as legacy archives, converted, and the WARC files read back; a test works the digests out anew."""
+    legacy = archives.write_arcs(table(spark, sf_dir, "pages"))
+    records = stored(archives.read_warcs(spark, archives.convert_arcs(spark, legacy)), "records")
+    return archives.with_responses(records).select(
+        F.col("key").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        "refers_to",
+        "target_uri",
+        "date",
+    )
