@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from linkloom.llm import archives, chat, exact_dedup, external_shuffle, language_model, mixing, near_dedup, packing
+from linkloom.llm import archives, chat, exact_dedup, external_shuffle, language_model, mixing, near_dedup, packing, pii
 
 from linkloom.session import stored
 
@@ -254,3 +254,17 @@ def op6_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "target_uri",
         "date",
     )
+
+
+@query("op5_weak_supervision")
+def op5_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A test holds the base spans against the plain patterns; the models have no SQL form."""
+    found = pii.find_spans(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *[count(kind).alias(f"n_{kind}") for kind in pii.BASE],
+        F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"),
+        pii.joined(F.col("spans")).alias("spans"),
+        (F.size("spans") - F.size("base")).cast("long").alias("n_added"),
+    )
