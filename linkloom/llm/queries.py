@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from linkloom.llm import archives, chat, exact_dedup, external_shuffle, language_model, mixing, near_dedup, packing, pii
+from linkloom.llm import archives, chat, exact_dedup, external_shuffle, language_model, mixing, multi_index, near_dedup, packing, pii
 
 from linkloom.session import stored
 
@@ -268,3 +268,9 @@ def op5_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
         pii.joined(F.col("spans")).alias("spans"),
         (F.size("spans") - F.size("base")).cast("long").alias("n_added"),
     )
+
+
+@query("op1_multi_index")
+def op1_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A test measures recall against all rows."""
+    return multi_index.search(table(spark, sf_dir, "embeddings"))
