@@ -1,13 +1,58 @@
-"""Corpus pipeline over ``documents``: each stage is written as Parquet, and the next one reads that."""
+"""Corpus pipeline over ``documents``: each stage is written as Parquet, and the next one reads that.
+
+language_id keeps what the byte model places in one of the training languages: texts that are null, have
+no letter or cost more than ``MOST_BITS`` bits a byte in every language go. exact_dedup and near_dedup keep one
+document of each group. mix_sources reads every document at least once and repeats those of
+small sources, ``MOST_REPEATS`` times at most, so that sources come nearer to equal token shares. pack
+cuts and packs what is left into sequences; it returns pieces, not documents.
+
+Stages take empty tables, null and repeated rows as their operators do.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from linkloom.llm import exact_dedup, language_model, mixing, near_dedup, packing
 from linkloom.session import stored
 
+# A text that costs more is dearer in every language than as plain bytes twice over.
+MOST_BITS = 16.0
+MOST_REPEATS = 2.0
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = language_model.train(docs.where(~language_model.held_out(docs["doc_id"])))
+    judged = language_model.predict(docs, model)
+    known = (F.col("lang_pred") != language_model.UNKNOWN) & (F.col("bits_per_byte") <= MOST_BITS)
+    return judged.where(known).select("row.*")
+
+
+def remove_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return exact_dedup.drop_copies(docs)
+
+
+def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near_dedup.keep_one(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mix_documents(docs, max_repeats=MOST_REPEATS)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 # (name, function of (spark, docs, sf_dir)); all but the last return the columns of ``documents``.
-STAGES = []
+STAGES = [
+    ("language_id", language_id),
+    ("exact_dedup", remove_copies),
+    ("near_dedup", remove_near_copies),
+    ("mix_sources", mix_sources),
+    ("pack", pack),
+]
 
 # SQL cannot express a trained language model; tests hold the rows against brute force.
 ORACLE_SQL = None

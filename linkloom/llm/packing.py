@@ -273,3 +273,19 @@ def sequences(pieces: DataFrame, placed: DataFrame) -> DataFrame:
     whole = found.groupBy("sequence_id").agg(parts.alias("parts"))
     ids = F.aggregate("parts", F.lit(b""), lambda a, p: F.concat(a, p["ids"]))
     return whole.select("sequence_id", ids.alias("ids")).withColumn("length", F.expr("octet_length(ids) div 4"))
+
+
+def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Every piece with the checksum of its ids and its place: the packing without the ids themselves."""
+    pieces = cut_pieces(docs, path, capacity, id, text)
+    keys = ["part", "row", "piece"]
+    sums = pieces.select(*keys, F.crc32("ids").alias("ids_crc32"))
+    return place_pieces(pieces, capacity).join(sums, keys).select(
+        F.col("id").alias("doc_id"),
+        "piece",
+        "start",
+        F.col("length").cast("long").alias("length"),
+        "ids_crc32",
+        "sequence_id",
+        "offset",
+    )

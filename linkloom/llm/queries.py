@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from linkloom.llm import archives, chat, exact_dedup, external_shuffle, language_model, mixing, multi_index, near_dedup, packing, pii
-
 from linkloom.session import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -214,30 +214,13 @@ def op3_fast_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tokenizer_path() -> str:
-    import public_tokenizers
-
     return public_tokenizers.path("word_bpe_49k.json")
 
 
 @query("op8_best_fit_packing")
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tests hold the ids against the tokenizer and the plan against piece-by-piece best fit."""
-    pieces = packing.cut_pieces(table(spark, sf_dir, "documents"), tokenizer_path())
-    keys = ["part", "row", "piece"]
-    sums = pieces.select(*keys, F.crc32("ids").alias("ids_crc32"))
-    return (
-        packing.place_pieces(pieces)
-        .join(sums, keys)
-        .select(
-            F.col("id").alias("doc_id"),
-            "piece",
-            "start",
-            F.col("length").cast("long").alias("length"),
-            "ids_crc32",
-            "sequence_id",
-            "offset",
-        )
-    )
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 @query("op6_arc_to_warc")
