@@ -24,7 +24,9 @@ from __future__ import annotations
 
 import bisect
 import os
+import re
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -36,7 +38,12 @@ from linkloom.session import shared_path
 CAPACITY = 2048
 END = 0
 # Words that a worker remembers; it starts anew beyond that.
-WORDS = 600_000
+WORDS = 1_000_000
+# How the vocabulary marks tokens that end a word.
+WORD_END = "</w>"
+# Small Latin letters, and ASCII marks without the apostrophe, which can belong to the letters after it.
+# Any other word fills the third group.
+LATIN = re.compile("(?:([a-zß-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)|([^ ]+))(?: |$)")
 # Token ids sent on at a time.
 CHUNK = 1 << 21
 
@@ -48,41 +55,71 @@ PIECES = (
 class Words:
     """Token ids of white-space-free strings, each encoded once.
 
-    The tokenizer drops white space and no token spans it, so a text's ids are those of its words.
-    Letters A-Z are made small first, as the tokenizer does, unless a special token may occur.
+    The tokenizer drops white space and no token spans it, so a text's ids are those of its words. Letters A-Z
+    are made small first, as the tokenizer does, unless a special token may occur. A word of Latin letters,
+    alone or before ASCII marks, is for the tokenizer one run of letters and one of marks; many such runs
+    are encoded at once, without the steps that leave them as they are (normal form, lower case, splitting),
+    and each ends at a token with the vocabulary's end mark. All other words go through the whole tokenizer.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.mark = max(self.tokenizer.get_added_tokens_decoder().items())
+        self.runs = Tokenizer(self.tokenizer.model)
+        to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, trim_offsets=False, use_regex=False)
+        self.runs.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), to_bytes])
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
         self.clear()
 
     def clear(self) -> None:
-        self.at: dict[bytes, int] = {}
-        self.ids: list[np.ndarray] = []
-        self.flat, self.starts, self.sizes = (np.zeros(0, dtype=np.int64) for _ in range(3))
+        # The empty word stands for the end of a text.
+        self.at: dict[bytes, int] = {b"": 0}
+        self.flat, self.starts = np.full(1, END, dtype="<u4"), np.zeros(1, dtype=np.int64)
+        self.sizes = np.ones(1, dtype=np.int64)
 
-    def learn(self, words: list[bytes]) -> None:
-        """Words are parted by a special token, so many are encoded at once."""
-        id, token = self.mark
-        plain = [w for w in words if b"<|" not in w]
-        found = []
-        for i in range(0, len(plain), 4096):
-            text = token.content.join(w.decode() for w in plain[i : i + 4096])
-            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.int64)
-            found += np.split(ids, np.flatnonzero(ids == id))
-        found = [f[1:] if len(f) and f[0] == id else f for f in found]
-        odd = [w for w in words if b"<|" in w]
-        for w in odd:
-            found.append(np.array(self.tokenizer.encode(w.decode(), add_special_tokens=False).ids, dtype=np.int64))
-        sizes = np.array([len(f) for f in found], dtype=np.int64)
-        self.at.update(zip(plain + odd, range(len(self.sizes), len(self.sizes) + len(found))))
+    def _add(self, words: list[bytes], flat: np.ndarray, sizes: np.ndarray) -> None:
+        self.at.update(zip(words, range(len(self.sizes), len(self.sizes) + len(words))))
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
-        self.flat = np.concatenate([self.flat, *found])
+        self.flat = np.concatenate([self.flat, flat.astype("<u4")])
+
+    def _gather(self, at: np.ndarray) -> np.ndarray:
+        """The ids of known words, one after the other."""
+        sizes = self.sizes[at]
+        ends = np.cumsum(sizes)
+        return self.flat[np.repeat(self.starts[at] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+
+    def learn(self, words: list[bytes]) -> None:
+        letters, pairs, odd = {}, [], []
+        for word, (run, marks, _) in zip(words, LATIN.findall(b" ".join(words).decode().lower())):
+            if run and b"<|" not in word:
+                run = run.encode()
+                letters[run] = None
+                if marks or run != word:
+                    pairs.append((word, run, marks.encode()))
+            else:
+                odd.append(word)
+        odd += {marks for _, _, marks in pairs if marks and marks not in self.at}.difference(odd)
+        new = [run for run in letters if run not in self.at]
+        if new:
+            texts = [b" ".join(new[i : i + 4096]).decode() for i in range(0, len(new), 4096)]
+            found = self.runs.encode_batch_fast(texts, add_special_tokens=False)
+            flat = np.concatenate([np.array(f.ids, dtype=np.int64) for f in found])
+            self._add(new, flat, np.diff(np.flatnonzero(self.ends[flat]), prepend=-1))
+        if odd:
+            found = self.tokenizer.encode_batch_fast([w.decode() for w in odd], add_special_tokens=False)
+            sizes = np.array([len(f.ids) for f in found], dtype=np.int64)
+            self._add(odd, np.array([i for f in found for i in f.ids], dtype=np.int64), sizes)
+        # Words made of letters and marks, or with capitals beyond ASCII.
+        pairs = [p for p in pairs if p[0] not in self.at]
+        if pairs:
+            parts = np.array([(self.at[run], self.at[marks] if marks else -1) for _, run, marks in pairs])
+            sizes = self.sizes[parts[:, 0]] + np.where(parts[:, 1] >= 0, self.sizes[parts[:, 1]], 0)
+            self._add([p[0] for p in pairs], self._gather(parts[parts >= 0]), sizes)
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's followed by the end mark, and the length of each text's."""
@@ -90,21 +127,20 @@ class Words:
         for text in texts:
             own = (text if b"<|" in text else text.lower()).split()
             words += own
-            counts.append(len(own))
-        at = list(map(self.at.get, words))
-        if None in at:
-            new = list(dict.fromkeys(w for w, i in zip(words, at) if i is None))
+            words.append(b"")
+            counts.append(len(own) + 1)
+        at = np.fromiter(map(self.at.get, words, repeat(-1)), dtype=np.int64, count=len(words))
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            unknown = [words[i] for i in missing.tolist()]
+            new = list(set(unknown))
             if len(self.at) + len(new) > WORDS:
                 self.clear()
-                new = list(dict.fromkeys(words))
+                missing, unknown = slice(None), words
+                new = list(set(words) - {b""})
             self.learn(new)
-            at = list(map(self.at.get, words))
-        at = np.array(at, dtype=np.int64)
-        sizes, starts = self.sizes[at], self.starts[at]
-        ends = np.cumsum(sizes)
-        ids = self.flat[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
-        upto = np.concatenate([[0], ends])[np.cumsum(counts)] if counts else np.zeros(0, dtype=np.int64)
-        return np.insert(ids, upto, END), np.diff(upto, prepend=0) + 1
+            at[missing] = [self.at[w] for w in unknown]
+        return self._gather(at), np.add.reduceat(self.sizes[at], np.cumsum(counts) - counts)
 
 
 _WORDS: dict[str, Words] = {}
@@ -123,7 +159,7 @@ def _cutter(path: str, capacity: int):
             while first < len(texts):
                 till = bisect.bisect_right(sizes, (sizes[first - 1] if first else 0) + CHUNK, first + 1)
                 ids, lengths = _WORDS[path].encode(texts[first:till])
-                data = ids.astype("<u4").tobytes()
+                data = ids.tobytes()
                 ends = np.cumsum(lengths)
                 pieces = -(-lengths // capacity)
                 owner = np.repeat(np.arange(len(lengths)), pieces)
