@@ -134,7 +134,6 @@ SKETCHED = T.StructType(
         T.StructField("bands", T.ArrayType(T.LongType())),
     ]
 )
-FULL = T.StructType([T.StructField("node", T.BinaryType()), T.StructField("shingles", T.BinaryType())])
 
 
 @F.pandas_udf(SKETCHED)
@@ -151,11 +150,12 @@ def _sketch(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"node": nodes, "n_shingles": sizes, "bands": bands})
 
 
-@F.pandas_udf(FULL)
-def _full_set(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    for texts in batches:
-        sets = [shingle_set(t) for t in texts]
-        yield pd.DataFrame({"node": [_digest(s) for s in sets], "shingles": [s.tobytes() for s in sets]})
+def _full_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The set of each text that is the one asked for."""
+    for rows in batches:
+        sets = [(node, shingle_set(text)) for node, text in zip(rows["node"], rows["text"])]
+        found = [(node, own.tobytes()) for node, own in sets if _digest(own) == node]
+        yield pd.DataFrame(found, columns=["node", "shingles"])
 
 
 def links_of(nodes: list[bytes], sets: list[np.ndarray]) -> list[tuple[bytes, bytes]]:
@@ -265,9 +265,8 @@ def verified_links(docs: DataFrame, light: DataFrame, id: str, text: str, block:
         _rows(docs, id, text)
         .join(wanted, "key")
         .where(F.col("id").eqNullSafe(F.col("id_")))
-        .select(F.col("node").alias("node_"), _full_set("text").alias("made"))
-        .where(F.col("node_") == F.col("made.node"))
-        .select("made.*")
+        .select("node", "text")
+        .mapInPandas(_full_sets, "node binary, shingles binary")
     )
     dealt = tasks.join(sets, "node").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
     return dealt.select("bucket", "i", "j", "node", "shingles").mapInPandas(_verify, "a binary, b binary")
