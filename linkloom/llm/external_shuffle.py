@@ -68,10 +68,11 @@ def shuffled(
         .groupBy("bucket")
         .agg(F.sort_array(F.collect_list("record")).alias("records"))
     )
-    # The buckets of a task in order, so that each meets the same random numbers on every run.
-    placed = gathered.join(starts, "bucket").sortWithinPartitions("bucket")
-    mixed = placed.select("start", F.posexplode(F.shuffle("records", seed)).alias("i", "record"))
-    at = mixed.select((F.col("start") + F.col("i")).alias("at"), F.col("record.row").alias("row"))
+    # The buckets of a task in order, so that each meets the same random numbers on every run; mixed ahead of
+    # the join, whose form may change from run to run.
+    mixed = gathered.sortWithinPartitions("bucket").select("bucket", F.shuffle("records", seed).alias("records"))
+    placed = mixed.join(starts, "bucket").select("start", F.posexplode("records").alias("i", "record"))
+    at = placed.select((F.col("start") + F.col("i")).alias("at"), F.col("record.row").alias("row"))
     rows = max(rows, 1)
     shard = F.expr(f"((at + 1) * {shards} - 1) div {rows}").cast("int")
     slot = F.expr(f"at - (shard * {rows}L) div {shards}")
