@@ -26,7 +26,6 @@ import bisect
 import os
 import re
 from collections.abc import Iterator
-from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -73,27 +72,17 @@ class Words:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
-        self.clear()
-
-    def clear(self) -> None:
-        # The empty word stands for the end of a text.
-        self.at: dict[bytes, int] = {b"": 0}
-        self.flat, self.starts = np.full(1, END, dtype="<u4"), np.zeros(1, dtype=np.int64)
-        self.sizes = np.ones(1, dtype=np.int64)
-
-    def _add(self, words: list[bytes], flat: np.ndarray, sizes: np.ndarray) -> None:
-        self.at.update(zip(words, range(len(self.sizes), len(self.sizes) + len(words))))
-        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(sizes) - sizes])
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.flat = np.concatenate([self.flat, flat.astype("<u4")])
-
-    def _gather(self, at: np.ndarray) -> np.ndarray:
-        """The ids of known words, one after the other."""
-        sizes = self.sizes[at]
-        ends = np.cumsum(sizes)
-        return self.flat[np.repeat(self.starts[at] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+        # Token ids as they are written: 32 bits, little-endian.
+        self.ids: dict[bytes, bytes] = {}
+
+    def _add(self, words: list[bytes], flat: np.ndarray, ends: np.ndarray) -> None:
+        data, first = flat.astype("<u4").tobytes(), 0
+        for word, end in zip(words, (4 * ends).tolist()):
+            self.ids[word] = data[first:end]
+            first = end
 
     def learn(self, words: list[bytes]) -> None:
+        ids = self.ids
         letters, pairs, odd = {}, [], []
         for word, (run, marks, _) in zip(words, LATIN.findall(b" ".join(words).decode().lower())):
             if run and b"<|" not in word:
@@ -103,44 +92,39 @@ class Words:
                     pairs.append((word, run, marks.encode()))
             else:
                 odd.append(word)
-        odd += {marks for _, _, marks in pairs if marks and marks not in self.at}.difference(odd)
-        new = [run for run in letters if run not in self.at]
+        odd += {marks for _, _, marks in pairs if marks and marks not in ids}.difference(odd)
+        new = [run for run in letters if run not in ids]
         if new:
             texts = [b" ".join(new[i : i + 4096]).decode() for i in range(0, len(new), 4096)]
             found = self.runs.encode_batch_fast(texts, add_special_tokens=False)
             flat = np.concatenate([np.array(f.ids, dtype=np.int64) for f in found])
-            self._add(new, flat, np.diff(np.flatnonzero(self.ends[flat]), prepend=-1))
+            self._add(new, flat, np.flatnonzero(self.ends[flat]) + 1)
         if odd:
             found = self.tokenizer.encode_batch_fast([w.decode() for w in odd], add_special_tokens=False)
-            sizes = np.array([len(f.ids) for f in found], dtype=np.int64)
-            self._add(odd, np.array([i for f in found for i in f.ids], dtype=np.int64), sizes)
+            ends = np.cumsum([len(f.ids) for f in found])
+            self._add(odd, np.array([i for f in found for i in f.ids], dtype=np.int64), ends)
         # Words made of letters and marks, or with capitals beyond ASCII.
-        pairs = [p for p in pairs if p[0] not in self.at]
-        if pairs:
-            parts = np.array([(self.at[run], self.at[marks] if marks else -1) for _, run, marks in pairs])
-            sizes = self.sizes[parts[:, 0]] + np.where(parts[:, 1] >= 0, self.sizes[parts[:, 1]], 0)
-            self._add([p[0] for p in pairs], self._gather(parts[parts >= 0]), sizes)
-
-    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids, each text's followed by the end mark, and the length of each text's."""
-        words, counts = [], []
+        for word, run, marks in pairs:
+            ids[word] = ids[run] + ids[marks] if marks else ids[run]
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text, the end mark last."""
+        words, ends = [], []
         for text in texts:
-            own = (text if b"<|" in text else text.lower()).split()
-            words += own
-            words.append(b"")
-            counts.append(len(own) + 1)
-        at = np.fromiter(map(self.at.get, words, repeat(-1)), dtype=np.int64, count=len(words))
-        missing = np.flatnonzero(at < 0)
-        if len(missing):
-            unknown = [words[i] for i in missing.tolist()]
-            new = list(set(unknown))
-            if len(self.at) + len(new) > WORDS:
-                self.clear()
-                missing, unknown = slice(None), words
-                new = list(set(words) - {b""})
+            words += (text if b"<|" in text else text.lower()).split()
+            ends.append(len(words))
+        found = list(map(self.ids.get, words))
+        if None in found:
+            missing = [i for i, ids in enumerate(found) if ids is None]
+            new = list({words[i] for i in missing})
+            if len(self.ids) + len(new) > WORDS:
+                self.ids.clear()
+                new, missing = list(set(words)), range(len(words))
             self.learn(new)
-            at[missing] = [self.at[w] for w in unknown]
-        return self._gather(at), np.add.reduceat(self.sizes[at], np.cumsum(counts) - counts)
+            for i in missing:
+                found[i] = self.ids[words[i]]
+        mark = END.to_bytes(4, "little")
+        return [b"".join(found[a:b]) + mark for a, b in zip([0, *ends], ends)]
 
 
 _WORDS: dict[str, Words] = {}
@@ -158,15 +142,13 @@ def _cutter(path: str, capacity: int):
             first = 0
             while first < len(texts):
                 till = bisect.bisect_right(sizes, (sizes[first - 1] if first else 0) + CHUNK, first + 1)
-                ids, lengths = _WORDS[path].encode(texts[first:till])
-                data = ids.tobytes()
-                ends = np.cumsum(lengths)
+                ids = _WORDS[path].encode(texts[first:till])
+                lengths = np.array([len(own) // 4 for own in ids], dtype=np.int64)
                 pieces = -(-lengths // capacity)
                 owner = np.repeat(np.arange(len(lengths)), pieces)
                 piece = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
                 start = piece * capacity
                 length = np.minimum(lengths[owner] - start, capacity)
-                begin = (ends - lengths)[owner] + start
                 # The number of each piece among those of its length.
                 order = np.argsort(length, kind="stable")
                 into = np.arange(len(order)) - np.searchsorted(length[order], length[order])
@@ -180,7 +162,7 @@ def _cutter(path: str, capacity: int):
                         "piece": piece.astype(np.int32),
                         "start": start,
                         "length": length.astype(np.int32),
-                        "ids": [data[4 * b : 4 * (b + n)] for b, n in zip(begin.tolist(), length.tolist())],
+                        "ids": [ids[i][4 * a : 4 * (a + n)] for i, a, n in zip(owner.tolist(), start.tolist(), length.tolist())],
                         "part": np.int32(part),
                         "row": row + owner,
                         "place": place,
