@@ -26,6 +26,7 @@ import bisect
 import os
 import re
 from collections.abc import Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pandas as pd
@@ -43,8 +44,8 @@ WORD_END = "</w>"
 # Small Latin letters, and ASCII marks without the apostrophe, which can belong to the letters after it.
 # Any other word fills the third group.
 LATIN = re.compile("(?:([a-zß-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)|([^ ]+))(?: |$)")
-# Token ids sent on at a time.
-CHUNK = 1 << 21
+# Bytes of text encoded at a time: their words stay in a processor's cache.
+CHUNK = 1 << 18
 
 PIECES = (
     "id {kind}, piece int, start long, length int, ids binary, part int, row long, place long"
@@ -109,22 +110,18 @@ class Words:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text, the end mark last."""
-        words, ends = [], []
-        for text in texts:
-            words += (text if b"<|" in text else text.lower()).split()
-            ends.append(len(words))
-        found = list(map(self.ids.get, words))
-        if None in found:
-            missing = [i for i, ids in enumerate(found) if ids is None]
-            new = list({words[i] for i in missing})
-            if len(self.ids) + len(new) > WORDS:
-                self.ids.clear()
-                new, missing = list(set(words)), range(len(words))
-            self.learn(new)
-            for i in missing:
-                found[i] = self.ids[words[i]]
+        ids = self.ids
+        words = [(text if b"<|" in text else text.lower()).split() for text in texts]
+        new = set()
+        for own in words:
+            new.update(filterfalse(ids.__contains__, own))
+        if new:
+            if len(ids) + len(new) > WORDS:
+                ids.clear()
+                new = set().union(*words)
+            self.learn(list(new))
         mark = END.to_bytes(4, "little")
-        return [b"".join(found[a:b]) + mark for a, b in zip([0, *ends], ends)]
+        return [b"".join(map(ids.__getitem__, own)) + mark for own in words]
 
 
 _WORDS: dict[str, Words] = {}
