@@ -38,7 +38,7 @@ from linkloom.session import shared_path
 CAPACITY = 2048
 END = 0
 # Words that a worker remembers; it starts anew beyond that.
-WORDS = 1_000_000
+WORDS = 500_000
 # How the vocabulary marks tokens that end a word.
 WORD_END = "</w>"
 # Small Latin letters, and ASCII marks without the apostrophe, which can belong to the letters after it.
