@@ -1,12 +1,16 @@
 """HTML expressions over a column of page sources.
 
-The default forms are regular expressions and stay inside Spark's JVM
-operators; their limit is badly broken markup (a ``>`` inside an attribute).
+The default forms are regular expressions and stay inside Spark's JVM operators.
+Tags are read with their quoted attribute values, so a ``>`` or a decoy inside one
+does no harm; all numeric references and all named entities of the standard are decoded.
 ``html_to_text_exact`` runs the standard library's HTML parser in Arrow batches.
 """
 
 from __future__ import annotations
 
+import html.entities
+import json
+
 import pandas as pd
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import StringType
@@ -14,60 +18,121 @@ from pyspark.sql.types import StringType
 from linkloom.functions.local import bind
 from linkloom.functions.text import WS, collapse_whitespace, strip
 
+# What may stand in a tag up to its end: anything but quotes, or a quoted value as a whole.
+INSIDE = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
 HIDDEN_RE = r"(?is)<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)|<!--.*?(?:-->|\z)"
 BOILERPLATE_RE = HIDDEN_RE + "".join(
     rf"|<{tag}\b.*?</{tag}\s*>" for tag in ("nav", "header", "footer", "aside", "form", "noscript")
 )
-TAG_RE = r"(?s)<[^>]*>"
-BLOCK_RE = r"(?i)</?(?:p|div|br|li|ul|ol|h[1-6]|tr|td|table|section|article|main|blockquote|pre|dd|dt)\b[^>]*>"
-ANCHOR_RE = r"(?is)<a\s[^>]*>"
-ARTICLE_RE = r"(?is)<article\b[^>]*>(.*)</article\s*>"
-BODY_RE = r"(?is)<body\b[^>]*>(.*?)(?:</body\s*>|\z)"
-
-# Named entities decoded on the default path, the ampersand last.
-ENTITIES = (
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&apos;", "'"),
-    ("&nbsp;", " "),
-    ("&copy;", "©"),
-    ("&reg;", "®"),
-    ("&middot;", "·"),
-    ("&hellip;", "…"),
-    ("&ndash;", "–"),
-    ("&mdash;", "—"),
-    ("&laquo;", "«"),
-    ("&raquo;", "»"),
-    ("&amp;", "&"),
+# A tag with a quote that never closes ends at the next ``>``.
+TAG_RE = rf"(?s)</?[a-zA-Z!?]{INSIDE}>|</?[a-zA-Z!?][^>]*>"
+BLOCK_RE = (
+    r"(?is)</?(?:p|div|br|li|ul|ol|h[1-6]|tr|td|table|section|article|main|blockquote|pre|dd|dt)(?=[\s/>])"
+    rf"(?:{INSIDE}>|[^>]*>)"
 )
+ANCHOR_RE = rf"(?is)<a(?=[\s/])(?:{INSIDE}>|[^>]*>)"
+ARTICLE_RE = rf"(?is)<article\b{INSIDE}>(.*)</article\s*>"
+BODY_RE = rf"(?is)<body\b{INSIDE}>(.*?)(?:</body\s*>|\z)"
+# Attributes one after the other, each with its value.
+ATTRIBUTE_RE = r"""(?s)([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?"""
+
+# Named entities of the standard, from the standard library's table, with ``;`` where one is needed.
+_NAMED = json.dumps({name: text for name, text in html.entities.html5.items() if name.endswith(";")})
+# Older names are known without ``;`` as well, the longest that fits.
+_BARE = sorted((name for name in html.entities.html5 if not name.endswith(";")), key=lambda n: (-len(n), n))
+_BARE_RE = f"^({'|'.join(_BARE)})"
+_BARE_TEXT = json.dumps({name: html.entities.html5[name] for name in _BARE})
+
+
+def _numbered() -> dict[str, str]:
+    """Numbers that do not stand for the character of that number: Windows' extra range, and null."""
+    out = {"0": "\ufffd", "13": "\r"}
+    for n in range(0x80, 0xA0):
+        byte = bytes([n])
+        try:
+            out[str(n)] = byte.decode("cp1252")
+        except UnicodeDecodeError:
+            out[str(n)] = chr(n)
+    return out
+
+
+_NUMBERED = json.dumps(_numbered())
 
 
 def _c(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
+def _table(text: str) -> Column:
+    return F.from_json(F.lit(text), "map<string,string>")
+
+
+def _character(n: Column) -> Column:
+    """The character of a number; nothing for one that is none."""
+    wide = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+    unfit = ((n >= 0xD800) & (n <= 0xDFFF)) | (n > 0x10FFFF)
+    control = (n < 0x20) & ~n.isin(9, 10, 12, 13)
+    nothing = control | (n == 0x7F) | ((n >= 0xFDD0) & (n <= 0xFDEF)) | (F.pmod(n, F.lit(0x10000)) >= 0xFFFE)
+    return (
+        F.when(F.array_contains(F.map_keys(_table(_NUMBERED)), n.cast("string")), F.try_element_at(_table(_NUMBERED), n.cast("string")))
+        .when(unfit, F.lit("\ufffd"))
+        .when(nothing, F.lit(""))
+        .otherwise(wide)
+    )
+
+
+def _reference(piece: Column) -> Column:
+    """What follows an ampersand, with the reference at its start decoded."""
+
+    def numeric(digits: Column, base: int, start: Column) -> Column:
+        # Eight digits or more are beyond any character.
+        short = F.regexp_replace(digits, "^0+(?=.)", "")
+        number = F.when(F.length(short) > 8, F.lit(0x110000)).otherwise(F.conv(short, base, 10).cast("bigint"))
+        return F.concat(bind(number, _character), F.substr(piece, F.length(start) + 1))
+
+    def decoded(m: Column) -> Column:
+        return (
+            F.when(m["tens"] != "", numeric(m["tens"], 10, m["number"]))
+            .when(m["sixteens"] != "", numeric(m["sixteens"], 16, m["number"]))
+            .when(m["known"].isNotNull(), F.concat(m["known"], F.substr(piece, F.length(m["name"]) + 1)))
+            .when(m["bare"] != "", F.concat(F.try_element_at(_table(_BARE_TEXT), m["bare"]), F.substr(piece, F.length(m["bare"]) + 1)))
+            .otherwise(F.concat(F.lit("&"), piece))
+        )
+
+    name = F.regexp_extract(piece, r"^[a-zA-Z][a-zA-Z0-9]{0,31};", 0)
+    return bind(
+        F.struct(
+            F.regexp_extract(piece, "^#([0-9]+);?", 1).alias("tens"),
+            F.regexp_extract(piece, "^#[xX]([0-9a-fA-F]+);?", 1).alias("sixteens"),
+            F.regexp_extract(piece, "^#(?:[0-9]+|[xX][0-9a-fA-F]+);?", 0).alias("number"),
+            name.alias("name"),
+            F.when(name != "", F.try_element_at(_table(_NAMED), name)).alias("known"),
+            F.regexp_extract(piece, _BARE_RE, 1).alias("bare"),
+        ),
+        decoded,
+    )
+
+
 def unescape(text: Column | str) -> Column:
+    """Character references decoded, as a browser does."""
 
     def decode(held: Column) -> Column:
-        out = held
-        for name, char in ENTITIES:
-            out = F.replace(out, F.lit(name), F.lit(char))
-        return F.when(F.contains(held, F.lit("&")), out).otherwise(held)
+        pieces = F.split(held, "&")
+        rest = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), _reference)
+        return F.when(F.contains(held, F.lit("&")), F.concat(F.get(pieces, F.lit(0)), F.array_join(rest, ""))).otherwise(held)
 
     return bind(_c(text), decode)
 
 
-def html_to_text(html: Column | str) -> Column:
+def html_to_text(source: Column | str) -> Column:
     """Visible text with tags turned into blanks and whitespace collapsed."""
-    shown = F.regexp_replace(_c(html), HIDDEN_RE, "")
+    shown = F.regexp_replace(_c(source), HIDDEN_RE, "")
     return collapse_whitespace(unescape(F.regexp_replace(shown, TAG_RE, " ")))
 
 
-def main_text(html: Column | str) -> Column:
+def main_text(source: Column | str) -> Column:
     """Main content: ``<article>``, else ``<body>``, one line per block; null if empty."""
-    kept = F.regexp_replace(_c(html), BOILERPLATE_RE, "")
+    kept = F.regexp_replace(_c(source), BOILERPLATE_RE, "")
 
     scopes = bind(
         kept,
@@ -91,30 +156,39 @@ def main_text(html: Column | str) -> Column:
 
 
 def attribute(tag: Column, name: str) -> Column:
-    """Value of an attribute inside one tag's source; empty when absent."""
-    value = F.regexp_extract(tag, rf"""(?is)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", 1)
-    return F.regexp_replace(value, r"""^["']|["']$""", "")
+    """Value of the first attribute of that name in one tag's source; empty when absent."""
+
+    def first(body: Column) -> Column:
+        names = F.regexp_extract_all(body, F.lit(ATTRIBUTE_RE), F.lit(1))
+        values = F.regexp_extract_all(body, F.lit(ATTRIBUTE_RE), F.lit(2))
+        found = F.array_position(F.transform(names, lambda n: F.lower(n)), F.lit(name))
+        value = F.when(found > 0, F.get(values, found.cast("int") - 1)).otherwise(F.lit(""))
+        return F.regexp_replace(value, r"""^["']|["']$""", "")
 
+    # Without the bracket and the tag's own name.
+    return bind(F.regexp_replace(tag, r"^<[^\s/>]*|/?>$", ""), first)
 
-def hrefs(html: Column | str) -> Column:
+
+def hrefs(source: Column | str) -> Column:
     """Link targets of a page, each once, as written in its source."""
-    shown = F.regexp_replace(_c(html), HIDDEN_RE, "")
-    tags = F.filter(
-        F.regexp_extract_all(shown, F.lit(ANCHOR_RE), F.lit(0)),
-        lambda tag: F.regexp_like(tag, F.lit(r"(?i)\shref\s*=")),
-    )
-    return F.array_distinct(F.transform(tags, lambda tag: unescape(attribute(tag, "href"))))
+    shown = F.regexp_replace(_c(source), HIDDEN_RE, "")
+    tags = F.regexp_extract_all(shown, F.lit(ANCHOR_RE), F.lit(0))
+    hinted = F.filter(tags, lambda tag: F.regexp_like(tag, F.lit(r"(?i)href\s*=")))
+    found = F.transform(hinted, lambda tag: attribute(tag, "href"))
+    return F.array_distinct(F.transform(F.filter(found, lambda h: h != ""), unescape))
 
 
-def _meta_content(html: Column, name: str) -> Column:
-    tag = F.regexp_extract(html, rf"(?is)<meta\b[^>]*\sname\s*=\s*[\"']?{name}[\"'\s/>][^>]*>?", 0)
-    return F.nullif(unescape(attribute(tag, "content")), F.lit(""))
+def _meta_content(source: Column, name: str) -> Column:
+    tags = F.regexp_extract_all(source, F.lit(rf"(?is)<meta(?=[\s/]){INSIDE}>"), F.lit(0))
+    own = F.filter(tags, lambda tag: F.lower(attribute(tag, "name")) == name)
+    content = bind(F.coalesce(F.get(own, F.lit(0)), F.lit("")), lambda tag: attribute(tag, "content"))
+    return F.nullif(unescape(content), F.lit(""))
 
 
-def page_metadata(html: Column | str, headers: Column | None = None) -> Column:
+def page_metadata(source: Column | str, headers: Column | None = None) -> Column:
     """Language, title, description and keywords of a page; null without ``<html>``."""
-    html = _c(html)
-    root = F.regexp_extract(html, r"(?is)<html\b[^>]*>", 0)
+    html = _c(source)
+    root = F.regexp_extract(html, rf"(?is)<html\b{INSIDE}>", 0)
     title = F.regexp_extract(html, r"(?is)<title\b[^>]*>(.*?)</title", 1)
     has_title = F.regexp_like(html, F.lit(r"(?is)<title\b"))
     header = F.try_element_at(headers, F.lit("Content-Language")) if headers is not None else F.lit(None).cast("string")
@@ -162,11 +236,11 @@ def _text_parser():
     return text_of
 
 
-def html_to_text_exact(html: Column | str) -> Column:
+def html_to_text_exact(source: Column | str) -> Column:
     """``html_to_text`` through a real parser, with every entity decoded."""
     text_of = _text_parser()
 
     def batch(sources: pd.Series) -> pd.Series:
         return sources.map(text_of)
 
-    return F.pandas_udf(batch, StringType())(_c(html))
+    return F.pandas_udf(batch, StringType())(_c(source))

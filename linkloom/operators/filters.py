@@ -8,8 +8,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from linkloom.constants import MAX_URL_LENGTH, MIN_CONFIDENCE
 from linkloom.functions import urls
+from linkloom.session import stored
 
 LITERAL_LIMIT = 500
+# Slices of all hosts that a seed without a host meets.
+SLICES = 64
 
 
 def minimal_entries(entries: list[str]) -> list[str]:
@@ -25,11 +28,18 @@ def is_blocked(link: Column | str, entries: list[str]) -> Column:
     return reduce(lambda a, b: a | b, tests, F.lit(False))
 
 
-def blocklist_filter(df: DataFrame, entries: list[str], link: str = "link") -> DataFrame:
-    """Keep rows with a link that no entry is part of; a narrow, shuffle-free filter."""
-    if len(entries) > LITERAL_LIMIT:
-        raise ValueError(f"{len(entries)} entries: use blocklist_antijoin beyond {LITERAL_LIMIT}")
-    return df.filter(F.col(link).isNotNull() & ~is_blocked(link, entries))
+def blocklist_filter(df: DataFrame, entries: list[str] | DataFrame, link: str = "link") -> DataFrame:
+    """Keep rows with a link that no entry is part of.
+
+    A short list becomes a narrow, shuffle-free filter; a table (entry) or a longer
+    list is joined, with the same result.
+    """
+    if isinstance(entries, list):
+        if len(entries) <= LITERAL_LIMIT:
+            return df.filter(F.col(link).isNotNull() & ~is_blocked(link, entries))
+        listed = [(e.strip(),) for e in entries if e]
+        entries = df.sparkSession.createDataFrame(listed, "entry string")
+    return blocklist_antijoin(df, entries, link)
 
 
 def _distinct_runs(text: Column, n: int) -> Column:
@@ -46,7 +56,9 @@ def blocklist_antijoin(df: DataFrame, blocklist: DataFrame, link: str = "link",
     hash, which spreads entries with a common start); each distinct link is
     looked up under all of its runs and the candidates are verified.
     """
-    entries = blocklist.select(F.trim(entry).alias("__entry")).filter(F.length("__entry") > 0).distinct()
+    # Stored, its size is known: a small list is looked up in each task and no run of a link is shuffled.
+    named = blocklist.select(F.trim(entry).alias("__entry")).filter(F.length("__entry") > 0).distinct()
+    entries = stored(named, "blocklist")
     rows = df.filter(F.col(link).isNotNull())
     distinct_links = rows.select(F.col(link).alias("__link")).distinct()
 
@@ -58,12 +70,17 @@ def blocklist_antijoin(df: DataFrame, blocklist: DataFrame, link: str = "link",
 
     # Entries are taken by length class, so that each is filed under a run as telling as it allows.
     size = F.length("__entry")
-    classes = [(8, size >= 8), (3, (size >= 3) & (size < 8)), (1, size < 3)]
-    blocked = reduce(DataFrame.unionByName, [candidates(n, entries.filter(fits)) for n, fits in classes])
+    classes = {8: size >= 8, 3: (size >= 3) & (size < 8), 1: size < 3}
+    # Links are cut only into runs of the lengths that entries are filed under.
+    run = F.when(classes[8], 8).when(classes[3], 3).otherwise(1)
+    found = sorted(r[0] for r in entries.select(run).distinct().collect())
+    if not found:
+        return rows
+    blocked = reduce(DataFrame.unionByName, [candidates(n, entries.filter(classes[n])) for n in found])
     return rows.join(blocked.distinct(), rows[link] == blocked["__link"], "left_anti")
 
 
-def filter_metadata(df: DataFrame, entries: list[str], url: str = "url") -> DataFrame:
+def filter_metadata(df: DataFrame, entries: list[str] | DataFrame, url: str = "url") -> DataFrame:
     """Blocklist on the long form of crawl metadata.
 
     An entry found in the host of ``http://`` + url is found in the url as well,
@@ -75,7 +92,8 @@ def filter_metadata(df: DataFrame, entries: list[str], url: str = "url") -> Data
 def exclude_labels(df: DataFrame, codes: DataFrame | list[str], label: str = "predicted_lid", code: str = "code") -> DataFrame:
     """Drop rows whose label is listed; a null label is kept."""
     if isinstance(codes, list):
-        return df.filter(F.col(label).isNull() | ~F.col(label).isin(codes))
+        # A null in the list, as a failed lookup leaves it, excludes nothing.
+        return df.filter(F.col(label).isNull() | ~F.col(label).isin([c for c in codes if c is not None]))
     listed = codes.select(F.col(code).alias("__code")).distinct()
     return df.join(listed, df[label] == listed["__code"], "left_anti")
 
@@ -139,16 +157,24 @@ def extract_codes(df: DataFrame, columns: list[str], order: str) -> DataFrame:
 def same_site_hosts(hosts: DataFrame, seed_hosts: DataFrame, keys: list[str], host: str, seed_host: str) -> DataFrame:
     """Distinct ``(keys, host)`` where the host ends with one of the key's seed hosts.
 
-    Works on distinct hosts, which are far fewer than links: each host is
-    spread into its string suffixes (the empty one included, as an empty seed
-    host fits every link) and equi-joined, so no pair is formed in vain.
+    Works on distinct hosts, which are far fewer than links: each host is cut into
+    its suffixes of the lengths that seed hosts have and equi-joined, so no pair is
+    formed in vain. An empty seed host fits every host; its keys meet the hosts in slices.
     """
-    suffixes = F.transform(
-        F.sequence(F.lit(1), F.length(host) + 1), lambda i: F.substring(F.col(host), i, F.length(host))
+    distinct = hosts.select(host).distinct()
+    seeds = stored(seed_hosts.select(*keys, F.col(seed_host).alias("__suffix")).distinct(), "seed-hosts")
+    named, nameless = seeds.filter(F.col("__suffix") != ""), seeds.filter(F.col("__suffix") == "").drop("__suffix")
+    # As many lengths as host names can have.
+    lengths = sorted(r[0] for r in named.select(F.length("__suffix")).distinct().collect())
+    sizes = F.filter(F.array(*map(F.lit, lengths)).cast("array<int>"), lambda n: n <= F.length(host))
+    suffixes = F.transform(sizes, lambda n: F.substring(F.col(host), F.length(host) - n + 1, n))
+    spread = distinct.withColumn("__suffix", F.explode(suffixes))
+    found = spread.join(named, "__suffix").select(*keys, host)
+    slices = F.lit(SLICES)
+    anywhere = distinct.withColumn("__slice", F.pmod(F.xxhash64(host), slices).cast("int")).join(
+        nameless.withColumn("__slice", F.explode(F.sequence(F.lit(0), slices - 1))), "__slice"
     )
-    spread = hosts.select(host).distinct().withColumn("__suffix", F.explode(suffixes))
-    seeds = seed_hosts.select(*keys, F.col(seed_host).alias("__suffix")).distinct()
-    return spread.join(seeds, "__suffix").select(*keys, host).distinct()
+    return found.unionByName(anywhere.select(*keys, host)).distinct()
 
 
 def same_site_links(

@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window, functions as F
 
 from linkloom.constants import GROWTH_FACTOR, MAX_PAGES, MAX_URL_LENGTH
 from linkloom.functions import urls
 from linkloom.operators.filters import same_site_hosts
-from linkloom.session import materialize
+from linkloom.session import shared_path, stored
 
 
 @dataclass
@@ -71,11 +69,13 @@ def crawl(
     ``seeds_are_links=False`` each seed is crawled alone.
 
     The driver only loops over levels. Visits are bounded by keys times
-    ``max_pages``; every level is written to the checkpoint folder.
+    ``max_pages``. Each level is added to one stored table of visits, partitioned by
+    depth. Stored tables have a known size: a level that is small is sent to the
+    graph, which then is not shuffled.
     """
     keys = keys or ["lid_label"]
-    starts = materialize(seeds.select(*keys, "url").distinct())
-    reach = materialize(reachable_edges(edges, starts, keys, max_length))
+    starts = stored(seeds.select(*keys, "url").distinct(), "starts")
+    reach = stored(reachable_edges(edges, starts, keys, max_length), "reach")
 
     by_url = Window.partitionBy(*keys).orderBy("url")
     by_parent = Window.partitionBy(*keys).orderBy("parent_rank", "url")
@@ -84,18 +84,25 @@ def crawl(
         .filter(F.col("rank") <= max_pages)
         .select(*keys, "url", F.lit(0).alias("depth"), F.lit(0).alias("parent_rank"), "rank")
     )
-    levels = [materialize(first)]
+    path, schema = shared_path(starts.sparkSession, "visits"), first.schema
+
+    def added(level: DataFrame, depth: int) -> DataFrame:
+        level.drop("depth").write.parquet(f"{path}/depth={depth}")
+        return starts.sparkSession.read.schema(schema).parquet(path)
+
+    visits = added(first, 0)
     # A key visits at least one page per level, so the budget bounds the depth too.
     for depth in range(1, max_pages + 1):
-        seen = reduce(DataFrame.unionByName, levels)
-        spent = seen.groupBy(*keys).agg(F.count(F.lit(1)).alias("spent"))
+        front = visits.filter(F.col("depth") == depth - 1)
+        # Ranks run on, so the last one of a level says how much of the budget is spent.
+        spent = front.groupBy(*keys).agg(F.max("rank").alias("spent"))
         found = (
-            levels[-1].select(*keys, F.col("url").alias("src"), "rank")
+            front.select(*keys, F.col("url").alias("src"), "rank")
             .join(reach, [*keys, "src"])
             .groupBy(*keys, F.col("dst").alias("url"))
             .agg(F.min("rank").alias("parent_rank"))
         )
-        fresh = found.join(seen.select(*keys, "url"), [*keys, "url"], "left_anti")
+        fresh = found.join(visits.select(*keys, "url"), [*keys, "url"], "left_anti")
         # The bound on the place lets each task keep only max_pages rows of a key.
         placed = fresh.withColumn("place", F.row_number().over(by_parent)).filter(F.col("place") <= max_pages)
         level = (
@@ -104,12 +111,10 @@ def crawl(
             .filter(F.col("rank") <= max_pages)
             .select(*keys, "url", F.lit(depth).alias("depth"), "parent_rank", "rank")
         )
-        level = materialize(level)
-        if level.isEmpty():
+        visits = added(level, depth)
+        if visits.filter(F.col("depth") == depth).isEmpty():
             break
-        levels.append(level)
 
-    visits = reduce(DataFrame.unionByName, levels)
     if growth_factor is not None:
         visits = stop_at_growth(visits, starts, reach, keys, growth_factor)
     links = opened_links(visits, reach, keys).select(*keys, F.col("dst").alias("url"))

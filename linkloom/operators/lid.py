@@ -3,6 +3,10 @@
 Training counts n-grams per label and smooths by adding one. A text's score
 for a label is the sum of its n-grams' log probabilities; confidence is the
 softmax of the scores. Any other model can be plugged in as a ``predictor``.
+
+A ``Profile`` carries its n. Line feeds are dropped, or kept, in one place ahead of
+scoring (``readable``). Small profiles are sent to the executors, large ones are
+joined; both score the same way.
 """
 
 from __future__ import annotations
@@ -19,29 +23,48 @@ from linkloom.functions.labels import extract_label
 from linkloom.functions.local import work_out
 from linkloom.functions.text import char_ngrams, drop_newlines
 from linkloom.operators.filters import exclude_labels, language_gate
-from linkloom.operators.pages import scrape_links
-from linkloom.session import materialize, row_count_within
+from linkloom.operators.pages import page_texts, wanted_pages
+from linkloom.session import row_count_within, stored
 
 GRAM = 3
 # A model is sent to every executor only up to this many (label, gram) rows and matrix cells.
-MODEL_ROWS = 5_000_000
-MODEL_CELLS = 50_000_000
+MODEL_ROWS = 1_000_000
+MODEL_CELLS = 10_000_000
+# Gains added up at a time, in cells.
+SCORED_CELLS = 4_000_000
 
 PREDICTION = StructType([StructField("label", StringType()), StructField("confidence", DoubleType())])
 
+
+@dataclass(frozen=True)
+class Profile:
+    """A trained model: its table (lid_label, gram, cnt, log_prob, unseen), stored, and its n."""
+
+    table: DataFrame
+    n: int = GRAM
+
+
 # A column function (text to label and confidence), or a profile too large to send around.
-Predictor = Callable[[Column], Column] | DataFrame
+Predictor = Callable[[Column], Column] | Profile
+
+
+def readable(text: Column | str, keep_newlines: bool = False) -> Column:
+    """The text as it is trained on and scored."""
+    return (F.col(text) if isinstance(text, str) else text) if keep_newlines else drop_newlines(text)
 
 
 def count_grams(df: DataFrame, keys: list[str], text: str = "text", n: int = GRAM) -> DataFrame:
-    """(keys, gram, cnt) over whole texts, line feeds removed; combined before the shuffle."""
-    grams = char_ngrams(drop_newlines(text), n)
-    return df.select(*keys, F.explode(grams).alias("gram")).groupBy(*keys, "gram").agg(F.count(F.lit(1)).alias("cnt"))
+    """(keys, gram, cnt) over whole texts; combined before the shuffle."""
+    grams = df.select(*keys, F.explode(char_ngrams(text, n)).alias("gram"))
+    return grams.groupBy(*keys, "gram").agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def train_profile(df: DataFrame, label: str = "lid_label", text: str = "text", n: int = GRAM) -> DataFrame:
+def train_profile(
+    df: DataFrame, label: str = "lid_label", text: str = "text", n: int = GRAM, keep_newlines: bool = False
+) -> DataFrame:
     """Model table (lid_label, gram, cnt, log_prob, unseen)."""
-    counts = count_grams(df.filter(F.col(text).isNotNull()).select(F.col(label).alias("lid_label"), text), ["lid_label"], text, n)
+    rows = df.filter(F.col(text).isNotNull()).select(F.col(label).alias("lid_label"), readable(text, keep_newlines).alias("text"))
+    counts = count_grams(rows, ["lid_label"], "text", n)
     sizes = counts.groupBy("lid_label").agg(F.sum("cnt").alias("total"))
     vocabulary = counts.select("gram").distinct().agg(F.count(F.lit(1)).alias("v"))
     weighted = counts.join(sizes, "lid_label").withColumn("mass", F.col("total") + vocabulary.scalar())
@@ -54,101 +77,125 @@ def train_profile(df: DataFrame, label: str = "lid_label", text: str = "text", n
     )
 
 
+def fit_profile(training: DataFrame, label: str = "lid_label", text: str = "text", n: int = GRAM) -> Profile:
+    return Profile(stored(train_profile(training, label, text, n), "profile"), n)
+
+
 @dataclass
 class LidModel:
-    """A profile held as arrays: sorted gram keys and, per gram, the gain of each label over an unseen gram."""
+    """A profile as arrays: sorted gram keys and, per gram, the gain of each label over an unseen gram.
+
+    A gram's key has ``bits`` bits for each character's place in the sorted
+    ``alphabet``, counted from one; zero, for any other character, is in no key.
+    """
 
     labels: list[str]
     unseen: np.ndarray
+    n: int
+    alphabet: np.ndarray
+    bits: int
     keys: np.ndarray
     gains: np.ndarray
 
-
-def _gram_keys(text: str, n: int) -> np.ndarray:
-    """Each n-gram (n up to 3) as one integer: 21 bits per character."""
-    points = np.frombuffer(text.encode("utf-32-le"), dtype="<u4").astype(np.int64)
-    if len(points) < n:
-        return np.empty(0, dtype=np.int64)
-    keys = points[: len(points) - n + 1].copy()
-    for i in range(1, n):
-        keys = (keys << 21) | points[i : len(points) - n + 1 + i]
-    return keys
-
-
-def load_model(profile: DataFrame, n: int = GRAM) -> LidModel | None:
-    """Arrays of a stored or materialised profile; None when it is beyond the size bound."""
-    if n > 3 or row_count_within(profile, MODEL_ROWS) is None:
+    def gram_keys(self, points: np.ndarray) -> np.ndarray:
+        """Key of the n-gram that starts at each code point."""
+        size = max(len(points) - self.n + 1, 0)
+        if not len(self.alphabet):
+            return np.zeros(size, dtype=np.int64)
+        spots = np.minimum(np.searchsorted(self.alphabet, points), len(self.alphabet) - 1)
+        codes = np.where(self.alphabet[spots] == points, spots + 1, 0).astype(np.int64)
+        keys = np.zeros(size, dtype=np.int64)
+        for i in range(self.n):
+            keys = (keys << self.bits) | codes[i : size + i]
+        return keys
+
+    def score(self, texts: list[str]) -> np.ndarray:
+        """Score of each text (rows) for each label, the whole batch at once."""
+        sizes = np.array([len(t) for t in texts], dtype=np.int64)
+        points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.int64)
+        owner = np.repeat(np.arange(len(texts)), sizes)
+        keys = self.gram_keys(points)
+        # Windows that run over the end of their text do not count.
+        inside = np.arange(len(keys)) + self.n <= np.cumsum(sizes)[owner[: len(keys)]]
+        scores = np.maximum(sizes - self.n + 1, 0)[:, None] * self.unseen
+        if not len(self.keys):
+            return scores
+        spots = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        hits = inside & (self.keys[spots] == keys)
+        spots, owner = spots[hits], owner[: len(keys)][hits]
+        step = max(SCORED_CELLS // max(len(self.labels), 1), 1)
+        for at in range(0, len(spots), step):
+            own = owner[at : at + step]
+            first = np.flatnonzero(np.diff(own, prepend=-1))
+            scores[own[first]] += np.add.reduceat(self.gains[spots[at : at + step]], first, axis=0)
+        return scores
+
+
+def load_model(profile: Profile) -> LidModel | None:
+    """Arrays of a profile; None when it is beyond the size bounds."""
+    table, n = profile.table, profile.n
+    if row_count_within(table, MODEL_ROWS) is None:
         return None
-    bases = profile.groupBy("lid_label").agg(F.max("unseen").alias("unseen")).orderBy("lid_label").toPandas()
+    bases = table.groupBy("lid_label").agg(F.max("unseen").alias("unseen")).orderBy("lid_label").toPandas()
     labels = bases["lid_label"].tolist()
-    n_grams = profile.select("gram").distinct().count()
-    if n_grams * max(len(labels), 1) > MODEL_CELLS:
-        return None
-    rows = profile.select("lid_label", "gram", (F.col("log_prob") - F.col("unseen")).alias("gain")).toPandas()
+    rows = table.select("lid_label", "gram", (F.col("log_prob") - F.col("unseen")).alias("gain")).toPandas()
     grams = rows["gram"].drop_duplicates()
-    keys = np.array([_gram_keys(g, n)[0] for g in grams], dtype=np.int64)
+    alphabet = np.array(sorted({ord(c) for g in grams for c in g}), dtype=np.int64)
+    bits = max(int(len(alphabet)).bit_length(), 1)
+    if not labels or n * bits > 62 or len(grams) * len(labels) > MODEL_CELLS:
+        return None
+    model = LidModel(labels, bases["unseen"].to_numpy(), n, alphabet, bits, np.zeros(0, dtype=np.int64), np.zeros((0, len(labels))))
+    keys = np.array([model.gram_keys(np.array([ord(c) for c in g], dtype=np.int64))[0] for g in grams], dtype=np.int64)
     order = np.argsort(keys)
     place = pd.Series(np.argsort(order), index=grams)
     gains = np.zeros((len(keys), len(labels)))
     column = pd.Series(range(len(labels)), index=labels)
     gains[place.loc[rows["gram"]].to_numpy(), column.loc[rows["lid_label"]].to_numpy()] = rows["gain"].to_numpy()
-    return LidModel(labels, bases["unseen"].to_numpy(), keys[order], gains)
+    model.keys, model.gains = keys[order], gains
+    return model
 
 
-def profile_predictor(profile: DataFrame, n: int = GRAM) -> Callable[[Column], Column] | None:
-    """Predictor of a profile within the size bound: scores Arrow batches where the texts lie, no shuffle."""
-    model = load_model(profile, n)
-    if model is None or not model.labels:
+def profile_predictor(profile: Profile) -> Callable[[Column], Column] | None:
+    """Predictor of a profile within the size bounds: scores Arrow batches where the texts lie, no shuffle."""
+    model = load_model(profile)
+    if model is None:
         return None
-    shared = profile.sparkSession.sparkContext.broadcast((model.labels, model.unseen, model.keys, model.gains))
-
-    def score(texts: pd.Series) -> pd.DataFrame:
-        import numpy as np
-        import pandas as pd
-
-        labels, unseen, vocabulary, gains = shared.value
-        found, sure = [], []
-        for text in texts:
-            if text is None:
-                found.append(None)
-                sure.append(None)
-                continue
-            points = np.frombuffer(text.encode("utf-32-le"), dtype="<u4").astype(np.int64)
-            n_keys = max(len(points) - n + 1, 0)
-            keys = points[:n_keys].copy()
-            for i in range(1, n):
-                keys = (keys << 21) | points[i : n_keys + i]
-            spots = np.searchsorted(vocabulary, keys)
-            spots[spots == len(vocabulary)] = 0
-            hits = spots[vocabulary[spots] == keys]
-            scores = gains[hits].sum(axis=0) + n_keys * unseen
-            best = int(np.argmax(scores))
-            found.append(labels[best])
-            sure.append(1.0 / np.exp(scores - scores[best]).sum())
-        return pd.DataFrame({"label": found, "confidence": sure})
-
-    score_column = F.pandas_udf(score, PREDICTION)
+    shared = profile.table.sparkSession.sparkContext.broadcast(model)
+
+    def predict(texts: pd.Series) -> pd.DataFrame:
+        own = shared.value
+        out = pd.DataFrame({"label": None, "confidence": None}, index=texts.index)
+        there = texts[texts.notna()]
+        if len(there):
+            scores = own.score(there.tolist())
+            best = scores.argmax(axis=1)
+            top = scores[np.arange(len(best)), best]
+            out.loc[there.index, "label"] = np.array(own.labels, dtype=object)[best]
+            out.loc[there.index, "confidence"] = 1.0 / np.exp(scores - top[:, None]).sum(axis=1)
+        return out.astype({"confidence": "float64"})
+
+    score_column = F.pandas_udf(predict, PREDICTION)
     return lambda text: score_column(text)
 
 
-def predict_by_join(df: DataFrame, profile: DataFrame, key: str, text: str = "text", n: int = GRAM) -> DataFrame:
+def predict_by_join(df: DataFrame, profile: Profile, key: str, text: str = "text") -> DataFrame:
     """(key, predicted_lid, lid_confidence) for profiles of any size, as a join on grams.
 
-    Grams of a text are counted before the join; a text's scores are held per
-    label, so no group grows with the length of a text.
+    ``text`` is scored as it is. Grams of a text are counted before the join; a
+    text's scores are held per label, so no group grows with the length of a text.
     """
     texts = df.filter(F.col(text).isNotNull())
-    bases = profile.groupBy("lid_label").agg(F.max("unseen").alias("unseen"))
-    gains = profile.select("lid_label", "gram", (F.col("log_prob") - F.col("unseen")).alias("gain"))
+    bases = profile.table.groupBy("lid_label").agg(F.max("unseen").alias("unseen"))
+    gains = profile.table.select("lid_label", "gram", (F.col("log_prob") - F.col("unseen")).alias("gain"))
     matched = (
-        count_grams(texts, [key], text, n)
+        count_grams(texts, [key], text, profile.n)
         .join(gains, "gram")
         .groupBy(key, "lid_label")
         .agg(F.sum(F.col("cnt") * F.col("gain")).alias("gain"))
     )
     # Labels a text shares no gram with still count in the softmax, through the unseen mass alone.
     all_bases = bases.agg(F.sort_array(F.collect_list(F.struct("lid_label", "unseen"))).alias("b")).scalar()
-    n_grams = F.greatest(F.length(drop_newlines(text)) - (n - 1), F.lit(0))
+    n_grams = F.greatest(F.length(text) - (profile.n - 1), F.lit(0))
     per_text = matched.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("lid_label", "gain"))).alias("gains"))
     gain_of = lambda base: F.coalesce(F.try_element_at(F.col("gains"), base["lid_label"]), F.lit(0.0))
     scores = F.transform(
@@ -170,17 +217,23 @@ def predict_by_join(df: DataFrame, profile: DataFrame, key: str, text: str = "te
 
 
 def tag_language(
-    df: DataFrame, predictor: Predictor, text: str = "text", raw_labels: bool = False, keep_newlines: bool = False
+    df: DataFrame,
+    predictor: Predictor,
+    text: str = "text",
+    raw_labels: bool = False,
+    keep_newlines: bool = False,
+    drop_empty: bool = False,
 ) -> DataFrame:
     """Add ``predicted_lid`` and ``lid_confidence``; rows without text are dropped.
 
-    ``raw_labels`` is for models that answer ``__label__xxx_Script``. A profile as
-    predictor is applied by a join on grams.
+    ``raw_labels`` is for models that answer ``__label__xxx_Script``. ``drop_empty``
+    drops rows with an empty text too. A profile as predictor is applied by a join on grams.
     """
-    source = F.col(text) if keep_newlines else drop_newlines(text)
-    if isinstance(predictor, DataFrame):
-        return tag_by_join(df, predictor, text, source)
-    answered = df.filter(F.col(text).isNotNull()).withColumn("__raw", predictor(source))
+    asked = df.filter(F.length(text) > 0) if drop_empty else df.filter(F.col(text).isNotNull())
+    source = readable(text, keep_newlines)
+    if isinstance(predictor, Profile):
+        return tag_by_join(asked, predictor, source)
+    answered = asked.withColumn("__raw", predictor(source))
     # Gates on label and confidence come next; they must not run the model a second time.
     tagged = work_out(answered, "__p", F.col("__raw"))
     label = F.col("__p.label")
@@ -191,9 +244,9 @@ def tag_language(
     )
 
 
-def tag_by_join(df: DataFrame, profile: DataFrame, text: str, source: Column) -> DataFrame:
+def tag_by_join(df: DataFrame, profile: Profile, source: Column) -> DataFrame:
     """Tag through ``predict_by_join``; equal texts are scored once and share a key."""
-    keyed = df.filter(F.col(text).isNotNull()).withColumn("__key", F.sha2(source, 256))
+    keyed = df.withColumn("__key", F.sha2(source, 256))
     distinct = keyed.select("__key", source.alias("__text")).dropDuplicates(["__key"])
     found = predict_by_join(distinct, profile, "__key", "__text")
     return keyed.join(found, "__key").drop("__key")
@@ -201,14 +254,40 @@ def tag_by_join(df: DataFrame, profile: DataFrame, text: str, source: Column) ->
 
 def fit_predictor(training: DataFrame, label: str = "lid_label", text: str = "text", n: int = GRAM) -> Predictor:
     """Train on a labelled corpus; the profile itself where it is beyond the bounds for sending it around."""
-    profile = materialize(train_profile(training, label, text, n))
-    return profile_predictor(profile, n) or profile
+    profile = fit_profile(training, label, text, n)
+    return profile_predictor(profile) or profile
 
 
-def language_filter(results: DataFrame, pages: DataFrame, predictor: Predictor, excluded: DataFrame | list[str], **options) -> DataFrame:
+def scored_pages(links: DataFrame, pages: DataFrame, predictor: Predictor, source: str = "main", **options) -> DataFrame:
+    """(page_no, link, text, predicted_lid, lid_confidence) of the pages that ``links`` names.
+
+    Each page is parsed and scored once, where it lies, however many labels ask for
+    it. Stored, so that a later read takes the texts or leaves them.
+    """
+    wanted = links.select("link").distinct()
+    # Pages that are parsed already come with their text.
+    texts = pages.join(wanted, "link", "left_semi") if "text" in pages.columns else page_texts(wanted_pages(pages, wanted), source=source)
+    tagged = tag_language(texts.select("link", "text"), predictor, **options)
+    return stored(tagged.withColumn("page_no", F.monotonically_increasing_id()), "scored")
+
+
+def _with_texts(rows: DataFrame, scored: DataFrame, save_text: bool) -> DataFrame:
+    """Texts join last, to the rows that stayed."""
+    return rows.join(scored.select("page_no", "text"), "page_no") if save_text else rows
+
+
+def language_filter(
+    results: DataFrame,
+    pages: DataFrame,
+    predictor: Predictor,
+    excluded: DataFrame | list[str],
+    save_text: bool = False,
+    **options,
+) -> DataFrame:
     """Search results with their page's language, high-resource languages left out."""
-    scraped = scrape_links(results, pages)
-    return exclude_labels(tag_language(scraped, predictor, **options), excluded)
+    scored = scored_pages(results, pages, predictor, **options)
+    kept = exclude_labels(results.join(scored.drop("text"), "link"), excluded)
+    return _with_texts(kept, scored, save_text).drop("page_no")
 
 
 def snippet_language_filter(results: DataFrame, predictor: Predictor, excluded: DataFrame | list[str], **options) -> DataFrame:
@@ -220,11 +299,14 @@ def snippet_language_filter(results: DataFrame, predictor: Predictor, excluded:
 def filter_links(
     links: DataFrame, pages: DataFrame, predictor: Predictor, minimum: float, save_text: bool = True, **options
 ) -> DataFrame:
-    """Links (lid_label, link) whose page is in the label's language: all labels in one pass."""
-    tagged = tag_language(scrape_links(links, pages), predictor, **options)
-    kept = language_gate(tagged, "lid_label", minimum)
+    """Links (lid_label, link) whose page is in the label's language: all labels in one pass.
+
+    ``pages`` is (url, html), or (link, text) of pages parsed before.
+    """
+    scored = scored_pages(links, pages, predictor, **options)
+    kept = language_gate(links.join(scored.drop("text"), "link"), "lid_label", minimum)
     columns = [*links.columns, "lid_confidence"] + (["text"] if save_text else [])
-    return kept.select(*columns)
+    return _with_texts(kept, scored, save_text).select(*columns)
 
 
 def lid_tally(tagged: DataFrame, label: str = "predicted_lid") -> DataFrame:

@@ -13,9 +13,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from linkloom.constants import NGRAM_ORDER
-from linkloom.functions.text import char_ngrams, char_tokenize, squeeze
-from linkloom.operators.ordering import running_total
-from linkloom.session import materialize
+from linkloom.functions.text import char_ngrams, char_tokenize, squeeze, truncate
+from linkloom.operators.ordering import position, running_total
+from linkloom.session import stored
 
 BEGIN, END, UNKNOWN = "<s>", "</s>", "<unk>"
 
@@ -45,18 +45,23 @@ def corpus_lengths(corpus: DataFrame) -> DataFrame:
 
 def truncate_to_shortest(corpus: DataFrame) -> DataFrame:
     """Cut every label's corpus, in document order, to the length of the shortest one."""
-    least = corpus_lengths(corpus).agg(F.min("text_len").alias("n")).scalar()
-    measured = running_total(
-        corpus.select("lid_label", "doc_id", "text"), ["lid_label"], "doc_id", F.length("text").cast("bigint"), "upto"
-    )
-    room = F.col("least") - (F.col("upto") - F.length("text"))
+    # Lengths alone are run up; texts beyond the cut never move.
+    sizes = corpus.select("lid_label", "doc_id", F.length("text").cast("bigint").alias("size"))
+    measured = running_total(sizes, ["lid_label"], "doc_id", F.col("size"), "upto")
+    least = sizes.groupBy("lid_label").agg(F.sum("size").alias("n")).agg(F.min("n").alias("n")).scalar()
+    kept = measured.withColumn("room", least - (F.col("upto") - F.col("size"))).filter("room > 0")
     return (
-        measured.withColumn("least", least)
-        .filter(room > 0)
-        .select("lid_label", "doc_id", F.substring("text", F.lit(1), room.cast("int")).alias("text"))
+        corpus.select("lid_label", "doc_id", "text")
+        .join(kept.select("lid_label", "doc_id", "room"), ["lid_label", "doc_id"])
+        .select("lid_label", "doc_id", cut_to("text", F.col("room")).alias("text"))
     )
 
 
+def cut_to(text: str, room: Column) -> Column:
+    """The first ``room`` characters; ``room`` may be beyond what a text can hold."""
+    return truncate(text, F.least(room, F.length(text)).cast("int"))
+
+
 def tokenize_corpus(corpus: DataFrame, tokenizer=char_tokenize) -> DataFrame:
     return corpus.withColumn("text", tokenizer("text"))
 
@@ -74,14 +79,51 @@ def sentence(text: Column | str) -> Column:
     return F.concat(F.lit(_BEGIN), squeeze(text), F.lit(_END))
 
 
-def ngram_counts(corpus: DataFrame, order: int = NGRAM_ORDER) -> DataFrame:
+def label_sentences(corpus: DataFrame, order: int = NGRAM_ORDER) -> DataFrame:
+    """(lid_label, own, ahead): the documents of a label as one sentence, in document order.
+
+    ``own`` is a document's part of the sentence and ``ahead`` the ``order`` - 1 characters
+    that follow it, so that n-grams run over the ends of documents and no label
+    is gathered in one value.
+    """
+    parts = corpus.select("lid_label", "doc_id", squeeze("text").alias("own")).filter(F.length("own") > 0)
+    placed = stored(position(parts, ["lid_label"], "doc_id", "pos"), "sentences")
+    ends = placed.groupBy("lid_label").agg(F.max("pos").alias("last"))
+    marked = placed.join(ends, "lid_label").withColumn(
+        "own",
+        F.concat(
+            F.when(F.col("pos") == 1, F.lit(_BEGIN)).otherwise(""),
+            "own",
+            F.when(F.col("pos") == F.col("last"), F.lit(_END)).otherwise(""),
+        ),
+    )
+    # Each document lends its start to as many before it as can reach it.
+    lent = marked.select(
+        "lid_label",
+        F.explode(F.sequence(F.lit(1), F.lit(max(order - 1, 1)))).alias("step"),
+        "pos",
+        F.substring("own", 1, order).alias("start"),
+    ).select("lid_label", (F.col("pos") - F.col("step")).alias("pos"), F.struct("step", "start").alias("next"))
+    ahead = lent.groupBy("lid_label", "pos").agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list("next")), lambda x: x["start"]), "").alias("ahead")
+    )
+    found = marked.join(ahead, ["lid_label", "pos"], "left")
+    return found.select("lid_label", "own", F.substring(F.coalesce("ahead", F.lit("")), 1, order - 1).alias("ahead"))
+
+
+def ngram_counts(corpus: DataFrame, order: int = NGRAM_ORDER, sentence_is: str = "document") -> DataFrame:
     """(lid_label, n, gram, cnt) for n up to ``order``, sentence marks included.
 
-    Only the longest run at each place is exploded and counted; shorter n-grams
-    are the starts of longer ones and are summed from those counts, so the
-    text is walked once and not once per order.
+    A sentence is a document, or with ``sentence_is='label'`` all of a label. Only the
+    longest run at each place is exploded and counted; shorter n-grams are the
+    starts of longer ones and are summed from those counts, so the text is walked
+    once and not once per order.
     """
-    places = char_ngrams(sentence("text"), order, shorter_at_end=True)
+    if sentence_is == "label":
+        corpus = label_sentences(corpus, order)
+        places = F.slice(char_ngrams(F.concat("own", "ahead"), order, shorter_at_end=True), F.lit(1), F.length("own"))
+    else:
+        places = char_ngrams(sentence("text"), order, shorter_at_end=True)
     runs = corpus.select("lid_label", F.explode(places).alias("run")).groupBy("lid_label", "run").agg(F.count(F.lit(1)).alias("c"))
     starts = F.transform(F.sequence(F.lit(1), F.length("run")), lambda n: F.substring(F.col("run"), F.lit(1), n))
     return (
@@ -145,10 +187,13 @@ def kn_model(counts: DataFrame, order: int = NGRAM_ORDER) -> DataFrame:
     contexts = scored.groupBy("lid_label", "context").agg(
         F.sum("adj").alias("total"), (F.sum("discount") / F.sum("adj")).alias("gamma")
     )
-    direct = materialize(
+    direct = stored(
         scored.join(contexts, ["lid_label", "context"]).select(
             "lid_label", "n", "gram", "context", ((F.col("adj") - F.col("discount")) / F.col("total")).alias("own"), "gamma"
-        )
+        ),
+        "own-probabilities",
+        # Each order reads its own n-grams only.
+        partition_by=("n",),
     )
     first = direct.filter(F.col("n") == 1)
     sizes = first.groupBy("lid_label").agg((F.count(F.lit(1)) + 1).alias("v"), F.max("gamma").alias("free"))
@@ -167,7 +212,7 @@ def kn_model(counts: DataFrame, order: int = NGRAM_ORDER) -> DataFrame:
             .select("lid_label", "gram", (F.col("own") + F.col("gamma") * F.col("below")).alias("prob"))
         )
         # The next order and the result both read a level.
-        level = materialize(level) if n < order else level
+        level = stored(level, "level") if n < order else level
         levels.append(level)
     # The begin mark has no probability but leads contexts.
     marks = sizes.select("lid_label", F.lit(_BEGIN).alias("gram"), F.lit(None).cast("double").alias("prob"))
@@ -203,31 +248,35 @@ def score_documents(documents: DataFrame, model: DataFrame, order: int = NGRAM_O
         .groupBy("lid_label", "doc_id", "w")
         .agg(F.count(F.lit(1)).alias("c"))
     )
-    # Each window asks for its suffixes (as predictions) and for the suffixes of its context (as backoffs).
-    w, size = F.col("w"), F.length("w")
-    predictions = F.transform(
-        F.sequence(F.lit(1), size), lambda n: F.struct(F.substring(w, size - n + 1, n).alias("gram"), F.lit(True).alias("predicts"))
-    )
-    backoffs = F.transform(
-        F.sequence(F.lit(1), size - 1), lambda n: F.struct(F.substring(w, size - n, n).alias("gram"), F.lit(False).alias("predicts"))
-    )
-    asked = windows.select("lid_label", "w").distinct().select("lid_label", "w", F.inline(F.concat(predictions, backoffs)))
-    answers = asked.join(model.select("lid_label", "gram", "log10_prob", "log10_backoff"), ["lid_label", "gram"], "left")
-    known = F.when(F.col("predicts") & F.col("log10_prob").isNotNull(), F.length("gram"))
-    # At most order - 1 backoffs per window.
-    found = answers.groupBy("lid_label", "w").agg(
-        F.max_by("log10_prob", known).alias("p"),
-        F.coalesce(F.max(known), F.lit(1)).alias("known"),
-        F.collect_list(
-            F.when(~F.col("predicts") & F.col("log10_backoff").isNotNull(), F.struct(F.length("gram").alias("n"), "log10_backoff"))
-        ).alias("backs"),
-    )
-    # Backoffs apply for contexts at least as long as the longest known n-gram.
-    backoff = F.aggregate(
-        F.filter("backs", lambda b: b["n"] >= F.col("known")), F.lit(0.0), lambda acc, b: acc + b["log10_backoff"]
-    )
-    unknown = model.filter(F.col("gram") == _UNKNOWN).select("lid_label", F.col("log10_prob").alias("unk"))
-    scored = found.join(unknown, "lid_label").select("lid_label", "w", (F.coalesce("p", "unk") + backoff).alias("logp"))
+    # The longest n-gram is looked up first. What is not known pays its context's backoff and goes on one shorter.
+    table = model.select("lid_label", "n", "gram", "log10_prob", "log10_backoff")
+    unknown = table.filter(F.col("gram") == _UNKNOWN).select("lid_label", F.col("log10_prob").alias("unk"))
+    waiting = windows.select("lid_label", "w").distinct().select("lid_label", "w", F.col("w").alias("gram"), F.lit(0.0).alias("paid"))
+    known = []
+    for n in range(order, 0, -1):
+        own = table.filter((F.col("n") == n) & F.col("log10_prob").isNotNull()).select("lid_label", "gram", "log10_prob")
+        # Windows at the start of a sentence are shorter and wait for their turn.
+        asked = stored(waiting.join(own, ["lid_label", "gram"], "left"), "asked")
+        known.append(asked.filter("log10_prob is not null").select("lid_label", "w", (F.col("log10_prob") + F.col("paid")).alias("logp")))
+        missed = asked.filter("log10_prob is null").drop("log10_prob")
+        turn = F.length("gram") == n
+        if n == 1:
+            rest = missed.join(unknown, "lid_label").select("lid_label", "w", (F.col("unk") + F.col("paid")).alias("logp"))
+            known.append(rest)
+            break
+        backoffs = table.filter(F.col("n") == n - 1).select("lid_label", F.col("gram").alias("context"), "log10_backoff")
+        context = F.when(turn, _context())
+        waiting = (
+            missed.withColumn("context", context)
+            .join(backoffs, ["lid_label", "context"], "left")
+            .select(
+                "lid_label",
+                "w",
+                F.when(turn, _suffix()).otherwise(F.col("gram")).alias("gram"),
+                (F.col("paid") + F.coalesce("log10_backoff", F.lit(0.0))).alias("paid"),
+            )
+        )
+    scored = reduce(DataFrame.unionByName, known)
     return (
         windows.join(scored, ["lid_label", "w"])
         .groupBy("doc_id", "lid_label")

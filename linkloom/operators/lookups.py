@@ -6,7 +6,7 @@ whose measured size is below its threshold and shuffles otherwise.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from linkloom.constants import NO_DATA
 from linkloom.functions import labels as L
@@ -79,6 +79,15 @@ def support_flags(df: DataFrame, lists: dict[str, tuple[str, DataFrame]]) -> Dat
     return df
 
 
+def _two_parts() -> Column:
+    return F.coalesce(F.size(F.split("lid_label", "_")) == 2, F.lit(False))
+
+
+def odd_labels(labels: DataFrame) -> DataFrame:
+    """Labels that ``language_catalogue`` leaves out, as they are not of the form ``code_Script``."""
+    return labels.filter(~_two_parts())
+
+
 def language_catalogue(
     labels: DataFrame,
     names: DataFrame,
@@ -91,7 +100,7 @@ def language_catalogue(
     ``No data`` stands for a missing row only; a row without a number shows as
     ``NaN``, as in the source tables. Labels must be of the form ``code_Script``.
     """
-    coded = labels.filter(F.size(F.split("lid_label", "_")) == 2).withColumn("code", L.alpha3("lid_label"))
+    coded = labels.filter(_two_parts()).withColumn("code", L.alpha3("lid_label"))
     known = family_name(speakers(language_name(coded, names), linguameta), languoid)
     number = F.when(
         F.col("speakers_found"), F.coalesce(F.col("speakers").cast("string"), F.lit("NaN"))

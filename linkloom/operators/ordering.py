@@ -1,42 +1,49 @@
 """Running totals and positions inside groups of any size.
 
-A plain window over a group sorts the whole group in one task. Here the group
-is cut into buckets of the integer order column: a bucket covers ``width``
-consecutive values, so it holds at most ``width`` rows when order values are
-unique in the group. Buckets are summed first, the few bucket totals are run up,
-and each bucket is finished on its own.
+A plain window over a group sorts the whole group in one task. Here the rows are cut
+into ranges of (keys, order), which Spark sizes from a sample, so that sparse and hashed
+order values do no harm. Each range of a group is summed, the few range totals of a group
+are run up, and each range is finished on its own.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-BUCKET_WIDTH = 1 << 17
+from linkloom.session import stored
 
-_BUCKET, _OFFSET = "__bucket", "__offset"
+_RANGE, _OFFSET = "__range", "__offset"
 
 
-def running_total(
-    df: DataFrame, keys: list[str], order: str, value: Column, name: str, width: int = BUCKET_WIDTH
-) -> DataFrame:
-    """Add ``name``: sum of ``value`` over the group's rows up to and with this one."""
-    valued = df.withColumn(_BUCKET, F.floor(F.col(order) / F.lit(width))).withColumn(name, value)
-    totals = valued.groupBy(*keys, _BUCKET).agg(F.sum(name).alias("__total"))
-    before = Window.partitionBy(*keys).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+def running_total(df: DataFrame, keys: list[str], order: str, value: Column, name: str) -> DataFrame:
+    """Add ``name``: sum of ``value`` over the group's rows up to and with this one.
+
+    The rows are stored once, in ranges, as a sample gives other ranges on every
+    look; give it the columns that matter and join the rest.
+    """
+    ranged = df.withColumn(name, value).repartitionByRange(*keys, order).withColumn(_RANGE, F.spark_partition_id())
+    valued = stored(ranged, "ranges")
+    # A group has one row for each range at most.
+    totals = valued.groupBy(*keys, _RANGE).agg(F.sum(name).alias("__total"))
+    before = Window.partitionBy(*keys).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    group = [F.col(k).alias(f"__{k}") for k in keys]
     offsets = totals.select(
-        *keys, _BUCKET, F.coalesce(F.sum("__total").over(before), F.lit(0)).alias(_OFFSET)
+        *group, F.col(_RANGE).alias("__at"), F.coalesce(F.sum("__total").over(before), F.lit(0)).alias(_OFFSET)
     )
-    inside = Window.partitionBy(*keys, _BUCKET).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    same = F.col(_RANGE) == F.col("__at")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__{k}"))
+    inside = Window.partitionBy(*keys, _RANGE).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        valued.join(offsets, [*keys, _BUCKET])
+        valued.join(offsets, same)
         .withColumn(name, F.sum(name).over(inside) + F.col(_OFFSET))
-        .drop(_BUCKET, _OFFSET)
+        .select(*df.columns, name)
     )
 
 
-def position(df: DataFrame, keys: list[str], order: str, name: str = "pos", width: int = BUCKET_WIDTH) -> DataFrame:
+def position(df: DataFrame, keys: list[str], order: str, name: str = "pos") -> DataFrame:
     """Add ``name``: 1-based place of the row in its group by ``order``."""
-    return running_total(df, keys, order, F.lit(1).cast("bigint"), name, width)
+    return running_total(df, keys, order, F.lit(1).cast("bigint"), name)
 
 
 def with_line_numbers(lines: DataFrame, name: str = "line_no") -> DataFrame:

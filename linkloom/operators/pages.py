@@ -9,8 +9,10 @@ from linkloom.functions import urls
 from linkloom.functions.local import bind, work_out
 
 
-def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """Edges (src, href, dst) of the link graph; one row per distinct target as written."""
+TEXT_OF = {"main": H.main_text, "stripped": H.html_to_text}
+
+
+def _link_structs(url: str, html: str):
     base = F.col(url)
 
     def resolved(parts):
@@ -18,15 +20,26 @@ def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
             H.hrefs(html), lambda href: F.struct(href.alias("href"), urls.resolve_against(base, parts, href).alias("dst"))
         )
 
+    return bind(urls.split_base(base), resolved)
+
+
+def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """Edges (src, href, dst) of the link graph; one row per distinct target as written."""
     # Resolved before the explode: what a generator gives out is never worked out twice.
-    links = bind(urls.split_base(base), resolved)
-    return pages.select(base.alias("src"), F.inline(links)).select("src", "href", "dst")
+    links = pages.select(F.col(url).alias("src"), F.inline(_link_structs(url, html)))
+    return links.select("src", "href", "dst")
+
+
+def parse_pages(pages: DataFrame, url: str = "url", html: str = "html", source: str = "main") -> DataFrame:
+    """(link, text, links): text and link targets of each page in one pass over its source."""
+    links = F.array_distinct(F.transform(_link_structs(url, html), lambda link: link["dst"]))
+    return pages.select(F.col(url).alias("link"), TEXT_OF[source](html).alias("text"), links.alias("links"))
 
 
-def page_texts(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """(link, text): main text per page, worked out once; null where there is none."""
+def page_texts(pages: DataFrame, url: str = "url", html: str = "html", source: str = "main") -> DataFrame:
+    """(link, text) per page, worked out once: its main text, null where there is none, or all visible text."""
     sources = pages.select(F.col(url).alias("link"), F.col(html).alias("html"))
-    return work_out(sources, "text", H.main_text("html")).drop("html")
+    return work_out(sources, "text", TEXT_OF[source]("html")).drop("html")
 
 
 def page_metadata(pages: DataFrame, url: str = "url", html: str = "html", headers: str | None = None) -> DataFrame:
@@ -35,13 +48,13 @@ def page_metadata(pages: DataFrame, url: str = "url", html: str = "html", header
     return pages.select(url, H.page_metadata(html, column).alias("m")).select(url, "m.*")
 
 
-def scrape_links(links: DataFrame, pages: DataFrame, link: str = "link") -> DataFrame:
-    """Add the main text of each link's page; null for a link that was not fetched.
-
-    Pages are cut down to the wanted ones before their HTML is parsed, so
-    parsing grows with the links asked for and not with the page table.
-    """
+def wanted_pages(pages: DataFrame, links: DataFrame, link: str = "link") -> DataFrame:
+    """(url, html) of the pages that ``links`` names, so that parsing grows with the links asked for."""
     wanted = links.select(F.col(link).alias("url")).distinct()
-    sources = pages.select("url", "html").join(wanted, "url", "left_semi")
-    texts = page_texts(sources).withColumnRenamed("link", link)
+    return pages.select("url", "html").join(wanted, "url", "left_semi")
+
+
+def scrape_links(links: DataFrame, pages: DataFrame, link: str = "link", source: str = "main") -> DataFrame:
+    """Add the text of each link's page; null for a link that was not fetched."""
+    texts = page_texts(wanted_pages(pages, links, link), source=source).withColumnRenamed("link", link)
     return links.join(texts, link, "left")

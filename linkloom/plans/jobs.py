@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, functions as F
 from linkloom.constants import (
     BLOCKLIST,
     GROWTH_FACTOR,
-    LANGUAGE_MODEL_LABELS,
     MAX_PAGES,
     MAX_URL_LENGTH,
     MIN_CONFIDENCE,
@@ -23,7 +22,7 @@ from linkloom.constants import (
     SITE_INFO,
 )
 from linkloom.operators import filters, frontier, lid, lm, lookups, pages as page_ops, robots, sampling, sets, sites
-from linkloom.session import materialize
+from linkloom.session import stored
 from linkloom.sinks import files
 from linkloom.sources import seeds as seed_sources
 
@@ -33,14 +32,19 @@ def search_language_filter(
     pages: DataFrame,
     predictor: lid.Predictor,
     excluded: DataFrame | list[str],
-    blocklist: list[str] = list(BLOCKLIST),
+    blocklist: list[str] | DataFrame = list(BLOCKLIST),
     path: str | None = None,
+    label: str = "predicted_lid",
     **options,
 ) -> DataFrame:
-    """Search results whose page is in a language off the excluded list, filed by language."""
+    """Search results whose page is in a language off the excluded list, filed by language.
+
+    ``label='iso_code'`` files them by the query's language. ``source='stripped'``
+    judges all visible text of a page, and ``drop_empty`` leaves out pages with none.
+    """
     kept = lid.language_filter(filters.blocklist_filter(results, blocklist), pages, predictor, excluded, **options)
     if path:
-        files.append_by_label(kept, path)
+        files.append_by_label(kept, path, label)
     return kept
 
 
@@ -58,13 +62,14 @@ def expand_seeds(
     pages: DataFrame,
     predictor: lid.Predictor,
     minimum: float = MIN_CONFIDENCE,
-    blocklist: list[str] = list(BLOCKLIST),
+    blocklist: list[str] | DataFrame = list(BLOCKLIST),
     max_pages: int = MAX_PAGES,
     growth_factor: float | None = GROWTH_FACTOR,
     max_url_length: int = MAX_URL_LENGTH,
     required: tuple[str, ...] = SEED_KEYS,
     save_text: bool = True,
     path: str | None = None,
+    source: str = "main",
     **options,
 ) -> Expansion:
     """Seeds of all labels, crawled over the page table and judged by language.
@@ -74,12 +79,13 @@ def expand_seeds(
     """
     valid = seed_sources.valid_seeds(entries, required)
     allowed = filters.blocklist_filter(valid, blocklist)
-    seeds = materialize(filters.seed_gate(allowed, minimum).select("lid_label", F.col("link").alias("url")))
-    # Each page of the seeds' sites is parsed once, whatever the number of levels and labels.
-    edges = materialize(page_ops.page_links(frontier.site_pages(pages, seeds)).select("src", "dst"))
+    seeds = stored(filters.seed_gate(allowed, minimum).select("lid_label", F.col("link").alias("url")), "seeds")
+    # Each page of the seeds' sites is parsed once, for its links and its text, whatever the number of levels and labels.
+    parsed = stored(page_ops.parse_pages(frontier.site_pages(pages, seeds), source=source), "parsed")
+    edges = parsed.select(F.col("link").alias("src"), F.explode("links").alias("dst"))
     crawl = frontier.crawl(seeds, edges, ["lid_label"], max_pages, growth_factor, max_url_length)
-    links = materialize(crawl.all_links.withColumnRenamed("url", "link"))
-    crawled = materialize(lid.filter_links(links, pages, predictor, minimum, save_text, **options))
+    links = stored(crawl.all_links.withColumnRenamed("url", "link"), "links")
+    crawled = stored(lid.filter_links(links, parsed.select("link", "text"), predictor, minimum, save_text, **options), "crawled")
     metadata = sets.crawl_metadata(
         seeds,
         links.withColumnRenamed("link", "url"),
@@ -91,12 +97,16 @@ def expand_seeds(
     return Expansion(crawl.visits, crawled, metadata)
 
 
-def final_filter(crawled: DataFrame, metadata: DataFrame, blocklist: list[str] = list(BLOCKLIST)) -> tuple[DataFrame, DataFrame]:
+def final_filter(
+    crawled: DataFrame, metadata: DataFrame, blocklist: list[str] | DataFrame = list(BLOCKLIST), path: str | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Blocklist once more on results and metadata, then the seeds that stay active."""
-    return (
-        filters.blocklist_filter(crawled, blocklist),
-        sets.add_active_seeds(filters.filter_metadata(metadata, blocklist)),
-    )
+    kept = filters.blocklist_filter(crawled, blocklist)
+    lists = sets.add_active_seeds(filters.filter_metadata(metadata, blocklist))
+    if path:
+        files.overwrite_by_label(kept, f"{path}/crawled")
+        files.write_metadata(lists, f"{path}/meta_data")
+    return kept, lists
 
 
 @dataclass
@@ -116,28 +126,48 @@ class Catalogue:
         )
 
 
-def format_catalogue(crawled: DataFrame, names: DataFrame, linguameta: DataFrame, languoid: DataFrame, lists: dict) -> Catalogue:
-    """Catalogue of crawled links (lid_label, ord, link) with language metadata."""
+def _filed(catalogue: Catalogue, path: str | None) -> Catalogue:
+    if path:
+        files.write_catalogue(catalogue.languages, catalogue.site_links, path)
+    return catalogue
+
+
+def format_catalogue(
+    crawled: DataFrame,
+    names: DataFrame,
+    linguameta: DataFrame,
+    languoid: DataFrame,
+    lists: dict,
+    path: str | None = None,
+) -> Catalogue:
+    """Catalogue of crawled links (lid_label, ord, link) with language metadata.
+
+    Labels that are not of the form ``code_Script`` have no entry: ``lookups.odd_labels`` names them.
+    """
     labels = crawled.select("lid_label").distinct()
     languages = lookups.language_catalogue(labels, names, linguameta, languoid, lists)
-    return Catalogue(languages, sites.group_by_site(crawled))
+    return _filed(Catalogue(languages, sites.group_by_site(crawled)), path)
 
 
-def comply_with_robots(catalogue: Catalogue, robots_texts: DataFrame, agent: str = ROBOTS_AGENT) -> Catalogue:
-    return Catalogue(catalogue.languages, robots.robots_filter(catalogue.site_links, robots_texts, agent))
+def comply_with_robots(
+    catalogue: Catalogue, robots_texts: DataFrame, agent: str = ROBOTS_AGENT, path: str | None = None
+) -> Catalogue:
+    kept = robots.robots_filter(catalogue.site_links, robots_texts, agent)
+    return _filed(Catalogue(catalogue.languages, kept), path)
 
 
-def merge_protocols(catalogue: Catalogue) -> Catalogue:
-    return Catalogue(catalogue.languages, sites.merge_sites(catalogue.site_links))
+def merge_protocols(catalogue: Catalogue, path: str | None = None) -> Catalogue:
+    return _filed(Catalogue(catalogue.languages, sites.merge_sites(catalogue.site_links)), path)
 
 
-def dedup_catalogue(catalogue: Catalogue, strip: bool = True) -> Catalogue:
-    return Catalogue(catalogue.languages, sites.dedup_fragments(catalogue.site_links, strip).select(*sites.SITE_COLUMNS))
+def dedup_catalogue(catalogue: Catalogue, strip: bool = True, path: str | None = None) -> Catalogue:
+    kept = sites.dedup_fragments(catalogue.site_links, strip).select(*sites.SITE_COLUMNS)
+    return _filed(Catalogue(catalogue.languages, kept), path)
 
 
-def clean_catalogue(catalogue: Catalogue, robots_texts: DataFrame, strip: bool = True) -> Catalogue:
+def clean_catalogue(catalogue: Catalogue, robots_texts: DataFrame, strip: bool = True, path: str | None = None) -> Catalogue:
     """Robots gate, protocol merge and fragment dedup in one chain."""
-    return dedup_catalogue(merge_protocols(comply_with_robots(catalogue, robots_texts)), strip)
+    return dedup_catalogue(merge_protocols(comply_with_robots(catalogue, robots_texts)), strip, path)
 
 
 def report(languages: DataFrame, metadata: DataFrame, flags: list[str], texts: DataFrame | None = None, path: str | None = None) -> DataFrame:
@@ -178,15 +208,22 @@ def sample_seeds(corpus: DataFrame, entries: DataFrame, n: int = 2, path: str |
 
 def build_language_models(
     documents: DataFrame,
-    labels: list[str] | None = list(LANGUAGE_MODEL_LABELS),
+    labels: list[str] | None = None,
     order: int = NGRAM_ORDER,
     path: str | None = None,
+    sentence_is: str = "document",
+    tokenizer=None,
 ) -> DataFrame:
-    """Corpora cut to equal length, counted by character and smoothed; one model per label."""
+    """Corpora cut to equal length, counted by character and smoothed; one model per label.
+
+    ``labels`` limits the work to some labels. A ``tokenizer`` (column to column) is applied to the
+    texts first; blanks never count, so ``char_tokenize`` changes nothing.
+    """
     corpus = lm.truncate_to_shortest(lm.label_corpus(documents, labels))
-    counts = materialize(lm.ngram_counts(corpus, order))
-    model = lm.kn_model(counts, order)
+    if tokenizer is not None:
+        corpus = lm.tokenize_corpus(corpus, tokenizer)
+    counts = stored(lm.ngram_counts(corpus, order, sentence_is), "counts", ("n",))
+    model = stored(lm.kn_model(counts, order), "model", ("n",))
     if path:
-        model = materialize(model)
         files.write_sorted_text(lm.arpa_lines(model, order), path, ["section", "part"])
     return model

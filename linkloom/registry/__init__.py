@@ -4,7 +4,7 @@
 SQL over the same tables with the same column names.
 """
 
-from linkloom.registry import catalogue, crawling, language, modelling, screening, urls_pages  # noqa: F401
+from linkloom.registry import catalogue, crawling, language, modelling, roundtrips, screening, urls_pages  # noqa: F401
 from linkloom.registry.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

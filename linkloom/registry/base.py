@@ -33,7 +33,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def page_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages for HTML parsing, on all cores."""
     return spread(table(spark, sf_dir, "pages"))
 
 

@@ -288,10 +288,14 @@ def robots_filter(spark, sf_dir):
 )
 def clean_catalogue(spark, sf_dir):
     cleaned = jobs.clean_catalogue(_catalogue(spark, sf_dir), _robots(spark, sf_dir))
-    per_site = cleaned.site_links.groupBy("lid_label", "site_name", "site_url").agg(
+    return per_site(cleaned.site_links, cleaned.languages)
+
+
+def per_site(site_links, languages):
+    grouped = site_links.groupBy("lid_label", "site_name", "site_url").agg(
         F.count(F.lit(1)).alias("n_links"), F.min("link").alias("first_link")
     )
-    return per_site.join(cleaned.languages.select("lid_label", "language_name", "family"), "lid_label").select(
+    return grouped.join(languages.select("lid_label", "language_name", "family"), "lid_label").select(
         "lid_label", "language_name", "family", "site_name", "site_url", "n_links", "first_link"
     )
 

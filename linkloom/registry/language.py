@@ -2,40 +2,43 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from linkloom.functions.text import drop_newlines
 from linkloom.operators import filters, lid, pages as page_ops, sets
 from linkloom.plans import jobs
 from linkloom.registry.base import SQL_LINKS, SQL_SEEDS, SQL_TEXTS, link_table, query, seed_table, sql_netloc, page_table, table, text_table
-from linkloom.registry.screening import BLOCKED, EXCLUDED, SQL_BLOCKLIST
-from linkloom.registry.urls_pages import SQL_EDGES, SQL_HREFS, SQL_PAGE_TEXTS
-from linkloom.session import ensure_checkpoint_dir, materialize
+from linkloom.registry.screening import BLOCKED, EXCLUDED, SQL_BLOCKLIST, UNUSED
+from linkloom.registry.urls_pages import SQL_ALL_TEXT, SQL_EDGES, SQL_HREFS, SQL_PAGE_TEXTS
+from linkloom.session import shared_path, stored
 from linkloom.streaming import ingest
 
 _NO_BREAKS = "replace({}, chr(10), '')"
 
 
-def sql_grams(source: str, key: str) -> str:
-    """Rows (key, gram) for each run of three characters of ``t`` in ``source``."""
-    return f"""SELECT {key}, l[i] || l[i + 1] || l[i + 2] AS gram FROM (
-      SELECT {key}, l, unnest(range(1, len(l) - 1)) AS i FROM (SELECT {key}, string_split(t, '') AS l FROM {source} WHERE length(t) >= 3))"""
+def sql_grams(source: str, key: str, n: int = 3) -> str:
+    """Rows (key, gram) for each run of ``n`` characters of ``t`` in ``source``."""
+    gram = " || ".join(f"l[i + {k}]" for k in range(n))
+    return f"""SELECT {key}, {gram} AS gram FROM (
+      SELECT {key}, l, unnest(range(1, len(l) - {n - 2})) AS i FROM (SELECT {key}, string_split(t, '') AS l FROM {source} WHERE length(t) >= {n}))"""
 
 
-SQL_PROFILE = f"""{SQL_TEXTS}, flat AS (SELECT lid_label, {_NO_BREAKS.format('text')} AS t FROM texts),
-counts AS (SELECT lid_label, gram, count(*) AS cnt FROM ({sql_grams('flat', 'lid_label')}) GROUP BY ALL),
+def sql_profile(n: int = 3) -> str:
+    return f"""{SQL_TEXTS}, flat AS (SELECT lid_label, {_NO_BREAKS.format('text')} AS t FROM texts),
+counts AS (SELECT lid_label, gram, count(*) AS cnt FROM ({sql_grams('flat', 'lid_label', n)}) GROUP BY ALL),
 mass AS (SELECT lid_label, sum(cnt) + (SELECT count(DISTINCT gram) FROM counts) AS mass FROM counts GROUP BY lid_label),
 profile AS (SELECT lid_label, gram, cnt, ln((cnt + 1) / mass) AS log_prob, ln(1 / mass) AS unseen FROM counts JOIN mass USING (lid_label))"""
 
 
-def sql_predict(source: str, key: str) -> str:
+SQL_PROFILE = sql_profile()
+
+
+def sql_predict(source: str, key: str, n: int = 3) -> str:
     """CTEs that end in ``predicted`` (key, predicted_lid, lid_confidence) for ``source`` (key, t)."""
-    return f"""grams AS (SELECT {key}, gram, count(*) AS c FROM ({sql_grams(source, key)}) GROUP BY ALL),
+    return f"""grams AS (SELECT {key}, gram, count(*) AS c FROM ({sql_grams(source, key, n)}) GROUP BY ALL),
   bases AS (SELECT DISTINCT lid_label, unseen FROM profile),
   matched AS (SELECT {key}, lid_label, sum(c * (log_prob - unseen)) AS gain FROM grams JOIN profile USING (gram) GROUP BY ALL),
-  scores AS (SELECT s.{key}, b.lid_label, coalesce(gain, 0) + greatest(length(t) - 2, 0) * unseen AS score
+  scores AS (SELECT s.{key}, b.lid_label, coalesce(gain, 0) + greatest(length(t) - {n - 1}, 0) * unseen AS score
     FROM {source} s CROSS JOIN bases b LEFT JOIN matched m ON m.{key} = s.{key} AND m.lid_label = b.lid_label),
   best AS (SELECT {key}, max(score) AS top FROM scores GROUP BY {key}),
   predicted AS (SELECT {key}, first(lid_label ORDER BY score DESC, lid_label) AS predicted_lid, 1 / sum(exp(score - top)) AS lid_confidence
@@ -70,8 +73,42 @@ def lid_predict(spark, sf_dir):
 @query("lid_predict_join", f"WITH {SQL_PAGES_PREDICTED} SELECT link, predicted_lid, round(lid_confidence, 6) AS lid_confidence FROM predicted")
 def lid_predict_join(spark, sf_dir):
     texts = page_ops.page_texts(page_table(spark, sf_dir))
-    profile = materialize(lid.train_profile(text_table(spark, sf_dir)))
-    return _rounded(lid.predict_by_join(texts, profile, "link"))
+    read = texts.select("link", lid.readable("text").alias("text"))
+    return _rounded(lid.predict_by_join(read, lid.fit_profile(text_table(spark, sf_dir)), "link"))
+
+
+def sql_predicted(n: int) -> str:
+    return f"""WITH {sql_profile(n)}, {SQL_PAGE_TEXTS},
+  sources AS (SELECT link, {_NO_BREAKS.format('text')} AS t FROM page_texts WHERE text IS NOT NULL), {sql_predict('sources', 'link', n)}
+  SELECT link, predicted_lid, round(lid_confidence, 6) AS lid_confidence FROM predicted"""
+
+
+@query("lid_predict_2", sql_predicted(2))
+def lid_predict_2(spark, sf_dir):
+    texts = page_ops.page_texts(page_table(spark, sf_dir))
+    predictor = lid.profile_predictor(lid.fit_profile(text_table(spark, sf_dir), n=2))
+    return _rounded(lid.tag_language(texts, predictor).select("link", "predicted_lid", "lid_confidence"))
+
+
+@query("lid_predict_4", sql_predicted(4))
+def lid_predict_4(spark, sf_dir):
+    texts = page_ops.page_texts(page_table(spark, sf_dir))
+    predictor = lid.profile_predictor(lid.fit_profile(text_table(spark, sf_dir), n=4))
+    return _rounded(lid.tag_language(texts, predictor).select("link", "predicted_lid", "lid_confidence"))
+
+
+@query("lid_predict_join_2", sql_predicted(2))
+def lid_predict_join_2(spark, sf_dir):
+    texts = page_ops.page_texts(page_table(spark, sf_dir))
+    tagged = lid.tag_language(texts, lid.fit_profile(text_table(spark, sf_dir), n=2))
+    return _rounded(tagged.select("link", "predicted_lid", "lid_confidence"))
+
+
+@query("lid_predict_join_4", sql_predicted(4))
+def lid_predict_join_4(spark, sf_dir):
+    texts = page_ops.page_texts(page_table(spark, sf_dir))
+    tagged = lid.tag_language(texts, lid.fit_profile(text_table(spark, sf_dir), n=4))
+    return _rounded(tagged.select("link", "predicted_lid", "lid_confidence"))
 
 
 @query("lid_tally", f"WITH {SQL_PAGES_PREDICTED} SELECT predicted_lid, count(*) AS n FROM predicted GROUP BY 1")
@@ -97,16 +134,35 @@ def language_filter_job(spark, sf_dir):
     return _rounded(kept.select("lid_label", "ord", "link", "predicted_lid", "lid_confidence"))
 
 
+# Filed by the query's language and read back.
 @query(
     "lang_filter_by_query",
     f"""WITH {SQL_LINKS}, {SQL_BLOCKLIST}, {SQL_PAGES_PREDICTED}
-    SELECT l.lid_label AS iso_code, count(*) AS n FROM links l
-    JOIN predicted p ON p.link = l.link WHERE {_ALLOWED.format('l.link')} AND {_NOT_EXCLUDED} GROUP BY 1""",
+    SELECT l.lid_label AS iso_code, ord, l.link, predicted_lid FROM links l
+    JOIN predicted p ON p.link = l.link WHERE {_ALLOWED.format('l.link')} AND {_NOT_EXCLUDED}""",
 )
 def lang_filter_by_query(spark, sf_dir):
     results = link_table(spark, sf_dir).withColumnRenamed("lid_label", "iso_code")
-    kept = jobs.search_language_filter(results, page_table(spark, sf_dir), _predictor(spark, sf_dir), EXCLUDED, BLOCKED)
-    return lid.lid_tally(kept, "iso_code")
+    path = shared_path(spark, "by-query")
+    jobs.search_language_filter(results, page_table(spark, sf_dir), _predictor(spark, sf_dir), EXCLUDED, BLOCKED, path, "iso_code")
+    return spark.read.schema("ord bigint, link string, predicted_lid string, iso_code string").json(path)
+
+
+_ALL_TEXT = f"""{SQL_PROFILE}, sources AS (SELECT url AS link, {_NO_BREAKS.format(SQL_ALL_TEXT)} AS t FROM pages), {sql_predict('sources', 'link')}"""
+
+
+@query(
+    "lang_filter_all_text",
+    f"""WITH {SQL_LINKS}, {SQL_BLOCKLIST}, {_ALL_TEXT} SELECT l.lid_label, ord, l.link, predicted_lid FROM links l
+    JOIN predicted p ON p.link = l.link WHERE {_ALLOWED.format('l.link')} AND {_NOT_EXCLUDED}""",
+)
+def lang_filter_all_text(spark, sf_dir):
+    """All visible text instead of the main text; a blocklist beyond literals, as a table."""
+    entries = spark.createDataFrame([(e,) for e in [*BLOCKED, *UNUSED]], "entry string")
+    kept = jobs.search_language_filter(
+        link_table(spark, sf_dir), page_table(spark, sf_dir), _predictor(spark, sf_dir), EXCLUDED, entries, source="stripped", drop_empty=True
+    )
+    return kept.select("lid_label", "ord", "link", "predicted_lid")
 
 
 SQL_TURNS_PREDICTED = f"""{SQL_PROFILE}, turns AS (SELECT conv_id * 1000 + turn AS k, text FROM conversations),
@@ -118,11 +174,19 @@ def _turns(spark, sf_dir):
     return turns.select((F.col("conv_id") * 1000 + F.col("turn")).alias("k"), F.col("text").alias("snippet"))
 
 
-@query("snippet_lang_filter", f"WITH {SQL_TURNS_PREDICTED.format('text')} SELECT k, text AS snippet FROM turns JOIN predicted USING (k) WHERE {_NOT_EXCLUDED}")
+_SNIPPETS = f"WITH {SQL_TURNS_PREDICTED.format('text')} SELECT k, text AS snippet FROM turns JOIN predicted USING (k) WHERE {_NOT_EXCLUDED}"
+
+
+@query("snippet_lang_filter", _SNIPPETS)
 def snippet_lang_filter(spark, sf_dir):
     return lid.snippet_language_filter(_turns(spark, sf_dir), _predictor(spark, sf_dir), EXCLUDED)
 
 
+@query("snippet_lang_filter_join", _SNIPPETS)
+def snippet_lang_filter_join(spark, sf_dir):
+    return lid.snippet_language_filter(_turns(spark, sf_dir), lid.fit_profile(text_table(spark, sf_dir)), EXCLUDED)
+
+
 SQL_FILTERED = f"""starts AS (SELECT DISTINCT lid_label, link AS url FROM seeds WHERE predicted_lid IS NOT NULL AND lid_confidence > 0.7),
   found AS (SELECT lid_label, url FROM starts UNION SELECT s.lid_label, dst FROM starts s JOIN edges e ON e.src = s.url
     WHERE EXISTS (SELECT 1 FROM starts h WHERE h.lid_label = s.lid_label AND ends_with({sql_netloc('dst')}, {sql_netloc('h.url')}))),
@@ -168,15 +232,41 @@ def seed_expansion_job(spark, sf_dir):
     return _expansion(spark, sf_dir).metadata
 
 
-@query(
-    "incremental_ingest",
-    f"WITH {SQL_TURNS_PREDICTED.format(_NO_BREAKS.format('text'))} SELECT k, text AS snippet, predicted_lid FROM turns JOIN predicted USING (k) WHERE {_NOT_EXCLUDED}",
-)
-def incremental_ingest(spark, sf_dir):
-    folder = f"{ensure_checkpoint_dir(spark)}/ingest-{uuid.uuid4().hex}"
+def _ingested(spark, sf_dir, predictor):
+    folder = shared_path(spark, "ingest")
     rows = _turns(spark, sf_dir).withColumn("link", F.concat(F.lit("https://q.example.org/"), F.col("k").cast("string")))
     rows.write.json(f"{folder}/in")
     results = ingest.read_results(spark, f"{folder}/in", "k bigint, snippet string, link string")
-    tagged = ingest.tagged_results(results, _predictor(spark, sf_dir), EXCLUDED, ["blocked.example"])
-    ingest.ingest(tagged, f"{folder}/out", f"{folder}/state").awaitTermination()
-    return spark.read.schema("k bigint, snippet string, predicted_lid string").json(f"{folder}/out")
+    tag = lambda batch: ingest.tagged_results(batch, predictor, EXCLUDED, [*BLOCKED, *UNUSED])
+    ingest.ingest(results, tag, f"{folder}/out", f"{folder}/state").awaitTermination()
+    filed = spark.read.schema("k bigint, snippet string, predicted_lid string").json(f"{folder}/out")
+    return filed.select("k", "snippet", "predicted_lid")
+
+
+_INGESTED = f"WITH {SQL_TURNS_PREDICTED.format('text')} SELECT k, text AS snippet, predicted_lid FROM turns JOIN predicted USING (k) WHERE {_NOT_EXCLUDED}"
+
+
+@query("incremental_ingest", _INGESTED)
+def incremental_ingest(spark, sf_dir):
+    return _ingested(spark, sf_dir, _predictor(spark, sf_dir))
+
+
+@query("incremental_ingest_join", _INGESTED)
+def incremental_ingest_join(spark, sf_dir):
+    return _ingested(spark, sf_dir, lid.fit_profile(text_table(spark, sf_dir)))
+
+
+@query(
+    "incremental_ingest_pages",
+    f"""WITH {SQL_LINKS}, {SQL_BLOCKLIST}, {SQL_PAGES_PREDICTED} SELECT ord, l.link, predicted_lid FROM links l
+    JOIN predicted p ON p.link = l.link WHERE {_ALLOWED.format('l.link')} AND {_NOT_EXCLUDED}""",
+)
+def incremental_ingest_pages(spark, sf_dir):
+    """Results whose pages are at hand, judged by the page."""
+    folder, predictor, pages = shared_path(spark, "ingest"), _predictor(spark, sf_dir), page_table(spark, sf_dir)
+    link_table(spark, sf_dir).select("ord", "link").write.json(f"{folder}/in")
+    results = ingest.read_results(spark, f"{folder}/in", "ord bigint, link string")
+    tag = lambda batch: ingest.tagged_results(batch, predictor, EXCLUDED, BLOCKED, pages)
+    ingest.ingest(results, tag, f"{folder}/out", f"{folder}/state").awaitTermination()
+    filed = spark.read.schema("ord bigint, link string, predicted_lid string").json(f"{folder}/out")
+    return filed.select("ord", "link", "predicted_lid")

@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from linkloom.functions.text import WS
 from linkloom.operators import lm
-from linkloom.registry.base import SQL_TEXTS, query, text_table
-from linkloom.session import materialize
+from linkloom.registry.base import LABELS, SQL_TEXTS, query, sql_label, table, text_table
+from linkloom.session import stored
 
 ORDER = 5
 
@@ -59,7 +59,7 @@ SQL_ADJUSTED = f"""{SQL_COUNTS}, adjusted AS (
 
 @query("kn_adjusted_counts", f"WITH {SQL_ADJUSTED} SELECT * FROM adjusted")
 def kn_adjusted_counts(spark, sf_dir):
-    adjusted = lm.adjusted_counts(materialize(_counts(spark, sf_dir)), ORDER)
+    adjusted = lm.adjusted_counts(stored(_counts(spark, sf_dir), "counts", ("n",)), ORDER)
     return adjusted.select("lid_label", "n", lm.shown("gram").alias("ngram"), "adj")
 
 
@@ -75,7 +75,7 @@ SQL_DISCOUNTS = f"""{SQL_ADJUSTED}, told AS (SELECT * FROM adjusted WHERE ngram
 
 @query("kn_discounts", f"WITH {SQL_DISCOUNTS} SELECT lid_label, n, round(d1, 6) AS d1, round(d2, 6) AS d2, round(d3, 6) AS d3 FROM rates")
 def kn_discounts(spark, sf_dir):
-    found = lm.discounts(lm.adjusted_counts(materialize(_counts(spark, sf_dir)), ORDER))
+    found = lm.discounts(lm.adjusted_counts(stored(_counts(spark, sf_dir), "counts", ("n",)), ORDER))
     return found.select("lid_label", "n", *[F.round(d, 6).alias(d) for d in ("d1", "d2", "d3")])
 
 
@@ -104,7 +104,7 @@ SQL_MODEL = f"""{SQL_DISCOUNTS},
 
 
 def _model(spark, sf_dir):
-    return lm.kn_model(materialize(_counts(spark, sf_dir)), ORDER)
+    return lm.kn_model(stored(_counts(spark, sf_dir), "counts", ("n",)), ORDER)
 
 
 @query("kn_model", f"WITH {SQL_MODEL} SELECT lid_label, n, ngram, round(log10_prob, 5) AS log10_prob, round(log10_backoff, 5) AS log10_backoff FROM model")
@@ -113,16 +113,34 @@ def kn_model(spark, sf_dir):
     return _model(spark, sf_dir).select("lid_label", "n", lm.shown("gram").alias("ngram"), *rounded)
 
 
-# The documents made the model, so every window is known at full length.
+# Texts that the model has not seen: benchmark items under the label of their number, with unknown characters.
+_ASKED = f"""asked AS (SELECT item_id AS doc_id, {sql_label("['en', 'fr', 'de', 'es'][item_id % 4 + 1]")} AS lid_label, text || ' ωψ' AS text FROM benchmark),
+  said AS (SELECT lid_label, doc_id, list_concat(list_concat(['<s>'],
+      list_filter(string_split(regexp_replace(text, '{WS}+', '', 'g'), ''), lambda x: x <> '')), ['</s>']) AS s FROM asked),
+  spots AS (SELECT lid_label, doc_id, s, unnest(range(2, len(s) + 1)) AS i FROM said),
+  windows AS (SELECT lid_label, doc_id, list_slice(s, greatest(i - {ORDER - 1}, 1), i) AS w FROM spots),
+  looked AS (SELECT lid_label, w, count(*) AS c, doc_id FROM windows GROUP BY ALL),
+  forms AS (SELECT DISTINCT lid_label, w FROM looked),
+  known AS (SELECT f.lid_label, f.w, max(m.n) AS n FROM (SELECT lid_label, w, unnest(range(1, len(w) + 1)) AS k FROM forms) f
+    JOIN model m ON m.lid_label = f.lid_label AND m.ngram = array_to_string(list_slice(f.w, len(f.w) - f.k + 1, len(f.w)), ' ')
+    WHERE m.log10_prob IS NOT NULL GROUP BY ALL),
+  based AS (SELECT f.lid_label, f.w, coalesce(k.n, 1) AS n, m.log10_prob AS p FROM forms f LEFT JOIN known k ON k.lid_label = f.lid_label AND k.w = f.w
+    JOIN model m ON m.lid_label = f.lid_label AND m.ngram =
+      CASE WHEN k.n IS NULL THEN '<unk>' ELSE array_to_string(list_slice(f.w, len(f.w) - k.n + 1, len(f.w)), ' ') END),
+  paid AS (SELECT b.lid_label, b.w, sum(m.log10_backoff) AS back FROM (SELECT lid_label, w, n, unnest(range(n, len(w))) AS k FROM based) b
+    JOIN model m ON m.lid_label = b.lid_label AND m.ngram = array_to_string(list_slice(b.w, len(b.w) - b.k, len(b.w) - 1), ' ') GROUP BY ALL),
+  costs AS (SELECT b.lid_label, b.w, p + coalesce(back, 0) AS logp FROM based b LEFT JOIN paid USING (lid_label, w))"""
+
+
 @query(
     "lm_perplexity",
-    f"""WITH {SQL_MODEL}, asked AS (SELECT * FROM (SELECT lid_label, doc_id, i, least(i, {ORDER}) AS n,
-        concat_ws(' ', lag(t1, 4) OVER w, lag(t1, 3) OVER w, lag(t1, 2) OVER w, lag(t1, 1) OVER w, t1) AS ngram
-      FROM toks WINDOW w AS (PARTITION BY doc_id ORDER BY i)) WHERE i >= 2)
-    SELECT doc_id, a.lid_label, count(*) AS n_tokens, round(sum(log10_prob), 4) AS log10_prob,
-      round(pow(10, -sum(log10_prob) / count(*)), 4) AS perplexity
-    FROM asked a JOIN model m ON m.lid_label || '|' || m.ngram = a.lid_label || '|' || a.ngram GROUP BY ALL""",
+    f"""WITH {SQL_MODEL}, {_ASKED} SELECT doc_id, l.lid_label, CAST(sum(c) AS BIGINT) AS n_tokens, round(sum(c * logp), 4) AS log10_prob,
+      round(pow(10, -sum(c * logp) / sum(c)), 4) AS perplexity
+    FROM looked l JOIN costs USING (lid_label, w) GROUP BY ALL""",
 )
 def lm_perplexity(spark, sf_dir):
-    scored = lm.score_documents(text_table(spark, sf_dir), materialize(_model(spark, sf_dir)), ORDER)
+    items = table(spark, sf_dir, "benchmark")
+    iso = F.get(F.array(*[F.lit(v) for v in LABELS.values()]), F.col("item_id") % 4)
+    asked = items.select(F.col("item_id").alias("doc_id"), iso.alias("lid_label"), F.concat("text", F.lit(" ωψ")).alias("text"))
+    scored = lm.score_documents(asked, stored(_model(spark, sf_dir), "model", ("n",)), ORDER)
     return scored.select("doc_id", "lid_label", "n_tokens", F.round("log10_prob", 4).alias("log10_prob"), F.round("perplexity", 4).alias("perplexity"))

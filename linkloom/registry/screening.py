@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
-from linkloom.constants import BLOCKLIST, RESULTS_PER_QUERY
+from linkloom.constants import BLOCKLIST
 from linkloom.operators import filters, lookups, sampling
 from linkloom.registry.base import (
     LABELS,
@@ -25,12 +23,14 @@ from linkloom.registry.base import (
     table,
     text_table,
 )
-from linkloom.session import ensure_checkpoint_dir
+from linkloom.session import shared_path
 from linkloom.sinks import files
 from linkloom.sources import seeds as seed_sources
 
 # The default list, and entries that occur in the hosts and paths at hand.
 BLOCKED = [*BLOCKLIST, "cheap-pills", "spam-farm", "utm_", "/9"]
+# Entries that block nothing here and make a list too long for literals.
+UNUSED = [f"no-such-site-{i}.example" for i in range(501)]
 EXCLUDED = ["eng_Latn", "deu_Latn"]
 SQL_BLOCKLIST = sql_values("blocklist", "entry", [(e,) for e in BLOCKED])
 _NOT_BLOCKED = "NOT EXISTS (SELECT 1 FROM blocklist WHERE contains({}, entry))"
@@ -40,22 +40,37 @@ _NOT_BLOCKED = "NOT EXISTS (SELECT 1 FROM blocklist WHERE contains({}, entry))"
 @query(
     "seed_query_slice",
     f"""SELECT item_id AS line_no, {sql_label("['en', 'fr', 'de', 'es'][item_id % 4 + 1]")} AS iso_code, text AS query
-    FROM (SELECT item_id, regexp_replace(text, '[\\t\\n]', ' ', 'g') AS text FROM benchmark) WHERE item_id >= 5 AND item_id < 100000""",
+    FROM (SELECT item_id, regexp_replace(text, '[\\t\\n]', ' ', 'g') AS text FROM benchmark)
+      WHERE item_id >= 5 AND item_id < (SELECT max(item_id) - 5 FROM benchmark)""",
 )
 def seed_query_slice(spark, sf_dir):
+    end = table(spark, sf_dir, "benchmark").agg(F.max("item_id") - 5).first()[0]
+    return seed_sources.split_query_lines(_query_lines(spark, sf_dir), 5, end)
+
+
+def _query_lines(spark, sf_dir):
+    """(line_no, value): the benchmark items as tab-separated lines."""
     items = table(spark, sf_dir, "benchmark")
     iso = F.get(F.array(*[F.lit(v) for v in LABELS.values()]), F.col("item_id") % 4)
     flat = F.regexp_replace("text", r"[\t\n]", " ")
-    lines = items.select(F.col("item_id").alias("line_no"), F.concat(iso, F.lit("\t"), flat, F.lit("\n")).alias("value"))
-    return seed_sources.split_query_lines(lines, 5, 100000)
+    return items.select(F.col("item_id").alias("line_no"), F.concat(iso, F.lit("\t"), flat, F.lit("\n")).alias("value"))
 
 
-@query("search_dump_explode", f"WITH {SQL_RESULTS} SELECT iso_code, link, snippet FROM results")
+@query(
+    "search_dump_explode",
+    f"""WITH {SQL_RESULTS}, keyed AS (SELECT *, iso_code || CASE WHEN pos % 2 = 0 THEN '' ELSE 'x' END AS code FROM results)
+    SELECT code AS iso_code, line_no, row_number() OVER (PARTITION BY line_no, code ORDER BY pos) - 1 AS pos, link, snippet FROM keyed""",
+)
 def search_dump_explode(spark, sf_dir):
+    """A dump object for each query, with two keys and several results under each."""
     rows = result_table(spark, sf_dir)
-    # One dump object per result, as a dump of JSON lines would hold them.
-    dump = F.to_json(F.create_map("iso_code", F.array(F.struct("snippet", "link"))))
-    return seed_sources.explode_dump(rows.select(dump.alias("value"))).select("iso_code", "link", "snippet")
+    code = F.concat("iso_code", F.when(F.col("pos") % 2 == 0, "").otherwise("x"))
+    results = F.transform(F.sort_array(F.collect_list(F.struct("pos", "link", "snippet"))), lambda r: F.struct(r["link"].alias("link"), r["snippet"].alias("snippet"), F.lit("t").alias("title"), F.array(F.lit("e")).alias("engines")))
+    keyed = rows.groupBy("line_no", code.alias("code")).agg(results.alias("results"))
+    dumps = keyed.groupBy("line_no").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("code", "results")))).alias("value"))
+    found = seed_sources.explode_dump(dumps)
+    # The query's number is part of its links.
+    return found.select("iso_code", F.regexp_extract("link", "q([0-9]+)", 1).cast("bigint").alias("line_no"), "pos", "link", "snippet")
 
 
 @query(
@@ -83,10 +98,10 @@ def search_merge_append(spark, sf_dir):
 @query(
     "topk_results",
     f"""WITH {SQL_RESULTS} SELECT iso_code, line_no, pos, link FROM (
-      SELECT *, row_number() OVER (PARTITION BY iso_code, line_no ORDER BY pos) AS p FROM results) WHERE p <= {RESULTS_PER_QUERY}""",
+      SELECT *, row_number() OVER (PARTITION BY iso_code, line_no ORDER BY pos) AS p FROM results) WHERE p <= 3""",
 )
 def topk_results(spark, sf_dir):
-    return seed_sources.top_results(result_table(spark, sf_dir).select("iso_code", "line_no", "pos", "link"))
+    return seed_sources.top_results(result_table(spark, sf_dir).select("iso_code", "line_no", "pos", "link"), 3)
 
 
 @query(
@@ -180,7 +195,7 @@ def _corpus(spark, sf_dir):
     return docs.select(
         F.col("doc_id").alias("ord"),
         F.col("source").alias("glottocode"),
-        F.when(F.col("n_chars") > 150, F.col("text")).alias("transcription"),
+        F.when(F.col("doc_id") % 9 != 0, F.col("text")).alias("transcription"),
     )
 
 
@@ -198,7 +213,7 @@ def _entries(spark, sf_dir):
 SQL_CODED = """mapping AS (
   SELECT DISTINCT source AS glottocode, CASE WHEN source LIKE '%7' THEN NULL WHEN source LIKE '%3' THEN ''
     ELSE 'x' || substr(source, 4, 1) END AS iso_code FROM documents),
-corpus AS (SELECT doc_id AS ord, source AS glottocode, CASE WHEN n_chars > 150 THEN text END AS transcription FROM documents),
+corpus AS (SELECT doc_id AS ord, source AS glottocode, CASE WHEN doc_id % 9 <> 0 THEN text END AS transcription FROM documents),
 coded AS (SELECT c.*, m.iso_code FROM corpus c LEFT JOIN mapping m USING (glottocode))"""
 
 
@@ -267,12 +282,9 @@ def extract_codes(spark, sf_dir):
 # Sinks: written by label into the shared folder and read back.
 @query("sink_lid_partition", f"WITH {SQL_SEEDS} SELECT predicted_lid, ord, link FROM seeds")
 def sink_lid_partition(spark, sf_dir):
-    path = f"{ensure_checkpoint_dir(spark)}/by-label-{uuid.uuid4().hex}"
+    path = shared_path(spark, "by-label")
     rows = seed_table(spark, sf_dir).select("predicted_lid", "ord", "link")
     files.append_by_label(rows, path, fmt="parquet")
     return spark.read.schema("ord bigint, link string, predicted_lid string").parquet(path)
 
 
-@query("label_texts", f"WITH {SQL_TEXTS} SELECT lid_label, doc_id, text FROM texts")
-def label_texts(spark, sf_dir):
-    return text_table(spark, sf_dir)

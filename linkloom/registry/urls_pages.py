@@ -91,12 +91,17 @@ def resolve_links(spark, sf_dir):
     return rows.select("ord", "href", urls.resolve_link("link", "href").alias("resolved"))
 
 
-# Page sources in SQL.
-SQL_SHOWN = f"regexp_replace(html, '{H.HIDDEN_RE}', '', 'g')"
+# Page sources in SQL: a reading of its own, for the well-formed pages at hand.
+_HIDDEN = "(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->"
+_FRAME = "".join(f"|<{tag}[ >].*?</{tag}>" for tag in ("nav", "header", "footer", "aside", "form", "noscript"))
+_BLOCK = "(?i)</?(p|div|br|li|ul|ol|h[1-6]|tr|td|table|section|article|main|blockquote|pre|dd|dt)( [^>]*)?/?>"
+# The references that occur in the pages, the ampersand last.
+_REFERENCES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\u00a0"), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
+SQL_SHOWN = f"regexp_replace(html, '{_HIDDEN}', '', 'g')"
 
 
 def sql_unescape(text: str) -> str:
-    for name, char in H.ENTITIES:
+    for name, char in _REFERENCES:
         text = "replace({}, '{}', '{}')".format(text, name, char.replace("'", "''"))
     return text
 
@@ -107,7 +112,7 @@ def sql_strip_ws(text: str) -> str:
 
 SQL_HREFS = f"""hrefs AS (
   SELECT DISTINCT url AS src, {sql_unescape("regexp_extract(tag, '(?is)\\shref\\s*=\\s*\"([^\"]*)\"', 1)")} AS href
-  FROM (SELECT url, unnest(regexp_extract_all({SQL_SHOWN}, '{H.ANCHOR_RE}')) AS tag FROM pages))"""
+  FROM (SELECT url, unnest(regexp_extract_all({SQL_SHOWN}, '(?is)<a [^>]*>')) AS tag FROM pages))"""
 SQL_EDGES = f"edges AS (SELECT src, href, {sql_site('src')} || href AS dst FROM hrefs)"
 
 
@@ -116,26 +121,22 @@ def page_links(spark, sf_dir):
     return page_ops.page_links(page_table(spark, sf_dir))
 
 
-@query(
-    "html_to_text",
-    "SELECT page_id, {} AS text FROM pages".format(
-        sql_strip_ws(
-            "regexp_replace({}, '{}+', ' ', 'g')".format(
-                sql_unescape(f"regexp_replace({SQL_SHOWN}, '{H.TAG_RE}', ' ', 'g')"), T.WS
-            )
-        )
-    ),
+SQL_ALL_TEXT = sql_strip_ws(
+    "regexp_replace({}, '{}+', ' ', 'g')".format(sql_unescape(f"regexp_replace({SQL_SHOWN}, '<[^>]*>', ' ', 'g')"), T.WS)
 )
+
+
+@query("html_to_text", f"SELECT page_id, {SQL_ALL_TEXT} AS text FROM pages")
 def html_to_text(spark, sf_dir):
     return page_table(spark, sf_dir).select("page_id", H.html_to_text("html").alias("text"))
 
 
-SQL_PAGE_TEXTS = f"""kept AS (SELECT page_id, url, regexp_replace(html, '{H.BOILERPLATE_RE}', '', 'g') AS h FROM pages),
+SQL_PAGE_TEXTS = f"""kept AS (SELECT page_id, url, regexp_replace(html, '{_HIDDEN}{_FRAME}', '', 'g') AS h FROM pages),
 scoped AS (SELECT page_id, url, CASE
-    WHEN regexp_extract(h, '{H.ARTICLE_RE}', 1) <> '' THEN regexp_extract(h, '{H.ARTICLE_RE}', 1)
-    WHEN regexp_extract(h, '{H.BODY_RE}', 1) <> '' THEN regexp_extract(h, '{H.BODY_RE}', 1) ELSE h END AS h FROM kept),
+    WHEN contains(h, '<article') THEN regexp_extract(h, '(?s)<article[^>]*>(.*)</article>', 1)
+    ELSE regexp_extract(h, '(?s)<body[^>]*>(.*)</body>', 1) END AS h FROM kept),
 lined AS (SELECT page_id, url, regexp_replace(regexp_replace(regexp_replace(h, '{T.WS}+', ' ', 'g'),
-    '{H.BLOCK_RE}', chr(10), 'g'), '{H.TAG_RE}', '', 'g') AS t FROM scoped),
+    '{_BLOCK}', chr(10), 'g'), '<[^>]*>', '', 'g') AS t FROM scoped),
 page_texts AS (SELECT page_id, url AS link, nullif({sql_strip_ws(
     f"regexp_replace({sql_unescape('t')}, '{T.WS}*\n{T.WS}*', chr(10), 'g')")}, '') AS text FROM lined)"""
 
@@ -158,6 +159,73 @@ def page_metadata(spark, sf_dir):
     return page_ops.page_metadata(page_table(spark, sf_dir))
 
 
+# Pages made of the documents, with references, decoys and quoted marks; the twins know what went in.
+def _made_pages(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    text = F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    written = {"é": "&eacute;", "è": "&#232;", "ü": "&#xFC;", "ñ": "&ntilde", "ß": "&#XdF;", "ç": "&ccedil;", "á": "&#0225", ",": "&comma;"}
+    for char, reference in written.items():
+        text = F.replace(text, F.lit(char), F.lit(reference + (" " if reference[-1] != ";" else "")))
+    number = F.col("doc_id").cast("string")
+    parts = [
+        "<!DOCTYPE html><HTML data-x='a>b' lang='xx'><head><title>T &#8217;", number, "&rsquo; &hellip;</title>",
+        '<meta content="about &quot;', number, '&quot; > all" data-name="keywords" name=description>',
+        "<META NAME='Keywords' CONTENT='k1, &Eacute;", number, "'><script>var a = '<a href=\"/hidden\">';</script></head><body>",
+        '<a title="see href=bad > that" data-href="/no" href="/good/', number, '?x=1&#38;y=2&amp;z=&euro;">one</a>',
+        "<a href='q&#x2F;", number, "' title='a>b'>two</a><A\nHREF=/bare/", number, ">three</A><a name=\"href=x\">four</a>",
+        "<article class=\"a > b\"><p title='1 > 0'>", text, "</p><p>end &copy &#128512; &zzz; &#x80;</p></article></body></html>",
+    ]
+    html = F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    return docs.select("doc_id", F.concat(F.lit("http://h.example/d/"), number).alias("url"), html.alias("html"), "source")
+
+
+# References without ``;`` are written with a blank after them.
+_READ = sql_strip_ws(f"regexp_replace(regexp_replace(text, '([ñá])', '\\1 ', 'g'), '{T.WS}+', ' ', 'g')")
+
+
+@query(
+    "made_page_links",
+    """SELECT doc_id, dst FROM (SELECT doc_id, unnest([
+        'http://h.example/good/' || doc_id || '?x=1&y=2&z=€', 'http://h.example/d/q/' || doc_id, 'http://h.example/bare/' || doc_id]) AS dst
+      FROM documents)""",
+)
+def made_page_links(spark, sf_dir):
+    found = page_ops.page_links(_made_pages(spark, sf_dir))
+    return found.select(F.regexp_extract("src", "([0-9]+)$", 1).cast("bigint").alias("doc_id"), "dst")
+
+
+@query("made_main_text", f"SELECT doc_id, {_READ} || chr(10) || 'end © 😀 &zzz; €' AS text FROM documents")
+def made_main_text(spark, sf_dir):
+    return _made_pages(spark, sf_dir).select("doc_id", H.main_text("html").alias("text"))
+
+
+@query(
+    "made_html_to_text",
+    f"""SELECT doc_id, regexp_replace('T ’' || doc_id || '’ … one two three four ' || {_READ} || ' end © 😀 &zzz; €', ' +', ' ', 'g') AS text
+    FROM documents""",
+)
+def made_html_to_text(spark, sf_dir):
+    return _made_pages(spark, sf_dir).select("doc_id", H.html_to_text("html").alias("text"))
+
+
+@query(
+    "made_page_metadata",
+    """SELECT doc_id, 'xx' AS content_language, CASE WHEN source = 'src1' THEN 'h-' || source END AS content_language_header,
+      'T ’' || doc_id || '’ …' AS title, 'about "' || doc_id || '" > all' AS description, 'k1, É' || doc_id AS keywords FROM documents""",
+)
+def made_page_metadata(spark, sf_dir):
+    pages = _made_pages(spark, sf_dir).withColumn(
+        "headers", F.when(F.col("source") == "src1", F.create_map(F.lit("Content-Language"), F.concat(F.lit("h-"), F.col("source"))))
+    )
+    return pages.select("doc_id", H.page_metadata("html", F.col("headers")).alias("m")).select("doc_id", "m.*")
+
+
+@query("parse_pages", f"WITH {SQL_HREFS}, {SQL_EDGES}, {SQL_PAGE_TEXTS} SELECT src AS link, dst, text FROM edges JOIN page_texts ON src = link")
+def parse_pages(spark, sf_dir):
+    parsed = page_ops.parse_pages(page_table(spark, sf_dir).dropDuplicates(["url"]))
+    return parsed.select("link", F.explode("links").alias("dst"), "text")
+
+
 @query(
     "extract_label",
     f"""SELECT doc_id, form, CASE WHEN form = 'full' THEN {base.sql_label('lang')} END AS label

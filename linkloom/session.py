@@ -60,12 +60,18 @@ def row_count_within(df: DataFrame, bound: int) -> int | None:
     return n if n <= bound else None
 
 
+# No scan above this size is dealt out anew.
+SPREAD_BYTES = 256 << 20
+
+
 def spread(scan: DataFrame) -> DataFrame:
-    """Rows of a file scan over at least as many partitions as there are cores.
+    """Rows of a small scan of few files over all cores, for costly row-wise work.
 
-    For costly row-wise work on few or unsplittable files; a scan that already
-    has enough splits is left as it is, so large inputs are not shuffled. Only for
-    plain scans: counting partitions plans a scan but runs nothing.
+    Files of one row group cannot be split by the reader. Larger scans are left as
+    they are, so no more than ``SPREAD_BYTES`` are ever moved for this.
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+    size = scan._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if len(scan.inputFiles()) >= cores or int(str(size)) > SPREAD_BYTES:
+        return scan
+    return scan.repartition(cores)

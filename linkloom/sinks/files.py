@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, functions as F
 ROWS_PER_FILE = 1_000_000
 
 
-def _writer(df: DataFrame, mode: str, label: str):
+def _writer(df: DataFrame, mode: str, label: str, ordered: bool = False):
+    # Rows of a label meet in few tasks, and large labels are split, so that files are few and even.
+    df = df if ordered else df.hint("rebalance", label)
     # Overwriting replaces the labels at hand and leaves the other labels' files alone.
     return (
         df.write.mode(mode)
@@ -42,7 +44,7 @@ def write_sorted_text(df: DataFrame, path: str, order: list[str], label: str = "
     Range partitioning splits a long label over several tasks.
     """
     ordered = df.repartitionByRange(label, *order, line).sortWithinPartitions(label, *order, line)
-    _writer(ordered.select(label, line), "overwrite", label).text(path)
+    _writer(ordered.select(label, line), "overwrite", label, ordered=True).text(path)
 
 
 def write_report(report: DataFrame, path: str) -> None:
@@ -59,4 +61,4 @@ def write_catalogue(languages: DataFrame, site_links: DataFrame, path: str) -> N
     overwrite_by_label(languages, f"{path}/languages")
     keys = ["lid_label", "site_url", "ord", "link"]
     ordered = site_links.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    overwrite_by_label(ordered, f"{path}/site_links")
+    _writer(ordered, "overwrite", "lid_label", ordered=True).format("json").save(f"{path}/site_links")

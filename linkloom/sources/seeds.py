@@ -18,20 +18,31 @@ SEED = (
 )
 
 
-def split_query_lines(lines: DataFrame, start: int, end: int) -> DataFrame:
+def split_query_lines(lines: DataFrame, start: int, end: int | None = None) -> DataFrame:
     """(line_no, value) lines ``start`` to ``end - 1`` as (line_no, iso_code, query).
 
-    Lines that are not two tab-separated fields are left out.
+    Without an ``end`` all lines from ``start`` on. Lines that are not two tab-separated
+    fields are left out; ``rejected_query_lines`` gives them.
     """
     fields = F.split(strip("value"), "\t")
     return (
-        lines.filter((F.col("line_no") >= start) & (F.col("line_no") < end))
+        _sliced(lines, start, end)
         .filter(F.size(fields) == 2)
         .select("line_no", F.get(fields, F.lit(0)).alias("iso_code"), F.get(fields, F.lit(1)).alias("query"))
     )
 
 
-def read_seed_queries(spark: SparkSession, path: str, start: int, end: int) -> DataFrame:
+def _sliced(lines: DataFrame, start: int, end: int | None) -> DataFrame:
+    wanted = F.col("line_no") >= start
+    return lines.filter(wanted if end is None else wanted & (F.col("line_no") < end))
+
+
+def rejected_query_lines(lines: DataFrame, start: int, end: int | None = None) -> DataFrame:
+    """(line_no, value) of the lines in the slice that are not two fields."""
+    return _sliced(lines, start, end).filter(F.size(F.split(strip("value"), "\t")) != 2)
+
+
+def read_seed_queries(spark: SparkSession, path: str, start: int, end: int | None = None) -> DataFrame:
     return split_query_lines(with_line_numbers(spark.read.text(path)), start, end)
 
 
@@ -87,7 +98,7 @@ def valid_seeds(entries: DataFrame, required: Sequence[str] = SEED_KEYS, label:
 
 
 def read_seed_files(spark: SparkSession, path: str, required: Sequence[str] = SEED_KEYS, schema: str | None = None) -> DataFrame:
-    """Seed files, one JSON array per label, the file name being the label.
+    """Seed files, one JSON array per label; the label is the file's name, or its folder's (``lid_label=...``).
 
     A missing folder or a broken file gives no rows.
     """
@@ -97,9 +108,10 @@ def read_seed_files(spark: SparkSession, path: str, required: Sequence[str] = SE
     body = ", ".join(f for f in _fields(fields) if not f.startswith("lid_label "))
     keep_label = "lid_label" in required
     item = f"struct<{_as_struct(fields if keep_label else body)}>"
-    raw = spark.read.text(path, wholetext=True).withColumn(
-        "file_label", F.regexp_extract(F.input_file_name(), r"([^/]+?)(?:\.json)?$", 1)
-    )
+    name = F.input_file_name()
+    folder = F.url_decode(F.regexp_extract(name, "/lid_label=([^/]*)/", 1))
+    own = F.when(folder != "", folder).otherwise(F.regexp_extract(name, r"([^/]+?)(?:\.json)?$", 1))
+    raw = spark.read.text(path, wholetext=True).select("value", own.alias("file_label"))
     entries = raw.select("file_label", F.inline(F.from_json("value", f"array<{item}>")))
     checked = valid_seeds(entries, required, "file_label")
     if keep_label:

@@ -40,8 +40,12 @@ def test_split_blocklist_filters_in_steps(spark):
     a, b = list(BLOCKLIST[:40]), list(BLOCKLIST[40:])
     both = filters.blocklist_filter(df, a + b).collect()
     assert both == filters.blocklist_filter(filters.blocklist_filter(df, a), b).collect()
-    with pytest.raises(ValueError):
-        filters.blocklist_filter(df, [str(i) for i in range(1000)])
+    # A list beyond literals, and a table, give the same.
+    more = a + b + [f"none-such-{i}" for i in range(501)]
+    table = spark.createDataFrame([(e,) for e in more], "entry string")
+    for entries in (more, table):
+        assert {r.ord for r in filters.blocklist_filter(df, entries).collect()} == {r.ord for r in both}
+    assert filters.blocklist_filter(df, table.limit(0)).count() == df.count()
 
 
 def test_gates_at_the_threshold(spark):
@@ -110,12 +114,14 @@ def test_crawl_metadata_properties(spark):
     assert stats["l"].seed_urls_len == 3 and stats["l"].all_website_links_len == 3 and stats["m"].rejected_links_len == 1
 
 
-def test_running_total_over_buckets(spark):
+def test_running_total_over_ranges(spark):
     rnd = random.Random(1)
-    rows = [(rnd.choice("aab"), i, rnd.randint(0, 9)) for i in rnd.sample(range(5000), 400)]
-    df = spark.createDataFrame(rows, "k string, ord long, v long")
-    got = {(r.k, r.ord): (r.t, r.pos) for r in position(running_total(df, ["k"], "ord", F.col("v"), "t", 64), ["k"], "ord", "pos", 64).collect()}
-    for key in "ab":
+    # Sparse and dense order values, a hot key and a null one.
+    rows = [(rnd.choice(["a", "a", "b", None]), i, rnd.randint(0, 9)) for i in rnd.sample(range(-(10**15), 10**15), 300) + list(range(100))]
+    df = spark.createDataFrame(rows, "k string, ord long, v long").repartition(5)
+    got = {(r.k, r.ord): (r.t, r.pos) for r in position(running_total(df, ["k"], "ord", F.col("v"), "t"), ["k"], "ord", "pos").collect()}
+    assert len(got) == len(rows)
+    for key in ("a", "b", None):
         total = 0
         for place, (_, o, v) in enumerate(sorted(r for r in rows if r[0] == key), 1):
             total += v

@@ -67,3 +67,32 @@ def test_char_ngrams(spark):
 def test_labels(spark):
     df = spark.createDataFrame([("__label__bpy_Beng",), ("__label__zho",), ("x",)], "r string")
     assert [r.x for r in df.select(labels.extract_label("r").alias("x")).collect()] == ["bpy_Beng", None, None]
+
+
+REFERENCES = [
+    "It&#8217;s &eacute;t&#xe9; &amp;amp; &lt;b&gt; &nbsp;x", "&ampfoo &notit; &notin; &#0; &#x80; &#128; &#xD800; &#99999999999; &#1; &#; &#x;",
+    "& && &unknown; &copy2 &CounterClockwiseContourIntegral; &fjlig;", "a&b=1&copy=2", "", "&#38;lt;", "&#x1F600;", "&#127; &#xfffe;&#13;&#9;", "&#000065;",
+]
+
+
+def test_references_as_in_the_standard_library(spark):
+    import html as standard
+
+    df = spark.createDataFrame([(t,) for t in REFERENCES], "t string")
+    assert [r.u for r in df.select(html.unescape("t").alias("u")).collect()] == [standard.unescape(t) for t in REFERENCES]
+
+
+def test_quoted_marks_and_decoys(spark):
+    source = (
+        '<a title="see href=bad" href="good">x</a><a data-x="1>2" href="/q?x=1&#38;y=2">y</a><a href=bare>b</a><a name=t>n</a>'
+        "<A HREF='u'>c</A><p class=don't>z</p> 1 < 2"
+    )
+    df = spark.createDataFrame([(source,)], "h string")
+    assert df.select(html.hrefs("h").alias("x")).first().x == ["good", "/q?x=1&y=2", "bare", "u"]
+    assert df.select(html.html_to_text("h").alias("x")).first().x == "x y b n c z 1 < 2"
+
+
+def test_text_equals_the_parser_on_all_pages(spark):
+    stored = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    both = stored.select(html.html_to_text("html").alias("a"), html.html_to_text_exact("html").alias("b"))
+    assert both.filter("a <> b").count() == 0

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from linkloom.operators import lid, lm
 from linkloom.plans import jobs
-from linkloom.session import materialize
+from linkloom.session import stored
 
 TEXTS = [
     ("eng_Latn", 0, "the cat and the hat"), ("eng_Latn", 1, "then the dog\nran"), ("deu_Latn", 2, "der hund und die katze"),
@@ -20,28 +20,31 @@ def corpus(spark):
     return spark.createDataFrame(TEXTS, "lid_label string, doc_id long, text string")
 
 
-def brute_lid(texts, text):
+def brute_lid(texts, text, n=3, keep=False):
     counts = {}
     for label, _, t in texts:
         t = t.replace("\n", "")
-        counts.setdefault(label, Counter()).update(t[i : i + 3] for i in range(len(t) - 2))
+        counts.setdefault(label, Counter()).update(t[i : i + n] for i in range(len(t) - n + 1))
     v = len(set().union(*counts.values()))
-    t = text.replace("\n", "")
-    grams = [t[i : i + 3] for i in range(len(t) - 2)]
+    t = text if keep else text.replace("\n", "")
+    grams = [t[i : i + n] for i in range(len(t) - n + 1)]
     scores = {k: sum(math.log((c[g] + 1) / (sum(c.values()) + v)) for g in grams) for k, c in counts.items()}
     best = min(scores, key=lambda k: (-scores[k], k))
     return best, 1 / sum(math.exp(s - scores[best]) for s in scores.values())
 
 
-def test_both_predictors_equal_brute_force(spark, corpus):
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 6])
+@pytest.mark.parametrize("keep", [False, True])
+def test_both_predictors_equal_brute_force(spark, corpus, n, keep):
     asked = ["the dog", "die katze", "xyz", "zz", "", "der\nhund \U0001F600ß"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(asked)], "k int, text string")
-    profile = materialize(lid.train_profile(corpus))
-    by_arrow = lid.tag_language(df, lid.profile_predictor(profile))
-    for got in (by_arrow, lid.predict_by_join(df, profile, "k"), lid.tag_language(df.union(df), profile)):
+    profile = lid.fit_profile(corpus, n=n)
+    by_arrow = lid.tag_language(df, lid.profile_predictor(profile), keep_newlines=keep)
+    by_join = lid.tag_language(df.union(df), profile, keep_newlines=keep)
+    for got in (by_arrow, by_join):
         rows = {r.k: r for r in got.collect()}
         for i, t in enumerate(asked):
-            label, sure = brute_lid(TEXTS, t)
+            label, sure = brute_lid(TEXTS, t, n, keep)
             assert rows[i].predicted_lid == label and abs(rows[i].lid_confidence - sure) < 1e-9
 
 
@@ -55,8 +58,43 @@ def test_model_beyond_the_bound_is_joined(spark, corpus, monkeypatch):
 
 
 def test_missing_text_is_not_tagged(spark, corpus):
-    df = spark.createDataFrame([(None,), ("the",)], "text string")
-    assert lid.tag_language(df, lid.fit_predictor(corpus)).count() == 1
+    df = spark.createDataFrame([(None,), ("the",), ("",)], "text string")
+    assert lid.tag_language(df, lid.fit_predictor(corpus)).count() == 2
+    assert lid.tag_language(df, lid.fit_predictor(corpus), drop_empty=True).count() == 1
+
+
+def test_batches_are_scored_in_parts(corpus, monkeypatch):
+    model = lid.load_model(lid.fit_profile(corpus))
+    texts = ["the dog and the cat", "", "der hund", "x" * 50, "das haus \U0001F600ß" * 9]
+    whole = model.score(texts)
+    monkeypatch.setattr(lid, "SCORED_CELLS", 5)
+    assert abs(model.score(texts) - whole).max() < 1e-9
+
+
+def test_pages_are_parsed_for_either_text(spark, corpus):
+    links = spark.createDataFrame([("eng_Latn", "http://a/")], "lid_label string, link string")
+    html = "<body><nav>the cat and the hat</nav><article>der hund und die katze</article></body>"
+    pages = spark.createDataFrame([("http://a/", html)], "url string, html string")
+    predictor = lid.fit_predictor(corpus)
+    found = [lid.language_filter(links, pages, predictor, [], save_text=True, source=s).first().text for s in ("main", "stripped")]
+    assert found == ["der hund und die katze", "the cat and the hat der hund und die katze"]
+
+
+def test_cut_beyond_any_text(spark):
+    df = spark.createDataFrame([("abc", 2**40), ("abc", 2)], "text string, room long")
+    assert [r.t for r in df.select(lm.cut_to("text", F.col("room")).alias("t")).collect()] == ["abc", "ab"]
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 5])
+def test_label_as_one_sentence(spark, order):
+    texts = [("a", 1, "ab c"), ("a", 2, " "), ("a", 5, "d"), ("a", 900, "e"), ("a", 901, "fghijk"), ("b", 3, "xy"), ("c", 4, "")]
+    df = spark.createDataFrame(texts, "lid_label string, doc_id long, text string")
+    joined = {}
+    for label, _, text in texts:
+        joined[label] = joined.get(label, "") + text
+    want = brute_counts([(k, 0, t) for k, t in joined.items() if t.strip()], order)
+    rows = lm.ngram_counts(df, order, sentence_is="label").select("lid_label", "n", lm.shown("gram").alias("g"), "cnt").collect()
+    assert {(r.lid_label, r.n, r.g): r.cnt for r in rows} == want
 
 
 def test_raw_labels_and_tag_stripped_text(spark):
@@ -96,7 +134,7 @@ def test_counts_equal_brute_force(spark, corpus):
 
 @pytest.fixture(scope="module")
 def model(corpus):
-    return materialize(lm.kn_model(materialize(lm.ngram_counts(corpus, 3)), 3))
+    return stored(lm.kn_model(stored(lm.ngram_counts(corpus, 3)), 3))
 
 
 def _probability(table, label, history, token, order):
@@ -127,7 +165,7 @@ def test_probabilities_sum_to_one(model):
 def test_unigrams_by_hand(spark):
     # "aab": adjusted counts are distinct left neighbours, a: {<s>, a}, b: {a}, </s>: {b}.
     df = spark.createDataFrame([("l", 0, "aab")], "lid_label string, doc_id long, text string")
-    table = _table(lm.kn_model(materialize(lm.ngram_counts(df, 2)), 2))
+    table = _table(lm.kn_model(stored(lm.ngram_counts(df, 2)), 2))
     # No n-gram of order 1 has an adjusted count of 3, so the discounts fall back to 0.5, 1, 1.5.
     free = (1.0 + 0.5 + 0.5) / 4
     assert abs(10 ** table["l", "a"][0] - ((2 - 1.0) / 4 + free / 4)) < 1e-12

@@ -132,10 +132,10 @@ def test_stream_files_each_record_once(spark, tmp_path):
     for expected, extra in ((1, None), (2, {"iso_code": "abk", "snippet": "own 2", "link": "http://b/"})):
         if extra:
             (tmp_path / "in" / "2.json").write_text(json.dumps(extra))
-        tagged = ingest.tagged_results(ingest.read_results(spark, str(tmp_path / "in")), _fake(), ["eng_Latn"])
-        ingest.ingest(tagged, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+        tag = lambda batch: ingest.tagged_results(batch, _fake(), ["eng_Latn"])
+        ingest.ingest(ingest.read_results(spark, str(tmp_path / "in")), tag, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
         assert spark.read.schema("link string").json(str(tmp_path / "out")).count() == expected
     (tmp_path / "in" / "3.json").write_text(json.dumps({"iso_code": "abk", "snippet": "s", "link": "http://p/"}))
-    tagged = ingest.tagged_results(ingest.read_results(spark, str(tmp_path / "in")), _fake(), ["eng_Latn"], pages=pages)
-    ingest.ingest(tagged, str(tmp_path / "out2"), str(tmp_path / "state2")).awaitTermination()
+    tag = lambda batch: ingest.tagged_results(batch, _fake(), ["eng_Latn"], pages=pages)
+    ingest.ingest(ingest.read_results(spark, str(tmp_path / "in")), tag, str(tmp_path / "out2"), str(tmp_path / "state2")).awaitTermination()
     assert spark.read.schema("link string").json(str(tmp_path / "out2")).first().link == "http://p/"
