@@ -18,7 +18,13 @@ PATH_RE = rf"^(?:{SCHEME}:)?(?://[^/?#]*)?([^?#]*)"
 QUERY_RE = r"^[^?#]*\?([^#]*)"
 FRAGMENT_RE = r"(?s)^[^#]*#(.*)$"
 
-_HIERARCHICAL = ("http", "https", "ftp", "file")
+# Schemes whose URLs have a host, resolve relative links and have path parameters.
+WITH_HOST = (
+    "ftp http gopher nntp telnet imap wais file mms https shttp snews prospero rtsp rtsps rtspu rsync svn svn+ssh sftp"
+    " nfs git git+ssh ws wss itms-services"
+).split()
+RELATIVE = ["", *"ftp http gopher nntp imap wais file https shttp mms prospero rtsp rtsps rtspu sftp svn svn+ssh ws wss".split()]
+WITH_PARAMS = ["", *"ftp hdl prospero http imap https shttp rtsp rtsps rtspu sip sips mms sftp tel".split()]
 
 
 def _c(col: Column | str) -> Column:
@@ -44,7 +50,16 @@ def full_path(url: Column | str) -> Column:
 
 
 def path(url: Column | str) -> Column:
-    return F.regexp_replace(full_path(url), r";[^/]*$", "")
+    return _without_params(full_path(url), scheme(url))
+
+
+def _without_params(whole: Column, sch: Column) -> Column:
+    """Path before the first ``;`` of its last segment, where the scheme has parameters."""
+    return F.when(sch.isin(WITH_PARAMS), F.regexp_replace(whole, r";[^/]*$", "")).otherwise(whole)
+
+
+def _params(whole: Column, sch: Column) -> Column:
+    return F.when(sch.isin(WITH_PARAMS), F.regexp_extract(whole, r";([^/]*)$", 1)).otherwise(F.lit(""))
 
 
 def query(url: Column | str) -> Column:
@@ -105,31 +120,46 @@ def link_norm(url: Column | str) -> Column:
     return F.concat(site_norm(url), _marked("?", query(url)), _marked("#", fragment(url)))
 
 
-def _assemble(sch: Column, host: Column, pth: Column, qry: Column, frag: Column) -> Column:
-    def put(u: Column) -> Column:
-        path_, rooted = u["path"], (u["path"] == "") | u["path"].startswith("/")
+def _assemble(u: Column) -> Column:
+    """URL of the parts scheme, host, path, params, query and fragment."""
+
+    def put(whole: Column) -> Column:
+        rooted = (whole == "") | whole.startswith("/")
         body = (
-            F.when(u["host"] != "", F.concat(F.lit("//"), u["host"], F.when(rooted, F.lit("")).otherwise(F.lit("/")), path_))
-            .when(u["scheme"].isin(*_HIERARCHICAL) & rooted, F.concat(F.lit("//"), path_))
-            .otherwise(path_)
+            F.when(u["host"] != "", F.concat(F.lit("//"), u["host"], F.when(rooted, F.lit("")).otherwise(F.lit("/")), whole))
+            .when(whole.startswith("//") | (u["scheme"].isin(WITH_HOST) & rooted), F.concat(F.lit("//"), whole))
+            .otherwise(whole)
         )
         prefix = F.when(u["scheme"] != "", F.concat(u["scheme"], F.lit(":"))).otherwise(F.lit(""))
         return F.concat(prefix, body, _marked("?", u["query"]), _marked("#", u["fragment"]))
 
-    parts = F.struct(
-        sch.alias("scheme"), host.alias("host"), pth.alias("path"), qry.alias("query"), frag.alias("fragment")
-    )
-    return bind(parts, put)
+    return bind(F.concat(u["path"], _marked(";", u["params"])), put)
+
+
+def _parts(**parts: Column) -> Column:
+    return F.struct(*[value.alias(name) for name, value in parts.items()])
 
 
-def _tidy_path(url: Column | str) -> Column:
-    """Full path without an empty parameter mark at its end."""
-    return F.regexp_replace(full_path(url), r"(^|/)([^/;]*);$", "$1$2")
+def _split(url: Column, default: Column | None = None) -> Column:
+    """The parts of a URL; a scheme it lacks is ``default``."""
+
+    def parts(s: Column) -> Column:
+        sch = s["scheme"] if default is None else F.when(s["scheme"] != "", s["scheme"]).otherwise(default)
+        return _parts(
+            scheme=sch,
+            host=netloc(url),
+            path=_without_params(s["whole"], sch),
+            params=_params(s["whole"], sch),
+            query=query(url),
+            fragment=fragment(url),
+        )
+
+    return bind(_parts(scheme=scheme(url), whole=full_path(url)), parts)
 
 
 def strip_fragment(url: Column | str) -> Column:
     """URL without its fragment; an empty query mark goes, the scheme is lowered."""
-    return _assemble(scheme(url), netloc(url), _tidy_path(url), query(url), F.lit(""))
+    return bind(_split(_c(url)), lambda u: _assemble(u.withField("fragment", F.lit(""))))
 
 
 def _remove_dots(segments: Column) -> Column:
@@ -147,27 +177,17 @@ def _remove_dots(segments: Column) -> Column:
     return F.when(joined == "", F.lit("/")).otherwise(joined)
 
 
-def _split(url: Column) -> Column:
-    return F.struct(
-        scheme(url).alias("scheme"),
-        netloc(url).alias("host"),
-        _tidy_path(url).alias("path"),
-        query(url).alias("query"),
-        fragment(url).alias("fragment"),
-    )
-
-
 def _target_path(base_path: Column, path_: Column) -> Column:
     """Path of a link by the path of its base, dot segments removed."""
     # A relative path hangs below the folder of the base; inner empty parts vanish.
-    folder = F.regexp_replace(F.regexp_replace(base_path, r";[^/]*$", ""), "[^/]*$", "")
+    folder = F.when(base_path == "", F.lit("/")).otherwise(F.regexp_replace(base_path, "[^/]*$", ""))
 
     def relative(merged: Column) -> Column:
         inner = F.filter(F.slice(merged, F.lit(2), F.greatest(F.size(merged) - 2, F.lit(0))), lambda s: s != "")
         return F.when(
             F.size(merged) > 1,
             F.concat(F.slice(merged, F.lit(1), F.lit(1)), inner, F.slice(merged, F.lit(-1), F.lit(1))),
-        ).otherwise(F.concat(F.array(F.lit("")), merged))
+        ).otherwise(merged)
 
     # Only rooted paths that hold a dot segment pay for the segment walk.
     plain = path_.startswith("/") & ~path_.contains("/.")
@@ -187,25 +207,23 @@ def resolve_against(base: Column, parts: Column, href: Column) -> Column:
     """``resolve_link`` for a base that was split before."""
 
     def resolve(h: Column) -> Column:
-        foreign = (h["scheme"] != "") & (h["scheme"] != parts["scheme"])
+        foreign = (h["scheme"] != parts["scheme"]) | ~h["scheme"].isin(RELATIVE)
+        own_host = (h["host"] != "") & h["scheme"].isin("", *WITH_HOST)
+        same = (h["path"] == "") & (h["params"] == "")
         inherited = F.when(h["query"] != "", h["query"]).otherwise(parts["query"])
-        same = h["path"] == ""
-        own_host = h["host"] != ""
+        target = _parts(
+            scheme=h["scheme"],
+            host=F.when(own_host, h["host"]).otherwise(parts["host"]),
+            path=F.when(own_host, h["path"]).when(same, parts["path"]).otherwise(_target_path(parts["path"], h["path"])),
+            params=F.when(~own_host & same, parts["params"]).otherwise(h["params"]),
+            query=F.when(own_host | ~same, h["query"]).otherwise(inherited),
+            fragment=h["fragment"],
+        )
         return (
-            F.when(clean(href) == "", base)
-            .when(foreign, href)
-            .otherwise(
-                _assemble(
-                    parts["scheme"],
-                    F.when(own_host, h["host"]).otherwise(parts["host"]),
-                    F.when(own_host, h["path"]).when(same, parts["path"]).otherwise(_target_path(parts["path"], h["path"])),
-                    F.when(own_host | ~same, h["query"]).otherwise(inherited),
-                    h["fragment"],
-                )
-            )
+            F.when(href == "", base).when(base == "", href).when(foreign, href).otherwise(bind(target, _assemble))
         )
 
-    return bind(_split(href), resolve)
+    return bind(_split(href, parts["scheme"]), resolve)
 
 
 def split_base(base: Column | str) -> Column:

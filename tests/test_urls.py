@@ -1,3 +1,4 @@
+import random
 from urllib.parse import urljoin, urlparse, urlunparse
 
 from linkloom.functions import urls
@@ -30,6 +31,26 @@ def test_resolve_follows_the_standard_library(spark):
         assert r.r == urljoin(r.b, r.h), (r.b, r.h)
 
 
+PIECES = [
+    "a", "b.c", "..", ".", "..;x", ";", "p", "/", "//", "?q", "?", "#f", "#", "http:", "https:", "mailto:", "x:", "ftp:", "@", "h.org:80", " ", "é",
+    "%20", "=", "&", "",
+]
+ODD_BASES = ["http://h/a/b;p/c?q#f", "https://x.y/z;p", "http://h", "mailto:a@b;", "ftp://f/a//b/", "file:/x/y;", "http:////a/b", "x:a/b;", "http://"]
+
+
+def test_random_urls_follow_the_standard_library(spark):
+    pick = random.Random(11)
+    made = lambda: "".join(pick.choice(PIECES) for _ in range(pick.randint(0, 7)))
+    rows = [(pick.choice(ODD_BASES) if pick.random() < 0.7 else "http://" + made(), made()) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "b string, h string")
+    for r in df.select("b", "h", urls.resolve_link("b", "h").alias("r"), urls.strip_fragment("h").alias("s"), urls.netloc("h").alias("n")).collect():
+        try:
+            parsed, joined = urlparse(r.h), urljoin(r.b, r.h)
+        except ValueError:
+            continue
+        assert (r.r, r.s, r.n) == (joined, urlunparse(parsed._replace(fragment="")), parsed.netloc), (r.b, r.h)
+
+
 def test_site_names(spark):
     cases = {"www.bbc.co.uk": "co", "m.example.com": "example", "www.en": "www", "news.site.org": "news", "WWW.Abc.d": "d", "abc": "abc"}
     df = spark.createDataFrame([(h,) for h in cases], "h string")
