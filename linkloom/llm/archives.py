@@ -3,8 +3,8 @@
 An ARC file opens with a version block whose second line says which header line its records have:
 version 1 has five fields, version 2 ten; a URL may hold spaces, so fields are counted from the right. The
 declared length, and nothing in the content, says where a record ends. From these the converter makes WARC
-records: identifiers from archive and place, ISO timestamps from 14 digits, types from scheme and content
-(``warcinfo`` for the version block, ``response`` for HTTP, ``resource`` for the rest), and SHA-1 digests of
+records: identifiers from archive and place, ISO timestamps from 14 digits, types from the content
+(``warcinfo`` for the version block, ``response`` for an HTTP message, ``resource`` for the rest), and SHA-1 digests of
 block and payload. Of HTTP records with equal payloads that with the greatest key stays a
 ``response``; the others become ``revisit`` records that keep their HTTP header and refer to it.
 
@@ -13,7 +13,7 @@ any store. An archive holds about ``ARCHIVE_BYTES``, or one longer record, and i
 memory. Which records are revisits is found on digests alone; an archive learns of its own revisits only.
 
 Defined cases: a null html is an empty payload; null, blank or unprintable URL characters are percent-encoded and
-a null URL is ``about:blank``; a null page id is left out of the record and sorts first; of records that
+a null or empty URL is ``about:blank``; a null page id is left out of the record and sorts first; of records that
 tie in key the last in order of archive and place is the response; a record cut short by the end of its file keeps what
 is there and is marked ``WARC-Truncated``; a date that is not one becomes the epoch; an empty table gives no
 archives and an empty result; further columns are not read.
@@ -113,7 +113,7 @@ def read_warc(data: bytes) -> Iterator[WarcRecord]:
 
 
 def is_http(record: ArcRecord) -> bool:
-    return record.block.startswith(b"HTTP/") and record.url.lower().startswith(("http:", "https:"))
+    return record.block.startswith(b"HTTP/")
 
 
 def payload_start(block: bytes) -> int:

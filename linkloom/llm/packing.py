@@ -26,10 +26,10 @@ import bisect
 import os
 import re
 from collections.abc import Iterator
-from itertools import filterfalse
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -38,18 +38,23 @@ from linkloom.session import shared_path
 CAPACITY = 2048
 END = 0
 # Words that a worker remembers; it starts anew beyond that.
-WORDS = 500_000
+WORDS = 2_000_000
+# Bytes of text looked up at a time; a text is cut at white space only.
+BLOCK = 1 << 18
+BLANKS = (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")
+# Longer words, in bytes, have keys of another kind.
+LONG = 200
+MIX = np.array([0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93], dtype=np.uint64)
 # How the vocabulary marks tokens that end a word.
 WORD_END = "</w>"
 # Small Latin letters, and ASCII marks without the apostrophe, which can belong to the letters after it.
 # Any other word fills the third group.
 LATIN = re.compile("(?:([a-zß-öø-ÿ]+)([!-&(-/:-@\\[-`{-~]*)|([^ ]+))(?: |$)")
-# Bytes of text encoded at a time: their words stay in a processor's cache.
-CHUNK = 1 << 18
+# Bytes of text whose pieces are sent on at a time.
+CHUNK = 1 << 21
 
-PIECES = (
-    "id {kind}, piece int, start long, length int, ids binary, part int, row long, place long"
-)
+# The id travels as text, as a null beside numbers would make them inexact on the way.
+PIECES = "id string, piece int, start long, length int, ids binary, part int, row long, place long"
 
 
 class Words:
@@ -60,6 +65,8 @@ class Words:
     alone or before ASCII marks, is for the tokenizer one run of letters and one of marks; many such runs
     are encoded at once, without the steps that leave them as they are (normal form, lower case, splitting),
     and each ends at a token with the vocabulary's end mark. All other words go through the whole tokenizer.
+
+    Words are known by a 64-bit hash, in arrays: all words of a block of text are hashed and looked up together.
     """
 
     def __init__(self, path: str):
@@ -73,55 +80,183 @@ class Words:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
-        # Token ids as they are written: 32 bits, little-endian.
-        self.ids: dict[bytes, bytes] = {}
-
-    def _add(self, words: list[bytes], flat: np.ndarray, ends: np.ndarray) -> None:
-        data, first = flat.astype("<u4").tobytes(), 0
-        for word, end in zip(words, (4 * ends).tolist()):
-            self.ids[word] = data[first:end]
-            first = end
-
-    def learn(self, words: list[bytes]) -> None:
-        ids = self.ids
-        letters, pairs, odd = {}, [], []
-        for word, (run, marks, _) in zip(words, LATIN.findall(b" ".join(words).decode().lower())):
+        self.blank = np.zeros(256, dtype=bool)
+        self.blank[[b[0] for b in BLANKS]] = True
+        base = 0x9E3779B97F4A7C15
+        self.power, self.back = (
+            np.concatenate([np.ones(1, dtype=np.uint64), np.cumprod(np.full(BLOCK, b, dtype=np.uint64))])
+            for b in (base, pow(base, -1, 1 << 64))
+        )
+        self.marks: dict[str, int] = {}
+        self.clear()
+
+    def clear(self) -> None:
+        self.marks.clear()
+        self.keys, self.places = np.zeros(1 << 16, dtype=np.uint64), np.zeros(1 << 16, dtype=np.int32)
+        self.count = self.filled = 0
+        self.starts, self.sizes = np.zeros(1 << 15, dtype=np.int64), np.zeros(1 << 15, dtype=np.int64)
+        self.own, self.flat = np.zeros(1 << 15, dtype=np.uint64), np.zeros(1 << 17, dtype="<u4")
+
+    def words_of(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start, end and key of each word; a word's key depends on its bytes alone."""
+        letters = np.frombuffer(data, dtype=np.uint8)
+        inside = np.zeros(len(letters) + 2, dtype=np.int8)
+        inside[1:-1] = ~self.blank[letters]
+        edge = np.diff(inside)
+        first, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        summed = np.zeros(len(letters) + 1, dtype=np.uint64)
+        np.cumsum((letters.astype(np.uint64) + np.uint64(1)) * self.power[: len(letters)], out=summed[1:])
+        key = (summed[end] - summed[first]) * self.back[first] + (end - first).astype(np.uint64) * MIX[2]
+        key = (key ^ (key >> np.uint64(32))) * MIX[0]
+        key = (key ^ (key >> np.uint64(29))) * MIX[1]
+        key ^= key >> np.uint64(32)
+        # Sums over long words are weak keys.
+        for i in np.flatnonzero(end - first > LONG):
+            key[i] = xxhash.xxh3_64_intdigest(data[first[i] : end[i]])
+        return first, end, np.maximum(key, np.uint64(1))
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Number of each known word, or -1: open addressing, all words a step at a time."""
+        mask = np.uint64(len(self.keys) - 1)
+        found, left, slot = np.full(len(keys), -1, dtype=np.int32), np.arange(len(keys)), keys & mask
+        while len(left):
+            there = self.keys[slot]
+            hit = there == keys
+            found[left[hit]] = self.places[slot[hit]]
+            on = ~hit & (there != 0)
+            left, keys, slot = left[on], keys[on], (slot[on] + np.uint64(1)) & mask
+        return found
+
+    def _enter(self, keys: np.ndarray, places: np.ndarray) -> None:
+        mask = np.uint64(len(self.keys) - 1)
+        slot = keys & mask
+        while len(keys):
+            free = self.keys[slot] == 0
+            self.keys[slot[free]] = keys[free]
+            won = self.keys[slot] == keys
+            self.places[slot[won]] = places[won]
+            keys, places, slot = keys[~won], places[~won], (slot[~won] + np.uint64(1)) & mask
+
+    def _add(self, keys: np.ndarray, flat: np.ndarray, sizes: np.ndarray) -> None:
+        """New words, none of them known, with their ids one after the other."""
+        n, m = self.count + len(keys), self.filled + len(flat)
+        while n > len(self.own):
+            self.own, self.starts, self.sizes = (np.concatenate([a, np.zeros_like(a)]) for a in (self.own, self.starts, self.sizes))
+        while m > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.own[self.count : n], self.sizes[self.count : n] = keys, sizes
+        self.starts[self.count : n] = self.filled + np.cumsum(sizes) - sizes
+        self.flat[self.filled : m] = flat
+        if 2 * n > len(self.keys):
+            size = 1 << (4 * n).bit_length()
+            self.keys, self.places = np.zeros(size, dtype=np.uint64), np.zeros(size, dtype=np.int32)
+            self._enter(self.own[:n], np.arange(n, dtype=np.int32))
+        else:
+            self._enter(keys, np.arange(self.count, n, dtype=np.int32))
+        self.count, self.filled = n, m
+
+    def gather(self, at: np.ndarray) -> np.ndarray:
+        """The ids of known words, one after the other."""
+        sizes = self.sizes[at]
+        ends = np.cumsum(sizes)
+        return self.flat[np.repeat(self.starts[at] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+
+    def _whole(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their numbers from the whole tokenizer."""
+        found = [f.ids for f in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        sizes = np.array([len(f) for f in found], dtype=np.int64)
+        return np.array([i for f in found for i in f], dtype="<u4"), sizes
+
+    def learn(self, words: list[bytes], keys: np.ndarray) -> None:
+        """Words that are not known yet, each once."""
+        runs, pairs, odd = {}, [], []
+        for i, (word, (run, marks, _)) in enumerate(zip(words, LATIN.findall(b" ".join(words).decode().lower()))):
             if run and b"<|" not in word:
-                run = run.encode()
-                letters[run] = None
-                if marks or run != word:
-                    pairs.append((word, run, marks.encode()))
+                runs.setdefault(run, len(runs))
+                if marks or len(run) != len(word) or run.encode() != word:
+                    pairs.append((i, runs[run], marks))
             else:
-                odd.append(word)
-        odd += {marks for _, _, marks in pairs if marks and marks not in ids}.difference(odd)
-        new = [run for run in letters if run not in ids]
-        if new:
-            texts = [b" ".join(new[i : i + 4096]).decode() for i in range(0, len(new), 4096)]
-            found = self.runs.encode_batch_fast(texts, add_special_tokens=False)
-            flat = np.concatenate([np.array(f.ids, dtype=np.int64) for f in found])
-            self._add(new, flat, np.flatnonzero(self.ends[flat]) + 1)
+                odd.append(i)
+        if runs:
+            named = list(runs)
+            _, _, own = self.words_of(" ".join(named).encode())
+            new = np.flatnonzero(self.find(own) < 0)
+            if len(new):
+                texts = [" ".join([named[i] for i in new[k : k + 4096].tolist()]) for k in range(0, len(new), 4096)]
+                found = self.runs.encode_batch_fast(texts, add_special_tokens=False)
+                flat = np.concatenate([np.array(f.ids, dtype="<u4") for f in found])
+                self._add(own[new], flat, np.diff(np.flatnonzero(self.ends[flat]), prepend=-1))
         if odd:
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in odd], add_special_tokens=False)
-            ends = np.cumsum([len(f.ids) for f in found])
-            self._add(odd, np.array([i for f in found for i in f.ids], dtype=np.int64), ends)
-        # Words made of letters and marks, or with capitals beyond ASCII.
-        for word, run, marks in pairs:
-            ids[word] = ids[run] + ids[marks] if marks else ids[run]
+            # A run may be among them that was met within another word.
+            odd = [i for i, at in zip(odd, self.find(keys[odd]).tolist()) if at < 0]
+            self._add(keys[odd], *self._whole([words[i].decode() for i in odd]))
+        if pairs:
+            unmet = sorted({marks for _, _, marks in pairs} - self.marks.keys() - {""})
+            ids, sizes = self._whole(unmet) if unmet else (np.zeros(0, dtype="<u4"), np.zeros(0, dtype=np.int64))
+            # Marks have keys of their own kind, so that they never stand for words.
+            self.marks |= {marks: self.count + k for k, marks in enumerate(unmet)}
+            if unmet:
+                self._add(np.array([xxhash.xxh3_64_intdigest(m, seed=1) for m in unmet], dtype=np.uint64), ids, sizes)
+            at = self.find(own)
+            parts = np.array([(at[run], self.marks[marks] if marks else -1) for _, run, marks in pairs], dtype=np.int64)
+            sizes = self.sizes[parts[:, 0]] + np.where(parts[:, 1] >= 0, self.sizes[parts[:, 1]], 0)
+            self._add(keys[[i for i, _, _ in pairs]], self.gather(parts[parts >= 0]), sizes)
+
+    def block(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of a block of text, the start of each word, and the number of ids before each word and after the last."""
+        first, end, keys = self.words_of(data)
+        at = self.find(keys)
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            if self.count + len(missing) > WORDS:
+                self.clear()
+                missing = np.arange(len(keys))
+            new, place = np.unique(keys[missing], return_index=True)
+            place = missing[place]
+            self.learn([data[a:b] for a, b in zip(first[place].tolist(), end[place].tolist())], new)
+            at = self.find(keys)
+        return self.gather(at), first, np.concatenate([[0], np.cumsum(self.sizes[at])])
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        """The ids of each text, the end mark last."""
-        ids = self.ids
-        words = [(text if b"<|" in text else text.lower()).split() for text in texts]
-        new = set()
-        for own in words:
-            new.update(filterfalse(ids.__contains__, own))
-        if new:
-            if len(ids) + len(new) > WORDS:
-                ids.clear()
-                new = set().union(*words)
-            self.learn(list(new))
-        mark = END.to_bytes(4, "little")
-        return [b"".join(map(ids.__getitem__, own)) + mark for own in words]
+        """The ids of each text, little-endian, the end mark last."""
+        mark, out = END.to_bytes(4, "little"), []
+        held, size = [], 0
+
+        def emptied() -> None:
+            if held:
+                ids, first, upto = self.block(b"\n".join(held))
+                data = ids.tobytes()
+                ends = np.searchsorted(first, np.cumsum([len(t) + 1 for t in held]))
+                cuts = (4 * upto[np.concatenate([[0], ends])]).tolist()
+                out.extend(data[a:b] + mark for a, b in zip(cuts, cuts[1:]))
+                held.clear()
+
+        for text in texts:
+            text = text if b"<|" in text else text.lower()
+            if size + len(text) + 1 > BLOCK:
+                emptied()
+                size = 0
+            if len(text) > BLOCK:
+                parts = (self.block(p)[0] if len(p) <= BLOCK else self._whole([p.decode()])[0] for p in blocks(text))
+                out.append(b"".join(p.tobytes() for p in parts) + mark)
+            else:
+                held.append(text)
+                size += len(text) + 1
+        emptied()
+        return out
+
+
+def blocks(text: bytes) -> Iterator[bytes]:
+    """A long text in parts of up to ``BLOCK`` bytes that end at white space; a longer word is a part alone."""
+    at = 0
+    while at < len(text):
+        end = len(text)
+        if end - at > BLOCK:
+            end = max(text.rfind(blank, at, at + BLOCK) for blank in BLANKS) + 1
+            if end <= at:
+                end = min((k for k in (text.find(blank, at) for blank in BLANKS) if k >= 0), default=len(text))
+        yield text[at:end]
+        at = end
 
 
 _WORDS: dict[str, Words] = {}
@@ -173,9 +308,9 @@ def _cutter(path: str, capacity: int):
 
 def cut_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Pieces with their ids (little-endian, 32 bits), ``part`` and ``row`` of the document, stored."""
-    rows = docs.select(docs[id].alias("id"), docs[text].alias("text"))
-    schema = PIECES.format(kind=dict(rows.dtypes)["id"])
-    made = rows.mapInPandas(_cutter(path, capacity), schema)
+    rows = docs.select(docs[id].cast("string").alias("id"), docs[text].alias("text"))
+    made = rows.mapInPandas(_cutter(path, capacity), PIECES)
+    made = made.withColumn("id", F.col("id").cast(docs.schema[id].dataType))
     target = shared_path(docs.sparkSession, "pieces")
     made.write.option("compression", "zstd").parquet(target)
     return docs.sparkSession.read.schema(made.schema).parquet(target)

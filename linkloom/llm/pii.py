@@ -227,13 +227,12 @@ def label_spans(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
                 others.append([dict(zip(names, f)) for f in found])
             yield pd.DataFrame({"id": rows["id"].array, "base": base, "candidates": others})
 
-    rows = docs.select(docs[id].alias("id"), docs[text].alias("text"))
+    # The id travels as text, as a null beside numbers would make them inexact on the way.
+    rows = docs.select(docs[id].cast("string").alias("id"), docs[text].alias("text"))
     span = "kind: string, start: int, end: int"
-    schema = (
-        f"id {dict(rows.dtypes)['id']}, base array<struct<{span}>>,"
-        f" candidates array<struct<{span}, votes: string, features: array<int>>>"
-    )
-    return stored(rows.mapInPandas(read, schema), "spans")
+    schema = f"id string, base array<struct<{span}>>, candidates array<struct<{span}, votes: string, features: array<int>>>"
+    found = rows.mapInPandas(read, schema)
+    return stored(found.withColumn("id", F.col("id").cast(docs.schema[id].dataType)), "spans")
 
 
 def estimate(counts: dict[tuple[str, str], int], rounds: int = 100) -> dict[tuple[str, str], float]:
