@@ -64,6 +64,26 @@ def add_active_seeds(metadata: DataFrame) -> DataFrame:
     return metadata.unionByName(active)
 
 
+def crawl_counts(seeds: DataFrame, all_links: DataFrame, filtered: DataFrame) -> DataFrame:
+    """``crawl_stats`` straight from the lists: each URL's memberships are looked at once."""
+    lists = {"s": seeds, "a": all_links, "f": filtered}
+    flags = [
+        df.select("lid_label", "url", *[F.lit(int(k == name)).alias(k) for k in lists]) for name, df in lists.items()
+    ]
+    each = flags[0].unionByName(flags[1]).unionByName(flags[2])
+    urls = each.groupBy("lid_label", "url").agg(*[F.sum(k).alias(k) for k in lists])
+    s, a, f = (F.col(k) for k in lists)
+    lengths = {
+        "seed_urls": F.sum(s),
+        "all_website_links": F.count_if(a > 0),
+        "filtered_links": F.sum(f),
+        "unique_links": F.count_if((f > 0) & (s == 0)),
+        "rejected_links": F.count_if((s > 0) & (f == 0)),
+        "active_seed_urls": F.count_if((s > 0) & (f > 0)),
+    }
+    return urls.groupBy("lid_label").agg(*[lengths[kind].alias(f"{kind}_len") for kind in KINDS])
+
+
 def crawl_stats(metadata: DataFrame) -> DataFrame:
     """One row per label with the length of each list."""
     counts = [F.count_if(F.col("kind") == kind).alias(f"{kind}_len") for kind in KINDS]

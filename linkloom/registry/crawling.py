@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from linkloom.operators import filters, frontier, pages as page_ops, sets
-from linkloom.registry.base import SQL_LINKS, SQL_SEEDS, label_of, link_table, query, seed_table, sql_label, sql_netloc, page_table, table
+from linkloom.registry.base import ORACLES, SQL_LINKS, SQL_SEEDS, label_of, link_table, query, seed_table, sql_label, sql_netloc, page_table, table
 from linkloom.registry.urls_pages import SQL_EDGES, SQL_HREFS, SQL_PAGE_TEXTS
 
 # Link lists: https links stand for seeds, links without fragment for links that passed.
@@ -73,6 +73,14 @@ def all_links(spark, sf_dir):
     FROM longform GROUP BY lid_label""",
 )
 def crawl_stats(spark, sf_dir):
+    seeds, filtered = _lists(spark, sf_dir)
+    links = link_table(spark, sf_dir).select("lid_label", F.col("link").alias("url"))
+    return sets.crawl_counts(seeds, links, filtered)
+
+
+@query("crawl_stats_of_lists", ORACLES["crawl_stats"])
+def crawl_stats_of_lists(spark, sf_dir):
+    """From the long form, as it is read back."""
     seeds, filtered = _lists(spark, sf_dir)
     links = link_table(spark, sf_dir).select("lid_label", F.col("link").alias("url"))
     return sets.crawl_stats(sets.add_active_seeds(sets.crawl_metadata(seeds, links, filtered)))

@@ -54,6 +54,15 @@ def stored(df: DataFrame, name: str = "table", partition_by: tuple[str, ...] = (
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forget_stored(spark: SparkSession) -> None:
+    """Delete what ``stored`` and the jobs of this session have put into the shared folder.
+
+    For the end of a job: results that were not written yet cannot be read any more.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark)}/linkloom")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def row_count_within(df: DataFrame, bound: int) -> int | None:
     """Row count of ``df``, or None when it has more than ``bound`` rows."""
     n = df.limit(bound + 1).count()
