@@ -74,9 +74,11 @@ class Words:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.runs = Tokenizer(self.tokenizer.model)
+        self.runs, self.ascii_runs = Tokenizer(self.tokenizer.model), Tokenizer(self.tokenizer.model)
         to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, trim_offsets=False, use_regex=False)
         self.runs.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), to_bytes])
+        # ASCII letters stand for their own bytes.
+        self.ascii_runs.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
@@ -169,38 +171,39 @@ class Words:
 
     def learn(self, words: list[bytes], keys: np.ndarray) -> None:
         """Words that are not known yet, each once."""
-        runs, pairs, odd = {}, [], []
-        for i, (word, (run, marks, _)) in enumerate(zip(words, LATIN.findall(b" ".join(words).decode().lower()))):
-            if run and b"<|" not in word:
-                runs.setdefault(run, len(runs))
-                if marks or len(run) != len(word) or run.encode() != word:
-                    pairs.append((i, runs[run], marks))
-            else:
-                odd.append(i)
-        if runs:
-            named = list(runs)
-            _, _, own = self.words_of(" ".join(named).encode())
-            new = np.flatnonzero(self.find(own) < 0)
-            if len(new):
-                texts = [" ".join([named[i] for i in new[k : k + 4096].tolist()]) for k in range(0, len(new), 4096)]
-                found = self.runs.encode_batch_fast(texts, add_special_tokens=False)
-                flat = np.concatenate([np.array(f.ids, dtype="<u4") for f in found])
-                self._add(own[new], flat, np.diff(np.flatnonzero(self.ends[flat]), prepend=-1))
-        if odd:
-            # A run may be among them that was met within another word.
-            odd = [i for i, at in zip(odd, self.find(keys[odd]).tolist()) if at < 0]
-            self._add(keys[odd], *self._whole([words[i].decode() for i in odd]))
-        if pairs:
-            unmet = sorted({marks for _, _, marks in pairs} - self.marks.keys() - {""})
-            ids, sizes = self._whole(unmet) if unmet else (np.zeros(0, dtype="<u4"), np.zeros(0, dtype=np.int64))
-            # Marks have keys of their own kind, so that they never stand for words.
-            self.marks |= {marks: self.count + k for k, marks in enumerate(unmet)}
+        joined = b" ".join(words)
+        found = LATIN.findall(joined.decode().lower())
+        special = {i for i, word in enumerate(words) if b"<|" in word} if b"<|" in joined else ()
+        runs: dict[str, int] = {}
+        of = [runs.setdefault(run, len(runs)) if run and i not in special else -1 for i, (run, _, _) in enumerate(found)]
+        of = np.array(of, dtype=np.int64)
+        named = list(runs)
+        _, _, own = self.words_of(" ".join(named).encode())
+        new = np.flatnonzero(self.find(own) < 0).tolist()
+        ascii_ = [i for i in new if named[i].isascii()]
+        other = [i for i in new if not named[i].isascii()]
+        for which, tokenizer in ((ascii_, self.ascii_runs), (other, self.runs)):
+            if which:
+                texts = [" ".join([named[i] for i in which[k : k + 256]]) for k in range(0, len(which), 256)]
+                encoded = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+                flat = np.concatenate([np.array(f.ids, dtype="<u4") for f in encoded])
+                self._add(own[which], flat, np.diff(np.flatnonzero(self.ends[flat]), prepend=-1))
+        # Words that are a run are known by now, and so is a run that was met within another word.
+        unknown = self.find(keys) < 0
+        odd = np.flatnonzero(unknown & (of < 0))
+        if len(odd):
+            self._add(keys[odd], *self._whole([words[i].decode() for i in odd.tolist()]))
+        pairs = np.flatnonzero(unknown & (of >= 0))
+        if len(pairs):
+            marks = [found[i][1] for i in pairs.tolist()]
+            unmet = sorted(set(marks) - self.marks.keys() - {""})
             if unmet:
-                self._add(np.array([xxhash.xxh3_64_intdigest(m, seed=1) for m in unmet], dtype=np.uint64), ids, sizes)
-            at = self.find(own)
-            parts = np.array([(at[run], self.marks[marks] if marks else -1) for _, run, marks in pairs], dtype=np.int64)
+                # Marks have keys of their own kind, so that they never stand for words.
+                self.marks |= {m: self.count + k for k, m in enumerate(unmet)}
+                self._add(np.array([xxhash.xxh3_64_intdigest(m, seed=1) for m in unmet], dtype=np.uint64), *self._whole(unmet))
+            parts = np.stack([self.find(own)[of[pairs]], [self.marks.get(m, -1) for m in marks]], axis=1)
             sizes = self.sizes[parts[:, 0]] + np.where(parts[:, 1] >= 0, self.sizes[parts[:, 1]], 0)
-            self._add(keys[[i for i, _, _ in pairs]], self.gather(parts[parts >= 0]), sizes)
+            self._add(keys[pairs], self.gather(parts[parts >= 0]), sizes)
 
     def block(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The ids of a block of text, the start of each word, and the number of ids before each word and after the last."""
