@@ -127,11 +127,11 @@ def mix(
     shares = source_shares(rows)
     alpha, z, spend = find_exponent(shares, entropy, max_repeats, budget)
     blocks = max(1, -(-int(spend) // block_tokens))
-    quotas = shares.select(
-        F.col("source").alias("of"),
-        "total",
-        F.when(F.col("total") > 0, F.floor(F.pow("share", F.lit(alpha)) / F.lit(z) * F.lit(spend))).alias("quota"),
-    )
+    quota = F.floor(F.pow("share", F.lit(alpha)) / F.lit(z) * F.lit(spend))
+    if budget is None:
+        # The source that sets the budget is read whole, whatever the rounding.
+        quota = F.greatest(quota, F.col("total"))
+    quotas = shares.select(F.col("source").alias("of"), "total", F.when(F.col("total") > 0, quota).alias("quota"))
     passes = F.when(F.col("total") > 0, F.greatest(F.ceil(F.col("quota") / F.col("total")), F.lit(1))).otherwise(1)
     read = rows.join(quotas, F.col("source").eqNullSafe(F.col("of"))).withColumn(
         "pass", F.explode(F.sequence(F.lit(0).cast("long"), passes.cast("long") - 1))
@@ -157,8 +157,10 @@ def mix(
         .join(cells, same[0] & same[1] & same[2])
         .withColumn("at", F.col("pass") * F.col("total") + F.col("start") + F.col("inside"))
     )
-    taken = placed.where((F.col("total") == 0) | (F.col("at") < F.col("quota")))
-    block = F.expr(f"cast((cast(at as decimal(20,0)) * {blocks}) div quota as long)")
+    # Documents without tokens cost nothing, so one at the very end is taken too.
+    fits = (F.col("at") < F.col("quota")) | ((F.col("tokens") == 0) & (F.col("at") <= F.col("quota")))
+    taken = placed.where((F.col("total") == 0) | fits)
+    block = F.expr(f"least(cast((cast(at as decimal(20,0)) * {blocks}) div quota as long), {blocks - 1}L)")
     return taken.select(
         "id",
         "source",

@@ -172,8 +172,8 @@ MIX = {"entropy": 0.985, "max_repeats": 3.0, "block_tokens": 1 << 16, "seed": 17
       FROM e),
     b AS (
       SELECT doc_id, source, tokens, quota, pass,
-        CASE WHEN total > 0 THEN CAST(pos::HUGEINT * blocks // quota AS BIGINT) ELSE 0 END AS block
-      FROM a WHERE total = 0 OR pos < quota)
+        CASE WHEN total > 0 THEN least(CAST(pos::HUGEINT * blocks // quota AS BIGINT), blocks - 1) ELSE 0 END AS block
+      FROM a WHERE total = 0 OR pos < quota OR (tokens = 0 AND pos <= quota))
     SELECT *, row_number() OVER (PARTITION BY block
       ORDER BY md5('{MIX["seed"]}b:' || pass || ':' || coalesce(CAST(doc_id AS VARCHAR), '')),
         doc_id NULLS FIRST, source NULLS FIRST, tokens) - 1 AS slot
