@@ -46,6 +46,11 @@ def sql_label(lang: str) -> str:
     return f"CASE {lang} {arms} END"
 
 
+# A number far from its neighbours, and never that of another below the modulus.
+def scattered(number):
+    return number * 1_000_003 % 2_147_483_647
+
+
 def sql_values(name: str, columns: str, rows: list[tuple]) -> str:
     def cell(value) -> str:
         if value is None:

@@ -12,6 +12,7 @@ from linkloom.registry.base import (
     label_of,
     link_table,
     query,
+    scattered,
     sql_label,
     sql_name,
     sql_netloc,
@@ -182,6 +183,17 @@ def group_by_site(spark, sf_dir):
     return sites.site_positions(sites.group_by_site(link_table(spark, sf_dir)))
 
 
+@query(
+    "group_by_site_sparse",
+    f"""WITH {SQL_LINKS}, {SQL_SITE_LINKS}, scattered AS (SELECT * REPLACE (ord * 1000003 % 2147483647 AS ord) FROM site_links)
+    SELECT *, row_number() OVER (PARTITION BY lid_label, site_url ORDER BY ord) AS pos FROM scattered""",
+)
+def group_by_site_sparse(spark, sf_dir):
+    """Places by scattered order values."""
+    links = link_table(spark, sf_dir).withColumn("ord", scattered(F.col("ord")))
+    return sites.site_positions(sites.group_by_site(links))
+
+
 @query("domain_distribution", f"WITH {SQL_LINKS}, {SQL_SITE_LINKS} SELECT lid_label, site_url, count(*) AS n_links FROM site_links GROUP BY ALL")
 def domain_distribution(spark, sf_dir):
     return sites.domain_distribution(sites.group_by_site(link_table(spark, sf_dir)))

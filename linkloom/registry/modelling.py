@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from linkloom.functions.text import WS
 from linkloom.operators import lm
-from linkloom.registry.base import LABELS, SQL_TEXTS, query, sql_label, table, text_table
+from linkloom.registry.base import LABELS, SQL_TEXTS, query, scattered, sql_label, table, text_table
 from linkloom.session import stored
 
 ORDER = 5
@@ -32,6 +32,18 @@ def truncate_min(spark, sf_dir):
     return lm.truncate_to_shortest(text_table(spark, sf_dir))
 
 
+@query(
+    "truncate_min_sparse",
+    f"""WITH {SQL_TEXTS}, least AS (SELECT min(n) AS n FROM (SELECT sum(length(text)) AS n FROM texts GROUP BY lid_label)),
+    placed AS (SELECT lid_label, doc_id * 1000003 % 2147483647 AS doc_id, text FROM texts),
+    run AS (SELECT *, sum(length(text)) OVER (PARTITION BY lid_label ORDER BY doc_id) - length(text) AS before FROM placed)
+    SELECT lid_label, doc_id, substr(text, 1, CAST(n - before AS BIGINT)) AS text FROM run CROSS JOIN least WHERE n > before""",
+)
+def truncate_min_sparse(spark, sf_dir):
+    """Documents in the order of scattered ids."""
+    return lm.truncate_to_shortest(text_table(spark, sf_dir).withColumn("doc_id", scattered(F.col("doc_id"))))
+
+
 SQL_COUNTS = f"""{SQL_TEXTS}, sent AS (SELECT lid_label, doc_id,
     list_concat(list_concat(['<s>'], list_filter(string_split(regexp_replace(text, '{WS}+', '', 'g'), ''), lambda x: x <> '')), ['</s>']) AS s FROM texts),
   toks AS (SELECT lid_label, doc_id, unnest(s) AS t1, unnest(range(1, len(s) + 1)) AS i FROM sent),

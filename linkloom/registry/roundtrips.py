@@ -188,7 +188,19 @@ def _metadata(spark, sf_dir):
 def sink_text(spark, sf_dir):
     path = shared_path(spark, "texts")
     files.write_text_by_label(text_table(spark, sf_dir), path)
-    return spark.read.schema("text string, lid_label string").text(path).select("lid_label", "text")
+    return tables.read_label_files(spark, path).select("lid_label", "text")
+
+
+@query("read_pages", "SELECT url, html FROM pages")
+def read_pages(spark, sf_dir):
+    return tables.read_pages(spark, f"{sf_dir}/pages.parquet")
+
+
+@query("read_texts", f"WITH {SQL_TEXTS} SELECT lid_label, doc_id, text FROM texts")
+def read_texts(spark, sf_dir):
+    path = shared_path(spark, "corpus")
+    text_table(spark, sf_dir).write.parquet(path)
+    return tables.read_texts(spark, path)
 
 
 @query("tokenize_corpus", f"SELECT doc_id, tokens AS text FROM ({ORACLES['char_tokenize']})")

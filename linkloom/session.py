@@ -1,4 +1,4 @@
-"""Session helpers: checkpointing and table materialisation."""
+"""Session helpers: the shared folder and tables stored there."""
 
 from __future__ import annotations
 
@@ -28,16 +28,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read on from there.
-
-    Cuts the lineage and survives the loss of executors, as the data lies in
-    the shared folder and not in executor memory.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path under the shared checkpoint folder; nothing is made there yet."""
     return f"{ensure_checkpoint_dir(spark)}/linkloom/{name}-{uuid.uuid4().hex}"
@@ -46,8 +36,9 @@ def shared_path(spark: SparkSession, name: str) -> str:
 def stored(df: DataFrame, name: str = "table", partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it from there.
 
-    Cuts the lineage like ``materialize``, but later reads prune columns and
-    push filters down, and the files are compressed.
+    Cuts the lineage and survives the loss of executors, as the data lies in the
+    shared folder. Later reads prune columns and push filters down, and the
+    planner knows the table's size.
     """
     path = shared_path(df.sparkSession, name)
     df.write.partitionBy(*partition_by).parquet(path)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from linkloom.constants import RESULTS_PER_QUERY, SEED_KEYS
 from linkloom.functions.text import strip
 from linkloom.operators.ordering import first_rows, with_line_numbers
+from linkloom.sources.tables import file_label
 
 RESULT = "struct<snippet:string,title:string,link:string,engines:array<string>,category:string,query:string>"
 DUMP = f"map<string,array<{RESULT}>>"
@@ -108,10 +109,7 @@ def read_seed_files(spark: SparkSession, path: str, required: Sequence[str] = SE
     body = ", ".join(f for f in _fields(fields) if not f.startswith("lid_label "))
     keep_label = "lid_label" in required
     item = f"struct<{_as_struct(fields if keep_label else body)}>"
-    name = F.input_file_name()
-    folder = F.url_decode(F.regexp_extract(name, "/lid_label=([^/]*)/", 1))
-    own = F.when(folder != "", folder).otherwise(F.regexp_extract(name, r"([^/]+?)(?:\.json)?$", 1))
-    raw = spark.read.text(path, wholetext=True).select("value", own.alias("file_label"))
+    raw = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True).select("value", file_label(".json").alias("file_label"))
     entries = raw.select("file_label", F.inline(F.from_json("value", f"array<{item}>")))
     checked = valid_seeds(entries, required, "file_label")
     if keep_label:

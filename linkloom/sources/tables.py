@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from linkloom.operators.ordering import with_line_numbers
 from linkloom.session import spread
@@ -18,12 +18,21 @@ def read_texts(spark: SparkSession, path: str) -> DataFrame:
     return spread(spark.read.parquet(path).select("lid_label", "doc_id", "text"))
 
 
+def file_label(ending: str) -> Column:
+    """Label of the file a row was read from: its folder's (``lid_label=...``), or its own name."""
+    name = F.input_file_name()
+    folder = F.url_decode(F.regexp_extract(name, "/lid_label=([^/]*)/", 1))
+    own = F.regexp_extract(name, rf"([^/]+?)(?:\{ending})?$", 1)
+    return F.when(folder == "__HIVE_DEFAULT_PARTITION__", None).when(folder != "", folder).otherwise(own)
+
+
 def read_label_files(spark: SparkSession, path: str) -> DataFrame:
-    """Corpus of one text file per label, the file name being the label, as (lid_label, doc_id, text).
+    """Corpus of text files per label as (lid_label, doc_id, text).
 
-    Each line is a document, so that a long file is read in many splits.
+    The label is the file's name, or its folder's (``lid_label=...``). Each line is a
+    document, so that a long file is read in many splits.
     """
-    lines = spark.read.text(path).withColumn("lid_label", F.regexp_extract(F.input_file_name(), r"([^/]+?)(?:\.txt)?$", 1))
+    lines = spark.read.option("recursiveFileLookup", True).text(path).withColumn("lid_label", file_label(".txt"))
     return lines.select("lid_label", F.monotonically_increasing_id().alias("doc_id"), F.col("value").alias("text"))
 
 
