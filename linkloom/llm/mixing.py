@@ -138,23 +138,21 @@ def mix(
     )
     read = read.withColumn("order", _order(seed, "", F.col("pass"), F.col("id")))
     read = read.withColumn("cell", F.substring("order", 1, DIGITS))
-    group = ["of", "pass", "cell"]
+    # One key that is never null, so that window and join share one shuffle; no source looks like the null one.
+    named = F.coalesce(F.concat(F.lit("="), F.col("of").cast("string")), F.lit(""))
+    read = read.withColumn("slice", F.concat_ws(":", "pass", "cell", named))
     # At most 16 ** DIGITS rows for each source and pass.
     earlier = Window.partitionBy("of", "pass").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
     cells = (
-        read.groupBy(*group)
+        read.groupBy("of", "pass", "cell", "slice")
         .agg(F.sum("tokens").alias("n"))
-        .select(
-            *[F.col(c).alias(f"{c}_") for c in group],
-            F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"),
-        )
+        .select("slice", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("start"))
     )
-    same = [F.col(c).eqNullSafe(F.col(f"{c}_")) for c in group]
-    inside = Window.partitionBy(*group).orderBy("order", "id", "tokens")
+    inside = Window.partitionBy("slice").orderBy("order", "id", "tokens")
     so_far = F.sum("tokens").over(inside.rowsBetween(Window.unboundedPreceding, -1))
     placed = (
         read.withColumn("inside", F.coalesce(so_far, F.lit(0)))
-        .join(cells, same[0] & same[1] & same[2])
+        .join(cells, "slice")
         .withColumn("at", F.col("pass") * F.col("total") + F.col("start") + F.col("inside"))
     )
     # Documents without tokens cost nothing, so one at the very end is taken too.
