@@ -35,7 +35,7 @@ LEAST_COUNT = 4
 # Costs in the model: contexts x byte classes x languages, four bytes each.
 TABLE_CELLS = 12_000_000
 # Bytes scored at a time.
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 # Costs are whole numbers of this part of a bit, so that sums are exact in any order.
 FINE = 4096
 

@@ -96,7 +96,7 @@ class Words:
         self.marks.clear()
         self.keys, self.places = np.zeros(1 << 16, dtype=np.uint64), np.zeros(1 << 16, dtype=np.int32)
         self.count = self.filled = 0
-        self.starts, self.sizes = np.zeros(1 << 15, dtype=np.int64), np.zeros(1 << 15, dtype=np.int64)
+        self.starts, self.sizes = np.zeros(1 << 15, dtype=np.int32), np.zeros(1 << 15, dtype=np.int32)
         self.own, self.flat = np.zeros(1 << 15, dtype=np.uint64), np.zeros(1 << 17, dtype="<u4")
 
     def words_of(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
