@@ -237,7 +237,7 @@ def _ingested(spark, sf_dir, predictor):
     rows = _turns(spark, sf_dir).withColumn("link", F.concat(F.lit("https://q.example.org/"), F.col("k").cast("string")))
     rows.write.json(f"{folder}/in")
     results = ingest.read_results(spark, f"{folder}/in", "k bigint, snippet string, link string")
-    tag = lambda batch: ingest.tagged_results(batch, predictor, EXCLUDED, [*BLOCKED, *UNUSED])
+    tag = lambda batch: ingest.tagged_results(batch, predictor, EXCLUDED, UNUSED)
     ingest.ingest(results, tag, f"{folder}/out", f"{folder}/state").awaitTermination()
     filed = spark.read.schema("k bigint, snippet string, predicted_lid string").json(f"{folder}/out")
     return filed.select("k", "snippet", "predicted_lid")
