@@ -2,7 +2,7 @@
 
 language_id keeps what the byte model places in one of the training languages: texts that are null, have
 no letter or cost more than ``MOST_BITS`` bits a byte in every language go. exact_dedup and near_dedup keep one
-document of each group. mix_sources reads every document at least once and repeats those of
+document of each group; texts whose five-word shingles have a Jaccard similarity of 0.80 or more are near copies. mix_sources reads every document at least once and repeats those of
 small sources, ``MOST_REPEATS`` times at most, so that sources come nearer to equal token shares. pack
 cuts and packs what is left into sequences; it returns pieces, not documents.
 
@@ -20,6 +20,8 @@ from linkloom.session import stored
 # A text that costs more is dearer in every language than as plain bytes twice over.
 MOST_BITS = 16.0
 MOST_REPEATS = 2.0
+# Near copies in percent of similarity; these bands miss a pair just at it with a chance of 6e-7.
+NEAR = {"part": 80, "bands": 36, "rows": 5}
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +36,7 @@ def remove_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def remove_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dedup.keep_one(docs)
+    return near_dedup.keep_one(docs, **NEAR)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

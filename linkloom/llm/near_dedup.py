@@ -12,7 +12,8 @@ checked on the full sets, by a search that takes found sets out of the bucket, a
 the least member of each group found leave the task, so a bucket of m sets gives fewer than m rows.
 A bucket with more than ``BLOCK`` shingles is split into blocks, and pairs of blocks are dealt to
 tasks, so that no task holds more than two blocks. At similarity 0.85 a pair
-shares no bucket with a chance of 7e-7.
+shares no bucket with a chance of 7e-7. For another least similarity give ``part`` with ``bands`` and
+``rows`` that fit it: at 0.80, 36 bands of 5 miss a pair with a chance of 6e-7.
 
 Nodes of the graph are the sets, by a 128-bit digest, so null and repeated ids do no harm.
 
@@ -38,7 +39,7 @@ from linkloom.session import stored
 WORDS = 5
 ROWS, BANDS = 6, 30
 SIZE = ROWS * BANDS
-# Linked when PART * union <= 100 * intersection.
+# Linked when PART * union <= 100 * intersection, unless another part is given.
 PART = 85
 # Shingles in a block of a large bucket.
 BLOCK = 1 << 19
@@ -136,18 +137,21 @@ SKETCHED = T.StructType(
 )
 
 
-@F.pandas_udf(SKETCHED)
-def _sketch(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    for texts in batches:
-        nodes, sizes, bands = [], [], []
-        for _, sets in _groups(texts):
-            filled = [s for s in sets if len(s)]
-            keys = iter(band_keys(sketches(filled)).view(np.int64) if filled else ())
-            for own in sets:
-                nodes.append(_digest(own) if len(own) else None)
-                sizes.append(len(own))
-                bands.append(next(keys) if len(own) else None)
-        yield pd.DataFrame({"node": nodes, "n_shingles": sizes, "bands": bands})
+def _sketcher(n_bands: int, rows: int):
+    @F.pandas_udf(SKETCHED)
+    def sketch(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            nodes, sizes, bands = [], [], []
+            for _, sets in _groups(texts):
+                filled = [s for s in sets if len(s)]
+                keys = iter(band_keys(sketches(filled, n_bands * rows), rows).view(np.int64) if filled else ())
+                for own in sets:
+                    nodes.append(_digest(own) if len(own) else None)
+                    sizes.append(len(own))
+                    bands.append(next(keys) if len(own) else None)
+            yield pd.DataFrame({"node": nodes, "n_shingles": sizes, "bands": bands})
+
+    return sketch
 
 
 def _full_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -158,14 +162,14 @@ def _full_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(found, columns=["node", "shingles"])
 
 
-def links_of(nodes: list[bytes], sets: list[np.ndarray]) -> list[tuple[bytes, bytes]]:
+def links_of(nodes: list[bytes], sets: list[np.ndarray], part: int = PART) -> list[tuple[bytes, bytes]]:
     """Links from the least node of each connected group to its others, by full sets."""
     order = sorted({n: i for i, n in enumerate(nodes)}.items())
     nodes, sets = [n for n, _ in order], [sets[i] for _, i in order]
     if len(nodes) == 2:
         both = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
         union = len(sets[0]) + len(sets[1]) - both
-        return [(nodes[0], nodes[1])] if 100 * both >= PART * union else []
+        return [(nodes[0], nodes[1])] if 100 * both >= part * union else []
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
     values, cells = np.unique(np.concatenate(sets), return_inverse=True)
     mark = np.zeros(len(values), dtype=np.int64)
@@ -180,7 +184,7 @@ def links_of(nodes: list[bytes], sets: list[np.ndarray]) -> list[tuple[bytes, by
         while waiting and len(left):
             at = waiting.pop()
             own = cells[starts[at] : ends[at]]
-            near = left[(100 * np.minimum(sizes[left], sizes[at]) >= PART * np.maximum(sizes[left], sizes[at]))]
+            near = left[(100 * np.minimum(sizes[left], sizes[at]) >= part * np.maximum(sizes[left], sizes[at]))]
             if not len(near):
                 continue
             mark[own] = 1
@@ -189,7 +193,7 @@ def links_of(nodes: list[bytes], sets: list[np.ndarray]) -> list[tuple[bytes, by
             else:
                 both = np.array([mark[cells[starts[x] : ends[x]]].sum() for x in near])
             mark[own] = 0
-            new = near[100 * both >= PART * (sizes[near] + sizes[at] - both)]
+            new = near[100 * both >= part * (sizes[near] + sizes[at] - both)]
             if len(new):
                 found += [(nodes[head], nodes[x]) for x in new]
                 waiting += new.tolist()
@@ -197,22 +201,25 @@ def links_of(nodes: list[bytes], sets: list[np.ndarray]) -> list[tuple[bytes, by
     return found
 
 
-def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Links of each task (bucket and pair of blocks); rows come sorted by it."""
-    key, nodes, sets = None, [], []
-    for rows in batches:
-        out = []
-        tasks = zip(rows["bucket"], rows["i"], rows["j"])
-        for task, node, own in zip(tasks, rows["node"], rows["shingles"]):
-            if task != key:
-                if len(nodes) > 1:
-                    out += links_of(nodes, sets)
-                key, nodes, sets = task, [], []
-            nodes.append(node)
-            sets.append(np.frombuffer(own, dtype=np.uint64))
-        yield pd.DataFrame(out, columns=["a", "b"])
-    if len(nodes) > 1:
-        yield pd.DataFrame(links_of(nodes, sets), columns=["a", "b"])
+def _verifier(part: int):
+    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Links of each task (bucket and pair of blocks); rows come sorted by it."""
+        key, nodes, sets = None, [], []
+        for rows in batches:
+            out = []
+            tasks = zip(rows["bucket"], rows["i"], rows["j"])
+            for task, node, own in zip(tasks, rows["node"], rows["shingles"]):
+                if task != key:
+                    if len(nodes) > 1:
+                        out += links_of(nodes, sets, part)
+                    key, nodes, sets = task, [], []
+                nodes.append(node)
+                sets.append(np.frombuffer(own, dtype=np.uint64))
+            yield pd.DataFrame(out, columns=["a", "b"])
+        if len(nodes) > 1:
+            yield pd.DataFrame(links_of(nodes, sets, part), columns=["a", "b"])
+
+    return verify
 
 
 def _rows(docs: DataFrame, id: str, text: str) -> DataFrame:
@@ -220,13 +227,13 @@ def _rows(docs: DataFrame, id: str, text: str) -> DataFrame:
     return docs.select(docs[id].alias("id"), F.xxhash64(docs[id], docs[text]).alias("key"), docs[text].alias("text"))
 
 
-def sketched(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def sketched(docs: DataFrame, id: str = "doc_id", text: str = "text", bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """``id``, ``key``, ``node``, ``n_shingles`` and ``bands`` of each row, stored."""
-    rows = _rows(docs, id, text).withColumn("made", _sketch("text"))
-    return stored(rows.select("id", "key", "made.*"), "sketches")
+    made = _rows(docs, id, text).withColumn("made", _sketcher(bands, rows)("text"))
+    return stored(made.select("id", "key", "made.*"), "sketches")
 
 
-def verified_links(docs: DataFrame, light: DataFrame, id: str, text: str, block: int = BLOCK) -> DataFrame:
+def verified_links(docs: DataFrame, light: DataFrame, id: str, text: str, block: int = BLOCK, part: int = PART) -> DataFrame:
     """Links (a, b) between nodes, enough of them to connect whatever is connected in a bucket."""
     named = light.where("node is not null")
     # One row stands for all with the same set.
@@ -269,13 +276,15 @@ def verified_links(docs: DataFrame, light: DataFrame, id: str, text: str, block:
         .mapInPandas(_full_sets, "node binary, shingles binary")
     )
     dealt = tasks.join(sets, "node").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-    return dealt.select("bucket", "i", "j", "node", "shingles").mapInPandas(_verify, "a binary, b binary")
+    return dealt.select("bucket", "i", "j", "node", "shingles").mapInPandas(_verifier(part), "a binary, b binary")
 
 
-def near_groups(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_groups(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", part: int = PART, bands: int = BANDS, rows: int = ROWS
+) -> DataFrame:
     """``id``, ``key`` (hash of id and text), ``n_shingles``, ``root`` and ``component_id`` of each row."""
-    light = sketched(docs, id, text)
-    roots = components(verified_links(docs, light, id, text))
+    light = sketched(docs, id, text, bands, rows)
+    roots = components(verified_links(docs, light, id, text, part=part))
     rooted = light.join(roots, "node", "left").select(
         "id", "key", "n_shingles", F.coalesce("root", "node").alias("root")
     )
@@ -286,15 +295,17 @@ def near_groups(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     return linked.unionByName(alone.select(*columns))
 
 
-def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_one(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", part: int = PART, bands: int = BANDS, rows: int = ROWS
+) -> DataFrame:
     """The row with the least id of each group, with the columns of ``docs``; of equal rows one."""
-    heads = near_groups(docs, id, text).where(F.col("id").eqNullSafe(F.col("component_id")))
+    heads = near_groups(docs, id, text, part, bands, rows).where(F.col("id").eqNullSafe(F.col("component_id")))
     # Only rows that share their id can tie; rows without shingles are groups of their own.
     place = F.row_number().over(Window.partitionBy("root").orderBy("key"))
     kept = heads.withColumn("place", place).where("place = 1 or root is null")
     kept = kept.select("key", F.col("id").alias("id_"), "root").distinct()
     row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
-    rows = docs.select(row, docs[id].alias("id"), F.xxhash64(docs[id], docs[text]).alias("key"))
-    found = rows.join(kept, "key").where(F.col("id").eqNullSafe(F.col("id_")))
+    keyed = docs.select(row, docs[id].alias("id"), F.xxhash64(docs[id], docs[text]).alias("key"))
+    found = keyed.join(kept, "key").where(F.col("id").eqNullSafe(F.col("id_")))
     again = F.row_number().over(Window.partitionBy("key").orderBy("id"))
     return found.withColumn("again", again).where("again = 1 or root is null").select("row.*")

@@ -243,6 +243,26 @@ def test_no_near_copies_stay(stages):
     assert sorted(r["doc_id"] for r in stages[3]) == sorted({c for _, _, c in want})
 
 
+def test_near_copies_from_80_percent_go(spark):
+    from tests.llm.test_documents import shingles
+
+    pick = random.Random(11)
+    words = [f"w{i}" for i in range(4000)]
+    rows = []
+    for k in range(40):
+        base = pick.choices(words, k=120)
+        # Words changed at one end take one shingle each: similarities from 0.72 to 0.93.
+        own = base[: -(4 + k % 16)] + pick.choices(words, k=4 + k % 16)
+        rows += [(2 * k, " ".join(base), "en", "s", 0), (2 * k + 1, " ".join(own), "en", "s", 0)]
+    sets = [shingles(t) for _, t, *_ in rows]
+    near = [(a, b) for a in range(len(sets)) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    between = [(a, b) for a, b in near if 100 * len(sets[a] & sets[b]) < 85 * len(sets[a] | sets[b])]
+    assert len(between) > 5 and len(near) < 40
+    kept = corpus_pipeline.remove_near_copies(spark, spark.createDataFrame(rows, DOCS), SF_DIR)
+    # No text has two near copies, so the greater id of each pair goes.
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(range(80)) - {a for a, _ in near})
+
+
 def test_all_documents_are_mixed(stages):
     before, after = Counter(r["doc_id"] for r in stages[3]), Counter(r["doc_id"] for r in stages[4])
     assert set(before) == set(after) and max(after.values()) <= 2
