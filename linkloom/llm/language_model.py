@@ -99,6 +99,10 @@ class Model:
         self._add(total, group)
         return total
 
+    def unmet_bits(self) -> dict[str, float]:
+        """Bits of a byte that training never met, after another one, under each language."""
+        return {g: float(self.cost[i, 0, -2]) / FINE for i, g in enumerate(self.langs)}
+
     def _add(self, total: np.ndarray, group: list[tuple[int, int, bytes]]) -> None:
         if not group:
             return

@@ -228,6 +228,22 @@ def test_unknown_languages_go(stages):
     assert gone == {20_000, 20_001, 20_002}
 
 
+@pytest.mark.parametrize("words", [25, 4000])
+def test_unseen_scripts_go_at_every_size(spark, words):
+    pick = random.Random(words)
+    known = {
+        "en": "the cat and dog sat on a mat with his old friend near some river bank while it was raining in town".split(),
+        "de": "der Hund und die Katze saßen auf dem alten Dach bei ihrem Freund während es in der Stadt regnete".split(),
+    }
+    rows = [(k, " ".join(pick.choices(known[g], k=words)), g, "s", 0) for k, g in enumerate(["en", "de"] * 20)]
+    # Without a language these are not trained on.
+    rows += [(100, "Η γάτα και ο σκύλος κάθισαν στο χαλί με τον παλιό φίλο του κοντά στην όχθη", None, "s", 0)]
+    rows += [(101, "Кошка и собака сидели на ковре со своим старым другом у берега реки", None, "s", 0)]
+    rows += [(102, "猫和狗坐在河边的垫子上和他的老朋友在一起读书写字", None, "s", 0), (103, "the old cat was near the river", None, "s", 0)]
+    kept = corpus_pipeline.language_id(spark, spark.createDataFrame(rows, DOCS), SF_DIR)
+    assert sorted(r["doc_id"] for r in kept.collect()) == [*range(40), 103]
+
+
 def test_no_copies_stay(stages):
     key = lambda r: "".join(c for c in r["text"] if c not in " \t\n\x0b\x0c\r")
     best = {}
