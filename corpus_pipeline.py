@@ -4,7 +4,7 @@ language_id keeps what the byte model places in one of the training languages: t
 no letter or cost a byte more than ``MOST_UNMET`` of what a byte never met in training costs in their language go; that
 cost grows with the training text, so the limit does too. exact_dedup and near_dedup keep one
 document of each group; texts whose five-word shingles have a Jaccard similarity of 0.80 or more are near copies.
-mix_sources reads every document at least once and repeats those of small sources, ``MOST_REPEATS`` times at most, so that sources come nearer to equal token shares. pack
+mix_sources reads every document at least once and repeats those of small sources, ``MOST_REPEATS`` times at most, so that sources come nearer to equal token shares; its rows are in the order of the block permutations. pack
 cuts and packs what is left into sequences; it returns pieces, not documents.
 
 Stages take empty tables, null and repeated rows as their operators do.

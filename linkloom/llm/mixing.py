@@ -178,6 +178,8 @@ def with_slots(taken: DataFrame, seed: int = 17) -> DataFrame:
     return taken.withColumn("slot", F.row_number().over(inside).cast("long") - 1)
 
 
-def mix_documents(docs: DataFrame, **options) -> DataFrame:
-    """The documents taken, with the columns of ``docs``, as often as they are read."""
-    return mix(docs, **options).select("row.*")
+def mix_documents(docs: DataFrame, seed: int = 17, **options) -> DataFrame:
+    """The documents taken, with the columns of ``docs``, as often as they are read, in the order of block and slot."""
+    taken = mix(docs, seed=seed, **options).withColumn("place", _order(seed, "b", F.col("pass"), F.col("id")))
+    order = ["block", "place", "id", "source", "tokens"]
+    return taken.repartitionByRange(*order).sortWithinPartitions(*order).select("row.*")

@@ -221,6 +221,15 @@ def test_blocks_hold_all_sources(spark):
     assert max(passes.values()) == 1
 
 
+def test_documents_come_in_block_order(spark):
+    given = corpus(spark, {"a": 300, "b": 100, "c": 50})
+    options = {"max_repeats": 2.0, "block_tokens": 1000}
+    placed = mixing.with_slots(mixing.mix(given, **options)).collect()
+    assert max(r["block"] for r in placed) > 3
+    want = [r["id"] for r in sorted(placed, key=lambda r: (r["block"], r["slot"]))]
+    assert [r["doc_id"] for r in mixing.mix_documents(given, **options).collect()] == want
+
+
 def test_odd_sources(spark):
     rows = [(1, "a b", None), (2, None, None), (3, "", "empty"), (4, None, "empty"), (5, "x", "s"), (5, "x", "s")]
     given = docs(spark, rows).withColumns({"quota": F.lit(1), "of": F.lit(2), "pass": F.lit(3), "total": F.lit(4)})
