@@ -13,7 +13,7 @@ block holds the sources by their weights; a second hash permutes each block.
 
 Running token counts need no task with a whole source: documents are summed by
 (source, pass, first hash digits), at most ``16 ** DIGITS`` sums for a source and pass, and run
-up inside one such group only.
+up inside one such group only. Places in a block are counted in the same way.
 
 Only DataFrame functions are used.
 
@@ -172,10 +172,21 @@ def mix(
 
 def with_slots(taken: DataFrame, seed: int = 17) -> DataFrame:
     """``slot``: the place in a permutation of each block, which holds about ``block_tokens`` tokens."""
-    inside = Window.partitionBy("block").orderBy(
-        _order(seed, "b", F.col("pass"), F.col("id")), F.col("id"), F.col("source"), F.col("tokens")
+    # A block bounds tokens, not rows: documents without tokens may all be in one. So it is numbered by hash digits.
+    columns = taken.columns
+    placed = taken.withColumn("place", _order(seed, "b", F.col("pass"), F.col("id")))
+    placed = stored(placed.withColumn("cell", F.substring("place", 1, DIGITS)), "taken")
+    placed = placed.withColumn("slice", F.concat_ws(":", "block", "cell"))
+    # At most 16 ** DIGITS rows for each block.
+    earlier = Window.partitionBy("block").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    cells = (
+        placed.groupBy("block", "cell", "slice")
+        .agg(F.count("*").alias("n"))
+        .select("slice", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("first"))
     )
-    return taken.withColumn("slot", F.row_number().over(inside).cast("long") - 1)
+    inside = Window.partitionBy("slice").orderBy("place", "id", "source", "tokens")
+    numbered = placed.withColumn("inside", F.row_number().over(inside)).join(cells, "slice")
+    return numbered.select(*columns, (F.col("first") + F.col("inside") - 1).alias("slot"))
 
 
 def mix_documents(docs: DataFrame, seed: int = 17, **options) -> DataFrame:

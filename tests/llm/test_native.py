@@ -230,6 +230,20 @@ def test_documents_come_in_block_order(spark):
     assert [r["doc_id"] for r in mixing.mix_documents(given, **options).collect()] == want
 
 
+def test_no_task_numbers_all_documents_without_tokens(spark):
+    rows = [(i, None, "none") for i in range(4000)] + [(5000 + i, "a b c", "s") for i in range(40)]
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(setting, "false")
+    try:
+        found = mixing.with_slots(mixing.mix(docs(spark, rows), budget=mixing.ALL, carry=False, seed=17), 17)
+        found = found.withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset(setting)
+    key = lambda r: (hashlib.md5(f"17b:{r['pass']}:{r['id']}".encode()).hexdigest(), r["id"])
+    assert [r["slot"] for r in sorted(found, key=key)] == list(range(4040))
+    assert max(Counter(r["task"] for r in found).values()) < 0.5 * len(found)
+
+
 def test_odd_sources(spark):
     rows = [(1, "a b", None), (2, None, None), (3, "", "empty"), (4, None, "empty"), (5, "x", "s"), (5, "x", "s")]
     given = docs(spark, rows).withColumns({"quota": F.lit(1), "of": F.lit(2), "pass": F.lit(3), "total": F.lit(4)})
