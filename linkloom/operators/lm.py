@@ -45,14 +45,14 @@ def corpus_lengths(corpus: DataFrame) -> DataFrame:
 
 def truncate_to_shortest(corpus: DataFrame) -> DataFrame:
     """Cut every label's corpus, in document order, to the length of the shortest one."""
-    # Lengths alone are run up; texts beyond the cut never move.
-    sizes = corpus.select("lid_label", "doc_id", F.length("text").cast("bigint").alias("size"))
+    # Lengths alone are run up. They meet their texts by a mark of the row, as ids may repeat and ids and labels be null.
+    marked = stored(corpus.select("lid_label", "doc_id", "text").withColumn("mark", F.monotonically_increasing_id()), "marked")
+    sizes = marked.select("lid_label", "doc_id", "mark", F.length("text").cast("bigint").alias("size"))
     measured = running_total(sizes, ["lid_label"], "doc_id", F.col("size"), "upto")
     least = sizes.groupBy("lid_label").agg(F.sum("size").alias("n")).agg(F.min("n").alias("n")).scalar()
     kept = measured.withColumn("room", least - (F.col("upto") - F.col("size"))).filter("room > 0")
     return (
-        corpus.select("lid_label", "doc_id", "text")
-        .join(kept.select("lid_label", "doc_id", "room"), ["lid_label", "doc_id"])
+        marked.join(kept.select("mark", "room"), "mark")
         .select("lid_label", "doc_id", cut_to("text", F.col("room")).alias("text"))
     )
 

@@ -192,3 +192,12 @@ def test_model_job_writes_arpa(spark, corpus, tmp_path):
     n = int(lines[1].split("=")[1])
     start = lines.index("\\1-grams:")
     assert all(len(x.split("\t")) in (2, 3) for x in lines[start + 1 : start + 1 + n]) and lines[start + 1 + n] == ""
+
+
+def test_truncation_keeps_repeated_and_null_keys(spark):
+    rows = [("a", 1, "abc")] * 3 + [("a", None, "xyz")] + [(None, 5, "0123456789"), (None, 6, "tail"), ("b", 7, "q" * 30)]
+    found = lm.truncate_to_shortest(spark.createDataFrame(rows, "lid_label string, doc_id bigint, text string")).collect()
+    got = sorted(((r.lid_label, r.doc_id, r.text) for r in found), key=repr)
+    # Label a is the shortest with 12 characters.
+    want = [*rows[:5], (None, 6, "ta"), ("b", 7, "q" * 12)]
+    assert got == sorted(want, key=repr)
