@@ -243,6 +243,22 @@ def exclude_with_null(spark, sf_dir):
 )
 def same_site_per_seed(spark, sf_dir):
     seeds = filters.seed_gate(seed_table(spark, sf_dir)).filter("ord % 2 = 0").select(F.col("ord").alias("seed_id"), F.col("link").alias("seed_url"))
+    return _same_site(spark, sf_dir, seeds)
+
+
+@query(
+    "same_site_every_seed",
+    f"""WITH {SQL_SEEDS}, s AS (SELECT ord AS seed_id, {sql_netloc('link')} AS host FROM seeds WHERE lid_confidence > 0.7),
+    t AS (SELECT page_id, url, {sql_netloc('url')} AS host FROM pages)
+    SELECT seed_id, page_id, url AS link FROM t JOIN s ON ends_with(t.host, s.host)""",
+)
+def same_site_every_seed(spark, sf_dir):
+    """All gated seeds; ``same_site_per_seed`` and its twin take those with an even id."""
+    seeds = filters.seed_gate(seed_table(spark, sf_dir)).select(F.col("ord").alias("seed_id"), F.col("link").alias("seed_url"))
+    return _same_site(spark, sf_dir, seeds)
+
+
+def _same_site(spark, sf_dir, seeds):
     links = table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("link"))
     hosted = links.withColumn("host", urls.netloc("link"))
     hosts = seeds.select("seed_id", urls.netloc("seed_url").alias("seed_host"))

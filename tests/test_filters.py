@@ -152,3 +152,16 @@ def test_median_sample(spark):
 def test_median_of_even_group(spark):
     df = spark.createDataFrame([("a", n) for n in (1, 2, 10, 10)], "iso_code string, str_length int")
     assert sampling.median_lengths(df).first().median_length == 6.0
+
+
+def test_every_gated_seed_is_looked_up(spark):
+    from linkloom.registry import QUERIES
+    from linkloom.registry.base import seed_table
+
+    sf_dir = "/root/testdata/sf0.001"
+    host = lambda url: url.split("//", 1)[1].split("/")[0].split("?")[0].split("#")[0]
+    seeds = [(r["ord"], host(r["link"])) for r in seed_table(spark, sf_dir).filter("lid_confidence > 0.7").collect()]
+    pages = [(r["page_id"], r["url"]) for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()]
+    want = sorted((i, p, url) for i, h in seeds for p, url in pages if host(url).endswith(h))
+    assert any(i % 2 for i, _, _ in want)
+    assert sorted(map(tuple, QUERIES["same_site_every_seed"](spark, sf_dir).collect())) == want
