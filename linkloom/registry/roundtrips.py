@@ -37,6 +37,10 @@ from linkloom.sources import seeds as seed_sources, tables
 _ALLOWED = "NOT EXISTS (SELECT 1 FROM blocklist WHERE contains({}, entry))"
 
 
+# Entries in one JSON value.
+FILE_ENTRIES = 10_000
+
+
 # Sources.
 @query(
     "read_blocklist",
@@ -74,7 +78,10 @@ def read_delimited(spark, sf_dir):
 def read_identifier_map(spark, sf_dir):
     path = shared_path(spark, "identifiers")
     entries = screening._entries(spark, sf_dir)
-    entries.agg(F.to_json(F.struct(F.collect_list(F.struct("id", "identifiers")).alias("resources")))).write.text(path)
+    slices = F.pmod(F.xxhash64("id"), F.lit(entries.count() // FILE_ENTRIES + 1))
+    body = F.to_json(F.struct(F.collect_list(F.struct("id", "identifiers")).alias("resources")))
+    # The reader takes a file for one value.
+    entries.groupBy(slices.alias("slice")).agg(body.alias("value")).select("value").write.option("maxRecordsPerFile", 1).text(path)
     return lookups.glotto_iso_map(tables.read_identifier_map(spark, path))
 
 
@@ -123,11 +130,17 @@ _PER_HOST = f"{SQL_SEEDS}, per_host AS (SELECT *, {sql_netloc('link')} AS host,
       SELECT 1 FROM per_host b WHERE b.host = p.host AND (b.link IS NULL OR b.lid_confidence IS NULL OR b.predicted_lid IS NULL))""",
 )
 def seed_files(spark, sf_dir):
-    """One JSON array for each label, as the files hold them."""
+    """JSON arrays of about ``FILE_ENTRIES`` entries of a label, one in each file of its folder."""
     path = shared_path(spark, "seed-files")
     entries = _seed_entries(spark, sf_dir)
     body = F.to_json(F.collect_list(F.struct(*[c for c in entries.columns if c != "lid_label"])))
-    entries.groupBy("lid_label").agg(body.alias("value")).write.partitionBy("lid_label").text(path)
+    sizes = entries.groupBy(F.col("lid_label").alias("of")).agg(F.count("*").alias("n"))
+    sliced = entries.join(sizes, F.col("lid_label").eqNullSafe(F.col("of"))).withColumn(
+        "slice", F.expr(f"pmod(xxhash64(link), n div {FILE_ENTRIES} + 1)")
+    )
+    arrays = sliced.groupBy("lid_label", "slice").agg(body.alias("value")).drop("slice")
+    # The reader takes a file for one value.
+    arrays.write.partitionBy("lid_label").option("maxRecordsPerFile", 1).text(path)
     return seed_sources.read_seed_files(spark, path).select("lid_label", "link", "lid_confidence", "predicted_lid")
 
 
@@ -215,7 +228,7 @@ def tokenize_corpus(spark, sf_dir):
 )
 def sink_report(spark, sf_dir):
     path = shared_path(spark, "report")
-    files.write_report(sites.domain_distribution(sites.group_by_site(link_table(spark, sf_dir))), path)
+    files.write_report(sites.domain_distribution(sites.group_by_site(link_table(spark, sf_dir))), path, one_file=False)
     return spark.read.option("header", True).csv(path)
 
 

@@ -47,9 +47,10 @@ def write_sorted_text(df: DataFrame, path: str, order: list[str], label: str = "
     _writer(ordered.select(label, line), "overwrite", label, ordered=True).text(path)
 
 
-def write_report(report: DataFrame, path: str) -> None:
-    """One CSV file with a header; the report has one row per label."""
-    report.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+def write_report(report: DataFrame, path: str, one_file: bool = True) -> None:
+    """CSV with a header: one file for a report of one row per label, or as many as there are tasks."""
+    report = report.coalesce(1) if one_file else report
+    report.write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = True) -> None:

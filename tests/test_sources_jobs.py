@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from linkloom.constants import SEED_KEYS_EARLY, SEED_KEYS_LABEL
@@ -139,3 +140,16 @@ def test_stream_files_each_record_once(spark, tmp_path):
     tag = lambda batch: ingest.tagged_results(batch, _fake(), ["eng_Latn"], pages=pages)
     ingest.ingest(ingest.read_results(spark, str(tmp_path / "in")), tag, str(tmp_path / "out2"), str(tmp_path / "state2")).awaitTermination()
     assert spark.read.schema("link string").json(str(tmp_path / "out2")).first().link == "http://p/"
+
+
+@pytest.mark.parametrize("name", ["seed_files", "read_identifier_map"])
+def test_no_file_holds_all_entries(spark, tmp_path, monkeypatch, name):
+    from linkloom.registry import QUERIES, roundtrips
+
+    sf_dir = "/root/testdata/sf0.001"
+    want = sorted(map(repr, QUERIES[name](spark, sf_dir).collect()))
+    monkeypatch.setattr(roundtrips, "FILE_ENTRIES", 3)
+    monkeypatch.setattr(roundtrips, "shared_path", lambda spark, what: str(tmp_path / what))
+    assert sorted(map(repr, QUERIES[name](spark, sf_dir).collect())) == want
+    sizes = [f.read_text().count('"link"' if name == "seed_files" else '"id"') for f in tmp_path.rglob("part-*.txt")]
+    assert len(sizes) > 3 and max(sizes) < 20 and sum(sizes) > max(sizes)
