@@ -7,7 +7,22 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from linkloom.llm import archives, chat, exact_dedup, external_shuffle, language_model, mixing, multi_index, near_dedup, packing, pii
+from linkloom.functions.local import work_out
+from linkloom.llm import (
+    alignment,
+    archives,
+    chat,
+    conversation_repair,
+    exact_dedup,
+    external_shuffle,
+    language_model,
+    mixing,
+    multi_index,
+    near_dedup,
+    packing,
+    pii,
+    sentence_pieces,
+)
 from linkloom.session import stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -257,3 +272,114 @@ def op5_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A test measures recall against all rows."""
     return multi_index.search(table(spark, sf_dir, "embeddings"))
+
+
+def sql_repair() -> str:
+    """The least edits by recursion from each conversation's last row, with whole strings for the four states."""
+    blank, ended = "regexp_matches(text, '[^\\x20\\x09-\\x0D]')", "regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*$')"
+    none = "NULL::STRUCT(c BIGINT, a VARCHAR, t VARCHAR[])"
+
+    def after(state: str, cost: str, letter: str, line: str | None) -> str:
+        lines = f"list_concat([{line}], {state}.t)" if line else f"{state}.t"
+        return f"{{'c': {state}.c + {cost}, 'a': '{letter}' || {state}.a, 't': {lines}}}"
+
+    def kept(state: int) -> str:
+        goes = {0: "WHEN 's' THEN v1 WHEN 'u' THEN v2", 1: "WHEN 'u' THEN v2", 2: "WHEN 'a' THEN v3", 3: "WHEN 'u' THEN v2"}[state]
+        # A role that cannot stay has no next state: null is left out of the least.
+        return f"(CASE left(role, 1) {goes} END)"
+
+    def taken(state: int) -> str:
+        role, to = ("assistant", "v3") if state == 2 else ("user", "v2")
+        keep = f"CASE WHEN fault IN (1, 2) OR {kept(state)} IS NULL THEN {none} ELSE " + after(kept(state), "extra", "K", "role || ':' || text") + " END"
+        rerole = f"CASE WHEN fault IN (1, 2) THEN {none} ELSE " + after(to, "extra + 3", "R", f"'{role}:' || text") + " END"
+        return f"list_min([{after(f'v{state}', '4', 'D', None)}, {keep}, {rerole}])"
+
+    def added(name: str, other: str, role: str) -> str:
+        return f"list_min([{name}, {after(other, '3', 'I', f"'{role}:'")}])"
+
+    return f"""
+    WITH RECURSIVE keyed AS (
+      SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+    hashed AS (
+      SELECT *, xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(range(1, length(k) + 1),
+          lambda i: list_concat([ord(k[i])::BIGINT], [-1, -1, -1, -1, -1, -1, -1, -1]::BIGINT[])))),
+        lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END),
+        4294967295::BIGINT) % 20 AS kind FROM keyed),
+    harmed AS (
+      SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+        CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(range(CASE kind WHEN 3 THEN 2 ELSE 1 END)) AS copy
+      FROM hashed WHERE kind <> 0),
+    placed AS (
+      SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS place,
+        count(*) OVER (PARTITION BY conv_id) AS n,
+        row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth
+      FROM harmed),
+    judged AS (
+      SELECT *, CASE WHEN NOT {blank} THEN 1 WHEN nth > 1 THEN 2 WHEN NOT {ended} THEN 3 ELSE 0 END AS fault,
+        lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY place) || left(role, 1) AS met
+      FROM placed),
+    costed AS (SELECT *, CASE fault WHEN 3 THEN 3 ELSE 0 END AS extra FROM judged),
+    states(conv_id, place, v0, v1, v2, v3) AS (
+      SELECT conv_id, n + 1, {{'c': 0::BIGINT, 'a': '', 't': []::VARCHAR[]}}, {{'c': 6::BIGINT, 'a': 'II', 't': ['user:', 'assistant:']}},
+        {{'c': 3::BIGINT, 'a': 'I', 't': ['assistant:']}}, {{'c': 0::BIGINT, 'a': '', 't': []::VARCHAR[]}}
+      FROM costed WHERE place = n
+      UNION ALL
+      SELECT conv_id, place, {added("c0", "w2", "user")}, {added("c1", "w2", "user")}, w2, {added("c3", "w2", "user")}
+      FROM (
+        SELECT *, {added("c2", "c3", "assistant")} AS w2 FROM (
+          SELECT r.conv_id, r.place, {taken(0)} AS c0, {taken(1)} AS c1, {taken(2)} AS c2, {taken(3)} AS c3
+          FROM states s JOIN costed r ON r.conv_id IS NOT DISTINCT FROM s.conv_id AND r.place = s.place - 1))),
+    counted AS (
+      SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank,
+        count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+        count(*) FILTER (met NOT IN ('su', 'ua', 'au')) AS illegal
+      FROM judged GROUP BY conv_id)
+    SELECT i.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+      coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(v0.c, 0) AS cost, coalesce(v0.a, '') AS audit,
+      sha256(coalesce(array_to_string(v0.t, chr(10)), '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) i
+    LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM i.conv_id
+    LEFT JOIN states s ON s.conv_id IS NOT DISTINCT FROM i.conv_id AND s.place = 1
+    """
+
+
+@query("op11_conversation_repair", sql_repair())
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = conversation_repair.audit(conversation_repair.damage(given)).withColumnRenamed("conv_id", "found_id")
+    zero = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in conversation_repair.FIGURES]
+    return (
+        given.select("conv_id")
+        .distinct()
+        .join(found, F.col("conv_id").eqNullSafe(F.col("found_id")), "left")
+        .select(
+            "conv_id",
+            *zero,
+            F.coalesce("audit", F.lit("")).alias("audit"),
+            F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+        )
+    )
+
+
+@query("op12_tokenizer_alignment")
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A test works the groups, links and counts out with plain Python from the tokenizers' own output."""
+    paths = [public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    made = alignment.align(table(spark, sf_dir, "documents"), *paths, digest=True)
+    return made.withColumnRenamed("groups", "groups_sha256")
+
+
+@query("op13_sentence_pieces")
+def op13_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tests hold ids and texts against the library's own."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    encoded = work_out(docs, "ids", sentence_pieces.encode(F.col("text"), path)).select("doc_id", "ids")
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2(sentence_pieces.decode(F.col("ids"), path), 256).alias("decoded_sha256"),
+    )
