@@ -107,8 +107,15 @@ def plan(marked: DataFrame) -> DataFrame:
         conv, going, tally = None, False, {}
         costs, base, pointers, blocks, key, last = AT_END, 0, bytearray(), 0, None, None
 
-        def block(summary: str | None) -> pd.DataFrame:
-            return pd.DataFrame([(conv, *key, -blocks, bytes(reversed(pointers)), summary)], columns=["conv", *KEY, "nth", "pointers", "summary"])
+        made_blocks: list[tuple] = []
+
+        def block(summary: str | None) -> None:
+            made_blocks.append((conv, *key, -blocks, bytes(reversed(pointers)), summary))
+
+        def taken() -> Iterator[pd.DataFrame]:
+            if made_blocks:
+                yield pd.DataFrame(made_blocks, columns=["conv", *KEY, "nth", "pointers", "summary"])
+                made_blocks.clear()
 
         def summary() -> str:
             gaps = tally["top"] - tally["low"] + 1 - tally["turns"] if tally["turns"] else 0
@@ -119,12 +126,12 @@ def plan(marked: DataFrame) -> DataFrame:
             for this, has_turn, at, role, digest, fault in zip(*columns):
                 if not going or this != conv:
                     if going:
-                        yield block(summary())
+                        block(summary())
                     conv, going = this, True
                     costs, base, pointers, blocks, last = AT_END, 0, bytearray(), 0, None
                     tally = {"blank": 0, "duplicate": 0, "truncated": 0, "illegal": 0, "turns": 0, "top": at, "low": at, "seen": None}
                 elif len(pointers) == BLOCK:
-                    yield block(None)
+                    block(None)
                     pointers, blocks = bytearray(), blocks + 1
                 initial = role[:1]
                 if last is not None and initial + last not in LEGAL:
@@ -146,8 +153,10 @@ def plan(marked: DataFrame) -> DataFrame:
                 base += made[1]
                 pointers.append(made[2])
                 key = (has_turn, at, role, digest)
+            yield from taken()
         if going:
-            yield block(summary())
+            block(summary())
+            yield from taken()
 
     # Of equal rows of one turn, the one that counts as the first comes last here.
     order = [F.desc("has_turn"), F.desc("at"), F.desc("role"), F.desc("digest"), (F.col("fault") == DUPLICATE).desc()]
