@@ -38,11 +38,12 @@ STRETCH_RE = re.compile(
     rf"\n|{SPACE}*[^{SPACE}\n{LETTERS}]*[{LETTERS}]+|{SPACE}+[^{SPACE}\n{LETTERS}]*|[^{SPACE}\n{LETTERS}]+"
 )
 # What a worker remembers; it starts anew beyond that.
-WORDS = 800_000
+WORDS = 300_000
 LONGEST_WORD = 64
-PAIRS = 400_000
+PAIRS = 200_000
 # Characters of text, or ids, worked on at a time.
-SLICE = 1 << 20
+SLICE = 1 << 18
+ROWS = 256
 
 
 class Model:
@@ -288,7 +289,10 @@ def encode(text: Column | str, path: str) -> Column:
 
     @F.arrow_udf("array<int>")
     def ids(texts: pa.Array) -> pa.Array:
-        return lists(*model(path).encode(texts.to_pylist()))
+        # Few of the texts are Python strings at a time.
+        found = [model(path).encode(texts.slice(i, ROWS).to_pylist()) for i in range(0, len(texts), ROWS)]
+        flat, counts = zip(*found) if found else ([np.zeros(0, dtype=np.int32)], [np.zeros(0, dtype=np.int64)])
+        return lists(np.concatenate(flat), np.concatenate(counts))
 
     return ids(text)
 
