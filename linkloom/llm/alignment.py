@@ -22,8 +22,11 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -32,14 +35,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from linkloom.llm.sentence_pieces import lists, model
+from linkloom.llm.sentence_pieces import lists
 from linkloom.session import stored
 
 # Characters of text encoded at a time, and kept together as a block.
-SLICE = 1 << 20
+SLICE = 1 << 19
 BLOCK = 1 << 23
 # Pairs of ids that are joined at a time within groups.
 PAIRS = 1 << 22
+# A cuts before a space that stands between two characters that are no white space, whatever these are.
+STRETCH_RE = re.compile(r"(?<=\S)(?= \S)")
+# Stretches a worker remembers; it starts anew beyond that.
+WORDS = 300_000
+LONGEST_WORD = 64
 
 
 def byte_level_alphabet() -> dict[str, int]:
@@ -70,11 +78,12 @@ class Tokenizers:
     def __init__(self, path_a: str, path_b: str):
         # A task has one core.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import sentencepiece
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_file(path_a)
         self.a.encode_special_tokens = True
-        self.b = model(path_b)
+        self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         alphabet = byte_level_alphabet()
         vocabulary = self.a.get_vocab()
         spelled = [b""] * (max(vocabulary.values()) + 1)
@@ -82,18 +91,55 @@ class Tokenizers:
             # Added tokens are not byte-level; they never come out of a text.
             spelled[i] = bytes(alphabet[c] for c in token) if all(c in alphabet for c in token) else b""
         self.pieces_a = Pieces(spelled)
-        self.pieces_b = Pieces(self.b.surface)
-        self.size_a, self.size_b = len(spelled), self.b.size
+        self.size_a, self.size_b = len(spelled), self.b.get_piece_size()
+        self.pieces_b = Pieces([piece_bytes(self.b, i) for i in range(self.size_b)])
+        self.forget()
         # Decimal ids with the mark that follows inside a side and at its end, those of B behind those of A.
         marks = [(range(self.size_a), ",|"), (range(self.size_b), ",;")]
         self.decimals = Pieces([f"{i}{mark}".encode() for ids, pair in marks for mark in pair for i in ids])
 
+    def forget(self) -> None:
+        self.places: dict[str, int] = {}
+        self.found = array("i")
+        self.first = array("q", [0])
+
     def encode_a(self, texts: list[str]) -> pa.ListArray:
-        found = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-        return pa.array(found, type=pa.list_(pa.int32()))
+        """Texts are cut where A always cuts, and the ids of a stretch are remembered."""
+        parts = [STRETCH_RE.split(" " + t) for t in texts]
+        words = [w for part in parts for w in part]
+        if len(self.places) > WORDS:
+            self.forget()
+        new = list({w for w in words if w not in self.places})
+        for word, made in zip(new, self.a.encode_batch_fast(new, add_special_tokens=False)):
+            self.places[word] = len(self.first) - 1
+            self.found.extend(made.ids)
+            self.first.append(len(self.found))
+        at = np.fromiter(map(self.places.__getitem__, words), dtype=np.int64, count=len(words))
+        first, found = np.frombuffer(self.first, dtype=np.int64), np.frombuffer(self.found, dtype=np.int32)
+        sizes = first[at + 1] - first[at]
+        reach = np.concatenate(([0], np.cumsum(sizes)))
+        flat = found[np.repeat(first[at] - reach[:-1], sizes) + np.arange(reach[-1])] if len(words) else np.zeros(0, dtype=np.int32)
+        del first, found
+        for word in new:
+            if len(word) > LONGEST_WORD:
+                del self.places[word]
+        if len(self.found) > 16 * WORDS:
+            self.forget()
+        ends = reach[np.cumsum([len(p) for p in parts])] if parts else np.zeros(0, dtype=np.int64)
+        return lists(flat, np.diff(ends, prepend=0))
 
     def encode_b(self, texts: list[str]) -> pa.ListArray:
-        return lists(*self.b.encode(texts))
+        found = self.b.encode(texts, num_threads=1)
+        sizes = np.array([len(ids) for ids in found], dtype=np.int64)
+        return lists(np.fromiter(chain.from_iterable(found), dtype=np.int32, count=int(sizes.sum())), sizes)
+
+
+def piece_bytes(given, i: int) -> bytes:
+    """Bytes that id ``i`` of a SentencePiece model stands for; none for ids that no text has."""
+    piece = given.id_to_piece(i)
+    if given.is_byte(i):
+        return bytes([int(piece[3:5], 16)])
+    return b"" if given.is_control(i) or given.is_unknown(i) else piece.replace("▁", " ").encode()
 
 
 @lru_cache(maxsize=1)
