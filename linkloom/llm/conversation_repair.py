@@ -10,7 +10,7 @@ Both passes repartition by conversation, sort by turn and carry their state from
 a conversation's length:
 
 1. from the last row to the first, costs to the end of the four states. Each row leaves one byte, the letters of the
-   four states; every ``BLOCK`` bytes these backpointers leave the task as a row of a table in the shared folder. Only
+   four states; every ``BLOCK`` bytes (``size``) these backpointers leave the task as a row of a table in the shared folder. Only
    roles, faults and digests are moved for this, no texts.
 2. from the first row to the last, blocks sorted in front of the rows they belong to: each row's letter is read off for the
    state reached, and the row edited and passed on, or hashed.
@@ -99,7 +99,7 @@ def step(costs: tuple[int, ...], initial: str, fault: int) -> tuple[tuple[int, .
     return tuple(c for c, _ in best), sum(letter << 2 * state for state, (_, letter) in enumerate(best))
 
 
-def plan(marked: DataFrame) -> DataFrame:
+def plan(marked: DataFrame, size: int = BLOCK) -> DataFrame:
     """First pass: the backpointers of each conversation in blocks, and its figures with the block of its first rows."""
 
     def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -130,7 +130,7 @@ def plan(marked: DataFrame) -> DataFrame:
                     conv, going = this, True
                     costs, base, pointers, blocks, last = AT_END, 0, bytearray(), 0, None
                     tally = {"blank": 0, "duplicate": 0, "truncated": 0, "illegal": 0, "turns": 0, "top": at, "low": at, "seen": None}
-                elif len(pointers) == BLOCK:
+                elif len(pointers) == size:
                     block(None)
                     pointers, blocks = bytearray(), blocks + 1
                 initial = role[:1]
@@ -164,9 +164,9 @@ def plan(marked: DataFrame) -> DataFrame:
     return marked.repartition("conv").sortWithinPartitions("conv", *order).mapInPandas(work, schema)
 
 
-def walk(rows: DataFrame, sink: Callable[[], "Sink"], schema: str) -> DataFrame:
+def walk(rows: DataFrame, sink: Callable[[], "Sink"], schema: str, size: int = BLOCK) -> DataFrame:
     """Second pass: rows with the letters planned for them, handed to a sink."""
-    blocks = stored(plan(faults(rows)), "backpointers")
+    blocks = stored(plan(faults(rows), size), "backpointers")
     marked = blocks.select("conv", *KEY, F.lit(0).alias("kind"), "nth", "pointers", "summary", F.lit(None).cast("string").alias("text"))
     given = rows.select(
         "conv",
@@ -282,16 +282,16 @@ class Digests(Sink):
         self.ready.append((self.conv, *(self.figures[k] for k in FIGURES), self.audit.decode(), self.hash.hexdigest()))
 
 
-def repair(rows: DataFrame) -> DataFrame:
+def repair(rows: DataFrame, size: int = BLOCK) -> DataFrame:
     """``conv_id, place, edit, role, text`` of every edit, deleted rows too (edit D), from ``conv_id, turn, role, text``."""
-    made = walk(normal_rows(rows), Rows, "conv string, place long, edit string, role string, text string")
+    made = walk(normal_rows(rows), Rows, "conv string, place long, edit string, role string, text string", size)
     return made.select(F.col("conv").cast(rows.schema["conv_id"].dataType).alias("conv_id"), "place", "edit", "role", "text")
 
 
-def audit(rows: DataFrame) -> DataFrame:
+def audit(rows: DataFrame, size: int = BLOCK) -> DataFrame:
     """Per conversation its faults, the cost and initials of its edits, and the hash of what is left (``role:text`` lines)."""
     numbers = ", ".join(f"{k} long" for k in FIGURES)
-    made = walk(normal_rows(rows), Digests, f"conv string, {numbers}, audit string, repaired_sha256 string")
+    made = walk(normal_rows(rows), Digests, f"conv string, {numbers}, audit string, repaired_sha256 string", size)
     return made.select(F.col("conv").cast(rows.schema["conv_id"].dataType).alias("conv_id"), *made.columns[1:])
 
 
