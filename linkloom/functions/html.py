@@ -1,40 +1,26 @@
 """HTML expressions over a column of page sources.
 
-The default forms are regular expressions and stay inside Spark's JVM operators.
-Tags are read with their quoted attribute values, so a ``>`` or a decoy inside one
-does no harm; all numeric references and all named entities of the standard are decoded.
-``html_to_text_exact`` runs the standard library's HTML parser in Arrow batches.
+Tags, texts and attributes come from one linear pass over a source (``markup``), in Arrow batches; what is made of
+them is Spark's: references (all numeric ones, all named ones of the standard), white space, the choice of blocks.
 """
 
 from __future__ import annotations
 
 import html.entities
 import json
+from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.pandas.types import from_arrow_type
 
+from linkloom.functions import markup
 from linkloom.functions.local import bind
 from linkloom.functions.text import WS, collapse_whitespace, strip
 
-# What may stand in a tag up to its end: anything but quotes, or a quoted value as a whole.
-INSIDE = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
-HIDDEN_RE = r"(?is)<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)|<!--.*?(?:-->|\z)"
-BOILERPLATE_RE = HIDDEN_RE + "".join(
-    rf"|<{tag}\b.*?</{tag}\s*>" for tag in ("nav", "header", "footer", "aside", "form", "noscript")
-)
-# A tag with a quote that never closes ends at the next ``>``.
-TAG_RE = rf"(?s)</?[a-zA-Z!?]{INSIDE}>|</?[a-zA-Z!?][^>]*>"
-BLOCK_RE = (
-    r"(?is)</?(?:p|div|br|li|ul|ol|h[1-6]|tr|td|table|section|article|main|blockquote|pre|dd|dt)(?=[\s/>])"
-    rf"(?:{INSIDE}>|[^>]*>)"
-)
-ANCHOR_RE = rf"(?is)<a(?=[\s/])(?:{INSIDE}>|[^>]*>)"
-ARTICLE_RE = rf"(?is)<article\b{INSIDE}>(.*)</article\s*>"
-BODY_RE = rf"(?is)<body\b{INSIDE}>(.*?)(?:</body\s*>|\z)"
-# Attributes one after the other, each with its value.
-ATTRIBUTE_RE = r"""(?s)([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?"""
+# A block goes when more than this part of its characters is in links; one of fewer characters than ``SHORT`` goes between two such.
+MOST_LINKED = 0.5
+SHORT = 25
 
 # Named entities of the standard, from the standard library's table, with ``;`` where one is needed.
 _NAMED = json.dumps({name: text for name, text in html.entities.html5.items() if name.endswith(";")})
@@ -124,123 +110,65 @@ def unescape(text: Column | str) -> Column:
     return bind(_c(text), decode)
 
 
+def _per_page(read: Callable[[str], object], kind: pa.DataType) -> Callable[[Column | str], Column]:
+    """A column function that reads each page source once, in Arrow batches."""
+
+    def pages(sources: pa.Array) -> pa.Array:
+        return pa.array((None if s is None else read(s) for s in map(pa.StringScalar.as_py, sources)), type=kind)
+
+    pages.__annotations__ = {"sources": pa.Array, "return": pa.Array}
+    return lambda source: F.arrow_udf(pages, from_arrow_type(kind))(_c(source))
+
+
+_TEXT = pa.string()
+_visible = _per_page(markup.visible, _TEXT)
+_blocks = _per_page(markup.blocks, pa.list_(pa.struct([("text", _TEXT), ("chars", pa.int32()), ("linked", pa.int32())])))
+_hrefs = _per_page(markup.hrefs, pa.list_(_TEXT))
+_metadata = _per_page(markup.metadata, pa.struct([(name, _TEXT) for name in ("lang", "title", "description", "keywords")]))
+
+
 def html_to_text(source: Column | str) -> Column:
     """Visible text with tags turned into blanks and whitespace collapsed."""
-    shown = F.regexp_replace(_c(source), HIDDEN_RE, "")
-    return collapse_whitespace(unescape(F.regexp_replace(shown, TAG_RE, " ")))
+    return collapse_whitespace(unescape(_visible(source)))
 
 
 def main_text(source: Column | str) -> Column:
-    """Main content: ``<article>``, else ``<body>``, one line per block; null if empty."""
-    kept = F.regexp_replace(_c(source), BOILERPLATE_RE, "")
-
-    scopes = bind(
-        kept,
-        lambda page: F.struct(
-            F.regexp_extract(page, ARTICLE_RE, 1).alias("article"),
-            F.regexp_extract(page, BODY_RE, 1).alias("body"),
-            page.alias("page"),
-        ),
-    )
-    scope = bind(
-        scopes,
-        lambda s: F.when(F.length(s["article"]) > 0, s["article"])
-        .when(F.length(s["body"]) > 0, s["body"])
-        .otherwise(s["page"]),
-    )
-    # Source line ends are blanks in HTML; only block tags start a new line.
-    flat = F.regexp_replace(scope, rf"{WS}+", " ")
-    lines = F.regexp_replace(F.regexp_replace(flat, BLOCK_RE, "\n"), TAG_RE, "")
-    tidy = F.regexp_replace(unescape(lines), rf"{WS}*\n{WS}*", "\n")
-    return bind(strip(tidy), lambda t: F.nullif(t, F.lit("")))
+    """Main content, one line per block: of ``<article>``, else of ``<body>``, without navigation, forms and the like and
+    without blocks that are mostly links; null if empty."""
 
+    def is_list(block: Column) -> Column:
+        return F.coalesce(block["linked"] > MOST_LINKED * block["chars"], F.lit(False))
 
-def attribute(tag: Column, name: str) -> Column:
-    """Value of the first attribute of that name in one tag's source; empty when absent."""
+    def kept(found: Column) -> Column:
+        def stays(block: Column, i: Column) -> Column:
+            between = (i > 0) & is_list(F.get(found, i - 1)) & is_list(F.get(found, i + 1))
+            return ~is_list(block) & ~((block["chars"] < SHORT) & between)
 
-    def first(body: Column) -> Column:
-        names = F.regexp_extract_all(body, F.lit(ATTRIBUTE_RE), F.lit(1))
-        values = F.regexp_extract_all(body, F.lit(ATTRIBUTE_RE), F.lit(2))
-        found = F.array_position(F.transform(names, lambda n: F.lower(n)), F.lit(name))
-        value = F.when(found > 0, F.get(values, found.cast("int") - 1)).otherwise(F.lit(""))
-        return F.regexp_replace(value, r"""^["']|["']$""", "")
+        return F.array_join(F.transform(F.filter(found, stays), lambda block: block["text"]), "\n")
 
-    # Without the bracket and the tag's own name.
-    return bind(F.regexp_replace(tag, r"^<[^\s/>]*|/?>$", ""), first)
+    tidy = F.regexp_replace(unescape(bind(_blocks(source), kept)), rf"{WS}*\n{WS}*", "\n")
+    return bind(strip(tidy), lambda t: F.nullif(t, F.lit("")))
 
 
 def hrefs(source: Column | str) -> Column:
-    """Link targets of a page, each once, as written in its source."""
-    shown = F.regexp_replace(_c(source), HIDDEN_RE, "")
-    tags = F.regexp_extract_all(shown, F.lit(ANCHOR_RE), F.lit(0))
-    hinted = F.filter(tags, lambda tag: F.regexp_like(tag, F.lit(r"(?i)href\s*=")))
-    found = F.transform(hinted, lambda tag: attribute(tag, "href"))
-    return F.array_distinct(F.transform(F.filter(found, lambda h: h != ""), unescape))
-
-
-def _meta_content(source: Column, name: str) -> Column:
-    tags = F.regexp_extract_all(source, F.lit(rf"(?is)<meta(?=[\s/]){INSIDE}>"), F.lit(0))
-    own = F.filter(tags, lambda tag: F.lower(attribute(tag, "name")) == name)
-    content = bind(F.coalesce(F.get(own, F.lit(0)), F.lit("")), lambda tag: attribute(tag, "content"))
-    return F.nullif(unescape(content), F.lit(""))
+    """Link targets of a page, each once, as its source means them."""
+    return F.array_distinct(F.transform(_hrefs(source), unescape))
 
 
 def page_metadata(source: Column | str, headers: Column | None = None) -> Column:
     """Language, title, description and keywords of a page; null without ``<html>``."""
-    html = _c(source)
-    root = F.regexp_extract(html, rf"(?is)<html\b{INSIDE}>", 0)
-    title = F.regexp_extract(html, r"(?is)<title\b[^>]*>(.*?)</title", 1)
-    has_title = F.regexp_like(html, F.lit(r"(?is)<title\b"))
     header = F.try_element_at(headers, F.lit("Content-Language")) if headers is not None else F.lit(None).cast("string")
-    return F.when(
-        root != "",
-        F.struct(
-            F.nullif(attribute(root, "lang"), F.lit("")).alias("content_language"),
-            header.alias("content_language_header"),
-            F.when(has_title, strip(unescape(title))).alias("title"),
-            _meta_content(html, "description").alias("description"),
-            _meta_content(html, "keywords").alias("keywords"),
-        ),
-    )
-
-
-def _text_parser():
-    """Parser function, self-contained so that tasks need no import of this package."""
-    from html.parser import HTMLParser
-
-    class TextCollector(HTMLParser):
-        def __init__(self) -> None:
-            super().__init__(convert_charrefs=True)
-            self.pieces: list[str] = []
-            self.hidden = 0
-
-        def handle_starttag(self, tag, attrs):
-            self.hidden += tag in ("script", "style")
-
-        def handle_endtag(self, tag):
-            if tag in ("script", "style") and self.hidden:
-                self.hidden -= 1
 
-        def handle_data(self, data):
-            if not self.hidden:
-                self.pieces.append(data)
-
-    def text_of(source):
-        if source is None:
-            return None
-        collector = TextCollector()
-        collector.feed(source)
-        collector.close()
-        return " ".join(" ".join(collector.pieces).split())
-
-    return text_of
-
-
-def html_to_text_exact(source: Column | str) -> Column:
-    """``html_to_text`` through a real parser, with every entity decoded."""
-    text_of = _text_parser()
-
-    def batch(sources: pd.Series) -> pd.Series:
-        return sources.map(text_of)
+    def read(m: Column) -> Column:
+        return F.when(
+            m.isNotNull(),
+            F.struct(
+                F.nullif(m["lang"], F.lit("")).alias("content_language"),
+                header.alias("content_language_header"),
+                strip(unescape(m["title"])).alias("title"),
+                F.nullif(unescape(m["description"]), F.lit("")).alias("description"),
+                F.nullif(unescape(m["keywords"]), F.lit("")).alias("keywords"),
+            ),
+        )
 
-    return F.pandas_udf(batch, StringType())(_c(source))
+    return bind(_metadata(source), read)

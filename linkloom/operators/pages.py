@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from linkloom.functions import html as H
 from linkloom.functions import urls
@@ -12,13 +12,11 @@ from linkloom.functions.local import bind, work_out
 TEXT_OF = {"main": H.main_text, "stripped": H.html_to_text}
 
 
-def _link_structs(url: str, html: str):
+def _link_structs(url: str, hrefs: Column) -> Column:
     base = F.col(url)
 
     def resolved(parts):
-        return F.transform(
-            H.hrefs(html), lambda href: F.struct(href.alias("href"), urls.resolve_against(base, parts, href).alias("dst"))
-        )
+        return F.transform(hrefs, lambda href: F.struct(href.alias("href"), urls.resolve_against(base, parts, href).alias("dst")))
 
     return bind(urls.split_base(base), resolved)
 
@@ -26,14 +24,17 @@ def _link_structs(url: str, html: str):
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """Edges (src, href, dst) of the link graph; one row per distinct target as written."""
     # Resolved before the explode: what a generator gives out is never worked out twice.
-    links = pages.select(F.col(url).alias("src"), F.inline(_link_structs(url, html)))
+    read = work_out(pages.select(F.col(url).alias("src"), F.col(html).alias("html")), "hrefs", H.hrefs("html"))
+    links = read.select("src", F.inline(_link_structs("src", F.col("hrefs"))))
     return links.select("src", "href", "dst")
 
 
 def parse_pages(pages: DataFrame, url: str = "url", html: str = "html", source: str = "main") -> DataFrame:
     """(link, text, links): text and link targets of each page in one pass over its source."""
-    links = F.array_distinct(F.transform(_link_structs(url, html), lambda link: link["dst"]))
-    return pages.select(F.col(url).alias("link"), TEXT_OF[source](html).alias("text"), links.alias("links"))
+    read = pages.select(F.col(url).alias("link"), F.struct(TEXT_OF[source](html).alias("text"), H.hrefs(html).alias("hrefs")).alias("read"))
+    made = work_out(read, "page", F.col("read"))
+    links = F.array_distinct(F.transform(_link_structs("link", F.col("page.hrefs")), lambda link: link["dst"]))
+    return made.select("link", F.col("page.text").alias("text"), links.alias("links"))
 
 
 def page_texts(pages: DataFrame, url: str = "url", html: str = "html", source: str = "main") -> DataFrame:
