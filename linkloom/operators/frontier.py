@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from linkloom.constants import GROWTH_FACTOR, MAX_PAGES, MAX_URL_LENGTH
 from linkloom.functions import urls
 from linkloom.operators.filters import same_site_hosts
+from linkloom.operators.pages import parse_pages
+from linkloom.operators.sieve import sift
 from linkloom.session import shared_path, stored
 
 
@@ -19,15 +21,20 @@ class Crawl:
     all_links: DataFrame
 
 
-def site_pages(pages: DataFrame, seeds: DataFrame) -> DataFrame:
-    """Pages on the seeds' sites: the only ones a crawl can open.
+def site_hosts(pages: DataFrame, seeds: DataFrame) -> DataFrame:
+    """(page_host): hosts of pages on the seeds' sites, found on the URL column alone."""
+    hosts = pages.select(urls.netloc("url").alias("page_host"))
+    return same_site_hosts(hosts, seeds.select(urls.netloc("url").alias("seed_host")), [], "page_host", "seed_host")
+
 
-    Found on the URL column alone, so the HTML of other sites is never parsed.
+def parsed_site_pages(pages: DataFrame, seeds: DataFrame, source: str = "main") -> DataFrame:
+    """(link, text, links) of the pages on the seeds' sites: the only ones a crawl can open.
+
+    The HTML of other sites is dropped where it lies, and that of these sites is parsed there; only texts and links are joined.
     """
-    hosted = pages.withColumn("page_host", urls.netloc("url"))
-    hosts = pages.select(urls.netloc("url").alias("page_host"))
-    allowed = same_site_hosts(hosts, seeds.select(urls.netloc("url").alias("seed_host")), [], "page_host", "seed_host")
-    return hosted.join(allowed, "page_host", "left_semi").select(*pages.columns)
+    hosts = site_hosts(pages, seeds).distinct()
+    parsed = parse_pages(sift(pages.select("url", "html"), urls.netloc("url"), hosts), source=source)
+    return parsed.withColumn("page_host", urls.netloc("link")).join(hosts, "page_host").select(*parsed.columns)
 
 
 def reachable_edges(edges: DataFrame, seeds: DataFrame, keys: list[str], max_length: int = MAX_URL_LENGTH) -> DataFrame:

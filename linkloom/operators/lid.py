@@ -23,7 +23,7 @@ from linkloom.functions.labels import extract_label
 from linkloom.functions.local import work_out
 from linkloom.functions.text import char_ngrams, drop_newlines
 from linkloom.operators.filters import exclude_labels, language_gate
-from linkloom.operators.pages import page_texts, wanted_pages
+from linkloom.operators.pages import wanted_texts
 from linkloom.session import row_count_within, stored
 
 GRAM = 3
@@ -266,7 +266,7 @@ def scored_pages(links: DataFrame, pages: DataFrame, predictor: Predictor, sourc
     """
     wanted = links.select("link").distinct()
     # Pages that are parsed already come with their text.
-    texts = pages.join(wanted, "link", "left_semi") if "text" in pages.columns else page_texts(wanted_pages(pages, wanted), source=source)
+    texts = pages.join(wanted, "link", "left_semi") if "text" in pages.columns else wanted_texts(pages, wanted, source=source)
     tagged = tag_language(texts.select("link", "text"), predictor, **options)
     return stored(tagged.withColumn("page_no", F.monotonically_increasing_id()), "scored")
 

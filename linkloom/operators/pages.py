@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from linkloom.functions import html as H
 from linkloom.functions import urls
 from linkloom.functions.local import bind, work_out
+from linkloom.operators.sieve import sift
 
 
 TEXT_OF = {"main": H.main_text, "stripped": H.html_to_text}
@@ -49,13 +50,17 @@ def page_metadata(pages: DataFrame, url: str = "url", html: str = "html", header
     return pages.select(url, H.page_metadata(html, column).alias("m")).select(url, "m.*")
 
 
-def wanted_pages(pages: DataFrame, links: DataFrame, link: str = "link") -> DataFrame:
-    """(url, html) of the pages that ``links`` names, so that parsing grows with the links asked for."""
-    wanted = links.select(F.col(link).alias("url")).distinct()
-    return pages.select("url", "html").join(wanted, "url", "left_semi")
+def wanted_texts(pages: DataFrame, links: DataFrame, link: str = "link", source: str = "main") -> DataFrame:
+    """(link, text) of the pages that ``links`` names.
+
+    Pages are sifted and parsed where they lie; their sources are never moved, and parsing grows with the links asked for.
+    """
+    wanted = links.select(F.col(link).alias("link")).distinct()
+    # An inner join: the optimizer would push a semi join down to the page sources.
+    return page_texts(sift(pages.select("url", "html"), "url", wanted), source=source).join(wanted, "link")
 
 
 def scrape_links(links: DataFrame, pages: DataFrame, link: str = "link", source: str = "main") -> DataFrame:
     """Add the text of each link's page; null for a link that was not fetched."""
-    texts = page_texts(wanted_pages(pages, links, link), source=source).withColumnRenamed("link", link)
+    texts = wanted_texts(pages, links, link, source).withColumnRenamed("link", link)
     return links.join(texts, link, "left")

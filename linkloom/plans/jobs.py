@@ -21,7 +21,7 @@ from linkloom.constants import (
     SITE_CONFIDENCE,
     SITE_INFO,
 )
-from linkloom.operators import filters, frontier, lid, lm, lookups, pages as page_ops, robots, sampling, sets, sites
+from linkloom.operators import filters, frontier, lid, lm, lookups, robots, sampling, sets, sites
 from linkloom.session import stored
 from linkloom.sinks import files
 from linkloom.sources import seeds as seed_sources
@@ -81,7 +81,7 @@ def expand_seeds(
     allowed = filters.blocklist_filter(valid, blocklist)
     seeds = stored(filters.seed_gate(allowed, minimum).select("lid_label", F.col("link").alias("url")), "seeds")
     # Each page of the seeds' sites is parsed once, for its links and its text, whatever the number of levels and labels.
-    parsed = stored(page_ops.parse_pages(frontier.site_pages(pages, seeds), source=source), "parsed")
+    parsed = stored(frontier.parsed_site_pages(pages, seeds, source), "parsed")
     edges = parsed.select(F.col("link").alias("src"), F.explode("links").alias("dst"))
     crawl = frontier.crawl(seeds, edges, ["lid_label"], max_pages, growth_factor, max_url_length)
     links = stored(crawl.all_links.withColumnRenamed("url", "link"), "links")

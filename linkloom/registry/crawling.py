@@ -109,7 +109,7 @@ def one_hop_links(spark, sf_dir):
 
 
 # Link graph over the documents: a document links to its neighbours and to two farther ones, and
-# to itself where its length is even. Seeds are the documents of one source. Each language is a site.
+# to itself where its length is even. Seeds are the first documents of all sources. Each language is a site.
 BUDGET, FACTOR = 60, 1.0
 
 
@@ -121,7 +121,8 @@ def _graph(spark, sf_dir):
     targets = F.array(i + 1, i * 2 + 1, i * 2 + 2, i * 5 + 3, F.when(F.col("n_chars") % 2 == 0, i))
     steps = docs.select(url(F.col("lang"), i).alias("src"), F.explode(targets).alias("doc_id"))
     edges = steps.join(nodes.withColumnRenamed("url", "dst"), "doc_id").select("src", "dst")
-    seeds = docs.filter(F.col("source") == "src0").select(label_of(F.col("lang")).alias("lid_label"), url(F.col("lang"), i).alias("url"))
+    first = docs.groupBy("lang", "source").agg(F.min("doc_id").alias("doc_id"))
+    seeds = first.select(label_of(F.col("lang")).alias("lid_label"), url(F.col("lang"), i).alias("url"))
     return seeds, edges
 
 
@@ -130,7 +131,8 @@ SQL_CRAWL = f"""steps AS (SELECT {_URL.format('d')} AS src, unnest([doc_id + 1,
     CASE WHEN n_chars % 2 = 0 THEN doc_id END]) AS t, lang FROM documents d),
   edges AS (SELECT DISTINCT src, {_URL.format('n')} AS dst, {sql_label('n.lang')} AS lid_label
     FROM steps s JOIN documents n ON n.doc_id = s.t AND n.lang = s.lang),
-  starts AS (SELECT DISTINCT {sql_label('d.lang')} AS lid_label, {_URL.format('d')} AS url FROM documents d WHERE source = 'src0'),
+  starts AS (SELECT DISTINCT {sql_label('d.lang')} AS lid_label, {_URL.format('d')} AS url
+    FROM (SELECT lang, source, min(doc_id) AS doc_id FROM documents GROUP BY lang, source) d),
   bfs(lid_label, url, depth, parent_rank, rank) USING KEY (lid_label, url) AS (
     SELECT * FROM (SELECT lid_label, url, 0 AS depth, 0 AS parent_rank,
       CAST(row_number() OVER (PARTITION BY lid_label ORDER BY url) AS INTEGER) AS rank FROM starts) WHERE rank <= {BUDGET}

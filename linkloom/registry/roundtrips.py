@@ -248,17 +248,6 @@ def exclude_with_null(spark, sf_dir):
     return filters.exclude_labels(seed_table(spark, sf_dir).select("ord", "predicted_lid"), ["eng_Latn", None])
 
 
-@query(
-    "same_site_per_seed",
-    f"""WITH {SQL_SEEDS}, s AS (SELECT ord AS seed_id, {sql_netloc('link')} AS host FROM seeds WHERE lid_confidence > 0.7 AND ord % 2 = 0),
-    t AS (SELECT page_id, url, {sql_netloc('url')} AS host FROM pages)
-    SELECT seed_id, page_id, url AS link FROM t JOIN s ON ends_with(t.host, s.host)""",
-)
-def same_site_per_seed(spark, sf_dir):
-    seeds = filters.seed_gate(seed_table(spark, sf_dir)).filter("ord % 2 = 0").select(F.col("ord").alias("seed_id"), F.col("link").alias("seed_url"))
-    return _same_site(spark, sf_dir, seeds)
-
-
 @query(
     "same_site_every_seed",
     f"""WITH {SQL_SEEDS}, s AS (SELECT ord AS seed_id, {sql_netloc('link')} AS host FROM seeds WHERE lid_confidence > 0.7),
@@ -266,7 +255,6 @@ def same_site_per_seed(spark, sf_dir):
     SELECT seed_id, page_id, url AS link FROM t JOIN s ON ends_with(t.host, s.host)""",
 )
 def same_site_every_seed(spark, sf_dir):
-    """All gated seeds; ``same_site_per_seed`` and its twin take those with an even id."""
     seeds = filters.seed_gate(seed_table(spark, sf_dir)).select(F.col("ord").alias("seed_id"), F.col("link").alias("seed_url"))
     return _same_site(spark, sf_dir, seeds)
 
@@ -295,9 +283,10 @@ def concatenate(spark, sf_dir):
     return sets.concatenate(*crawling._lists(spark, sf_dir))
 
 
-# Each seed crawled alone.
+# Each document crawled alone.
+_STARTS = crawling.SQL_CRAWL[crawling.SQL_CRAWL.index("  starts AS ") : crawling.SQL_CRAWL.index("  bfs(")]
 _PER_SEED = (
-    crawling.SQL_CRAWL.replace(f"starts AS (SELECT DISTINCT {sql_label('d.lang')} AS lid_label", "starts AS (SELECT DISTINCT d.doc_id AS lid_label")
+    crawling.SQL_CRAWL.replace(_STARTS, f"  starts AS (SELECT DISTINCT doc_id AS lid_label, {crawling._URL.format('d')} AS url FROM documents d),\n")
     .replace(" AND e.lid_label = b.lid_label", "")
     .replace(f"<= {crawling.BUDGET}", "<= 12")
 )
@@ -306,7 +295,7 @@ _PER_SEED = (
 @query("crawl_per_seed", f"WITH RECURSIVE {_PER_SEED} SELECT lid_label AS seed_id, url, depth, rank FROM bfs")
 def crawl_per_seed(spark, sf_dir):
     _, edges = crawling._graph(spark, sf_dir)
-    docs = table(spark, sf_dir, "documents").filter("source = 'src0'")
+    docs = table(spark, sf_dir, "documents")
     url = F.concat(F.lit("http://"), "lang", F.lit(".example.org/"), F.col("doc_id").cast("string"))
     seeds = docs.select(F.col("doc_id").alias("seed_id"), url.alias("url"))
     done = frontier.crawl(seeds, edges, ["seed_id"], max_pages=12, growth_factor=None, seeds_are_links=False)

@@ -70,3 +70,47 @@ def test_per_seed_crawl_and_one_hop(spark):
     assert {tuple(r) for r in done.all_links.collect()} == {(1, "http://a.org/x"), (1, "http://a.org/y")}
     hop = frontier.one_hop_links(seeds, edges, ["seed_id"])
     assert {tuple(r) for r in hop.collect()} == {(1, "http://a.org/x")}
+
+
+def test_page_sources_are_never_moved(spark):
+    """Links and pages too large to be sent around: texts and links are exchanged, HTML is not; same rows."""
+    from pyspark.sql import functions as F
+
+    from linkloom.functions import html as H
+    from linkloom.operators import pages as page_ops
+
+    stored = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    links = stored.where("page_id % 3 = 0").select(F.col("url").alias("link"), "page_id")
+    seeds = stored.where("page_id < 5").select("url")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for made in (page_ops.scrape_links(links, stored), frontier.parsed_site_pages(stored, seeds)):
+            assert "html" in made._jdf.queryExecution().optimizedPlan().toString()
+            assert not moved(made._jdf.queryExecution().executedPlan())
+        got = {tuple(r) for r in page_ops.scrape_links(links, stored).select("link", "text").collect()}
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    want = stored.where("page_id % 3 = 0").select("url", H.main_text("html"))
+    assert got == {tuple(r) for r in want.collect()}
+
+
+def moved(plan):
+    """Whether an exchange has the page source among its columns."""
+    held = plan.children()
+    below = [held.apply(i) for i in range(held.size())]
+    if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        below = [plan.executedPlan()]
+    own = "Exchange" in plan.getClass().getSimpleName() and "html#" in plan.output().toString()
+    return own or any(moved(p) for p in below)
+
+
+def test_sift_keeps_all_that_is_asked_for(spark):
+    from pyspark.sql import functions as F
+
+    from linkloom.operators.sieve import sift
+
+    rows = spark.range(20000).select(F.concat(F.lit("u"), "id").alias("url"), "id").union(spark.createDataFrame([(None, -1)], "url string, id long"))
+    asked = spark.range(0, 20000, 40).select(F.concat(F.lit("u"), "id")).union(spark.createDataFrame([(None,), ("other",)], "x string"))
+    kept = {r.id for r in sift(rows, "url", asked).collect()}
+    assert set(range(0, 20000, 40)) <= kept and len(kept) < 600 and -1 not in kept
+    assert sift(rows, "url", asked.limit(0)).count() == 0
