@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from linkloom.constants import MAX_URL_LENGTH, MIN_CONFIDENCE
 from linkloom.functions import urls
@@ -31,8 +33,8 @@ def is_blocked(link: Column | str, entries: list[str]) -> Column:
 def blocklist_filter(df: DataFrame, entries: list[str] | DataFrame, link: str = "link") -> DataFrame:
     """Keep rows with a link that no entry is part of.
 
-    A short list becomes a narrow, shuffle-free filter; a table (entry) or a longer
-    list is joined, with the same result.
+    A short list becomes a chain of tests; a table (entry) or a longer list becomes automata or is joined, with the same
+    result.
     """
     if isinstance(entries, list):
         if len(entries) <= LITERAL_LIMIT:
@@ -49,17 +51,70 @@ def _distinct_runs(text: Column, n: int) -> Column:
     return F.when(last >= 1, F.array_distinct(runs)).otherwise(F.array().cast("array<string>"))
 
 
+# Entries of one automaton, and characters in all of them; automata that are sent to tasks for one list.
+AUTOMATON_ENTRIES = 50_000
+AUTOMATON_CHARS = 2_000_000
+AUTOMATA = 16
+_automata: dict[int, object] = {}
+
+
 def blocklist_antijoin(df: DataFrame, blocklist: DataFrame, link: str = "link", entry: str = "entry") -> DataFrame:
-    """``blocklist_filter`` for a blocklist too long for literals, as equi-joins.
+    """``blocklist_filter`` for a blocklist too long for literals.
 
-    Each entry is filed under one of its character runs (the one with the least
-    hash, which spreads entries with a common start); each distinct link is
-    looked up under all of its runs and the candidates are verified.
+    The list is split by hash into automata of bounded size (Aho-Corasick), each sent to the tasks, where a link is read once by
+    each: rows are neither exploded nor moved. A list too large for ``AUTOMATA`` of them is met by equi-joins instead,
+    with the same result.
     """
-    # Stored, its size is known: a small list is looked up in each task and no run of a link is shuffled.
     named = blocklist.select(F.trim(entry).alias("__entry")).filter(F.length("__entry") > 0).distinct()
     entries = stored(named, "blocklist")
+    n, chars = entries.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("__entry")), F.lit(0))).first()
     rows = df.filter(F.col(link).isNotNull())
+    # Parts by hash differ in size; two thirds of the bound leave room for that.
+    parts = max(-(-3 * n // (2 * AUTOMATON_ENTRIES)), -(-3 * chars // (2 * AUTOMATON_CHARS)))
+    if parts > AUTOMATA:
+        return _antijoin_by_runs(rows, entries, link)
+    for part in range(parts):
+        some = entries if parts == 1 else entries.filter(F.pmod(F.xxhash64("__entry"), F.lit(parts)) == part)
+        listed = [r[0] for r in some.collect()]
+        rows = rows.filter(~_holds_any(F.col(link), listed)) if listed else rows
+    return rows
+
+
+def _holds_any(text: Column, entries: list[str]) -> Column:
+    """Whether one of a bounded list of entries is part of the text."""
+    sent = SparkSession.active().sparkContext.broadcast(entries)
+    name = uuid.uuid4().hex
+
+    @F.arrow_udf("boolean")
+    def holds(texts: pa.Array) -> pa.Array:
+        found = _automaton(name, sent)
+        return pa.array([t is not None and next(found.iter(t), None) is not None for t in texts.to_pylist()], pa.bool_())
+
+    return holds(text)
+
+
+def _automaton(name: str, sent):
+    """The automaton of a list, made once in each worker, which keeps those of one filter."""
+    import ahocorasick
+
+    if name not in _automata:
+        made = ahocorasick.Automaton()
+        for entry in sent.value:
+            made.add_word(entry, True)
+        made.make_automaton()
+        while len(_automata) >= AUTOMATA:
+            del _automata[next(iter(_automata))]
+        _automata[name] = made
+    return _automata[name]
+
+
+def _antijoin_by_runs(rows: DataFrame, entries: DataFrame, link: str) -> DataFrame:
+    """The filter as equi-joins.
+
+    Each entry is filed under one of its character runs (the one with the least
+    hash, which spreads entries with a common start); each distinct link is
+    looked up under all of its runs and the candidates are verified.
+    """
     distinct_links = rows.select(F.col(link).alias("__link")).distinct()
 
     def candidates(size: int, part: DataFrame) -> DataFrame:

@@ -128,6 +128,18 @@ def blocklist_antijoin(spark, sf_dir):
     return filters.blocklist_antijoin(link_table(spark, sf_dir).select("ord", "link"), entries)
 
 
+@query(
+    "blocklist_words",
+    f"""WITH {SQL_LINKS}, words AS (SELECT DISTINCT unnest(regexp_extract_all(text, '[A-Za-z]{{8,}}')) AS entry FROM documents)
+    SELECT ord, link FROM links WHERE {_NOT_BLOCKED.format('link').replace('blocklist', 'words')}""",
+)
+def blocklist_words(spark, sf_dir):
+    """A list as long as the corpus has words of eight letters and more."""
+    words = F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]{8,}"), F.lit(0)))
+    entries = table(spark, sf_dir, "documents").select(words.alias("entry")).distinct()
+    return filters.blocklist_filter(link_table(spark, sf_dir).select("ord", "link"), entries)
+
+
 @query(
     "metadata_blocklist",
     f"""WITH {SQL_LINKS}, {SQL_BLOCKLIST}, metadata AS (

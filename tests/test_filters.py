@@ -35,6 +35,30 @@ def test_antijoin_equals_filter(spark):
     assert got == [i for i, u in enumerate(links) if not any(e and e in u for e in entries)]
 
 
+@pytest.mark.parametrize("entries_each,automata", [(50_000, 16), (5, 64), (5, 1)])
+def test_long_lists_equal_the_literal_filter(spark, monkeypatch, entries_each, automata):
+    """One automaton, many small ones, and joins where there would be too many."""
+    monkeypatch.setattr(filters, "AUTOMATON_ENTRIES", entries_each)
+    monkeypatch.setattr(filters, "AUTOMATA", automata)
+    rnd = random.Random(7)
+    word = lambda n: "".join(rnd.choice("abcdé/.") for _ in range(n))
+    links = [word(rnd.randint(0, 40)) for _ in range(500)] + ["", None, "a" * 5000]
+    for n in (1, 30, 90):
+        entries = [word(rnd.choice([2, 3, 4, 6, 9, 12])) for _ in range(n)] + [" ", "", None]
+        got = filters.blocklist_antijoin(_links(spark, links), spark.createDataFrame([(e,) for e in entries], "entry string"))
+        kept = [e.strip(" ") for e in entries if e and e.strip(" ")]
+        assert sorted(r.ord for r in got.collect()) == [i for i, u in enumerate(links) if u is not None and not any(e in u for e in kept)]
+
+
+def test_a_hundred_thousand_entries_move_no_row(spark):
+    entries = spark.range(100_000).select(F.concat(F.lit("site-"), F.format_string("%06d", "id"), F.lit(".")).alias("entry"))
+    links = spark.range(20_000).select("id", F.concat(F.lit("http://site-"), F.format_string("%06d", F.col("id") * 20), F.lit(".org/")).alias("link"))
+    kept = filters.blocklist_filter(links, entries)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Generate" not in plan
+    assert kept.count() == 15_000 and kept.agg(F.min("id")).first()[0] == 5_000
+
+
 def test_split_blocklist_filters_in_steps(spark):
     df = _links(spark, [f"http://{e}/x" for e in BLOCKLIST] + ["http://b.org/"])
     a, b = list(BLOCKLIST[:40]), list(BLOCKLIST[40:])
