@@ -10,9 +10,10 @@ length is the sum of its bytes' costs; the language with the least is predicted,
 is its share of the probability, 2 ** -length, among all languages.
 
 Training takes a bounded sample, ``TRAIN_BYTES`` for each language, of whole texts in hash order;
-contexts met fewer than ``LEAST_COUNT`` times are dropped, and of the rest the most frequent that
-fit a table of ``TABLE_CELLS`` costs stay, so the model sent to tasks has a fixed size bound.
-Every text is scored whole.
+contexts met fewer than ``LEAST_COUNT`` times are dropped. Languages are modelled in groups of ``GROUP``, with a table of
+``TABLE_CELLS`` costs at most for each group, built in a task of its own, so what a language knows does not depend on how
+many there are. A batch of texts is scored by one group after the other, with one group's table in
+memory at a time. Every text is scored whole.
 
 Defined cases: a null text or one without a letter is ``und`` with score 0; rows with null
 language or text are never trained on; repeated rows are scored alike; ties go to the language
@@ -21,19 +22,26 @@ first in order; without any training row all texts are ``und``; further columns
 
 from __future__ import annotations
 
+import json
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from linkloom.session import row_count_within, stored
+
 # Longest context in bytes.
 ORDER = 4
 # Bytes of text that a language is trained on at most, beyond the last whole text.
 TRAIN_BYTES = 3_000_000
 LEAST_COUNT = 4
-# Costs in the model: contexts x byte classes x languages, four bytes each.
+# Languages in a group, and costs in its table: contexts x byte classes x languages, four bytes each.
+GROUP = 4
 TABLE_CELLS = 12_000_000
+# Languages up to which their totals are sent to all tasks.
+SENT_LANGUAGES = 10_000
 # Bytes scored at a time.
 CHUNK = 1 << 20
 # Costs are whole numbers of this part of a bit, so that sums are exact in any order.
@@ -50,9 +58,10 @@ def training_sample(docs: DataFrame, text: str, label: str, id: str, train_bytes
     # A first cut by hash range, sized from the totals, keeps large languages out of one task.
     rows = rows.withColumn("size", F.octet_length("text").cast("long"))
     totals = rows.groupBy("lang").agg(F.sum("size").alias("total"), F.max("size").alias("most"))
-    # One row for each language, and the model holds all languages anyway.
+    totals = stored(totals, "language_totals")
+    sent = F.broadcast(totals) if row_count_within(totals, SENT_LANGUAGES) is not None else totals
     share = (F.lit(4.0 * train_bytes) + F.col("most")) / F.col("total")
-    cut = rows.join(F.broadcast(totals), "lang").where(F.pmod("key", F.lit(1 << 20)) <= share * (1 << 20))
+    cut = rows.join(sent, "lang").where(F.pmod("key", F.lit(1 << 20)) <= share * (1 << 20))
     before = F.sum("size").over(
         Window.partitionBy("lang").orderBy("key", "text").rowsBetween(Window.unboundedPreceding, -1)
     )
@@ -209,6 +218,29 @@ def _costs(table: np.ndarray, parent: np.ndarray, nodes: np.ndarray, order: int)
     return bits
 
 
+class Models:
+    """Models of all languages in groups, each sent to the tasks by itself."""
+
+    def __init__(self, groups: list, unmet: dict[str, float]):
+        self.groups, self.unmet = groups, unmet
+
+    def unmet_bits(self) -> dict[str, float]:
+        """Bits of a byte that training never met, under each language."""
+        return self.unmet
+
+    def code_lengths(self, texts: list[bytes]) -> tuple[list[str], np.ndarray]:
+        """Languages, and the bits of each text under each."""
+        langs, bits = [], []
+        for sent in self.groups:
+            group = sent.value
+            langs += group.langs
+            bits.append(group.code_lengths(texts))
+            if len(self.groups) > 1:
+                # The next batch reads it from the executor's disk again: one group is in memory at a time.
+                vars(sent).pop("_value", None)
+        return langs, np.concatenate(bits, axis=1)
+
+
 def train(
     docs: DataFrame,
     text: str = "text",
@@ -218,57 +250,62 @@ def train(
     train_bytes: int = TRAIN_BYTES,
     least: int = LEAST_COUNT,
     cells: int = TABLE_CELLS,
-) -> Model | None:
-    """Fit on the bounded sample; contexts are counted in one task for each language."""
-
-    def counted(rows: pd.DataFrame) -> pd.DataFrame:
-        texts = [t.encode() for t in sorted(rows["text"])]
-        found = count_contexts(texts, order)
-        # Beyond the unigrams, contexts under the least count are never kept.
-        out = []
-        for k, (grams, n) in enumerate(found):
-            if k:
+    group: int = GROUP,
+) -> Models | None:
+    """Fit on the bounded sample: one task counts the contexts of a group of languages and works out its costs."""
+
+    def fitted(rows: pd.DataFrame) -> pd.DataFrame:
+        counts = {}
+        for lang, own in rows.groupby("lang"):
+            found = count_contexts([t.encode() for t in sorted(own["text"])], order)
+            # Beyond the unigrams, contexts under the least count are never kept.
+            for k in range(1, len(found)):
+                grams, n = found[k]
                 _, first, inverse = np.unique(grams >> np.uint64(8), return_index=True, return_inverse=True)
                 enough = np.add.reduceat(n, first)[inverse] >= least if len(grams) else np.zeros(0, bool)
-                grams, n = grams[enough], n[enough]
-            out.append((rows["lang"].iloc[0], k, grams.tobytes(), n.astype(np.int64).tobytes()))
-        return pd.DataFrame(out, columns=["lang", "k", "grams", "n"])
-
-    sample = training_sample(docs, text, label, id, train_bytes)
-    found = sample.groupBy("lang").applyInPandas(counted, "lang string, k int, grams binary, n binary").collect()
-    if not found:
-        return None
-    counts: dict[str, list] = {}
-    for row in sorted(found, key=lambda r: (r["lang"], r["k"])):
-        pair = np.frombuffer(row["grams"], dtype=np.uint64), np.frombuffer(row["n"], dtype=np.int64)
-        counts.setdefault(row["lang"], []).append(pair)
-    return build(counts, order, least, cells)
+                found[k] = grams[enough], n[enough]
+            counts[lang] = found
+        made = build(counts, order, least, cells)
+        return pd.DataFrame([(int(rows["part"].iloc[0]), pickle.dumps(made), json.dumps(made.unmet_bits()))], columns=["part", "model", "unmet"])
+
+    sample = stored(training_sample(docs, text, label, id, train_bytes), "language_sample")
+    # Languages in order; a window without key over one row for each.
+    numbers = sample.select("lang").distinct().withColumn("part", F.floor((F.row_number().over(Window.orderBy("lang")) - 1) / group).cast("int"))
+    parted = sample.join(numbers, "lang")
+    made = stored(parted.groupBy("part").applyInPandas(fitted, "part int, model binary, unmet string"), "language_models")
+    groups, unmet = [], {}
+    for row in made.select("part", "unmet").orderBy("part").collect():
+        unmet.update(json.loads(row["unmet"]))
+        # The driver holds one group's table at a time.
+        model = pickle.loads(made.where(F.col("part") == row["part"]).first()["model"])
+        groups.append(docs.sparkSession.sparkContext.broadcast(model))
+        del model
+        if len(unmet) > group:
+            vars(groups[-1]).pop("_value", None)
+    return Models(groups, unmet) if groups else None
 
 
 def has_letter(text: Column) -> Column:
     return F.coalesce(F.regexp_like(text, F.lit(r"\p{L}")), F.lit(False))
 
 
-def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
+def predict(docs: DataFrame, model: Models | None, text: str = "text") -> DataFrame:
     """All columns of ``docs`` in ``row``, ``lang_pred``, ``score`` and ``bits_per_byte``."""
     row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
     if model is None:
         nothing = (F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(0.0).alias("bits_per_byte"))
         return docs.select(row, *nothing)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang string, score double, bits double")
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        own = sent.value
-        names = np.array(own.langs, dtype=object)
         for texts in batches:
             data = [t.encode() if t is not None else b"" for t in texts]
-            bits = own.code_lengths(data)
+            langs, bits = model.code_lengths(data)
             best = bits.argmin(axis=1)
             least = bits[np.arange(len(data)), best]
             share = 1 / np.exp2(np.maximum(least[:, None] - bits, -1000.0)).sum(axis=1)
             sizes = np.maximum([len(t) for t in data], 1)
-            yield pd.DataFrame({"lang": names[best], "score": share, "bits": least / sizes})
+            yield pd.DataFrame({"lang": np.array(langs, dtype=object)[best], "score": share, "bits": least / sizes})
 
     judged = docs.select(row, docs[text].alias("text"), has_letter(docs[text]).alias("lettered")).withColumn(
         "judged", judge("text")

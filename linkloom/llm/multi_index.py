@@ -55,6 +55,11 @@ def matrix(column) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in column])
 
 
+def near_one(x: np.ndarray) -> np.ndarray:
+    """Rows times powers of two, which changes no cosine, so that no square overflows or vanishes."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None])
+
+
 def unit(x: np.ndarray) -> np.ndarray:
     # The largest component first, so that squares neither overflow nor vanish.
     x = x / np.abs(x).max(axis=1, keepdims=True)
@@ -135,6 +140,7 @@ def cosines(queries: np.ndarray, entries: np.ndarray, ids: np.ndarray, top: int)
 
     A matrix product chooses, a sum in fixed order scores, so equal vectors get equal scores.
     """
+    entries, queries = near_one(entries), near_one(queries)
     norms = np.sqrt((entries * entries).sum(axis=1))
     lengths = np.sqrt((queries * queries).sum(axis=1))
     scaled = unit(entries).T

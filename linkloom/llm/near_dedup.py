@@ -268,17 +268,17 @@ def verified_links(docs: DataFrame, light: DataFrame, id: str, text: str, block:
     wanted = classes.join(asked.select("node").distinct(), "node", "left_semi").select(
         "key", F.col("id").alias("id_"), "node"
     )
-    sets = (
-        _rows(docs, id, text)
-        .join(wanted, "key")
-        .where(F.col("id").eqNullSafe(F.col("id_")))
-        .select("node", "text")
-        .mapInPandas(_full_sets, "node binary, shingles binary")
-    )
+    sets = wanted_sets(docs, wanted, id, text)
     dealt = tasks.join(sets, "node").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
     return dealt.select("bucket", "i", "j", "node", "shingles").mapInPandas(_verifier(part), "a binary, b binary")
 
 
+def wanted_sets(docs: DataFrame, wanted: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``node`` and ``shingles`` of each wanted (key, id_, node): of rows that repeat, one."""
+    held = _rows(docs, id, text).join(wanted, "key").where(F.col("id").eqNullSafe(F.col("id_")))
+    return held.select("node", "text").dropDuplicates(["node"]).mapInPandas(_full_sets, "node binary, shingles binary")
+
+
 def near_groups(
     docs: DataFrame, id: str = "doc_id", text: str = "text", part: int = PART, bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:

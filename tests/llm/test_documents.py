@@ -38,7 +38,7 @@ def shingles(text):
     return frozenset(tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1)))
 
 
-def brute_components(rows):
+def brute_components(rows, part=85):
     sets = [(i, shingles(t)) for i, t, *_ in rows]
     root = list(range(len(sets)))
 
@@ -50,7 +50,7 @@ def brute_components(rows):
     for x, (_, a) in enumerate(sets):
         for y in range(x):
             b = sets[y][1]
-            if a and b and 100 * len(a & b) >= 85 * len(a | b):
+            if a and b and 100 * len(a & b) >= part * len(a | b):
                 root[find(x)] = find(y)
     least = {}
     for x, (i, _) in enumerate(sets):
@@ -387,6 +387,47 @@ def test_odd_texts(spark):
     assert language_model.predict(given, None).select("lang_pred").distinct().collect() == [("und",)]
 
 
+def substituted(spark, langs, seed=6):
+    """Texts of languages that are one language with its letters exchanged: (id, text, language), training rows and others."""
+    pick = random.Random(seed)
+    words = ["".join(pick.choices("aeinorst", k=pick.randint(2, 7))) for _ in range(120)]
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = []
+    for lang in range(langs):
+        key = str.maketrans(letters, "".join(pick.sample(letters, 26)))
+        for i in range(24):
+            text = " ".join(pick.choices(words, k=40)).translate(key)
+            rows.append((lang * 100 + i, text, f"l{lang:03d}" if i < 20 else None))
+    return docs(spark, rows)
+
+
+def test_two_hundred_languages_are_known_as_well_as_four(spark):
+    """No table is shared by all: accuracy and bits a byte stay."""
+    shown = {}
+    for langs in (4, 200):
+        given = substituted(spark, langs)
+        model = language_model.train(given, order=3, least=2, cells=200_000)
+        assert len(model.groups) == langs // language_model.GROUP and len(model.unmet_bits()) == langs
+        rows = language_model.predict(given.where("lang is null"), model).select("row.doc_id", "lang_pred", "bits_per_byte").collect()
+        assert len(rows) == 4 * langs
+        right = sum(r["lang_pred"] == f"l{r['doc_id'] // 100:03d}" for r in rows) / len(rows)
+        shown[langs] = right, sum(r["bits_per_byte"] for r in rows) / len(rows)
+    assert shown[4][0] == 1 and shown[200][0] > 0.98
+    assert shown[200][1] == pytest.approx(shown[4][1], rel=0.05)
+
+
+def test_rows_that_repeat_make_one_set(spark):
+    """One text 300 times with null ids, and one near copy: two sets are made, not 301."""
+    words = [f"w{i}" for i in range(200)]
+    given = docs(spark, [(None, " ".join(words), "en")] * 300 + [(1, " ".join([*words, "x"]), "en")])
+    light = near_dedup.sketched(given)
+    wanted = light.groupBy("node").agg(F.min_by(F.struct("key", "id"), F.struct("key", "id")).alias("r"))
+    wanted = wanted.select("r.key", F.col("r.id").alias("id_"), "node")
+    assert near_dedup.wanted_sets(given, wanted).count() == 2
+    groups = near_dedup.near_groups(given).groupBy("component_id").count().collect()
+    assert [(r["component_id"], r["count"]) for r in groups] == [(1, 301)]
+
+
 def test_held_out_accuracy(spark):
     directory = "/root/testdata/sf0.01"
     found = queries.QUERIES["op10_ppm_language_id"](spark, directory)
