@@ -88,8 +88,9 @@ def label_sentences(corpus: DataFrame, order: int = NGRAM_ORDER) -> DataFrame:
     """
     parts = corpus.select("lid_label", "doc_id", squeeze("text").alias("own")).filter(F.length("own") > 0)
     placed = stored(position(parts, ["lid_label"], "doc_id", "pos"), "sentences")
-    ends = placed.groupBy("lid_label").agg(F.max("pos").alias("last"))
-    marked = placed.join(ends, "lid_label").withColumn(
+    # Null labels are a label too.
+    ends = placed.groupBy(F.col("lid_label").alias("ended")).agg(F.max("pos").alias("last"))
+    marked = placed.join(ends, F.col("lid_label").eqNullSafe(F.col("ended"))).drop("ended").withColumn(
         "own",
         F.concat(
             F.when(F.col("pos") == 1, F.lit(_BEGIN)).otherwise(""),
@@ -104,10 +105,10 @@ def label_sentences(corpus: DataFrame, order: int = NGRAM_ORDER) -> DataFrame:
         "pos",
         F.substring("own", 1, order).alias("start"),
     ).select("lid_label", (F.col("pos") - F.col("step")).alias("pos"), F.struct("step", "start").alias("next"))
-    ahead = lent.groupBy("lid_label", "pos").agg(
+    ahead = lent.groupBy(F.col("lid_label").alias("lent_to"), F.col("pos").alias("lent_at")).agg(
         F.array_join(F.transform(F.sort_array(F.collect_list("next")), lambda x: x["start"]), "").alias("ahead")
     )
-    found = marked.join(ahead, ["lid_label", "pos"], "left")
+    found = marked.join(ahead, F.col("lid_label").eqNullSafe(F.col("lent_to")) & (F.col("pos") == F.col("lent_at")), "left")
     return found.select("lid_label", "own", F.substring(F.coalesce("ahead", F.lit("")), 1, order - 1).alias("ahead"))
 
 

@@ -47,19 +47,21 @@ def position(df: DataFrame, keys: list[str], order: str, name: str = "pos") -> D
 
 
 def with_line_numbers(lines: DataFrame, name: str = "line_no") -> DataFrame:
-    """Add the 0-based number of each line of one text file, read in any number of splits."""
-    marked = lines.withColumn("__mark", F.monotonically_increasing_id())
-    split_no = F.shiftright("__mark", 33)
-    sizes = marked.groupBy(split_no.alias("__split")).agg(F.count(F.lit(1)).alias("__n"))
-    # One row per file split: a window without key is bounded by their number.
+    """Add the 0-based number of each line of text files, read one after the other in the order of their names.
+
+    ``lines`` comes straight from a file source, in any number of splits: a row is counted from the start of its split, and
+    splits are ordered by file and place in it, whatever the tasks that read them.
+    """
+    split = F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"))
+    marked = lines.select("*", split.alias("__split"), F.monotonically_increasing_id().alias("__mark"))
+    sizes = marked.groupBy("__split").agg(F.count(F.lit(1)).alias("__n"), F.min("__mark").alias("__first"))
+    # One row per split: a window without key is bounded by their number.
     before = Window.orderBy("__split").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("__split", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
-    within = F.col("__mark").bitwiseAND(F.lit((1 << 33) - 1))
+    starts = sizes.select("__split", "__first", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
     return (
-        marked.withColumn("__split", split_no)
-        .join(starts, "__split")
-        .withColumn(name, F.col("__start") + within)
-        .drop("__mark", "__split", "__start")
+        marked.join(starts, "__split")
+        .withColumn(name, F.col("__start") + F.col("__mark") - F.col("__first"))
+        .drop("__mark", "__first", "__split", "__start")
     )
 
 

@@ -23,7 +23,7 @@ from linkloom.constants import (
 )
 from linkloom.operators import filters, frontier, lid, lm, lookups, robots, sampling, sets, sites
 from linkloom.session import stored
-from linkloom.sinks import files
+from linkloom.sinks import files, runs
 from linkloom.sources import seeds as seed_sources
 
 
@@ -35,15 +35,19 @@ def search_language_filter(
     blocklist: list[str] | DataFrame = list(BLOCKLIST),
     path: str | None = None,
     label: str = "predicted_lid",
+    run: str | None = None,
     **options,
 ) -> DataFrame:
     """Search results whose page is in a language off the excluded list, filed by language.
 
     ``label='iso_code'`` files them by the query's language. ``source='stripped'``
-    judges all visible text of a page, and ``drop_empty`` leaves out pages with none.
+    judges all visible text of a page, and ``drop_empty`` leaves out pages with none. A named
+    ``run`` is filed once, however often it is repeated; ``runs.read_runs`` reads what is filed so.
     """
     kept = lid.language_filter(filters.blocklist_filter(results, blocklist), pages, predictor, excluded, **options)
-    if path:
+    if path and run is not None:
+        runs.append_run(kept, path, run, label)
+    elif path:
         files.append_by_label(kept, path, label)
     return kept
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from linkloom.constants import SITE_CONFIDENCE, SITE_INFO
 from linkloom.functions import labels as L
 from linkloom.operators import lookups, robots, sets, sites
 from linkloom.plans import jobs
@@ -194,6 +195,15 @@ def group_by_site_sparse(spark, sf_dir):
     return sites.site_positions(sites.group_by_site(links))
 
 
+@query(
+    "catalogue_sites",
+    f"""WITH {SQL_LINKS}, {SQL_SITE_LINKS} SELECT lid_label, site_name, site_url, min(ord) AS first_ord, count(*) AS n_links,
+      '{SITE_INFO}' AS info, '{SITE_CONFIDENCE}' AS confidence FROM site_links GROUP BY lid_label, site_name, site_url""",
+)
+def catalogue_sites(spark, sf_dir):
+    return _catalogue(spark, sf_dir).sites()
+
+
 @query("domain_distribution", f"WITH {SQL_LINKS}, {SQL_SITE_LINKS} SELECT lid_label, site_url, count(*) AS n_links FROM site_links GROUP BY ALL")
 def domain_distribution(spark, sf_dir):
     return sites.domain_distribution(sites.group_by_site(link_table(spark, sf_dir)))

@@ -31,7 +31,7 @@ from linkloom.registry.modelling import ORDER, SQL_MODEL
 from linkloom.registry.screening import BLOCKED, SQL_BLOCKLIST, SQL_CODED
 from linkloom.registry.urls_pages import sql_strip_ws
 from linkloom.session import shared_path
-from linkloom.sinks import files
+from linkloom.sinks import files, runs
 from linkloom.sources import seeds as seed_sources, tables
 
 _ALLOWED = "NOT EXISTS (SELECT 1 FROM blocklist WHERE contains({}, entry))"
@@ -91,14 +91,23 @@ def read_identifier_map(spark, sf_dir):
     FROM (SELECT item_id, regexp_replace(text, '[\\t\\n]', ' ', 'g') AS text FROM benchmark) WHERE item_id >= 5 AND item_id % 7 <> 0""",
 )
 def read_seed_queries(spark, sf_dir):
-    """One file in line order; some lines are not two fields."""
+    """Files of lines in order, one after the other; some lines are not two fields."""
     path = shared_path(spark, "queries")
     lines = screening._query_lines(spark, sf_dir)
     broken = F.when(F.col("line_no") % 7 == 0, F.lit("no tab here")).otherwise(F.regexp_replace("value", "\n$", ""))
-    lines.withColumn("value", broken).coalesce(1).sortWithinPartitions("line_no").select("value").write.text(path)
+    lines.withColumn("value", broken).repartitionByRange(4, "line_no").sortWithinPartitions("line_no").select("value").write.text(path)
     return seed_sources.read_seed_queries(spark, path, 5)
 
 
+@query("read_ordered", "SELECT row_number() OVER (ORDER BY doc_id) - 1 AS ord, doc_id, source FROM documents")
+def read_ordered(spark, sf_dir):
+    """Delimited files written in ranges of ids and read as one."""
+    path = shared_path(spark, "ordered")
+    docs = table(spark, sf_dir, "documents").select("source", "doc_id").repartitionByRange(5, "doc_id").sortWithinPartitions("doc_id")
+    files.write_delimited(docs, path, "\t")
+    return tables.read_ordered(spark, path, ["doc_id", "source"], "\t").select("ord", F.col("doc_id").cast("bigint").alias("doc_id"), "source")
+
+
 @query("rejected_query_lines", "SELECT item_id AS line_no, 'no tab here' AS value FROM benchmark WHERE item_id % 7 = 0 AND item_id >= 5")
 def rejected_query_lines(spark, sf_dir):
     lines = screening._query_lines(spark, sf_dir)
@@ -232,6 +241,23 @@ def sink_report(spark, sf_dir):
     return spark.read.option("header", True).csv(path)
 
 
+@query(
+    "sink_append_runs",
+    f"WITH {SQL_SEEDS} SELECT predicted_lid, ord, link, CASE WHEN ord % 3 = 0 THEN 'first' ELSE 'rest' END AS run FROM seeds",
+)
+def sink_append_runs(spark, sf_dir):
+    """Two runs append, one of them twice, beside an attempt that was never committed; then the store is compacted."""
+    path = shared_path(spark, "runs")
+    seeds = seed_table(spark, sf_dir).select("predicted_lid", "ord", "link", F.when(F.col("ord") % 3 == 0, "first").otherwise("rest").alias("run"))
+    files.overwrite_by_label(seeds, f"{path}/data/died-midway", "predicted_lid")
+    for run in ("first", "rest", "first"):
+        runs.append_run(seeds.filter(F.col("run") == run), path, run)
+    schema = "ord bigint, link string, run string, predicted_lid string"
+    runs.compact(spark, path, schema)
+    runs.append_run(seeds.filter("run = 'rest'"), path, "rest")
+    return runs.read_runs(spark, path, schema)
+
+
 # Filters with other arguments.
 @query(
     "blocklist_nulls",

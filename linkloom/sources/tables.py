@@ -60,9 +60,9 @@ def read_delimited(spark: SparkSession, path: str, schema: str, sep: str = ",")
 
 
 def read_ordered(spark: SparkSession, path: str, columns: list[str], sep: str = ",") -> DataFrame:
-    """Selected columns of a delimited file by name, with ``ord``, the row's place in it."""
+    """Selected columns of delimited files by name, with ``ord``, the row's place in them, one file after the other."""
     rows = spark.read.option("header", True).option("sep", sep).option("escape", '"').csv(path)
-    return with_line_numbers(rows.select(*[F.col(f"`{c}`") for c in columns]), "ord")
+    return with_line_numbers(rows, "ord").select(*[F.col(f"`{c}`") for c in columns], "ord")
 
 
 def read_identifier_map(spark: SparkSession, path: str) -> DataFrame:

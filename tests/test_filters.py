@@ -166,6 +166,24 @@ def test_line_numbers_over_many_splits(spark, tmp_path):
         spark.conf.unset("spark.sql.files.openCostInBytes")
 
 
+def test_many_files_are_numbered_as_one(spark, tmp_path):
+    """Three files of different sizes, the largest last by name, in many splits."""
+    lines, at = [f"line {i} " + "x" * (i % 50) for i in range(4000)], 0
+    for name, size in (("a.txt", 300), ("b.txt", 700), ("c.txt", 3000)):
+        (tmp_path / name).write_text("\n".join(lines[at : at + size]) + "\n")
+        at += size
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1000")
+    try:
+        df = spark.read.text(str(tmp_path))
+        assert df.rdd.getNumPartitions() > 8
+        numbered = with_line_numbers(df).orderBy("line_no").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [(r.line_no, r.value) for r in numbered] == list(enumerate(lines))
+
+
 def test_median_sample(spark):
     rows = [(0, "a", "x"), (1, "a", "xx"), (2, "a", "x" * 10), (3, "b", None), (4, "b", "12345"), (5, "b", "1234"), (6, None, "z")]
     df = spark.createDataFrame(rows, "ord int, iso_code string, transcription string")

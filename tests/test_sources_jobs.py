@@ -153,3 +153,26 @@ def test_no_file_holds_all_entries(spark, tmp_path, monkeypatch, name):
     assert sorted(map(repr, QUERIES[name](spark, sf_dir).collect())) == want
     sizes = [f.read_text().count('"link"' if name == "seed_files" else '"id"') for f in tmp_path.rglob("part-*.txt")]
     assert len(sizes) > 3 and max(sizes) < 20 and sum(sizes) > max(sizes)
+
+
+def test_runs_are_appended_once(spark, tmp_path):
+    """Repeated, died midway and run again, compacted, repeated after that: each record once."""
+    from pyspark.sql import functions as F
+
+    from linkloom.sinks import runs
+
+    path, schema = str(tmp_path / "store"), "n long, predicted_lid string"
+    rows = lambda a, b: spark.range(a, b).select(F.col("id").alias("n"), F.when(F.col("id") % 3 > 0, F.concat(F.lit("l/"), F.col("id") % 3)).alias("predicted_lid"))
+    numbers = lambda: sorted(r.n for r in runs.read_runs(spark, path, schema).collect())
+    assert runs.read_runs(spark, path, schema).count() == 0 and runs.compact(spark, path, schema) is None
+    assert runs.append_run(rows(0, 10), path, "a/1") and not runs.append_run(rows(0, 10), path, "a/1")
+    # An attempt that wrote its files and no manifest.
+    files.overwrite_by_label(rows(10, 20), f"{path}/data/lost", "predicted_lid")
+    assert numbers() == list(range(10))
+    assert runs.append_run(rows(10, 20), path, "b") and runs.append_run(rows(0, 0), path, "none") and numbers() == list(range(20))
+    name = runs.compact(spark, path, schema)
+    assert runs.is_committed(spark, path, name) and numbers() == list(range(20))
+    assert not runs.append_run(rows(10, 20), path, "b") and numbers() == list(range(20))
+    assert runs.append_run(rows(20, 25), path, "c") and numbers() == list(range(25))
+    assert runs.compact(spark, path, schema) and numbers() == list(range(25))
+    assert {r.predicted_lid for r in runs.read_runs(spark, path, schema).collect()} == {None, "l/1", "l/2"}
