@@ -297,16 +297,21 @@ def encode(text: Column | str, path: str) -> Column:
     return ids(text)
 
 
+def _texts(known: Model, given: pa.Array) -> pa.Array:
+    counts = np.asarray(given.value_lengths().fill_null(0)).astype(np.int64)
+    flat = np.asarray(given.flatten().cast(pa.int64()).fill_null(known.unknown))
+    flat = np.where((flat < 0) | (flat >= known.size), known.unknown, flat)
+    found = pa.array(known.decode(flat, counts), type=pa.binary()).cast(pa.string())
+    return pa.compute.if_else(given.is_null(), pa.scalar(None, pa.string()), found)
+
+
 def decode(ids: Column | str, path: str) -> Column:
     """Text of a list of ids by the model file at ``path``."""
 
     @F.arrow_udf("string")
     def text(given: pa.Array) -> pa.Array:
         known = model(path)
-        counts = np.nan_to_num(np.asarray(given.value_lengths().fill_null(0))).astype(np.int64)
-        flat = np.asarray(given.flatten().cast(pa.int64()).fill_null(known.unknown))
-        flat = np.where((flat < 0) | (flat >= known.size), known.unknown, flat)
-        found = pa.array(known.decode(flat, counts), type=pa.binary()).cast(pa.string())
-        return pa.compute.if_else(given.is_null(), pa.scalar(None, pa.string()), found)
+        parts = [_texts(known, given.slice(i, ROWS)) for i in range(0, len(given), ROWS)]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
     return text(ids)
