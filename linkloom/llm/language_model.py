@@ -273,15 +273,14 @@ def train(
     numbers = sample.select("lang").distinct().withColumn("part", F.floor((F.row_number().over(Window.orderBy("lang")) - 1) / group).cast("int"))
     parted = sample.join(numbers, "lang")
     made = stored(parted.groupBy("part").applyInPandas(fitted, "part int, model binary, unmet string"), "language_models")
-    groups, unmet = [], {}
-    for row in made.select("part", "unmet").orderBy("part").collect():
+    held, unmet = [], {}
+    # The driver passes on one table after the other and keeps none.
+    for row in made.toLocalIterator():
+        sent = docs.sparkSession.sparkContext.broadcast(pickle.loads(row["model"]))
+        vars(sent).pop("_value", None)
+        held.append((row["part"], sent))
         unmet.update(json.loads(row["unmet"]))
-        # The driver holds one group's table at a time.
-        model = pickle.loads(made.where(F.col("part") == row["part"]).first()["model"])
-        groups.append(docs.sparkSession.sparkContext.broadcast(model))
-        del model
-        if len(unmet) > group:
-            vars(groups[-1]).pop("_value", None)
+    groups = [sent for _, sent in sorted(held, key=lambda pair: pair[0])]
     return Models(groups, unmet) if groups else None
 
 

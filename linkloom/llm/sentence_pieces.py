@@ -315,3 +315,17 @@ def decode(ids: Column | str, path: str) -> Column:
         return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
     return text(ids)
+
+
+def round_trip(text: Column | str, path: str) -> Column:
+    """``ids`` of a text and the ``text`` they decode to, with one vocabulary in memory for both."""
+
+    @F.arrow_udf("struct<ids: array<int>, text: string>")
+    def both(texts: pa.Array) -> pa.Array:
+        known, parts = model(path), []
+        for i in range(0, len(texts), ROWS):
+            ids = lists(*known.encode(texts.slice(i, ROWS).to_pylist()))
+            parts.append(pa.StructArray.from_arrays([ids, _texts(known, ids)], names=["ids", "text"]))
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.struct([("ids", pa.list_(pa.int32())), ("text", pa.string())]))
+
+    return both(text)
