@@ -11,7 +11,7 @@ is its share of the probability, 2 ** -length, among all languages.
 
 Training takes a bounded sample, ``TRAIN_BYTES`` for each language, of whole texts in hash order;
 contexts met fewer than ``LEAST_COUNT`` times are dropped. Languages are modelled in groups of ``GROUP``, with a table of
-``TABLE_CELLS`` costs at most for each group, built in a task of its own, so what a language knows does not depend on how
+``TABLE_CELLS`` costs at most for each group, so what a language knows does not depend on how
 many there are. A batch of texts is scored by one group after the other, with one group's table in
 memory at a time. Every text is scored whole.
 
@@ -22,8 +22,6 @@ first in order; without any training row all texts are ``und``; further columns
 
 from __future__ import annotations
 
-import json
-import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -252,35 +250,38 @@ def train(
     cells: int = TABLE_CELLS,
     group: int = GROUP,
 ) -> Models | None:
-    """Fit on the bounded sample: one task counts the contexts of a group of languages and works out its costs."""
+    """Fit on the bounded sample: tasks count the contexts of each language; the driver makes one group's table at a time."""
 
-    def fitted(rows: pd.DataFrame) -> pd.DataFrame:
-        counts = {}
-        for lang, own in rows.groupby("lang"):
-            found = count_contexts([t.encode() for t in sorted(own["text"])], order)
+    def counted(rows: pd.DataFrame) -> pd.DataFrame:
+        found = count_contexts([t.encode() for t in sorted(rows["text"])], order)
+        out = []
+        for k, (grams, n) in enumerate(found):
             # Beyond the unigrams, contexts under the least count are never kept.
-            for k in range(1, len(found)):
-                grams, n = found[k]
+            if k:
                 _, first, inverse = np.unique(grams >> np.uint64(8), return_index=True, return_inverse=True)
                 enough = np.add.reduceat(n, first)[inverse] >= least if len(grams) else np.zeros(0, bool)
-                found[k] = grams[enough], n[enough]
-            counts[lang] = found
-        made = build(counts, order, least, cells)
-        return pd.DataFrame([(int(rows["part"].iloc[0]), pickle.dumps(made), json.dumps(made.unmet_bits()))], columns=["part", "model", "unmet"])
+                grams, n = grams[enough], n[enough]
+            out.append((rows["lang"].iloc[0], k, grams.tobytes(), n.astype(np.int64).tobytes()))
+        return pd.DataFrame(out, columns=["lang", "k", "grams", "n"])
 
     sample = stored(training_sample(docs, text, label, id, train_bytes), "language_sample")
-    # Languages in order; a window without key over one row for each.
-    numbers = sample.select("lang").distinct().withColumn("part", F.floor((F.row_number().over(Window.orderBy("lang")) - 1) / group).cast("int"))
-    parted = sample.join(numbers, "lang")
-    made = stored(parted.groupBy("part").applyInPandas(fitted, "part int, model binary, unmet string"), "language_models")
-    held, unmet = [], {}
-    # The driver passes on one table after the other and keeps none.
-    for row in made.toLocalIterator():
-        sent = docs.sparkSession.sparkContext.broadcast(pickle.loads(row["model"]))
-        vars(sent).pop("_value", None)
-        held.append((row["part"], sent))
-        unmet.update(json.loads(row["unmet"]))
-    groups = [sent for _, sent in sorted(held, key=lambda pair: pair[0])]
+    found = stored(sample.groupBy("lang").applyInPandas(counted, "lang string, k int, grams binary, n binary"), "language_counts")
+    groups, unmet, counts = [], {}, {}
+
+    def close() -> None:
+        made = build(counts, order, least, cells)
+        unmet.update(made.unmet_bits())
+        groups.append(docs.sparkSession.sparkContext.broadcast(made))
+        vars(groups[-1]).pop("_value", None)
+        counts.clear()
+
+    for row in found.orderBy("lang", "k").toLocalIterator():
+        if row["lang"] not in counts and len(counts) == group:
+            close()
+        pair = np.frombuffer(row["grams"], dtype=np.uint64), np.frombuffer(row["n"], dtype=np.int64)
+        counts.setdefault(row["lang"], []).append(pair)
+    if counts:
+        close()
     return Models(groups, unmet) if groups else None
 
 
