@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from linkloom.constants import GROWTH_FACTOR, MAX_PAGES, MAX_URL_LENGTH
 from linkloom.functions import urls
@@ -12,6 +12,52 @@ from linkloom.operators.pages import parse_pages
 from linkloom.operators.sieve import sift
 from linkloom.session import shared_path, stored
 
+# Edges in a bucket of the link graph, and the most buckets (folders) it is filed under.
+BUCKET_EDGES = 1_000_000
+MOST_BUCKETS = 4096
+
+
+@dataclass(frozen=True)
+class LinkGraph:
+    """Edges (keys, src, dst, bucket), filed under a hash of (keys, src).
+
+    Buckets are partition folders, so a level of a crawl reads those that its pages are in and no
+    others. Their number follows that of the edges: a larger graph has more buckets, not larger
+    ones, up to ``MOST_BUCKETS``.
+    """
+
+    edges: DataFrame
+    keys: tuple[str, ...]
+    buckets: int
+
+    def bucket(self, url: str) -> Column:
+        return F.pmod(F.xxhash64(*self.keys, url), F.lit(self.buckets)).cast("int")
+
+    def buckets_of(self, pages: DataFrame, url: str = "url") -> list[int]:
+        """The buckets that hold the links of ``pages``: at most as many numbers as there are buckets."""
+        return sorted(row[0] for row in pages.select(self.bucket(url)).distinct().collect())
+
+    def links_of(self, pages: DataFrame, opened: list[int] | None = None) -> DataFrame:
+        """``pages`` (keys, src, ...) with a row for each of their links (dst); ``opened``: the buckets they are in."""
+        opened = self.buckets_of(pages, "src") if opened is None else opened
+        edges = self.edges if len(opened) == self.buckets else self.edges.filter(F.col("bucket").isin(opened))
+        return pages.withColumn("bucket", self.bucket("src")).join(edges, [*self.keys, "src", "bucket"]).drop("bucket")
+
+
+def link_graph(reach: DataFrame, keys: list[str], bucket_edges: int = BUCKET_EDGES) -> LinkGraph:
+    """File edges (keys, src, dst) under buckets, sorted by (keys, src) in each.
+
+    ``reach`` is stored first, which tells its size. A bucket that is too large for a task, as of a page that very
+    many keys reach, is written by several.
+    """
+    flat = stored(reach, "edges")
+    buckets = min(max(-(-flat.count() // bucket_edges), 1), MOST_BUCKETS)
+    if buckets == 1:
+        return LinkGraph(flat.withColumn("bucket", F.lit(0)), tuple(keys), 1)
+    filed = LinkGraph(flat, tuple(keys), buckets)
+    marked = flat.withColumn("bucket", filed.bucket("src")).hint("rebalance", "bucket").sortWithinPartitions("bucket", *keys, "src")
+    return LinkGraph(stored(marked, "reach", ("bucket",)), tuple(keys), buckets)
+
 
 @dataclass
 class Crawl:
@@ -67,6 +113,7 @@ def crawl(
     growth_factor: float | None = GROWTH_FACTOR,
     max_length: int = MAX_URL_LENGTH,
     seeds_are_links: bool = True,
+    bucket_edges: int = BUCKET_EDGES,
 ) -> Crawl:
     """Visit pages first in, first out from each key's seeds until its budget is spent.
 
@@ -77,12 +124,12 @@ def crawl(
 
     The driver only loops over levels. Visits are bounded by keys times
     ``max_pages``. Each level is added to one stored table of visits, partitioned by
-    depth. Stored tables have a known size: a level that is small is sent to the
-    graph, which then is not shuffled.
+    depth, and reads the buckets of the graph that its pages are in. Stored tables have a
+    known size: a level that is small is sent to the graph, which then is not shuffled.
     """
     keys = keys or ["lid_label"]
     starts = stored(seeds.select(*keys, "url").distinct(), "starts")
-    reach = stored(reachable_edges(edges, starts, keys, max_length), "reach")
+    graph = link_graph(reachable_edges(edges, starts, keys, max_length), keys, bucket_edges)
 
     by_url = Window.partitionBy(*keys).orderBy("url")
     by_parent = Window.partitionBy(*keys).orderBy("parent_rank", "url")
@@ -98,14 +145,18 @@ def crawl(
         return starts.sparkSession.read.schema(schema).parquet(path)
 
     visits = added(first, 0)
+    touched: set[int] = set()
     # A key visits at least one page per level, so the budget bounds the depth too.
     for depth in range(1, max_pages + 1):
         front = visits.filter(F.col("depth") == depth - 1)
+        opened = graph.buckets_of(front)
+        if not opened:
+            break
+        touched.update(opened)
         # Ranks run on, so the last one of a level says how much of the budget is spent.
         spent = front.groupBy(*keys).agg(F.max("rank").alias("spent"))
         found = (
-            front.select(*keys, F.col("url").alias("src"), "rank")
-            .join(reach, [*keys, "src"])
+            graph.links_of(front.select(*keys, F.col("url").alias("src"), "rank"), opened)
             .groupBy(*keys, F.col("dst").alias("url"))
             .agg(F.min("rank").alias("parent_rank"))
         )
@@ -119,24 +170,26 @@ def crawl(
             .select(*keys, "url", F.lit(depth).alias("depth"), "parent_rank", "rank")
         )
         visits = added(level, depth)
-        if visits.filter(F.col("depth") == depth).isEmpty():
-            break
+    else:
+        # The budget ended the crawl: the last level is opened, but nothing is visited from it.
+        touched.update(graph.buckets_of(visits.filter(F.col("depth") == max_pages)))
 
+    seen = sorted(touched)
     if growth_factor is not None:
-        visits = stop_at_growth(visits, starts, reach, keys, growth_factor)
-    links = opened_links(visits, reach, keys).select(*keys, F.col("dst").alias("url"))
+        visits = stop_at_growth(visits, starts, graph, growth_factor, seen)
+    links = opened_links(visits, graph, seen).select(*keys, F.col("dst").alias("url"))
     if seeds_are_links:
         links = links.unionByName(starts)
     return Crawl(visits, links.distinct())
 
 
-def opened_links(visits: DataFrame, reach: DataFrame, keys: list[str]) -> DataFrame:
+def opened_links(visits: DataFrame, graph: LinkGraph, opened: list[int] | None = None) -> DataFrame:
     """(keys, opener, src, dst): the links met on visited pages."""
-    pages = visits.select(*keys, F.col("url").alias("src"), F.col("rank").alias("opener"))
-    return pages.join(reach, [*keys, "src"])
+    pages = visits.select(*graph.keys, F.col("url").alias("src"), F.col("rank").alias("opener"))
+    return graph.links_of(pages, opened)
 
 
-def queue_sizes(visits: DataFrame, seeds: DataFrame, reach: DataFrame, keys: list[str]) -> DataFrame:
+def queue_sizes(visits: DataFrame, seeds: DataFrame, graph: LinkGraph, opened: list[int] | None = None) -> DataFrame:
     """(keys, rank, queue_size): how many URLs wait after each visit.
 
     A URL enters the queue behind its least-ranked opener. A page that links to
@@ -144,10 +197,11 @@ def queue_sizes(visits: DataFrame, seeds: DataFrame, reach: DataFrame, keys: lis
     visited; that entry is skipped later. So the queue after visit k is the
     number of entries made up to k less the place of k's own entry.
     """
-    opened = opened_links(visits, reach, keys)
-    fresh = opened.join(seeds.withColumnRenamed("url", "dst"), [*keys, "dst"], "left_anti")
+    keys = list(graph.keys)
+    links = opened_links(visits, graph, opened)
+    fresh = links.join(seeds.withColumnRenamed("url", "dst"), [*keys, "dst"], "left_anti")
     once = fresh.groupBy(*keys, "dst").agg(F.min("opener").alias("opener")).select(*keys, "opener", "dst", F.lit(False).alias("again"))
-    again = opened.filter(F.col("src") == F.col("dst")).select(*keys, "opener", "dst", F.lit(True).alias("again"))
+    again = links.filter(F.col("src") == F.col("dst")).select(*keys, "opener", "dst", F.lit(True).alias("again"))
     entries = once.unionByName(again)
 
     # One row per visit from here on: at most max_pages of them per key.
@@ -174,9 +228,10 @@ def queue_sizes(visits: DataFrame, seeds: DataFrame, reach: DataFrame, keys: lis
     )
 
 
-def stop_at_growth(visits: DataFrame, seeds: DataFrame, reach: DataFrame, keys: list[str], factor: float) -> DataFrame:
+def stop_at_growth(visits: DataFrame, seeds: DataFrame, graph: LinkGraph, factor: float, opened: list[int] | None = None) -> DataFrame:
     """Cut each key's visits where the queue has outgrown them, looked at every tenth visit."""
-    sizes = queue_sizes(visits, seeds, reach, keys)
+    keys = list(graph.keys)
+    sizes = queue_sizes(visits, seeds, graph, opened)
     tripped = (
         sizes.filter((F.col("rank") % 10 == 0) & (F.col("queue_size") > F.col("rank") * F.lit(factor)))
         .groupBy(*keys)

@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 
@@ -114,3 +115,41 @@ def test_sift_keeps_all_that_is_asked_for(spark):
     kept = {r.id for r in sift(rows, "url", asked).collect()}
     assert set(range(0, 20000, 40)) <= kept and len(kept) < 600 and -1 not in kept
     assert sift(rows, "url", asked.limit(0)).count() == 0
+
+
+def test_buckets_give_the_same_crawl(spark):
+    cases = graphs(12, 9)
+    seeds = spark.createDataFrame([(k, s) for k, (ss, _) in cases.items() for s in ss], "lid_label string, url string")
+    edges = spark.createDataFrame([(u, v) for _, g in cases.values() for u, vs in g.items() for v in vs], "src string, dst string")
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    whole = frontier.crawl(seeds, edges, max_pages=12, growth_factor=0.5)
+    filed = frontier.crawl(seeds, edges, max_pages=12, growth_factor=0.5, bucket_edges=20)
+    assert rows(whole.visits) == rows(filed.visits) and rows(whole.all_links) == rows(filed.all_links)
+
+
+def test_a_crawl_reads_the_buckets_of_its_pages(spark, monkeypatch):
+    """A site ten times as large, of which the crawl meets the same pages: what is read of the graph stays the same."""
+    read = {}
+
+    def crawled(others):
+        chain = [("http://a.org/%03d" % i, "http://a.org/%03d" % (i + 1)) for i in range(50)]
+        rest = [(f"http://a.org/x{i}", f"http://a.org/x{i + 1}") for i in range(others)]
+        edges = spark.createDataFrame(chain + rest, "src string, dst string")
+        seeds = spark.createDataFrame([("l", "http://a.org/000")], "lid_label string, url string")
+        edges_read, plain = [], frontier.LinkGraph.links_of
+
+        def links_of(graph, pages, opened=None):
+            edges_read.append(graph.edges.filter(graph.edges["bucket"].isin(opened)).count())
+            plan = plain(graph, pages, opened)._jdf.queryExecution().executedPlan().toString()
+            assert re.search(r"PartitionFilters: \[[^\n]*bucket#\d+ (IN|INSET|=)", plan)
+            return plain(graph, pages, opened)
+
+        monkeypatch.setattr(frontier.LinkGraph, "links_of", links_of)
+        done = frontier.crawl(seeds, edges, growth_factor=None, bucket_edges=50)
+        monkeypatch.setattr(frontier.LinkGraph, "links_of", plain)
+        assert done.visits.count() == 51
+        # All levels and the links at the end.
+        return sum(edges_read)
+
+    small, large = crawled(2000), crawled(20000)
+    assert large < 1.5 * small and large < 51 * 2 * 50 * 1.5
