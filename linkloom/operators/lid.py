@@ -23,6 +23,7 @@ from linkloom.functions.labels import extract_label
 from linkloom.functions.local import work_out
 from linkloom.functions.text import char_ngrams, drop_newlines
 from linkloom.operators.filters import exclude_labels, language_gate
+from linkloom.operators.learnt import LearntModel
 from linkloom.operators.pages import wanted_texts
 from linkloom.session import row_count_within, stored
 
@@ -44,8 +45,8 @@ class Profile:
     n: int = GRAM
 
 
-# A column function (text to label and confidence), or a profile too large to send around.
-Predictor = Callable[[Column], Column] | Profile
+# A column function (text to label and confidence), a profile too large to send around, or a learnt model.
+Predictor = Callable[[Column], Column] | Profile | LearntModel
 
 
 def readable(text: Column | str, keep_newlines: bool = False) -> Column:
@@ -233,7 +234,11 @@ def tag_language(
     source = readable(text, keep_newlines)
     if isinstance(predictor, Profile):
         return tag_by_join(asked, predictor, source)
-    answered = asked.withColumn("__raw", predictor(source))
+    if isinstance(predictor, LearntModel):
+        named = predictor.tag(asked, source).withColumn("__raw", F.struct(F.col("__label").alias("label"), F.col("__sure").alias("confidence")))
+        answered = named.drop("__label", "__sure")
+    else:
+        answered = asked.withColumn("__raw", predictor(source))
     # Gates on label and confidence come next; they must not run the model a second time.
     tagged = work_out(answered, "__p", F.col("__raw"))
     label = F.col("__p.label")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from linkloom.functions.text import drop_newlines
-from linkloom.operators import filters, lid, pages as page_ops, sets
+from linkloom.operators import filters, learnt, lid, pages as page_ops, sets
 from linkloom.plans import jobs
 from linkloom.registry.base import SQL_LINKS, SQL_SEEDS, SQL_TEXTS, link_table, query, seed_table, sql_netloc, page_table, table, text_table
 from linkloom.registry.screening import BLOCKED, EXCLUDED, SQL_BLOCKLIST, UNUSED
@@ -77,6 +77,14 @@ def lid_predict_join(spark, sf_dir):
     return _rounded(lid.predict_by_join(read, lid.fit_profile(text_table(spark, sf_dir)), "link"))
 
 
+@query("lid_learnt")
+def lid_learnt(spark, sf_dir):
+    """Weights learnt from all documents, applied to all pages; no twin, as SQL cannot fit them."""
+    model = learnt.fit_learnt(text_table(spark, sf_dir))
+    texts = page_ops.page_texts(page_table(spark, sf_dir))
+    return lid.tag_language(texts, model).select("link", "predicted_lid", "lid_confidence")
+
+
 def sql_predicted(n: int) -> str:
     return f"""WITH {sql_profile(n)}, {SQL_PAGE_TEXTS},
   sources AS (SELECT link, {_NO_BREAKS.format('text')} AS t FROM page_texts WHERE text IS NOT NULL), {sql_predict('sources', 'link', n)}
