@@ -8,6 +8,7 @@ from linkloom.constants import BLOCKLIST
 from linkloom.operators import filters, lookups, sampling
 from linkloom.registry.base import (
     LABELS,
+    ORACLES,
     SQL_LINKS,
     SQL_RESULTS,
     SQL_SEEDS,
@@ -26,6 +27,7 @@ from linkloom.registry.base import (
 from linkloom.session import shared_path
 from linkloom.sinks import files
 from linkloom.sources import seeds as seed_sources
+from linkloom.streaming import ingest, merge
 
 # The default list, and entries that occur in the hosts and paths at hand.
 BLOCKED = [*BLOCKLIST, "cheap-pills", "spam-farm", "utm_", "/9"]
@@ -95,6 +97,29 @@ def search_merge_append(spark, sf_dir):
     return seed_sources.merge_append(batches, asked).select("iso_code", "link", "query")
 
 
+def _merged_stream(spark, sf_dir, rule):
+    """Three batches, each by a query started anew; the last one brings the first one's rows again."""
+    folder, schema = shared_path(spark, "merge"), "iso_code string, line_no long, pos long, link string"
+    rows = result_table(spark, sf_dir).select("iso_code", "line_no", "pos", "link")
+    third = F.pmod(F.xxhash64("line_no"), F.lit(3))
+    for number in range(3):
+        wanted = third == number if number < 2 else third != 1
+        rows.filter(wanted).write.mode("append").json(f"{folder}/in")
+        stream = ingest.read_results(spark, f"{folder}/in", schema)
+        merge.merge(stream, rule, f"{folder}/log", f"{folder}/state").awaitTermination()
+    return merge.merged(spark, f"{folder}/log", schema, rule)
+
+
+@query("stream_merge_last", ORACLES["search_merge_last"])
+def stream_merge_last(spark, sf_dir):
+    return _merged_stream(spark, sf_dir, "last")
+
+
+@query("stream_merge_append", f"WITH {SQL_RESULTS} SELECT iso_code, line_no, pos, link FROM results")
+def stream_merge_append(spark, sf_dir):
+    return _merged_stream(spark, sf_dir, "append")
+
+
 @query(
     "topk_results",
     f"""WITH {SQL_RESULTS} SELECT iso_code, line_no, pos, link FROM (

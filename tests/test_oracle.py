@@ -12,13 +12,17 @@ def con():
     return check.connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, con, name):
     assert check.compare(spark, con, name, SF_DIR) is None
 
 
+# SQL cannot fit weights; test_learnt.py has a dense solver instead.
+NO_TWIN = {"lid_learnt"}
+
+
 def test_every_query_has_a_twin():
-    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) == set(ORACLES) | NO_TWIN and not NO_TWIN & set(ORACLES)
 
 
 def test_all_are_offered():
