@@ -23,7 +23,7 @@ from linkloom.constants import (
 )
 from linkloom.operators import filters, frontier, lid, lm, lookups, robots, sampling, sets, sites
 from linkloom.session import stored
-from linkloom.sinks import files, runs
+from linkloom.sinks import files, nested, runs
 from linkloom.sources import seeds as seed_sources
 
 
@@ -129,6 +129,10 @@ class Catalogue:
             .withColumn("confidence", F.lit(confidence))
         )
 
+    def write_nested(self, path: str, info: str = SITE_INFO, confidence: str = SITE_CONFIDENCE) -> None:
+        """One nested JSON document for each label, in ordered files."""
+        nested.write_nested(self.languages, self.site_links, path, info, confidence)
+
 
 def _filed(catalogue: Catalogue, path: str | None) -> Catalogue:
     if path:

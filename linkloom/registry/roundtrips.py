@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from linkloom.constants import SEED_KEYS_EARLY, SEED_KEYS_LABEL
+from linkloom.constants import SEED_KEYS_EARLY, SEED_KEYS_LABEL, SITE_CONFIDENCE, SITE_INFO
 from linkloom.functions import urls
 from linkloom.functions.text import WS, char_tokenize
 from linkloom.operators import filters, frontier, lid, lm, lookups, sets, sites
@@ -21,6 +21,7 @@ from linkloom.registry.base import (
     query,
     seed_table,
     sql_label,
+    sql_name,
     sql_netloc,
     sql_site,
     table,
@@ -31,7 +32,7 @@ from linkloom.registry.modelling import ORDER, SQL_MODEL
 from linkloom.registry.screening import BLOCKED, SQL_BLOCKLIST, SQL_CODED
 from linkloom.registry.urls_pages import sql_strip_ws
 from linkloom.session import shared_path
-from linkloom.sinks import files, runs
+from linkloom.sinks import files, nested, runs
 from linkloom.sources import seeds as seed_sources, tables
 
 _ALLOWED = "NOT EXISTS (SELECT 1 FROM blocklist WHERE contains({}, entry))"
@@ -364,6 +365,32 @@ def catalogue_files(spark, sf_dir):
     return catalogue.per_site(links, languages)
 
 
+_SITED = f"""{SQL_LINKS}, sited AS (SELECT lid_label, ord, link, {sql_site('link')} AS site_url, {sql_name(sql_netloc('link'))} AS site_name FROM links),
+  places AS (SELECT *, min(ord) OVER (PARTITION BY lid_label, site_name, site_url) AS first FROM sited)"""
+
+
+@query(
+    "catalogue_nested",
+    f"""WITH {_SITED} SELECT lid_label, dense_rank() OVER (PARTITION BY lid_label ORDER BY first, site_url, site_name) AS site_no, site_name, site_url,
+      '{SITE_INFO}' AS info, '{SITE_CONFIDENCE}' AS confidence, row_number() OVER (PARTITION BY lid_label, site_name, site_url ORDER BY ord, link) AS link_no, link
+    FROM places""",
+)
+def catalogue_nested(spark, sf_dir):
+    """The nested documents of all labels, written and read back as links."""
+    path = shared_path(spark, "nested")
+    catalogue._catalogue(spark, sf_dir).write_nested(path)
+    return nested.read_nested(spark, path)[1]
+
+
+@query(
+    "catalogue_sites",
+    f"""WITH {_SITED} SELECT lid_label, site_name, site_url, min(ord) AS first_ord, count(*) AS n_links, '{SITE_INFO}' AS info, '{SITE_CONFIDENCE}' AS confidence
+    FROM sited GROUP BY ALL""",
+)
+def catalogue_sites(spark, sf_dir):
+    return catalogue._catalogue(spark, sf_dir).sites()
+
+
 @query(
     "sample_seeds_job",
     f"SELECT iso_code, transcription FROM ({ORACLES['median_sample']})",
