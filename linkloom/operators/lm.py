@@ -8,8 +8,12 @@ are then substrings. All labels are modelled together; tables are keyed by label
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from linkloom.constants import NGRAM_ORDER
@@ -236,56 +240,106 @@ def kn_model(counts: DataFrame, order: int = NGRAM_ORDER) -> DataFrame:
 def score_documents(documents: DataFrame, model: DataFrame, order: int = NGRAM_ORDER) -> DataFrame:
     """(doc_id, lid_label, n_tokens, log10_prob, perplexity) of documents under their label's model.
 
-    A window is a token with its history. Equal windows of one label are scored
-    once: windows are counted per document, scored as distinct (label, window),
-    and joined back.
+    A window is a token with its history. Windows move once: they are dealt out by the last two characters of the
+    history and sorted by the history read backwards, together with the model's n-grams. A context then comes right before
+    all histories that end in it, so one pass holds the contexts of the history at hand and no others, and backs off
+    through them. Documents without a label, or whose label has no model, are left out.
     """
     sent = sentence("text")
     # Windows of full length, and the starts of the sentence where the history is shorter.
     sized = [F.when(F.length(sent) >= k, F.substring(sent, F.lit(1), F.lit(k))) for k in range(2, order)]
     starts = F.array_compact(F.array(*sized)) if sized else F.array().cast("array<string>")
-    windows = (
-        documents.select("lid_label", "doc_id", F.explode(F.concat(starts, char_ngrams(sent, order))).alias("w"))
-        .groupBy("lid_label", "doc_id", "w")
-        .agg(F.count(F.lit(1)).alias("c"))
+    asked = (
+        documents.filter(F.col("lid_label").isNotNull())
+        .select("lid_label", "doc_id", F.explode(F.concat(starts, char_ngrams(sent, order))).alias("gram"))
+        .select("lid_label", "doc_id", F.reverse(_context()).alias("past"), _token().alias("token"))
     )
-    # The longest n-gram is looked up first. What is not known pays its context's backoff and goes on one shorter.
-    table = model.select("lid_label", "n", "gram", "log10_prob", "log10_backoff")
-    unknown = table.filter(F.col("gram") == _UNKNOWN).select("lid_label", F.col("log10_prob").alias("unk"))
-    waiting = windows.select("lid_label", "w").distinct().select("lid_label", "w", F.col("w").alias("gram"), F.lit(0.0).alias("paid"))
-    known = []
-    for n in range(order, 0, -1):
-        own = table.filter((F.col("n") == n) & F.col("log10_prob").isNotNull()).select("lid_label", "gram", "log10_prob")
-        # Windows at the start of a sentence are shorter and wait for their turn.
-        asked = stored(waiting.join(own, ["lid_label", "gram"], "left"), "asked")
-        known.append(asked.filter("log10_prob is not null").select("lid_label", "w", (F.col("log10_prob") + F.col("paid")).alias("logp")))
-        missed = asked.filter("log10_prob is null").drop("log10_prob")
-        turn = F.length("gram") == n
-        if n == 1:
-            rest = missed.join(unknown, "lid_label").select("lid_label", "w", (F.col("unk") + F.col("paid")).alias("logp"))
-            known.append(rest)
-            break
-        backoffs = table.filter(F.col("n") == n - 1).select("lid_label", F.col("gram").alias("context"), "log10_backoff")
-        context = F.when(turn, _context())
-        waiting = (
-            missed.withColumn("context", context)
-            .join(backoffs, ["lid_label", "context"], "left")
-            .select(
-                "lid_label",
-                "w",
-                F.when(turn, _suffix()).otherwise(F.col("gram")).alias("gram"),
-                (F.col("paid") + F.coalesce("log10_backoff", F.lit(0.0))).alias("paid"),
-            )
-        )
-    scored = reduce(DataFrame.unionByName, known)
+    blocks = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    block = F.pmod(F.hash("lid_label", F.substring("past", 1, 2)), F.lit(blocks)).alias("block")
+    grams = model.filter(F.col("lid_label").isNotNull())
+    followers = grams.filter(F.col("log10_prob").isNotNull()).select(
+        "lid_label", F.reverse(_context()).alias("past"), F.lit(_FOLLOWER).alias("kind"), _token().alias("token"), F.col("log10_prob").alias("value")
+    )
+    contexts = grams.filter(F.col("n") < order).select(
+        "lid_label", F.reverse("gram").alias("past"), F.lit(_CONTEXT).alias("kind"), F.lit("").alias("token"), F.col("log10_backoff").alias("value")
+    )
+    table = contexts.unionByName(followers)
+    longer = table.filter(F.length("past") >= 2).select(block, "*")
+    # Unigrams and bigrams belong to many blocks; each gets those of the histories it has.
+    met = asked.select("lid_label", block, F.substring("past", 1, 1).alias("last")).distinct()
+    wanted = met.select("lid_label", "block", F.explode(F.array("last", F.lit(""))).alias("past")).distinct()
+    shorter = table.filter(F.length("past") < 2).join(wanted, ["lid_label", "past"]).select(longer.columns)
+    no_doc = F.lit(None).cast(documents.schema["doc_id"].dataType).alias("doc_id")
+    rows = longer.unionByName(shorter).select("*", no_doc).unionByName(
+        asked.select(block, "*", F.lit(_ASKED).alias("kind"), F.lit(None).cast("double").alias("value"))
+    )
+    met_in_order = rows.repartition(blocks, "block").sortWithinPartitions("block", "lid_label", "past", "kind", "token")
     return (
-        windows.join(scored, ["lid_label", "w"])
+        met_in_order.mapInArrow(_back_off, rows.select("lid_label", "doc_id", F.col("value").alias("logp")).schema)
         .groupBy("doc_id", "lid_label")
-        .agg(F.sum("c").alias("n_tokens"), F.sum(F.col("c") * F.col("logp")).alias("log10_prob"))
+        .agg(F.count(F.lit(1)).alias("n_tokens"), F.sum("logp").alias("log10_prob"))
         .withColumn("perplexity", F.pow(F.lit(10.0), -F.col("log10_prob") / F.col("n_tokens")))
     )
 
 
+# What a row is, in the order in which a pass needs them.
+_CONTEXT, _FOLLOWER, _ASKED = 0, 1, 2
+
+
+def _token(gram: str = "gram") -> Column:
+    return F.substring(gram, -1, 1)
+
+
+def _back_off(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (lid_label, doc_id, logp) of the windows in a sorted stream of n-grams and windows.
+
+    ``path`` holds the known contexts that begin the history at hand, shortest first: the history itself backwards, what it pays
+    to go on with less, and the tokens known after it.
+    """
+    group, path = None, []
+    for batch in batches:
+        keys = ["block", "lid_label", "past", "kind", "token"]
+        changed = np.zeros(batch.num_rows, dtype=bool)
+        changed[:1] = True
+        for key in keys:
+            column = batch.column(key)
+            changed[1:] |= pc.not_equal(column[1:], column[:-1]).to_numpy(zero_copy_only=False)
+        # Equal windows are one run and are scored once.
+        runs = np.flatnonzero(changed)
+        heads = batch.select([*keys, "value"]).take(pa.array(runs))
+        scores = np.full(len(runs), np.nan)
+        for i, (block, label, past, kind, token, value) in enumerate(zip(*(c.to_pylist() for c in heads.columns))):
+            if (block, label) != group:
+                group, path = (block, label), []
+            while path and not past.startswith(path[-1][0]):
+                path.pop()
+            if kind == _ASKED:
+                scores[i] = _log_prob(path, token)
+                continue
+            if not path or path[-1][0] != past:
+                path.append([past, 0.0, {}])
+            if kind == _CONTEXT:
+                path[-1][1] = value
+            else:
+                path[-1][2][token] = value
+        logp = np.repeat(scores, np.diff(np.append(runs, batch.num_rows)))
+        # Only windows have a score, and those of labels without a model have none.
+        scored = pa.array(~np.isnan(logp))
+        found = batch.select(["lid_label", "doc_id"]).append_column("logp", pa.array(logp))
+        yield found.filter(scored)
+
+
+def _log_prob(path: list, token: str) -> float:
+    paid = 0.0
+    for _, backoff, followers in reversed(path):
+        if token in followers:
+            return followers[token] + paid
+        paid += backoff
+    # Unigrams are the followers of the empty context, which pays nothing.
+    unknown = path[0][2].get(_UNKNOWN) if path else None
+    return float("nan") if unknown is None else unknown + paid
+
+
 def arpa_lines(model: DataFrame, order: int = NGRAM_ORDER) -> DataFrame:
     """(lid_label, section, line): the model as ARPA text, to be written sorted by section and line."""
     number = lambda c: F.format_string("%.7f", c)

@@ -1,4 +1,5 @@
 import math
+import random
 from collections import Counter
 
 import pandas as pd
@@ -201,3 +202,34 @@ def test_truncation_keeps_repeated_and_null_keys(spark):
     # Label a is the shortest with 12 characters.
     want = [*rows[:5], (None, 6, "ta"), ("b", 7, "q" * 12)]
     assert got == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("order", [2, 5])
+def test_scores_of_random_texts_in_small_batches(spark, order):
+    chance = random.Random(order)
+    text = lambda letters, n: "".join(chance.choice(letters) for _ in range(n))
+    learnt = [(l, i, text(a, chance.randint(0, 60))) for l, a in (("l", "aab c"), ("m", "bcd\U0001F600")) for i in range(12)]
+    model = stored(lm.kn_model(stored(lm.ngram_counts(spark.createDataFrame(learnt, "lid_label string, doc_id long, text string"), order)), order))
+    table = _table(model)
+    asked = [(chance.choice("lm"), 2**60 + i, text("abcdq\U0001F600", chance.randint(0, 40))) for i in range(40)]
+    # Repeated texts, no text, no label, a label without a model, an id of null.
+    asked += [(l, d + 100, t) for l, d, t in asked[:9]] + [("l", None, "abc"), ("l", 1, None), (None, 2, "abc"), ("zz", 3, "abc")]
+    df = spark.createDataFrame(asked, "lid_label string, doc_id long, text string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    scored = lm.score_documents(df, model, order)
+    got = {r.doc_id: r for r in scored.collect()}
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert set(got) == {d for l, d, t in asked if l in ("l", "m") and t is not None}
+    for label, doc, t in asked:
+        if doc in got:
+            s = ["<s>", *[c for c in t if not c.isspace()], "</s>"]
+            want = sum(_probability(table, label, s[max(0, i - order + 1) : i], s[i], order) for i in range(1, len(s)))
+            assert got[doc].n_tokens == len(s) - 1 and abs(got[doc].log10_prob - want) < 1e-8, (label, t)
+
+
+def test_windows_move_once(spark, model):
+    df = spark.createDataFrame([("eng_Latn", 10, "the zebra")], "lid_label string, doc_id long, text string")
+    plan = lm.score_documents(df, model, 3)._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    # The stream of windows and n-grams, apart from distinct ends of histories and the sums of documents.
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(block" in line]
+    assert len(moved) == 1 and "Join" not in plan[: plan.index(moved[0])]
