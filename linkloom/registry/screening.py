@@ -26,7 +26,7 @@ from linkloom.registry.base import (
 )
 from linkloom.session import shared_path
 from linkloom.sinks import files
-from linkloom.sources import seeds as seed_sources
+from linkloom.sources import dumps, seeds as seed_sources
 from linkloom.streaming import ingest, merge
 
 # The default list, and entries that occur in the hosts and paths at hand.
@@ -64,13 +64,27 @@ def _query_lines(spark, sf_dir):
     SELECT code AS iso_code, line_no, row_number() OVER (PARTITION BY line_no, code ORDER BY pos) - 1 AS pos, link, snippet FROM keyed""",
 )
 def search_dump_explode(spark, sf_dir):
+    return _numbered(seed_sources.explode_dump(_dumps(spark, sf_dir)))
+
+
+@query("search_dump_split", ORACLES["search_dump_explode"])
+def search_dump_split(spark, sf_dir):
+    """The same dumps in files, split at braces."""
+    path = shared_path(spark, "dumps")
+    _dumps(spark, sf_dir).write.text(path)
+    return _numbered(dumps.read_split_dump(spark, path))
+
+
+def _dumps(spark, sf_dir):
     """A dump object for each query, with two keys and several results under each."""
     rows = result_table(spark, sf_dir)
     code = F.concat("iso_code", F.when(F.col("pos") % 2 == 0, "").otherwise("x"))
     results = F.transform(F.sort_array(F.collect_list(F.struct("pos", "link", "snippet"))), lambda r: F.struct(r["link"].alias("link"), r["snippet"].alias("snippet"), F.lit("t").alias("title"), F.array(F.lit("e")).alias("engines")))
     keyed = rows.groupBy("line_no", code.alias("code")).agg(results.alias("results"))
-    dumps = keyed.groupBy("line_no").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("code", "results")))).alias("value"))
-    found = seed_sources.explode_dump(dumps)
+    return keyed.groupBy("line_no").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("code", "results")))).alias("value")).select("value")
+
+
+def _numbered(found):
     # The query's number is part of its links.
     return found.select("iso_code", F.regexp_extract("link", "q([0-9]+)", 1).cast("bigint").alias("line_no"), "pos", "link", "snippet")
 
