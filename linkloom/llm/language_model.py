@@ -23,10 +23,12 @@ first in order; without any training row all texts are ``und``; further columns
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import IntegerType, LongType, MapType
 
 from linkloom.session import row_count_within, stored
 
@@ -318,6 +320,67 @@ def predict(docs: DataFrame, model: Models | None, text: str = "text") -> DataFr
     )
 
 
+# A range of code points is a language's own from this share of its training letters on, whatever their number.
+OWN_SHARE = 0.001
+# Share of a text's letters in its language's own ranges below which the text is in none of the languages.
+KNOWN_SHARE = 0.5
+
+
+@lru_cache(maxsize=1)
+def _letters() -> np.ndarray:
+    """For each code point whether it is a letter."""
+    return np.array([chr(c).isalpha() for c in range(0x110000)])
+
+
+def _range_counts(text: str) -> dict[int, int]:
+    """Letters of a text by range: 128 code points below U+3000, 8,192 above, so that each large script has few."""
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    points = points[_letters()[points]]
+    ranges, n = np.unique(np.where(points < 0x3000, points >> 7, 0x1000 + (points >> 13)), return_counts=True)
+    return dict(zip(ranges.tolist(), n.tolist()))
+
+
+@F.pandas_udf(MapType(IntegerType(), LongType()))
+def letter_ranges(texts: pd.Series) -> pd.Series:
+    return pd.Series([_range_counts(t or "") for t in texts], dtype=object)
+
+
+def own_ranges(docs: DataFrame, text: str = "text", label: str = "lang") -> DataFrame:
+    """(lang, own): the ranges that hold letters of a language, of all training rows. Less than 250 for each language."""
+    rows = docs.where(docs[text].isNotNull() & docs[label].isNotNull())
+    counts = (
+        rows.select(docs[label].alias("lang"), F.explode(letter_ranges(docs[text])).alias("range", "n"))
+        .groupBy("lang", "range")
+        .agg(F.sum("n").alias("n"))
+    )
+    totals = counts.groupBy("lang").agg(
+        F.sum("n").alias("all"), F.collect_list(F.struct("range", "n")).alias("counts")
+    )
+    own = F.filter("counts", lambda c: c["n"] >= OWN_SHARE * F.col("all"))
+    return totals.select("lang", F.transform(own, lambda c: c["range"]).alias("own"))
+
+
+def in_known_language(docs: DataFrame, training: DataFrame, model: Models | None, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` in one of the model's languages.
+
+    Texts that are ``und`` go, and those with less than ``KNOWN_SHARE`` of their letters in the ranges of the language
+    predicted, as texts in a script that no training text has. Neither depends on how much text there is.
+    """
+    judged = predict(docs, model, text)
+    own = stored(own_ranges(training, text), "own_ranges")
+    counts = F.map_entries("ranges")
+    add = lambda total, c: total + c["value"]
+    number = lambda entries: F.aggregate(entries, F.lit(0).cast("bigint"), add)
+    known = F.filter(counts, lambda c: F.array_contains("own", c["key"]))
+    return (
+        judged.where(F.col("lang_pred") != UNKNOWN)
+        .withColumn("ranges", letter_ranges(F.col("row").getField(text)))
+        .join(own, F.col("lang_pred") == F.col("lang"))
+        .where(number(known) >= KNOWN_SHARE * number(counts))
+        .select("row.*")
+    )
+
+
 def held_out(id: Column, folds: int = 4, fold: int = 2) -> Column:
     """Documents that training never reads: crc32 of the id as text, modulo ``folds``."""
     return F.coalesce(F.pmod(F.crc32(id.cast("string")), F.lit(folds)) == fold, F.lit(False))

@@ -436,3 +436,38 @@ def test_held_out_accuracy(spark):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in rows)
     held = [r["lang"] == r["lang_pred"] for r in rows if r["held_out"]]
     assert len(held) > 200 and sum(held) / len(held) > 0.98
+
+
+SCRIPTS = [
+    "Все счастливые семьи похожи друг на друга", "Όλες οι ευτυχισμένες οικογένειες", "كل العائلات السعيدة متشابهة", "सभी सुखी परिवार एक जैसे होते हैं",
+    "幸福的家庭都是相似的不幸的家庭", "ครอบครัวที่มีความสุขทุกครอบครัว", "כל המשפחות המאושרות דומות זו לזו", "행복한 가정은 모두 비슷하다",
+]
+
+
+@pytest.mark.parametrize("size", [300, 100_000])
+def test_known_languages_stay_at_every_size(spark, size):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").where("lang is not null and length(text) > 50").select("doc_id", "lang", "text")
+    rows = docs.orderBy("doc_id").collect()
+    texts = {}
+    for r in rows[: len(rows) // 2]:
+        texts[r.lang] = texts.get(r.lang, "") + " " + r.text
+    training = [(i, lang, t.encode()[:size].decode(errors="ignore")) for i, (lang, t) in enumerate(sorted(texts.items()))]
+    # A known language of a large script, and a word of another in a long text, which does not make that script the language's own.
+    training.append((90, "zh", ("天地玄黄宇宙洪荒日月盈昃辰宿列张寒来暑往秋收冬藏闰余成岁律吕调阳" * 20).encode()[:size].decode(errors="ignore")))
+    training = [(i, lang, t + (" слово" if size > 50_000 and lang == "en" else "")) for i, lang, t in training]
+    asked = [(r.doc_id, r.lang, r.text) for r in rows[len(rows) // 2 :]] + [(10**6, None, "云腾致雨露结为霜金生丽水玉出昆冈")]
+    foreign = SCRIPTS[:4] + SCRIPTS[5:]
+    asked += [(2 * 10**6 + i, "en", t) for i, t in enumerate(foreign)] + [(-1, None, None), (-2, "en", ""), (-3, "en", "12 34")]
+    schema = "doc_id long, lang string, text string"
+    learnt = spark.createDataFrame(training, schema)
+    kept = language_model.in_known_language(spark.createDataFrame(asked, schema), learnt, language_model.train(learnt))
+    assert kept.columns == ["doc_id", "lang", "text"]
+    got = sorted(r.doc_id for r in kept.collect())
+    assert got == sorted(d for d, _, _ in asked if 0 <= d <= 10**6)
+
+
+def test_no_language_is_known_without_training(spark):
+    rows = spark.createDataFrame([(1, "en", "some words")], "doc_id long, lang string, text string")
+    none = rows.limit(0)
+    assert language_model.in_known_language(rows, none, language_model.train(none)).count() == 0
+    assert language_model.in_known_language(none, rows, language_model.train(rows)).count() == 0
