@@ -1,8 +1,7 @@
 """Corpus pipeline over ``documents``: each stage is written as Parquet, and the next one reads that.
 
 language_id keeps what the byte model places in one of the training languages: texts that are null, have
-no letter or cost a byte more than ``MOST_UNMET`` of what a byte never met in training costs in their language go; that
-cost grows with the training text, so the limit does too. exact_dedup and near_dedup keep one
+no letter or have most of their letters in a script that the language's training text is without go, at every size. exact_dedup and near_dedup keep one
 document of each group; texts whose five-word shingles have a Jaccard similarity of 0.80 or more are near copies.
 mix_sources reads every document at least once and repeats those of small sources, ``MOST_REPEATS`` times at most, so that sources come nearer to equal token shares; its rows are in the order of the block permutations. pack
 cuts and packs what is left into sequences; it returns pieces, not documents.
@@ -13,27 +12,19 @@ Stages take empty tables, null and repeated rows as their operators do.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from linkloom.llm import exact_dedup, language_model, mixing, near_dedup, packing
 from linkloom.session import stored
 
-# Share of the cost of an unmet byte: text in a script that no language has lies above, Latin script below.
-MOST_UNMET = 0.8
 MOST_REPEATS = 2.0
 # Near copies in percent of similarity; these bands miss a pair just at it with a chance of 6e-7.
 NEAR = {"part": 80, "bands": 36, "rows": 5}
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = language_model.train(docs.where(~language_model.held_out(docs["doc_id"])))
-    judged = language_model.predict(docs, model)
-    # Every other prediction is one of the model's languages.
-    limit = F.lit(0.0)
-    for lang, bits in (model.unmet_bits() if model else {}).items():
-        limit = F.when(F.col("lang_pred") == lang, MOST_UNMET * bits).otherwise(limit)
-    known = (F.col("lang_pred") != language_model.UNKNOWN) & (F.col("bits_per_byte") <= limit)
-    return judged.where(known).select("row.*")
+    training = docs.where(~language_model.held_out(docs["doc_id"]))
+    return language_model.in_known_language(docs, training, language_model.train(training))
 
 
 def remove_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
