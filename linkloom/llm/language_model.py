@@ -291,14 +291,16 @@ def has_letter(text: Column) -> Column:
     return F.coalesce(F.regexp_like(text, F.lit(r"\p{L}")), F.lit(False))
 
 
-def predict(docs: DataFrame, model: Models | None, text: str = "text") -> DataFrame:
-    """All columns of ``docs`` in ``row``, ``lang_pred``, ``score`` and ``bits_per_byte``."""
+def predict(docs: DataFrame, model: Models | None, text: str = "text", with_ranges: bool = False) -> DataFrame:
+    """All columns of ``docs`` in ``row``, ``lang_pred``, ``score`` and ``bits_per_byte``; on request the text's letters by range."""
     row = F.struct(*[docs[c] for c in docs.columns]).alias("row")
     if model is None:
         nothing = (F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), F.lit(0.0).alias("bits_per_byte"))
-        return docs.select(row, *nothing)
+        ranges = [F.create_map().cast("map<int,bigint>").alias("ranges")] * with_ranges
+        return docs.select(row, *nothing, *ranges)
 
-    @F.pandas_udf("lang string, score double, bits double")
+    # Ranges are counted by the same worker: one of their own holds its memory beside it.
+    @F.pandas_udf("lang string, score double, bits double" + ", ranges map<int,bigint>" * with_ranges)
     def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
             data = [t.encode() if t is not None else b"" for t in texts]
@@ -307,7 +309,10 @@ def predict(docs: DataFrame, model: Models | None, text: str = "text") -> DataFr
             least = bits[np.arange(len(data)), best]
             share = 1 / np.exp2(np.maximum(least[:, None] - bits, -1000.0)).sum(axis=1)
             sizes = np.maximum([len(t) for t in data], 1)
-            yield pd.DataFrame({"lang": np.array(langs, dtype=object)[best], "score": share, "bits": least / sizes})
+            found = {"lang": np.array(langs, dtype=object)[best], "score": share, "bits": least / sizes}
+            if with_ranges:
+                found["ranges"] = [_range_counts(t or "") for t in texts]
+            yield pd.DataFrame(found)
 
     judged = docs.select(row, docs[text].alias("text"), has_letter(docs[text]).alias("lettered")).withColumn(
         "judged", judge("text")
@@ -317,6 +322,7 @@ def predict(docs: DataFrame, model: Models | None, text: str = "text") -> DataFr
         F.when(F.col("lettered"), F.col("judged.lang")).otherwise(UNKNOWN).alias("lang_pred"),
         F.when(F.col("lettered"), F.col("judged.score")).otherwise(0.0).alias("score"),
         F.when(F.col("lettered"), F.col("judged.bits")).otherwise(0.0).alias("bits_per_byte"),
+        *[F.col("judged.ranges")] * with_ranges,
     )
 
 
@@ -366,7 +372,7 @@ def in_known_language(docs: DataFrame, training: DataFrame, model: Models | None
     Texts that are ``und`` go, and those with less than ``KNOWN_SHARE`` of their letters in the ranges of the language
     predicted, as texts in a script that no training text has. Neither depends on how much text there is.
     """
-    judged = predict(docs, model, text)
+    judged = predict(docs, model, text, with_ranges=True)
     own = stored(own_ranges(training, text), "own_ranges")
     counts = F.map_entries("ranges")
     add = lambda total, c: total + c["value"]
@@ -374,7 +380,6 @@ def in_known_language(docs: DataFrame, training: DataFrame, model: Models | None
     known = F.filter(counts, lambda c: F.array_contains("own", c["key"]))
     return (
         judged.where(F.col("lang_pred") != UNKNOWN)
-        .withColumn("ranges", letter_ranges(F.col("row").getField(text)))
         .join(own, F.col("lang_pred") == F.col("lang"))
         .where(number(known) >= KNOWN_SHARE * number(counts))
         .select("row.*")
