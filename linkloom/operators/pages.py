@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from linkloom.functions import html as H
@@ -10,7 +12,13 @@ from linkloom.functions.local import bind, work_out
 from linkloom.operators.sieve import sift
 
 
-TEXT_OF = {"main": H.main_text, "stripped": H.html_to_text}
+# The closed forms decode only references that end in ``;``, as the reference's extractor does.
+TEXT_OF = {
+    "main": H.main_text,
+    "stripped": H.html_to_text,
+    "main_closed": partial(H.main_text, bare=False),
+    "stripped_closed": partial(H.html_to_text, bare=False),
+}
 
 
 def _link_structs(url: str, hrefs: Column) -> Column:
@@ -44,10 +52,10 @@ def page_texts(pages: DataFrame, url: str = "url", html: str = "html", source: s
     return work_out(sources, "text", TEXT_OF[source]("html")).drop("html")
 
 
-def page_metadata(pages: DataFrame, url: str = "url", html: str = "html", headers: str | None = None) -> DataFrame:
+def page_metadata(pages: DataFrame, url: str = "url", html: str = "html", headers: str | None = None, bare: bool = True) -> DataFrame:
     """Language, title, description and keywords per page; all null where it has no ``<html>``."""
     column = F.col(headers) if headers else None
-    return pages.select(url, H.page_metadata(html, column).alias("m")).select(url, "m.*")
+    return pages.select(url, H.page_metadata(html, column, bare).alias("m")).select(url, "m.*")
 
 
 def wanted_texts(pages: DataFrame, links: DataFrame, link: str = "link", source: str = "main") -> DataFrame:

@@ -9,7 +9,7 @@ from linkloom.operators import filters, learnt, lid, pages as page_ops, sets
 from linkloom.plans import jobs
 from linkloom.registry.base import SQL_LINKS, SQL_SEEDS, SQL_TEXTS, link_table, query, seed_table, sql_netloc, page_table, table, text_table
 from linkloom.registry.screening import BLOCKED, EXCLUDED, SQL_BLOCKLIST, UNUSED
-from linkloom.registry.urls_pages import SQL_ALL_TEXT, SQL_EDGES, SQL_HREFS, SQL_PAGE_TEXTS
+from linkloom.registry.urls_pages import PAGE_SOURCE, SQL_ALL_TEXT, SQL_EDGES, SQL_HREFS, SQL_PAGE_TEXTS
 from linkloom.session import shared_path, stored
 from linkloom.streaming import ingest
 
@@ -65,14 +65,14 @@ SQL_PAGES_PREDICTED = f"""{SQL_PROFILE}, {SQL_PAGE_TEXTS},
 
 @query("lid_predict", f"WITH {SQL_PAGES_PREDICTED} SELECT link, predicted_lid, round(lid_confidence, 6) AS lid_confidence FROM predicted")
 def lid_predict(spark, sf_dir):
-    texts = page_ops.page_texts(page_table(spark, sf_dir))
+    texts = page_ops.page_texts(page_table(spark, sf_dir), source=PAGE_SOURCE)
     tagged = lid.tag_language(texts, _predictor(spark, sf_dir))
     return _rounded(tagged.select("link", "predicted_lid", "lid_confidence"))
 
 
 @query("lid_predict_join", f"WITH {SQL_PAGES_PREDICTED} SELECT link, predicted_lid, round(lid_confidence, 6) AS lid_confidence FROM predicted")
 def lid_predict_join(spark, sf_dir):
-    texts = page_ops.page_texts(page_table(spark, sf_dir))
+    texts = page_ops.page_texts(page_table(spark, sf_dir), source=PAGE_SOURCE)
     read = texts.select("link", lid.readable("text").alias("text"))
     return _rounded(lid.predict_by_join(read, lid.fit_profile(text_table(spark, sf_dir)), "link"))
 
@@ -81,7 +81,7 @@ def lid_predict_join(spark, sf_dir):
 def lid_learnt(spark, sf_dir):
     """Weights learnt from all documents, applied to all pages; no twin, as SQL cannot fit them."""
     model = learnt.fit_learnt(text_table(spark, sf_dir))
-    texts = page_ops.page_texts(page_table(spark, sf_dir))
+    texts = page_ops.page_texts(page_table(spark, sf_dir), source=PAGE_SOURCE)
     return lid.tag_language(texts, model).select("link", "predicted_lid", "lid_confidence")
 
 
@@ -93,35 +93,35 @@ def sql_predicted(n: int) -> str:
 
 @query("lid_predict_2", sql_predicted(2))
 def lid_predict_2(spark, sf_dir):
-    texts = page_ops.page_texts(page_table(spark, sf_dir))
+    texts = page_ops.page_texts(page_table(spark, sf_dir), source=PAGE_SOURCE)
     predictor = lid.profile_predictor(lid.fit_profile(text_table(spark, sf_dir), n=2))
     return _rounded(lid.tag_language(texts, predictor).select("link", "predicted_lid", "lid_confidence"))
 
 
 @query("lid_predict_4", sql_predicted(4))
 def lid_predict_4(spark, sf_dir):
-    texts = page_ops.page_texts(page_table(spark, sf_dir))
+    texts = page_ops.page_texts(page_table(spark, sf_dir), source=PAGE_SOURCE)
     predictor = lid.profile_predictor(lid.fit_profile(text_table(spark, sf_dir), n=4))
     return _rounded(lid.tag_language(texts, predictor).select("link", "predicted_lid", "lid_confidence"))
 
 
 @query("lid_predict_join_2", sql_predicted(2))
 def lid_predict_join_2(spark, sf_dir):
-    texts = page_ops.page_texts(page_table(spark, sf_dir))
+    texts = page_ops.page_texts(page_table(spark, sf_dir), source=PAGE_SOURCE)
     tagged = lid.tag_language(texts, lid.fit_profile(text_table(spark, sf_dir), n=2))
     return _rounded(tagged.select("link", "predicted_lid", "lid_confidence"))
 
 
 @query("lid_predict_join_4", sql_predicted(4))
 def lid_predict_join_4(spark, sf_dir):
-    texts = page_ops.page_texts(page_table(spark, sf_dir))
+    texts = page_ops.page_texts(page_table(spark, sf_dir), source=PAGE_SOURCE)
     tagged = lid.tag_language(texts, lid.fit_profile(text_table(spark, sf_dir), n=4))
     return _rounded(tagged.select("link", "predicted_lid", "lid_confidence"))
 
 
 @query("lid_tally", f"WITH {SQL_PAGES_PREDICTED} SELECT predicted_lid, count(*) AS n FROM predicted GROUP BY 1")
 def lid_tally(spark, sf_dir):
-    texts = page_ops.page_texts(page_table(spark, sf_dir))
+    texts = page_ops.page_texts(page_table(spark, sf_dir), source=PAGE_SOURCE)
     return lid.lid_tally(lid.tag_language(texts, _predictor(spark, sf_dir)))
 
 
@@ -137,7 +137,7 @@ _ALLOWED = "NOT EXISTS (SELECT 1 FROM blocklist WHERE contains({}, entry))"
 )
 def language_filter_job(spark, sf_dir):
     kept = jobs.search_language_filter(
-        link_table(spark, sf_dir), page_table(spark, sf_dir), _predictor(spark, sf_dir), EXCLUDED, BLOCKED
+        link_table(spark, sf_dir), page_table(spark, sf_dir), _predictor(spark, sf_dir), EXCLUDED, BLOCKED, source=PAGE_SOURCE
     )
     return _rounded(kept.select("lid_label", "ord", "link", "predicted_lid", "lid_confidence"))
 
@@ -152,7 +152,7 @@ def language_filter_job(spark, sf_dir):
 def lang_filter_by_query(spark, sf_dir):
     results = link_table(spark, sf_dir).withColumnRenamed("lid_label", "iso_code")
     path = shared_path(spark, "by-query")
-    jobs.search_language_filter(results, page_table(spark, sf_dir), _predictor(spark, sf_dir), EXCLUDED, BLOCKED, path, "iso_code")
+    jobs.search_language_filter(results, page_table(spark, sf_dir), _predictor(spark, sf_dir), EXCLUDED, BLOCKED, path, "iso_code", source=PAGE_SOURCE)
     return spark.read.schema("ord bigint, link string, predicted_lid string, iso_code string").json(path)
 
 
@@ -168,7 +168,7 @@ def lang_filter_all_text(spark, sf_dir):
     """All visible text instead of the main text; a blocklist beyond literals, as a table."""
     entries = spark.createDataFrame([(e,) for e in [*BLOCKED, *UNUSED]], "entry string")
     kept = jobs.search_language_filter(
-        link_table(spark, sf_dir), page_table(spark, sf_dir), _predictor(spark, sf_dir), EXCLUDED, entries, source="stripped", drop_empty=True
+        link_table(spark, sf_dir), page_table(spark, sf_dir), _predictor(spark, sf_dir), EXCLUDED, entries, source="stripped_closed", drop_empty=True
     )
     return kept.select("lid_label", "ord", "link", "predicted_lid")
 
@@ -205,7 +205,7 @@ SQL_FILTERED = f"""starts AS (SELECT DISTINCT lid_label, link AS url FROM seeds
 def _expansion(spark, sf_dir):
     seeds = filters.seed_gate(seed_table(spark, sf_dir)).filter(F.col("predicted_lid").isNotNull())
     pages = page_table(spark, sf_dir)
-    return jobs.expand_seeds(seeds, pages, _predictor(spark, sf_dir), blocklist=BLOCKED, max_pages=10**6, growth_factor=None)
+    return jobs.expand_seeds(seeds, pages, _predictor(spark, sf_dir), blocklist=BLOCKED, max_pages=10**6, growth_factor=None, source=PAGE_SOURCE)
 
 
 @query(
@@ -220,7 +220,7 @@ def filter_seeds_job(spark, sf_dir):
 
     found = sets.set_union(seeds, one_hop_links(seeds, page_ops.page_links(pages).select("src", "dst")))
     links = found.withColumnRenamed("url", "link")
-    return lid.filter_links(links, pages, _predictor(spark, sf_dir), 0.7, save_text=False).select("lid_label", "link")
+    return lid.filter_links(links, pages, _predictor(spark, sf_dir), 0.7, save_text=False, source=PAGE_SOURCE).select("lid_label", "link")
 
 
 @query(
@@ -274,7 +274,7 @@ def incremental_ingest_pages(spark, sf_dir):
     folder, predictor, pages = shared_path(spark, "ingest"), _predictor(spark, sf_dir), page_table(spark, sf_dir)
     link_table(spark, sf_dir).select("ord", "link").write.json(f"{folder}/in")
     results = ingest.read_results(spark, f"{folder}/in", "ord bigint, link string")
-    tag = lambda batch: ingest.tagged_results(batch, predictor, EXCLUDED, BLOCKED, pages)
+    tag = lambda batch: ingest.tagged_results(batch, predictor, EXCLUDED, BLOCKED, pages, source=PAGE_SOURCE)
     ingest.ingest(results, tag, f"{folder}/out", f"{folder}/state").awaitTermination()
     filed = spark.read.schema("ord bigint, link string, predicted_lid string").json(f"{folder}/out")
     return filed.select("ord", "link", "predicted_lid")

@@ -30,7 +30,7 @@ from linkloom.registry.base import (
 from linkloom.registry.language import SQL_PAGES_PREDICTED, SQL_PROFILE, _predictor, sql_predict
 from linkloom.registry.modelling import ORDER, SQL_MODEL
 from linkloom.registry.screening import BLOCKED, SQL_BLOCKLIST, SQL_CODED
-from linkloom.registry.urls_pages import sql_strip_ws
+from linkloom.registry.urls_pages import PAGE_SOURCE, sql_strip_ws
 from linkloom.session import shared_path
 from linkloom.sinks import files, nested, runs
 from linkloom.sources import seeds as seed_sources, tables
@@ -301,7 +301,7 @@ def _same_site(spark, sf_dir, seeds):
 )
 def filtered_texts(spark, sf_dir):
     """Texts are kept on request."""
-    kept = lid.filter_links(link_table(spark, sf_dir), page_table(spark, sf_dir), _predictor(spark, sf_dir), 0.7, save_text=True)
+    kept = lid.filter_links(link_table(spark, sf_dir), page_table(spark, sf_dir), _predictor(spark, sf_dir), 0.7, save_text=True, source=PAGE_SOURCE)
     return kept.select("lid_label", "ord", "link", "text")
 
 

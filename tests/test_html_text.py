@@ -183,3 +183,32 @@ def test_link_lists_go_and_prose_stays(spark):
     df = spark.createDataFrame(LABELLED, "h string, want string")
     for row in df.select("want", html.main_text("h").alias("got")).collect():
         assert row.got == row.want
+
+
+def test_closed_forms_leave_references_without_an_end(spark):
+    source = (
+        "<html lang=de><head><title>a &lt;&amp;&amp</title></head><body><article><h1>a &lt;&amp;&amp</h1>"
+        "<p>x &copy y &#38 z &#38; &#x26 &copy; and so on to the end</p></article></body></html>"
+    )
+    df = spark.createDataFrame([("http://h/1", source)], "url string, html string")
+    line = "x &copy y &#38 z & &#x26 © and so on to the end"
+    assert pages.page_texts(df, source="main_closed").first().text == f"a <&&amp\n{line}"
+    assert pages.page_texts(df, source="stripped_closed").first().text == f"a <&&amp a <&&amp {line}"
+    assert pages.page_metadata(df, bare=False).first().title == "a <&&amp"
+    assert pages.page_metadata(df).first().title == "a <&&"
+
+
+def test_a_url_with_two_pages_has_its_links_once(spark):
+    rows = [("http://h/1", '<a href="/a">x</a><a href="/b">y</a>'), ("http://h/1", '<a href="/b">y</a><a href="/c">z</a>'), ("http://h/2", '<a href="/b">y</a>')]
+    found = [(r.src, r.href) for r in pages.page_links(spark.createDataFrame(rows, "url string, html string")).collect()]
+    assert sorted(found) == [("http://h/1", "/a"), ("http://h/1", "/b"), ("http://h/1", "/c"), ("http://h/2", "/b")]
+
+
+def test_parsed_pages_of_one_url_keep_all_texts(spark, tmp_path):
+    from linkloom.registry.urls_pages import parse_pages
+
+    page = "<html><body><article><p>{}</p></article>{}</body></html>"
+    rows = [(1, "http://h/1", page.format("one", '<a href="/a">x</a>')), (2, "http://h/1", page.format("two", '<a href="/b">x</a>'))]
+    spark.createDataFrame(rows, "page_id bigint, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    found = sorted((r.dst, r.text) for r in parse_pages(spark, str(tmp_path)).collect())
+    assert found == [("http://h/a", "one"), ("http://h/a", "two"), ("http://h/b", "one"), ("http://h/b", "two")]
