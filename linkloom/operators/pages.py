@@ -31,11 +31,11 @@ def _link_structs(url: str, hrefs: Column) -> Column:
 
 
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """Edges (src, href, dst) of the link graph; one row per distinct target as written."""
+    """Edges (src, href, dst) of the link graph; one row per distinct target as written, also of a URL with several pages."""
     # Resolved before the explode: what a generator gives out is never worked out twice.
     read = work_out(pages.select(F.col(url).alias("src"), F.col(html).alias("html")), "hrefs", H.hrefs("html"))
     links = read.select("src", F.inline(_link_structs("src", F.col("hrefs"))))
-    return links.select("src", "href", "dst")
+    return links.select("src", "href", "dst").distinct()
 
 
 def parse_pages(pages: DataFrame, url: str = "url", html: str = "html", source: str = "main") -> DataFrame:
