@@ -19,44 +19,51 @@ MOST_BUCKETS = 4096
 
 @dataclass(frozen=True)
 class LinkGraph:
-    """Edges (keys, src, dst, bucket), filed under a hash of (keys, src).
+    """Edges (src, dst, host, bucket), filed under a hash of src, and the hosts that each key may visit.
 
-    Buckets are partition folders, so a level of a crawl reads those that its pages are in and no
-    others. Their number follows that of the edges: a larger graph has more buckets, not larger
-    ones, up to ``MOST_BUCKETS``.
+    An edge is there once, however many keys may follow it. Buckets are partition folders, so a level of a crawl
+    reads those that its pages are in and no others. Their number follows that of the edges: a larger graph has more
+    buckets, not larger ones, up to ``MOST_BUCKETS``.
     """
 
     edges: DataFrame
+    allowed: DataFrame
     keys: tuple[str, ...]
     buckets: int
 
     def bucket(self, url: str) -> Column:
-        return F.pmod(F.xxhash64(*self.keys, url), F.lit(self.buckets)).cast("int")
+        return F.pmod(F.xxhash64(url), F.lit(self.buckets)).cast("int")
 
     def buckets_of(self, pages: DataFrame, url: str = "url") -> list[int]:
         """The buckets that hold the links of ``pages``: at most as many numbers as there are buckets."""
         return sorted(row[0] for row in pages.select(self.bucket(url)).distinct().collect())
 
     def links_of(self, pages: DataFrame, opened: list[int] | None = None) -> DataFrame:
-        """``pages`` (keys, src, ...) with a row for each of their links (dst); ``opened``: the buckets they are in."""
+        """``pages`` (keys, src, ...) with a row for each link (dst) that their key may follow; ``opened``: the buckets they are in."""
         opened = self.buckets_of(pages, "src") if opened is None else opened
         edges = self.edges if len(opened) == self.buckets else self.edges.filter(F.col("bucket").isin(opened))
-        return pages.withColumn("bucket", self.bucket("src")).join(edges, [*self.keys, "src", "bucket"]).drop("bucket")
+        at_home = pages.withColumn("host", urls.netloc("src")).join(self.allowed, [*self.keys, "host"], "left_semi").drop("host")
+        links = at_home.withColumn("bucket", self.bucket("src")).join(edges, ["src", "bucket"]).drop("bucket")
+        return links.join(self.allowed, [*self.keys, "host"], "left_semi").drop("host")
 
 
-def link_graph(reach: DataFrame, keys: list[str], bucket_edges: int = BUCKET_EDGES) -> LinkGraph:
-    """File edges (keys, src, dst) under buckets, sorted by (keys, src) in each.
+def link_graph(edges: DataFrame, seeds: DataFrame, keys: list[str], max_length: int = MAX_URL_LENGTH, bucket_edges: int = BUCKET_EDGES) -> LinkGraph:
+    """File the edges (src, dst) between hosts of the seeds' sites under buckets, sorted by src in each.
 
-    ``reach`` is stored first, which tells its size. A bucket that is too large for a task, as of a page that very
-    many keys reach, is written by several.
+    They are stored first, which tells their size. A bucket that is too large for a task is written by several. Edges
+    and keys meet only on the pages that a key visits, so the graph does not grow with the keys of a site.
     """
-    flat = stored(reach, "edges")
+    ends = _with_hosts(edges, max_length)
+    allowed = stored(_allowed_hosts(ends, seeds, keys), "allowed")
+    sites = allowed.select("host").distinct()
+    inside = ends.join(sites, "host", "left_semi").join(sites.withColumnRenamed("host", "src_host"), "src_host", "left_semi")
+    flat = stored(inside.select("src", "dst", "host").distinct(), "edges")
     buckets = min(max(-(-flat.count() // bucket_edges), 1), MOST_BUCKETS)
     if buckets == 1:
-        return LinkGraph(flat.withColumn("bucket", F.lit(0)), tuple(keys), 1)
-    filed = LinkGraph(flat, tuple(keys), buckets)
-    marked = flat.withColumn("bucket", filed.bucket("src")).hint("rebalance", "bucket").sortWithinPartitions("bucket", *keys, "src")
-    return LinkGraph(stored(marked, "reach", ("bucket",)), tuple(keys), buckets)
+        return LinkGraph(flat.withColumn("bucket", F.lit(0)), allowed, tuple(keys), 1)
+    filed = LinkGraph(flat, allowed, tuple(keys), buckets)
+    marked = flat.withColumn("bucket", filed.bucket("src")).hint("rebalance", "bucket").sortWithinPartitions("bucket", "src")
+    return LinkGraph(stored(marked, "reach", ("bucket",)), allowed, tuple(keys), buckets)
 
 
 @dataclass
@@ -83,19 +90,23 @@ def parsed_site_pages(pages: DataFrame, seeds: DataFrame, source: str = "main")
     return parsed.withColumn("page_host", urls.netloc("link")).join(hosts, "page_host").select(*parsed.columns)
 
 
-def reachable_edges(edges: DataFrame, seeds: DataFrame, keys: list[str], max_length: int = MAX_URL_LENGTH) -> DataFrame:
-    """Edges (keys, src, dst) a crawl may follow: both ends on a site of the key's seeds.
+def _with_hosts(edges: DataFrame, max_length: int) -> DataFrame:
+    """Edges (src, dst, src_host, host) of bounded length."""
+    short = edges.filter(F.length("dst") <= max_length)
+    return short.select("src", "dst", urls.netloc("src").alias("src_host"), urls.netloc("dst").alias("host"))
 
-    Cuts the graph to the seeds' sites once, so that the levels of the crawl
-    never look at the whole link table again.
-    """
+
+def _allowed_hosts(ends: DataFrame, seeds: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, host): hosts of ``ends`` on a site of the key's seeds."""
     seed_hosts = seeds.select(*keys, urls.netloc("url").alias("seed_host"))
-    ends = (
-        edges.filter(F.length("dst") <= max_length)
-        .select("src", "dst", urls.netloc("src").alias("src_host"), urls.netloc("dst").alias("host"))
-    )
     hosts = ends.select("host").unionByName(ends.select(F.col("src_host").alias("host")))
-    allowed = same_site_hosts(hosts, seed_hosts, keys, "host", "seed_host")
+    return same_site_hosts(hosts, seed_hosts, keys, "host", "seed_host")
+
+
+def reachable_edges(edges: DataFrame, seeds: DataFrame, keys: list[str], max_length: int = MAX_URL_LENGTH) -> DataFrame:
+    """Edges (keys, src, dst) that a key may follow: both ends on a site of the key's seeds."""
+    ends = _with_hosts(edges, max_length)
+    allowed = _allowed_hosts(ends, seeds, keys)
     sources = allowed.withColumnRenamed("host", "src_host")
     return (
         ends.join(allowed, "host")
@@ -129,7 +140,7 @@ def crawl(
     """
     keys = keys or ["lid_label"]
     starts = stored(seeds.select(*keys, "url").distinct(), "starts")
-    graph = link_graph(reachable_edges(edges, starts, keys, max_length), keys, bucket_edges)
+    graph = link_graph(edges, starts, keys, max_length, bucket_edges)
 
     by_url = Window.partitionBy(*keys).orderBy("url")
     by_parent = Window.partitionBy(*keys).orderBy("parent_rank", "url")

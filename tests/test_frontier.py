@@ -153,3 +153,19 @@ def test_a_crawl_reads_the_buckets_of_its_pages(spark, monkeypatch):
 
     small, large = crawled(2000), crawled(20000)
     assert large < 1.5 * small and large < 51 * 2 * 50 * 1.5
+
+
+def test_the_graph_does_not_grow_with_the_seeds_of_a_site(spark, monkeypatch):
+    made, plain = [], frontier.link_graph
+
+    def link_graph(*args, **options):
+        made.append(plain(*args, **options))
+        return made[-1]
+
+    monkeypatch.setattr(frontier, "link_graph", link_graph)
+    nodes = [f"http://a.org/{i:03d}" for i in range(60)]
+    edges = spark.createDataFrame(list(zip(nodes, nodes[1:])) + [(nodes[0], "http://b.org/x")], "src string, dst string")
+    seeds = spark.createDataFrame(list(enumerate(nodes)), "seed_id long, url string")
+    done = frontier.crawl(seeds, edges, ["seed_id"], max_pages=3, growth_factor=None, seeds_are_links=False)
+    assert sorted((r.seed_id, r.url) for r in done.visits.collect()) == sorted((i, u) for i in range(60) for u in nodes[i : i + 3])
+    assert made[0].edges.count() == 59
