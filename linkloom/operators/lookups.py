@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from linkloom.constants import NO_DATA
 from linkloom.functions import labels as L
+from linkloom.session import stored
 
 
 def first_match(table: DataFrame, key: str, values: list[str], order: str = "ord") -> DataFrame:
@@ -139,4 +140,5 @@ def glotto_iso_map(entries: DataFrame) -> DataFrame:
 
 
 def add_iso(df: DataFrame, mapping: DataFrame) -> DataFrame:
-    return df.join(mapping.select("glottocode", "iso_code"), "glottocode", "left")
+    # Stored: of known size, a short mapping goes to the rows, and no code's rows go to one task.
+    return df.join(stored(mapping.select("glottocode", "iso_code"), "iso_codes"), "glottocode", "left")

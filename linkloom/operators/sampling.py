@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from linkloom.operators.ordering import first_rows
+from linkloom.session import stored
 
 
 def median_lengths(df: DataFrame, key: str = "iso_code", length: str = "str_length") -> DataFrame:
@@ -32,7 +33,9 @@ def median_sample(df: DataFrame, key: str = "iso_code", text: str = "transcripti
     """
     shown = F.coalesce(F.col(text), F.lit("nan"))
     sized = df.filter(F.col(key).isNotNull()).withColumn(text, shown).withColumn("str_length", F.length(shown))
-    near = sized.join(median_lengths(sized, key), key).withColumn(
+    # One row per group, stored: its size is known, so it goes to the texts and no group's texts go to one task.
+    medians = stored(median_lengths(sized.select(key, "str_length"), key), "medians")
+    near = sized.join(medians, key).withColumn(
         "diff_from_median", F.abs(F.col("str_length") - F.col("median_length"))
     )
     return first_rows(near, [key], [F.col("diff_from_median"), F.col(order)], n)

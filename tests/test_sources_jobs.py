@@ -176,3 +176,22 @@ def test_runs_are_appended_once(spark, tmp_path):
     assert runs.append_run(rows(20, 25), path, "c") and numbers() == list(range(25))
     assert runs.compact(spark, path, schema) and numbers() == list(range(25))
     assert {r.predicted_lid for r in runs.read_runs(spark, path, schema).collect()} == {None, "l/1", "l/2"}
+
+
+def test_texts_of_a_large_group_are_not_gathered_for_the_median(spark, tmp_path):
+    from linkloom.operators.lookups import add_iso
+    from linkloom.operators.sampling import median_sample
+
+    text = "repeat(sha2(cast(id as string), 256), 1 + cast(id % 3 as int))"
+    spark.range(4000).selectExpr("id AS ord", "'g' AS glottocode", f"{text} AS transcription").write.parquet(f"{tmp_path}/c")
+    corpus = spark.read.parquet(f"{tmp_path}/c")
+    mapping = corpus.groupBy("glottocode").agg({"transcription": "max"}).selectExpr("glottocode", "'x' AS iso_code")
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "50000")
+    try:
+        sample = median_sample(add_iso(corpus, mapping))
+        plan = sample._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in plan
+        assert [r.ord for r in sample.orderBy("ord").collect()] == [1, 4]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
