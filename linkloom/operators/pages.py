@@ -12,7 +12,7 @@ from linkloom.functions.local import bind, work_out
 from linkloom.operators.sieve import sift
 
 
-# The closed forms decode only references that end in ``;``, as the reference's extractor does.
+# The closed forms decode only references that end in ``;``.
 TEXT_OF = {
     "main": H.main_text,
     "stripped": H.html_to_text,
