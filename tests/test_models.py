@@ -251,3 +251,10 @@ def test_memory_of_scoring_does_not_grow_with_the_batch(corpus, monkeypatch):
     apart = [model.score([t])[0] for t in mixed]
     monkeypatch.undo()
     assert abs(model.score(mixed) - apart).max() < 1e-9
+
+
+def test_arpa_lines_have_no_negative_zero(spark):
+    rows = [("a", 1, "x", -4e-8, -3e-9), ("a", 1, "y", -6e-8, 0.0), ("a", 1, "z", -0.1234567, -1.0)]
+    model = spark.createDataFrame(rows, "lid_label string, n int, gram string, log10_prob double, log10_backoff double")
+    lines = [r.line for r in lm.arpa_lines(model, 2).filter("section = 1 AND part = 1").orderBy("line").collect()]
+    assert lines == ["-0.0000001\ty\t0.0000000", "-0.1234567\tz\t-1.0000000", "0.0000000\tx\t0.0000000"]
