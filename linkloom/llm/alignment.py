@@ -5,8 +5,8 @@ space itself, so both cut the same bytes. Places where a token of A and one of B
 token of A in a group is linked with every one of B in it. The count of a pair of ids is the number of documents
 that hold it linked.
 
-All of it is Arrow columns: id lists are flattened with their parent indices, ends are cumulative sums of token lengths less the
-sum at their document's start, common ends are a hash join on (document, end), and pairs are joined on their group
+All of it is Arrow columns: id lists are flattened with their parent indices, ends are cumulative sums of token lengths, common
+ends are marks of both on the same bytes, and pairs are joined on their group
 after equal ids in a group were counted, so that a group is never written out token by token; a group with many
 different ids is joined in parts of ``PAIRS``. Documents are worked on in blocks of about ``BLOCK`` characters. A block
 keeps each document's distinct pairs and sends out one partial count for each pair in it (``Table.group_by``); Spark
@@ -45,6 +45,8 @@ BLOCK = 1 << 23
 PAIRS = 1 << 22
 # A cuts before a space that stands between two characters that are no white space, whatever these are.
 STRETCH_RE = re.compile(r"(?<=\S)(?= \S)")
+# A piece of B that reaches over such a place.
+ACROSS_RE = re.compile("[^\\s▁]▁")
 # Stretches a worker remembers; it starts anew beyond that.
 WORDS = 300_000
 LONGEST_WORD = 64
@@ -93,6 +95,7 @@ class Tokenizers:
         self.pieces_a = Pieces(spelled)
         self.size_a, self.size_b = len(spelled), self.b.get_piece_size()
         self.pieces_b = Pieces([piece_bytes(self.b, i) for i in range(self.size_b)])
+        self.cuts_b = cuts_before_spaces(self.b)
         self.forget()
         # Decimal ids with the mark that follows inside a side and at its end, those of B behind those of A.
         marks = [(range(self.size_a), ",|"), (range(self.size_b), ",;")]
@@ -100,33 +103,34 @@ class Tokenizers:
 
     def forget(self) -> None:
         self.places: dict[str, int] = {}
-        self.found = array("i")
-        self.first = array("q", [0])
+        self.stores = [Store(), Store()]
 
-    def encode_a(self, texts: list[str]) -> pa.ListArray:
-        """Texts are cut where A always cuts, and the ids of a stretch are remembered."""
+    def encode(self, texts: list[str]) -> tuple[pa.ListArray, pa.ListArray]:
+        """Ids of A and of B. Texts are cut where both always cut, and the ids of a stretch are remembered."""
         parts = [STRETCH_RE.split(" " + t) for t in texts]
-        words = [w for part in parts for w in part]
+        words = list(chain.from_iterable(parts))
         if len(self.places) > WORDS:
             self.forget()
-        new = list({w for w in words if w not in self.places})
-        for word, made in zip(new, self.a.encode_batch_fast(new, add_special_tokens=False)):
-            self.places[word] = len(self.first) - 1
-            self.found.extend(made.ids)
-            self.first.append(len(self.found))
-        at = np.fromiter(map(self.places.__getitem__, words), dtype=np.int64, count=len(words))
-        first, found = np.frombuffer(self.first, dtype=np.int64), np.frombuffer(self.found, dtype=np.int32)
-        sizes = first[at + 1] - first[at]
-        reach = np.concatenate(([0], np.cumsum(sizes)))
-        flat = found[np.repeat(first[at] - reach[:-1], sizes) + np.arange(reach[-1])] if len(words) else np.zeros(0, dtype=np.int32)
-        del first, found
+        at = list(map(self.places.get, words))
+        new = list({w for w, place in zip(words, at) if place is None})
+        if new:
+            first = len(self.stores[0].first) - 1
+            self.places.update(zip(new, range(first, first + len(new))))
+            at = map(self.places.__getitem__, words)
+            self.stores[0].add([made.ids for made in self.a.encode_batch_fast(new, add_special_tokens=False)])
+            if self.cuts_b:
+                # B puts the space in front itself.
+                self.stores[1].add(self.b.encode([w[1:] for w in new], num_threads=1))
+        at = np.fromiter(at, dtype=np.int64, count=len(words))
+        ends = np.cumsum([len(p) for p in parts])
+        ids_a = self.stores[0].lists_at(at, ends)
+        ids_b = self.stores[1].lists_at(at, ends) if self.cuts_b else self.encode_b(texts)
         for word in new:
             if len(word) > LONGEST_WORD:
                 del self.places[word]
-        if len(self.found) > 16 * WORDS:
+        if max(len(store.found) for store in self.stores) > 16 * WORDS:
             self.forget()
-        ends = reach[np.cumsum([len(p) for p in parts])] if parts else np.zeros(0, dtype=np.int64)
-        return lists(flat, np.diff(ends, prepend=0))
+        return ids_a, ids_b
 
     def encode_b(self, texts: list[str]) -> pa.ListArray:
         found = self.b.encode(texts, num_threads=1)
@@ -134,6 +138,34 @@ class Tokenizers:
         return lists(np.fromiter(chain.from_iterable(found), dtype=np.int32, count=int(sizes.sum())), sizes)
 
 
+class Store:
+    """Ids of stretches by number, gathered side by side."""
+
+    def __init__(self):
+        self.found = array("i")
+        self.first = array("q", [0])
+
+    def add(self, ids: list[list[int]]) -> None:
+        for some in ids:
+            self.found.extend(some)
+            self.first.append(len(self.found))
+
+    def lists_at(self, at: np.ndarray, ends: np.ndarray) -> pa.ListArray:
+        """One list for each run of the numbers ``at``, which ends at the place in ``ends``."""
+        first, found = np.frombuffer(self.first, dtype=np.int64), np.frombuffer(self.found, dtype=np.int32)
+        sizes = first[at + 1] - first[at]
+        reach = np.concatenate(([0], np.cumsum(sizes)))
+        flat = found[np.repeat(first[at] - reach[:-1], sizes) + np.arange(reach[-1])] if len(at) else np.zeros(0, dtype=np.int32)
+        return lists(flat, np.diff(reach[ends], prepend=0) if len(ends) else np.zeros(0, dtype=np.int64))
+
+
+def cuts_before_spaces(given) -> bool:
+    """Whether a SentencePiece model leaves texts as they are and has no piece across the borders of stretches."""
+    if given.normalize(" a  b \n▁ﬁ") != "▁▁a▁▁b▁\n▁ﬁ":
+        return False
+    return not any(ACROSS_RE.search(given.id_to_piece(i)) for i in range(given.get_piece_size()))
+
+
 def piece_bytes(given, i: int) -> bytes:
     """Bytes that id ``i`` of a SentencePiece model stands for; none for ids that no text has."""
     piece = given.id_to_piece(i)
@@ -155,24 +187,20 @@ def spells(ids: pa.ListArray, pieces: Pieces, wanted: list[bytes]) -> np.ndarray
 
 
 def token_table(ids: pa.ListArray, pieces: Pieces) -> pa.Table:
-    """One row per token: document, id, end of its bytes in the document, place among all."""
-    doc = pc.list_parent_indices(ids)
+    """One row per token: document, id, end of its bytes among those of all documents."""
     flat = pc.list_flatten(ids)
-    total = pc.cumulative_sum(pc.take(pa.array(pieces.lengths), flat))
-    # The sum where a document starts: that of the token before it.
-    firsts = ids.offsets.slice(0, len(ids)).cast(pa.int64())
-    before = pc.take(pa.concat_arrays([pa.array([0], pa.int64()), total]), firsts)
-    ends = pc.subtract(total, pc.take(before, doc))
-    return pa.table({"doc": doc, "id": flat, "end": ends, "place": pa.array(np.arange(len(flat)))})
+    reach = np.cumsum(pieces.lengths[flat.to_numpy()])
+    return pa.table({"doc": pc.list_parent_indices(ids), "id": flat, "reach": pa.array(reach)})
 
 
 def cut_groups(a: pa.Table, b: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Number of A and of B tokens of each group, in the order of the text."""
-    common = a.select(["doc", "end", "place"]).join(
-        b.select(["doc", "end", "place"]), ["doc", "end"], join_type="inner", right_suffix="_b", use_threads=False
-    )
-    # Ends rise with places on both sides, so the n-th common end is the n-th of each.
-    cut_a, cut_b = np.sort(common["place"].to_numpy()), np.sort(common["place_b"].to_numpy())
+    ends_a, ends_b = a["reach"].to_numpy(), b["reach"].to_numpy()
+    size = int(ends_a[-1]) + 1 if len(ends_a) else 0
+    at_a, at_b = np.zeros(size, dtype=bool), np.zeros(size, dtype=bool)
+    at_a[ends_a], at_b[ends_b] = True, True
+    # Both sides spell the same bytes, and ends rise, so the n-th common end is the n-th of each.
+    cut_a, cut_b = np.flatnonzero(at_b[ends_a]), np.flatnonzero(at_a[ends_b])
     return np.diff(cut_a, prepend=-1), np.diff(cut_b, prepend=-1)
 
 
@@ -233,7 +261,7 @@ def group_texts(both: Tokenizers, a: pa.Table, b: pa.Table, n_a: np.ndarray, n_b
 def align_slice(both: Tokenizers, texts: list[str | None], digest: bool) -> tuple[dict[str, pa.Array], pa.Table]:
     """Figures of each text, and its distinct pairs with ``doc`` as its place in the list."""
     held = [i for i, t in enumerate(texts) if t]
-    ids_a, ids_b = both.encode_a([texts[i] for i in held]), both.encode_b([texts[i] for i in held])
+    ids_a, ids_b = both.encode([texts[i] for i in held])
     wanted = [b" " + texts[i].encode() for i in held]
     good = spells(ids_a, both.pieces_a, wanted) & spells(ids_b, both.pieces_b, wanted)
     none = pa.array([], pa.list_(pa.int32()))

@@ -242,3 +242,39 @@ def test_alignment_query(spark, library, texts):
     got = sorted((tuple(r) for r in queries.op12_tokenizer_alignment(spark, SF_DIR).collect()), key=repr)
     digests = [(*r[:5], hashlib.sha256(r[5].encode()).hexdigest() if r[5] else "", *r[6:]) for r in brute_alignment(texts, library)]
     assert got == sorted(digests, key=repr)
+
+
+def test_stretches_are_encoded_once_by_both_tokenizers():
+    both = alignment.Tokenizers(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    texts = ["one  two\nthree one", " one two ", "ab two two", "é\tone <s> two", "x"]
+    whole = [both.b.encode(t) for t in texts], [both.a.encode(" " + t, add_special_tokens=False).ids for t in texts]
+    asked, library = [], both.b
+
+    class Counting:
+        def encode(self, words, **options):
+            asked.extend(words)
+            return library.encode(words, **options)
+
+    both.b = Counting()
+    for _ in range(2):
+        ids_a, ids_b = both.encode(texts)
+        assert (ids_b.to_pylist(), ids_a.to_pylist()) == whole
+    assert len(asked) == len(set(asked)) and sum(map(len, asked)) < sum(map(len, texts))
+
+
+def test_models_with_pieces_across_words_are_not_cut():
+    class Given:
+        pieces = ["▁a", "b", "b▁a"]
+
+        def normalize(self, text):
+            return "▁" + text.replace(" ", "▁")
+
+        def get_piece_size(self):
+            return len(self.pieces)
+
+        def id_to_piece(self, i):
+            return self.pieces[i]
+
+    assert not alignment.cuts_before_spaces(Given())
+    Given.pieces = ["▁a", "b", "▁▁", "\n▁"]
+    assert alignment.cuts_before_spaces(Given())
