@@ -27,6 +27,8 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import IntegerType, LongType, MapType
 
@@ -43,7 +45,7 @@ TABLE_CELLS = 12_000_000
 # Languages up to which their totals are sent to all tasks.
 SENT_LANGUAGES = 10_000
 # Bytes scored at a time.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 # Costs are whole numbers of this part of a bit, so that sums are exact in any order.
 FINE = 4096
 
@@ -287,6 +289,19 @@ def train(
     return Models(groups, unmet) if groups else None
 
 
+def text_slices(texts: pa.Array) -> Iterator[list[str | None]]:
+    """The texts in runs of about ``CHUNK`` bytes, one text at least: a batch is never held as Python strings at once."""
+    reach = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < len(texts):
+        before = reach[start - 1] if start else 0
+        stop = max(int(np.searchsorted(reach, before + CHUNK, side="right")), start + 1)
+        yield texts.slice(start, stop - start).to_pylist()
+        start = stop
+    if not len(texts):
+        yield []
+
+
 def has_letter(text: Column) -> Column:
     return F.coalesce(F.regexp_like(text, F.lit(r"\p{L}")), F.lit(False))
 
@@ -299,20 +314,25 @@ def predict(docs: DataFrame, model: Models | None, text: str = "text", with_rang
         ranges = [F.create_map().cast("map<int,bigint>").alias("ranges")] * with_ranges
         return docs.select(row, *nothing, *ranges)
 
+    schema = "lang string, score double, bits double" + ", ranges map<int,bigint>" * with_ranges
+
     # Ranges are counted by the same worker: one of their own holds its memory beside it.
-    @F.pandas_udf("lang string, score double, bits double" + ", ranges map<int,bigint>" * with_ranges)
-    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf(schema)
+    def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            data = [t.encode() if t is not None else b"" for t in texts]
-            langs, bits = model.code_lengths(data)
-            best = bits.argmin(axis=1)
-            least = bits[np.arange(len(data)), best]
-            share = 1 / np.exp2(np.maximum(least[:, None] - bits, -1000.0)).sum(axis=1)
-            sizes = np.maximum([len(t) for t in data], 1)
-            found = {"lang": np.array(langs, dtype=object)[best], "score": share, "bits": least / sizes}
-            if with_ranges:
-                found["ranges"] = [_range_counts(t or "") for t in texts]
-            yield pd.DataFrame(found)
+            yield pa.concat_arrays([judged_slice(some) for some in text_slices(texts)])
+
+    def judged_slice(texts: list[str | None]) -> pa.StructArray:
+        data = [t.encode() if t is not None else b"" for t in texts]
+        langs, bits = model.code_lengths(data)
+        best = bits.argmin(axis=1)
+        least = bits[np.arange(len(data)), best]
+        share = 1 / np.exp2(np.maximum(least[:, None] - bits, -1000.0)).sum(axis=1)
+        sizes = np.maximum([len(t) for t in data], 1)
+        found = {"lang": pa.array([langs[i] for i in best], pa.string()), "score": pa.array(share), "bits": pa.array(least / sizes)}
+        if with_ranges:
+            found["ranges"] = pa.array([_range_counts(t or "") for t in texts], RANGES)
+        return pa.StructArray.from_arrays(list(found.values()), names=list(found))
 
     judged = docs.select(row, docs[text].alias("text"), has_letter(docs[text]).alias("lettered")).withColumn(
         "judged", judge("text")
@@ -335,20 +355,23 @@ KNOWN_SHARE = 0.5
 @lru_cache(maxsize=1)
 def _letters() -> np.ndarray:
     """For each code point whether it is a letter."""
-    return np.array([chr(c).isalpha() for c in range(0x110000)])
+    return np.fromiter((chr(c).isalpha() for c in range(0x110000)), dtype=bool, count=0x110000)
 
 
-def _range_counts(text: str) -> dict[int, int]:
+def _range_counts(text: str) -> list[tuple[int, int]]:
     """Letters of a text by range: 128 code points below U+3000, 8,192 above, so that each large script has few."""
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     points = points[_letters()[points]]
     ranges, n = np.unique(np.where(points < 0x3000, points >> 7, 0x1000 + (points >> 13)), return_counts=True)
-    return dict(zip(ranges.tolist(), n.tolist()))
+    return list(zip(ranges.tolist(), n.tolist()))
+
+
+RANGES = pa.map_(pa.int32(), pa.int64())
 
 
-@F.pandas_udf(MapType(IntegerType(), LongType()))
-def letter_ranges(texts: pd.Series) -> pd.Series:
-    return pd.Series([_range_counts(t or "") for t in texts], dtype=object)
+@F.arrow_udf(MapType(IntegerType(), LongType()))
+def letter_ranges(texts: pa.Array) -> pa.Array:
+    return pa.concat_arrays([pa.array([_range_counts(t or "") for t in some], RANGES) for some in text_slices(texts)])
 
 
 def own_ranges(docs: DataFrame, text: str = "text", label: str = "lang") -> DataFrame:

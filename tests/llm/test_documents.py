@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -471,3 +472,13 @@ def test_no_language_is_known_without_training(spark):
     none = rows.limit(0)
     assert language_model.in_known_language(rows, none, language_model.train(none)).count() == 0
     assert language_model.in_known_language(none, rows, language_model.train(rows)).count() == 0
+
+
+def test_a_batch_is_read_in_slices_of_texts(spark, monkeypatch):
+    """No more than ``CHUNK`` bytes of a batch are Python strings at once, beyond one text."""
+    texts = ["a" * n for n in (3, 4, 5, 30, 0, 1)] + [None, "é" * 3, None]
+    monkeypatch.setattr(language_model, "CHUNK", 8)
+    slices = list(language_model.text_slices(pa.array(texts)))
+    assert [t for some in slices for t in some] == texts
+    assert [sum(len((t or "").encode()) for t in some) for some in slices] == [7, 5, 30, 7]
+    assert list(language_model.text_slices(pa.array([], pa.string()))) == [[]]
