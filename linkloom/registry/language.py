@@ -66,8 +66,7 @@ SQL_PAGES_PREDICTED = f"""{SQL_PROFILE}, {SQL_PAGE_TEXTS},
 @query("lid_predict", f"WITH {SQL_PAGES_PREDICTED} SELECT link, predicted_lid, round(lid_confidence, 6) AS lid_confidence FROM predicted")
 def lid_predict(spark, sf_dir):
     texts = page_ops.page_texts(page_table(spark, sf_dir), source=PAGE_SOURCE)
-    tagged = lid.tag_language(texts, _predictor(spark, sf_dir))
-    return _rounded(tagged.select("link", "predicted_lid", "lid_confidence"))
+    return _rounded(lid.tag_pages(texts, _predictor(spark, sf_dir))[0])
 
 
 @query("lid_predict_join", f"WITH {SQL_PAGES_PREDICTED} SELECT link, predicted_lid, round(lid_confidence, 6) AS lid_confidence FROM predicted")
@@ -95,34 +94,32 @@ def sql_predicted(n: int) -> str:
 def lid_predict_2(spark, sf_dir):
     texts = page_ops.page_texts(page_table(spark, sf_dir), source=PAGE_SOURCE)
     predictor = lid.profile_predictor(lid.fit_profile(text_table(spark, sf_dir), n=2))
-    return _rounded(lid.tag_language(texts, predictor).select("link", "predicted_lid", "lid_confidence"))
+    return _rounded(lid.tag_pages(texts, predictor)[0])
 
 
 @query("lid_predict_4", sql_predicted(4))
 def lid_predict_4(spark, sf_dir):
     texts = page_ops.page_texts(page_table(spark, sf_dir), source=PAGE_SOURCE)
     predictor = lid.profile_predictor(lid.fit_profile(text_table(spark, sf_dir), n=4))
-    return _rounded(lid.tag_language(texts, predictor).select("link", "predicted_lid", "lid_confidence"))
+    return _rounded(lid.tag_pages(texts, predictor)[0])
 
 
 @query("lid_predict_join_2", sql_predicted(2))
 def lid_predict_join_2(spark, sf_dir):
     texts = page_ops.page_texts(page_table(spark, sf_dir), source=PAGE_SOURCE)
-    tagged = lid.tag_language(texts, lid.fit_profile(text_table(spark, sf_dir), n=2))
-    return _rounded(tagged.select("link", "predicted_lid", "lid_confidence"))
+    return _rounded(lid.tag_pages(texts, lid.fit_profile(text_table(spark, sf_dir), n=2))[0])
 
 
 @query("lid_predict_join_4", sql_predicted(4))
 def lid_predict_join_4(spark, sf_dir):
     texts = page_ops.page_texts(page_table(spark, sf_dir), source=PAGE_SOURCE)
-    tagged = lid.tag_language(texts, lid.fit_profile(text_table(spark, sf_dir), n=4))
-    return _rounded(tagged.select("link", "predicted_lid", "lid_confidence"))
+    return _rounded(lid.tag_pages(texts, lid.fit_profile(text_table(spark, sf_dir), n=4))[0])
 
 
 @query("lid_tally", f"WITH {SQL_PAGES_PREDICTED} SELECT predicted_lid, count(*) AS n FROM predicted GROUP BY 1")
 def lid_tally(spark, sf_dir):
     texts = page_ops.page_texts(page_table(spark, sf_dir), source=PAGE_SOURCE)
-    return lid.lid_tally(lid.tag_language(texts, _predictor(spark, sf_dir)))
+    return lid.lid_tally(lid.tag_pages(texts, _predictor(spark, sf_dir))[0])
 
 
 _NOT_EXCLUDED = "predicted_lid NOT IN ({})".format(", ".join(f"'{c}'" for c in EXCLUDED))

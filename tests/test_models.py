@@ -258,3 +258,29 @@ def test_arpa_lines_have_no_negative_zero(spark):
     model = spark.createDataFrame(rows, "lid_label string, n int, gram string, log10_prob double, log10_backoff double")
     lines = [r.line for r in lm.arpa_lines(model, 2).filter("section = 1 AND part = 1").orderBy("line").collect()]
     assert lines == ["-0.0000001\ty\t0.0000000", "-0.1234567\tz\t-1.0000000", "0.0000000\tx\t0.0000000"]
+
+
+def test_pages_of_one_url_are_judged_together(spark, corpus):
+    """By hand: the gains of all pages are shared, each page counts with its own length."""
+    profile = lid.fit_profile(corpus)
+    model = lid.load_model(profile)
+    pages = {"u": ["the cat", "the cat", "der hund und"], "v": ["das haus"], "w": ["the hat", "the hat"]}
+    texts = spark.createDataFrame([(k, t) for k, ts in pages.items() for t in ts], "link string, text string")
+
+    def by_hand(ts):
+        scores = [model.score([t])[0] for t in ts]
+        base = [max(len(t) - profile.n + 1, 0) * model.unseen for t in ts]
+        gain = sum(s - b for s, b in zip(scores, base))
+        flat = [x for b in base for x in (gain + b).tolist()]
+        return model.labels[flat.index(max(flat)) % len(model.labels)], 1 / sum(math.exp(x - max(flat)) for x in flat)
+
+    for predictor in (profile, lid.profile_predictor(profile)):
+        found, kept = lid.tag_pages(texts, predictor)
+        got = {r.link: (r.predicted_lid, r.lid_confidence) for r in found.collect()}
+        assert found.count() == 3 and kept.count() == 6
+        for link, ts in pages.items():
+            label, sure = by_hand(ts)
+            assert got[link] == (label, pytest.approx(sure, abs=1e-9))
+    links = spark.createDataFrame([("eng_Latn", "w"), ("deu_Latn", "v")], "lid_label string, link string")
+    assert lid.filter_links(links, texts, lid.profile_predictor(profile), 0.4, save_text=False).count() == 2
+    assert lid.filter_links(links, texts, lid.profile_predictor(profile), 0.4).count() == 3
