@@ -15,6 +15,9 @@ from linkloom.session import stored
 LITERAL_LIMIT = 500
 # Slices of all hosts that a seed without a host meets.
 SLICES = 64
+# Pairs of links and keys of a host in one slice, and the most tasks that slices are dealt out to.
+PAIRS = 1_000_000
+MOST_TASKS = 10_000
 
 
 def minimal_entries(entries: list[str]) -> list[str]:
@@ -232,6 +235,29 @@ def same_site_hosts(hosts: DataFrame, seed_hosts: DataFrame, keys: list[str], ho
     return found.unionByName(anywhere.select(*keys, host)).distinct()
 
 
+def same_site_pairs(links: DataFrame, seeds: DataFrame, keys: list[str], link: str = "link", seed: str = "seed_url") -> DataFrame:
+    """``(keys, *links)``: every link with every key whose seed's host its own host ends with.
+
+    There are as many rows as pairs, so a host of many links and many keys has their product. Its links are dealt out by their
+    hash to slices of about ``PAIRS`` pairs, each of which meets all keys of the host. The number of tasks follows the number of
+    slices and not the size of the input, so a larger result has more tasks and not longer ones, up to ``MOST_TASKS``.
+    """
+    hosted = links.withColumn("__host", urls.netloc(link))
+    hosts = seeds.select(*keys, urls.netloc(seed).alias("__seed_host"))
+    fitting = stored(same_site_hosts(hosted, hosts, keys, "__host", "__seed_host"), "fitting")
+    n_links = hosted.groupBy("__host").agg(F.count(F.lit(1)).alias("n_links"))
+    pairs = F.col("n_links").cast("double") * F.col("n_keys")
+    slices = F.least("n_links", F.ceil(pairs / PAIRS)).alias("slices")
+    cuts = stored(fitting.groupBy("__host").agg(F.count(F.lit(1)).alias("n_keys")).join(n_links, "__host").select("__host", slices), "cuts")
+    total = cuts.agg(F.sum("slices")).first()[0] or 0
+    tasks = min(max(total, links.sparkSession.sparkContext.defaultParallelism), MOST_TASKS)
+    place = ["__host", "__slice"]
+    dealt = hosted.join(cuts, "__host").withColumn("__slice", F.pmod(F.xxhash64(*links.columns), "slices")).drop("slices")
+    met = fitting.join(cuts, "__host").select(*keys, "__host", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("slices") - 1)).alias("__slice"))
+    # A given number of partitions is not put together again for being small ahead of the join.
+    return dealt.repartition(tasks, *place).join(met.repartition(tasks, *place), place).select(*keys, *links.columns)
+
+
 def same_site_links(
     links: DataFrame,
     seeds: DataFrame,

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from linkloom.constants import SEED_KEYS_EARLY, SEED_KEYS_LABEL, SITE_CONFIDENCE, SITE_INFO
-from linkloom.functions import urls
 from linkloom.functions.text import WS, char_tokenize
 from linkloom.operators import filters, frontier, lid, lm, lookups, sets, sites
 from linkloom.plans import jobs
@@ -288,10 +287,7 @@ def same_site_every_seed(spark, sf_dir):
 
 def _same_site(spark, sf_dir, seeds):
     links = table(spark, sf_dir, "pages").select("page_id", F.col("url").alias("link"))
-    hosted = links.withColumn("host", urls.netloc("link"))
-    hosts = seeds.select("seed_id", urls.netloc("seed_url").alias("seed_host"))
-    fitting = filters.same_site_hosts(hosted, hosts, ["seed_id"], "host", "seed_host")
-    return hosted.join(fitting, "host").select("seed_id", "page_id", "link")
+    return filters.same_site_pairs(links, seeds, ["seed_id"])
 
 
 @query(

@@ -207,3 +207,19 @@ def test_every_gated_seed_is_looked_up(spark):
     want = sorted((i, p, url) for i, h in seeds for p, url in pages if host(url).endswith(h))
     assert any(i % 2 for i, _, _ in want)
     assert sorted(map(tuple, QUERIES["same_site_every_seed"](spark, sf_dir).collect())) == want
+
+
+def test_pairs_of_a_large_host_are_dealt_out(spark, monkeypatch):
+    """All pairs, by brute force, and no task has more than a share of those of the one large host."""
+    monkeypatch.setattr(filters, "PAIRS", 500)
+    links = [(i, f"https://{'www.' if i % 3 else ''}big.org/{i}") for i in range(200)] + [(900, "https://a.net/x"), (901, "https://no.net/"), (902, "y")]
+    seeds = [(i, "https://big.org/s" if i % 2 else "http://www.big.org/s") for i in range(40)] + [(70, "https://a.net/"), (71, "https://none.net/")]
+    found = filters.same_site_pairs(
+        spark.createDataFrame(links, "page_id long, link string"), spark.createDataFrame(seeds, "seed_id long, seed_url string"), ["seed_id"]
+    )
+    rows = [tuple(r) for r in found.withColumn("task", F.spark_partition_id()).collect()]
+    host = lambda url: url.split("/")[2] if "//" in url else ""
+    want = sorted((s, p, link) for s, seed in seeds for p, link in links if host(link).endswith(host(seed)))
+    assert sorted(r[:3] for r in rows) == want and len(want) > 5000
+    per_task = [sum(r[3] == t for r in rows) for t in {r[3] for r in rows}]
+    assert max(per_task) < len(want) / 2
