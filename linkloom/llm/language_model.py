@@ -32,6 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import IntegerType, LongType, MapType
 
+from linkloom.functions.local import work_out
 from linkloom.session import row_count_within, stored
 
 # Longest context in bytes.
@@ -334,9 +335,8 @@ def predict(docs: DataFrame, model: Models | None, text: str = "text", with_rang
             found["ranges"] = pa.array([_range_counts(t or "") for t in texts], RANGES)
         return pa.StructArray.from_arrays(list(found.values()), names=list(found))
 
-    judged = docs.select(row, docs[text].alias("text"), has_letter(docs[text]).alias("lettered")).withColumn(
-        "judged", judge("text")
-    )
+    # A projected call would be copied into later filters, and each text scored there once more.
+    judged = work_out(docs.select(row, docs[text].alias("text"), has_letter(docs[text]).alias("lettered")), "judged", judge("text"))
     return judged.select(
         "row",
         F.when(F.col("lettered"), F.col("judged.lang")).otherwise(UNKNOWN).alias("lang_pred"),

@@ -482,3 +482,10 @@ def test_a_batch_is_read_in_slices_of_texts(spark, monkeypatch):
     assert [t for some in slices for t in some] == texts
     assert [sum(len((t or "").encode()) for t in some) for some in slices] == [7, 5, 30, 7]
     assert list(language_model.text_slices(pa.array([], pa.string()))) == [[]]
+
+
+def test_each_text_is_scored_once(spark):
+    """A filter on the language does not run the model a second time."""
+    rows = spark.createDataFrame([(1, "en", "some words"), (2, "fr", "des mots")], "doc_id long, lang string, text string")
+    kept = language_model.in_known_language(rows, rows, language_model.train(rows))
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("judge(") == 1
