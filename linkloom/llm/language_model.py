@@ -28,11 +28,10 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import IntegerType, LongType, MapType
 
-from linkloom.functions.local import work_out
+from linkloom.functions import local
 from linkloom.session import row_count_within, stored
 
 # Longest context in bytes.
@@ -292,15 +291,7 @@ def train(
 
 def text_slices(texts: pa.Array) -> Iterator[list[str | None]]:
     """The texts in runs of about ``CHUNK`` bytes, one text at least: a batch is never held as Python strings at once."""
-    reach = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
-    start = 0
-    while start < len(texts):
-        before = reach[start - 1] if start else 0
-        stop = max(int(np.searchsorted(reach, before + CHUNK, side="right")), start + 1)
-        yield texts.slice(start, stop - start).to_pylist()
-        start = stop
-    if not len(texts):
-        yield []
+    yield from local.text_slices(texts, CHUNK)
 
 
 def has_letter(text: Column) -> Column:
@@ -336,7 +327,7 @@ def predict(docs: DataFrame, model: Models | None, text: str = "text", with_rang
         return pa.StructArray.from_arrays(list(found.values()), names=list(found))
 
     # A projected call would be copied into later filters, and each text scored there once more.
-    judged = work_out(docs.select(row, docs[text].alias("text"), has_letter(docs[text]).alias("lettered")), "judged", judge("text"))
+    judged = local.work_out(docs.select(row, docs[text].alias("text"), has_letter(docs[text]).alias("lettered")), "judged", judge("text"))
     return judged.select(
         "row",
         F.when(F.col("lettered"), F.col("judged.lang")).otherwise(UNKNOWN).alias("lang_pred"),
