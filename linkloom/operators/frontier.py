@@ -84,8 +84,9 @@ def parsed_site_pages(pages: DataFrame, seeds: DataFrame, source: str = "main")
     """(link, text, links) of the pages on the seeds' sites: the only ones a crawl can open.
 
     The HTML of other sites is dropped where it lies, and that of these sites is parsed there; only texts and links are joined.
+    Hosts are stored, so their size is known: they go to the texts, or, when there are too many, Spark splits the texts of a large host.
     """
-    hosts = site_hosts(pages, seeds).distinct()
+    hosts = stored(site_hosts(pages, seeds).distinct(), "hosts")
     parsed = parse_pages(sift(pages.select("url", "html"), urls.netloc("url"), hosts), source=source)
     return parsed.withColumn("page_host", urls.netloc("link")).join(hosts, "page_host").select(*parsed.columns)
 

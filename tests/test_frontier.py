@@ -169,3 +169,11 @@ def test_the_graph_does_not_grow_with_the_seeds_of_a_site(spark, monkeypatch):
     done = frontier.crawl(seeds, edges, ["seed_id"], max_pages=3, growth_factor=None, seeds_are_links=False)
     assert sorted((r.seed_id, r.url) for r in done.visits.collect()) == sorted((i, u) for i in range(60) for u in nodes[i : i + 3])
     assert made[0].edges.count() == 59
+
+
+def test_texts_of_a_host_are_not_dealt_out_by_host(spark):
+    """Hosts are few: their texts stay where they were parsed, however many pages a host has."""
+    pages = spark.createDataFrame([(f"http://a.org/{i}", "<p>text</p>") for i in range(20)] + [("http://b.org/", "<p>x</p>")], "url string, html string")
+    parsed = frontier.parsed_site_pages(pages, spark.createDataFrame([("a", "http://a.org/0")], "lid_label string, url string"))
+    assert "hashpartitioning(page_host" not in parsed._jdf.queryExecution().executedPlan().toString()
+    assert parsed.count() == 20
