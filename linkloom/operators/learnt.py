@@ -1,21 +1,25 @@
 """Language identification learnt from examples: logistic regression on hashed character n-grams.
 
-Training and tagging stay on the JVM: runs of characters are hashed to ``features``
-places, each text's counts are scaled to length one, and the weights are fitted by
-gradients that the partitions sum and merge in a tree. The weight table is bounded whatever
-the corpus; its size is an argument.
+Runs of characters are hashed to ``features`` places, each text's counts are scaled to length one, and the weights are
+fitted by gradients that tasks sum and Spark merges in slices. Examples are stored once as numbers of the runs that
+start at their characters, some three bytes a character, and every round reads them from there. The weight table is
+bounded whatever the corpus; its size is an argument.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF, IndexToString, Normalizer, StringIndexer
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.feature import HashingTF, Normalizer
+from pyspark.ml.linalg import DenseMatrix, DenseVector
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from linkloom.functions.local import text_slices
 from linkloom.functions.text import char_ngrams
+from linkloom.session import stored
 
 SIZES = (1, 2, 3)
 # Places for n-grams, and the most cells (labels times places) of a weight table.
@@ -25,32 +29,205 @@ PENALTY = 1e-6
 ROUNDS = 60
 # Characters of a training example: texts are learnt in pieces, so that short texts are known too.
 PIECE = 40
+# Bytes of text coded at a time, and characters in a row of a block.
+CHUNK = 1 << 18
+WIDTH = 40
+# Steps that a direction is made of, and rounds over which the loss must fall.
+STEPS = 10
+RECENT = 20
+# Numbers of a slice of a task's sums, and bytes of all tasks' sums that go to the driver as they are.
+SLICE = 1 << 13
+SENT_BYTES = 32 << 20
+
+ANSWER = "struct<label: string, confidence: double>"
+
+
+@dataclass(frozen=True)
+class Weights:
+    """One row of coefficients and one intercept per label."""
+
+    coefficientMatrix: DenseMatrix
+    interceptVector: DenseVector
 
 
 @dataclass(frozen=True)
 class LearntModel:
     """Fitted weights (one row per label, one column per place), labels in their order, and how texts are read."""
 
-    weights: LogisticRegressionModel
+    weights: Weights
     labels: tuple[str, ...]
     sizes: tuple[int, ...]
     features: int
 
-    def tag(self, df: DataFrame, text: Column) -> DataFrame:
-        """``df`` with ``__label`` and ``__sure``, row by row."""
-        marked = hashed(df, text, self.sizes, self.features)
-        scored = self.weights.setFeaturesCol("__x").setPredictionCol("__at").setProbabilityCol("__p").setRawPredictionCol("__raw").transform(marked)
-        named = IndexToString(inputCol="__at", outputCol="__label", labels=list(self.labels)).transform(scored)
-        return named.withColumn("__sure", F.array_max(vector_to_array("__p"))).drop("__x", "__raw", "__p", "__at")
+    def __call__(self, text: Column) -> Column:
+        """Label and confidence, row by row."""
+        table = np.pad(self.weights.coefficientMatrix.toArray(), ((0, 0), (0, 1)))
+        shared = SparkSession.active().sparkContext.broadcast((table, self.weights.interceptVector.toArray()))
+        labels, sizes, features = self.labels, self.sizes, self.features
+
+        def answers(texts: pa.Array) -> pa.Array:
+            held, starts = shared.value
+            names, sure = [], []
+            for part in text_slices(texts, CHUNK):
+                p = _chances(_scores([t for t in part if t is not None], held, sizes, features) + starts[:, None])[0]
+                found = iter(zip(p.argmax(axis=0).tolist(), p.max(axis=0).tolist()))
+                for t in part:
+                    at, chance = next(found) if t is not None else (None, None)
+                    names.append(None if at is None else labels[at])
+                    sure.append(chance)
+            return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(sure, pa.float64())], names=["label", "confidence"])
+
+        answers.__annotations__ = {"texts": pa.Array, "return": pa.Array}
+        return F.arrow_udf(answers, ANSWER)(text)
 
 
 def hashed(df: DataFrame, text: Column, sizes: tuple[int, ...], features: int) -> DataFrame:
-    """``df`` with ``__x``: counts of the text's n-grams by hashed place, scaled to length one; an empty text has none."""
+    """``df`` with ``__x``: counts of the text's n-grams by hashed place, scaled to length one; an empty text has none.
+
+    What examples mean, as Spark's vectors; ``block`` has the same in less room.
+    """
     grams = df.withColumn("__grams", F.concat(*[char_ngrams(text, n) for n in sizes]))
     counted = HashingTF(inputCol="__grams", outputCol="__tf", numFeatures=features).transform(grams)
     return Normalizer(inputCol="__tf", outputCol="__x", p=2.0).transform(counted).drop("__grams", "__tf")
 
 
+@dataclass(frozen=True)
+class Block:
+    """Examples as rows of ``WIDTH`` characters, each the number of the run that starts there.
+
+    ``places`` has the hashed places of the n-grams that a run begins with, the number of all places for one that its
+    text is too short for; its last row is for cells after the end of an example.
+    """
+
+    runs: np.ndarray
+    places: np.ndarray
+    rows: np.ndarray
+    norms: np.ndarray
+
+    def scores(self, table: np.ndarray) -> np.ndarray:
+        """For each row of weights the score of each example; the last weight of a row is zero."""
+        first = np.cumsum(self.rows) - self.rows
+        flat = self.runs.reshape(-1).astype(np.int64)
+        out = np.empty((len(table), len(self.rows)))
+        for k, weights in enumerate(table):
+            by_run = sum(weights[spots] for spots in self.places.T)
+            own = by_run[flat].reshape(-1, WIDTH).sum(axis=1)
+            out[k] = own if len(own) == len(self.rows) else np.add.reduceat(own, first)
+        return out / self.norms
+
+    def sums(self, shares: np.ndarray, features: int) -> np.ndarray:
+        """For each row of ``shares`` the sum of the examples' vectors, each times its share."""
+        flat = self.runs.reshape(-1).astype(np.int64)
+        out = np.empty((len(shares), features))
+        for k, share in enumerate(shares / self.norms):
+            by_run = np.bincount(flat, np.repeat(share, self.rows * WIDTH), len(self.places))
+            out[k] = sum(np.bincount(spots, by_run, features + 1) for spots in self.places.T)[:features]
+        return out
+
+
+def block(texts: list[str], sizes: tuple[int, ...], features: int, piece: int | None) -> tuple[Block, np.ndarray, np.ndarray, np.ndarray]:
+    """The examples of ``texts``, the text of each, and the sums of their vectors and of the squares of these."""
+    longest = max(sizes)
+    data = np.frombuffer("".join(texts).encode(), dtype=np.uint8)
+    points = np.frombuffer("".join(texts).encode("utf-32-le"), dtype="<u4")
+    lengths = np.array([len(t) for t in texts], dtype=np.int64)
+    pieces = np.maximum(-(-lengths // piece), 1) if piece else np.ones(len(texts), dtype=np.int64)
+    owner = np.repeat(np.arange(len(texts)), pieces)
+    if piece:
+        place = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        lengths = np.minimum(lengths[owner] - place * piece, piece)
+    ends = np.cumsum(lengths)
+    room = np.repeat(ends, lengths) - np.arange(len(points))
+    # Numbers of the runs: characters are numbered from one, zero stands after the end of an example.
+    kinds, chars = _numbered(points, int(points.max(initial=0)) + 1)
+    chars = np.concatenate([chars + 1, np.zeros(longest, dtype=np.int64)])
+    runs, held = chars[: len(points)], kinds + 1
+    for i in range(1, longest):
+        held, runs = _numbered(runs * (kinds + 1) + chars[i : i + len(points)] * (room > i), held * (kinds + 1))
+    if longest == 1:
+        held, runs = _numbered(runs, held)
+    spots = np.empty(held, dtype=np.int64)
+    spots[runs] = np.arange(len(points))
+    starts = np.concatenate([[0], np.cumsum(1 + (points > 0x7F).astype(np.int64) + (points > 0x7FF) + (points > 0xFFFF))])
+    places = np.full((held + 1, len(sizes)), features, dtype=np.int32)
+    for j, n in enumerate(sizes):
+        fit = np.flatnonzero(room[spots] >= n)
+        places[fit, j] = _places(data, starts[spots[fit]], starts[spots[fit] + n], n, features)
+    rows = np.maximum(-(-lengths // WIDTH), 1)
+    grid = np.full(int(rows.sum()) * WIDTH, held, dtype=np.uint16 if held < 1 << 16 else np.uint32)
+    grid[np.arange(len(points)) + np.repeat((np.cumsum(rows) - rows) * WIDTH - (ends - lengths), lengths)] = runs
+    # Counts of each example's places, equal ones added.
+    bits = features.bit_length()
+    kind = np.int32 if len(lengths) << bits < 1 << 31 else np.int64
+    example = np.repeat(np.arange(len(lengths), dtype=kind) << bits, lengths)
+    cells = np.concatenate([example | spots[runs] for spots in places.T.astype(kind)])
+    cells.sort()
+    first = np.flatnonzero(np.diff(cells, prepend=-1))
+    counts = np.diff(first, append=len(cells)).astype(np.float64)
+    example, place = cells[first] >> bits, cells[first] & ((1 << bits) - 1)
+    counts[place == features] = 0
+    norms = np.sqrt(np.bincount(example, counts * counts, len(lengths)))
+    norms[norms == 0] = 1
+    values = counts / norms[example]
+    sums = [np.bincount(place, v, features + 1)[:features] for v in (values, values * values)]
+    return Block(grid.reshape(-1, WIDTH), places, rows, norms), owner, *sums
+
+
+def _numbered(values: np.ndarray, bound: int) -> tuple[int, np.ndarray]:
+    """How many different ``values`` there are, all below ``bound``, and their numbers in order."""
+    if bound <= max(8 * len(values), 1 << 16):
+        seen = np.zeros(bound, dtype=bool)
+        seen[values] = True
+        return int(seen.sum()), (np.cumsum(seen) - 1)[values]
+    kinds, numbers = np.unique(values, return_inverse=True)
+    return len(kinds), numbers
+
+
+def _places(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, n: int, features: int) -> np.ndarray:
+    """Where ``HashingTF`` puts the n-grams that are the bytes from ``starts`` to ``ends``: 32-bit Murmur3, seed 42."""
+
+    def turned(x: np.ndarray, by: int) -> np.ndarray:
+        return (x << np.uint32(by)) | (x >> np.uint32(32 - by))
+
+    size = ends - starts
+    spots = starts[:, None] + np.arange(4 * n)
+    held = np.where(spots < ends[:, None], data[np.minimum(spots, max(len(data) - 1, 0))], 0).astype(np.uint8)
+    words = held.view("<u4").astype(np.uint32)
+    h = np.full(len(starts), 42, dtype=np.uint32)
+    for i in range(n):
+        mixed = h ^ turned(words[:, i] * np.uint32(0xCC9E2D51), 15) * np.uint32(0x1B873593)
+        # Bytes after the last whole word are mixed in without the turn; none change nothing.
+        h = np.where(size >= 4 * i + 4, turned(mixed, 13) * np.uint32(5) + np.uint32(0xE6546B64), mixed)
+    h ^= size.astype(np.uint32)
+    h = (h ^ (h >> np.uint32(16))) * np.uint32(0x85EBCA6B)
+    h = (h ^ (h >> np.uint32(13))) * np.uint32(0xC2B2AE35)
+    return (h ^ (h >> np.uint32(16))).view(np.int32) % np.int32(features)
+
+
+def _scores(texts: list[str], table: np.ndarray, sizes: tuple[int, ...], features: int) -> np.ndarray:
+    """Scores of whole texts; one longer than ``CHUNK`` is counted slice by slice."""
+    if not texts:
+        return np.zeros((len(table), 0))
+    if len(texts) > 1 or len(texts[0]) <= CHUNK:
+        return block(texts, sizes, features, None)[0].scores(table)
+    counts, text = np.zeros(features), texts[0]
+    for n in sizes:
+        # Each size by itself, so that the grams that start in a slice run on into the next one.
+        for at in range(0, len(text) - n + 1, CHUNK):
+            part = block([text[at : at + CHUNK + n - 1]], (n,), features, None)[0]
+            counts += part.sums(part.norms[None, :], features)[0]
+    length = np.linalg.norm(counts)
+    return (table[:, :features] @ (counts / (length or 1.0)))[:, None]
+
+
+def _chances(scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Chances of the labels (rows) for each example, and the logarithm of the mass of its scores."""
+    top = scores.max(axis=0)
+    p = np.exp(scores - top)
+    mass = p.sum(axis=0)
+    return p / mass, top + np.log(mass)
+
+
 def places_for(n_labels: int, features: int = FEATURES, cells: int = WEIGHT_CELLS) -> int:
     """``features``, halved until the weight table is within ``cells``."""
     while features > 1 and features * n_labels > cells:
@@ -58,6 +235,166 @@ def places_for(n_labels: int, features: int = FEATURES, cells: int = WEIGHT_CELL
     return features
 
 
+def coded(rows: DataFrame, labels: tuple[str, ...], sizes: tuple[int, ...], features: int, piece: int | None) -> DataFrame:
+    """The examples of ``rows`` (lid_label, text) in blocks, stored; and a row of ``moments`` for each task that made some:
+    sums of the vectors, of their squares, and of the examples by label."""
+    number = {name: k for k, name in enumerate(labels)}
+    step = -(-CHUNK // piece) * piece if piece else None
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        moments = np.zeros(2 * features + len(labels))
+        for batch in batches:
+            names, start = batch.column(0), 0
+            for texts in text_slices(batch.column(1), CHUNK):
+                marks = np.array([number[x] for x in names.slice(start, len(texts)).to_pylist()], dtype=np.int32)
+                start += len(texts)
+                # A text longer than a chunk comes alone.
+                reach = max(map(len, texts), default=0)
+                for at in range(0, max(reach, 1) if texts else 0, step or reach + 1):
+                    made, owner, sums, squares = block([t[at : at + step] for t in texts] if step else texts, sizes, features, piece)
+                    own = marks[owner]
+                    moments += np.concatenate([sums, squares, np.bincount(own, minlength=len(labels))])
+                    yield record(made.runs, made.places, made.rows.astype(np.uint32), made.norms, own, None)
+        if moments.any():
+            yield record(None, None, None, None, None, moments)
+
+    def record(*parts: np.ndarray | None) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([None if x is None else x.tobytes()], pa.binary()) for x in parts], names=columns)
+
+    columns = ["runs", "places", "rows", "norms", "labels", "moments"]
+    return stored(rows.select("lid_label", "text").mapInArrow(blocks, ", ".join(f"{name} binary" for name in columns)), "examples")
+
+
+def _read(row: dict, n_sizes: int) -> tuple[Block, np.ndarray]:
+    rows = np.frombuffer(row["rows"], dtype=np.uint32).astype(np.int64)
+    kind = np.uint16 if len(row["runs"]) == 2 * WIDTH * rows.sum() else np.uint32
+    runs = np.frombuffer(row["runs"], dtype=kind).reshape(-1, WIDTH)
+    places = np.frombuffer(row["places"], dtype=np.int32).reshape(-1, n_sizes)
+    return Block(runs, places, rows, np.frombuffer(row["norms"])), np.frombuffer(row["labels"], dtype=np.int32)
+
+
+def _slopes(row: dict, table: np.ndarray, starts: np.ndarray, n_sizes: int) -> np.ndarray:
+    """Summed loss, slopes of the intercepts and of the weights, in a row; those of the last label follow from the others'."""
+    held, labels = _read(row, n_sizes)
+    # Scores above that of the last label.
+    scores = np.zeros((len(table), len(labels)))
+    scores[:-1] = held.scores(table[:-1] - table[-1]) + (starts[:-1] - starts[-1])[:, None]
+    p, mass = _chances(scores)
+    every = np.arange(len(labels))
+    loss = (mass - scores[labels, every]).sum()
+    p[labels, every] -= 1
+    return np.concatenate([[loss], p[:-1].sum(axis=1), held.sums(p[:-1], table.shape[1] - 1).reshape(-1)])
+
+
+def _merged(df: DataFrame, size: int, part: Callable[[dict], np.ndarray]) -> np.ndarray:
+    """The sum of the ``size`` numbers that ``part`` makes of each row; tasks send slices of their sums, which are added up slice by slice."""
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                total += part({name: column[i].as_buffer() for name, column in zip(batch.schema.names, batch.columns)})
+        for at in range(0, size, SLICE):
+            yield pa.RecordBatch.from_arrays([pa.array([at]), pa.array([total[at : at + SLICE].tobytes()], pa.binary())], names=["at", "sums"])
+
+    def slice_sum(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(sums.as_buffer()) for sums in table["sums"])
+        return pa.table({"at": table["at"][:1], "sums": pa.array([total.tobytes()], pa.binary())})
+
+    parts = df.mapInArrow(added, "at bigint, sums binary")
+    if df.rdd.getNumPartitions() * size * 8 > SENT_BYTES:
+        parts = parts.groupBy("at").applyInArrow(slice_sum, "at bigint, sums binary")
+    out = np.zeros(size)
+    for at, sums in parts.collect():
+        out[at : at + SLICE] += np.frombuffer(sums)
+    return out
+
+
+def fit_weights(examples: DataFrame, n_labels: int, n_sizes: int, features: int, penalty: float, rounds: int, tolerance: float) -> Weights:
+    """Weights of the least mean loss and penalty over stored examples, from none on; the intercepts start at the labels' shares.
+
+    Steps are taken in places of mean zero and deviation one, the penalty is that of the weights themselves.
+    """
+    sc = examples.sparkSession.sparkContext
+    sums = examples.filter("moments IS NOT NULL").select("moments")
+    moments = _merged(sums, 2 * features + n_labels, lambda row: np.frombuffer(row["moments"]))
+    by_label = moments[2 * features :]
+    total = by_label.sum()
+    mean, square = moments[:features] / total, moments[features : 2 * features] / total
+    spread = np.maximum(square - mean * mean, 0.0)
+    varied = spread > 1e-12 * square
+    scale = np.where(varied, 1 / np.sqrt(np.where(varied, spread, 1.0)), 0.0)
+    blocks = examples.filter("labels IS NOT NULL").drop("moments")
+    cells = n_labels * features
+
+    def unscaled(point: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        weights = point[:cells].reshape(n_labels, features) * scale
+        return weights, point[cells:] - weights @ mean
+
+    def loss(point: np.ndarray) -> tuple[float, np.ndarray]:
+        weights, starts = unscaled(point)
+        shared = sc.broadcast((np.pad(weights, ((0, 0), (0, 1))), starts))
+        got = _merged(blocks, 1 + (n_labels - 1) * (1 + features), lambda row: _slopes(row, *shared.value, n_sizes)) / total
+        shared.destroy()
+        by_start = np.append(got[1:n_labels], -got[1:n_labels].sum())
+        slopes = got[n_labels:].reshape(n_labels - 1, features)
+        slopes = np.vstack([slopes, -slopes.sum(axis=0)])
+        slopes = (slopes - np.outer(by_start, mean) + penalty * weights) * scale
+        return got[0] + penalty / 2 * (weights * weights).sum(), np.concatenate([slopes.reshape(-1), by_start])
+
+    start = np.zeros(cells + n_labels)
+    if n_labels > 1:
+        start[cells:] = np.log(by_label / total)
+        start = least(loss, start, rounds, tolerance)
+    weights, starts = unscaled(start)
+    return Weights(DenseMatrix(n_labels, features, weights.ravel(order="F")), DenseVector(starts - starts.mean()))
+
+
+def least(loss: Callable[[np.ndarray], tuple[float, np.ndarray]], point: np.ndarray, rounds: int, tolerance: float) -> np.ndarray:
+    """Where ``loss`` (value and slopes) is least, by limited-memory BFGS.
+
+    It ends when the slopes are small beside the loss, or the loss has fallen over the last rounds by less than
+    ``tolerance`` of the first loss.
+    """
+    value, slopes = loss(point)
+    first, values, steps = value, [value], []
+    for _ in range(rounds):
+        if np.linalg.norm(slopes) <= max(tolerance * abs(value), 1e-8):
+            break
+        way, shares = slopes.copy(), []
+        for s, y in reversed(steps):
+            shares.append(s @ way / (s @ y))
+            way -= shares[-1] * y
+        if steps:
+            s, y = steps[-1]
+            way *= s @ y / (y @ y)
+        for (s, y), share in zip(steps, reversed(shares)):
+            way += (share - y @ way / (s @ y)) * s
+        way = -way
+        fall = slopes @ way
+        # The step is doubled or halved until the loss falls enough and its slope has flattened.
+        step, low, high = 1.0 if steps else 1 / np.linalg.norm(slopes), 0.0, np.inf
+        for _ in range(20):
+            new_value, new_slopes = loss(point + step * way)
+            if not new_value <= value + 1e-4 * step * fall:
+                high = step
+            elif new_slopes @ way < 0.9 * fall:
+                low = step
+            else:
+                break
+            step = (low + high) / 2 if high < np.inf else 2 * low
+        if not new_value < value:
+            break
+        moved, bent = step * way, new_slopes - slopes
+        point, value, slopes = point + moved, new_value, new_slopes
+        if moved @ bent > 0:
+            steps = [*steps, (moved, bent)][-STEPS:]
+        values = [*values, value][-RECENT:]
+        if max(values) - value <= tolerance * abs(first):
+            break
+    return point
+
+
 def fit_learnt(
     training: DataFrame,
     label: str = "lid_label",
@@ -80,18 +417,9 @@ def fit_learnt(
 
     rows = training.filter(F.col(label).isNotNull() & F.col(text).isNotNull())
     rows = rows.select(F.col(label).alias("lid_label"), readable(text, keep_newlines).alias("text"))
-    indexer = StringIndexer(inputCol="lid_label", outputCol="__y", stringOrderType="alphabetAsc").fit(rows)
-    labels = tuple(indexer.labels)
+    labels = tuple(sorted(row.lid_label for row in rows.select("lid_label").distinct().collect()))
     if not labels:
         raise ValueError("no row with a label and a text to learn from")
     places = places_for(len(labels), features)
-    known = indexer.transform(rows)
-    if piece:
-        runs = F.regexp_extract_all("text", F.lit(rf"(?s)(.{{1,{piece}}})"), F.lit(1))
-        known = known.select("__y", F.explode_outer(runs).alias("text")).withColumn("text", F.coalesce("text", F.lit("")))
-    marked = hashed(known, F.col("text"), sizes, places).select("__x", "__y")
-    fit = LogisticRegression(
-        featuresCol="__x", labelCol="__y", family="multinomial", regParam=penalty, elasticNetParam=0.0,
-        maxIter=rounds, tol=tolerance, standardization=False, aggregationDepth=3,
-    ).fit(marked)
-    return LearntModel(fit, labels, tuple(sizes), places)
+    examples = coded(rows, labels, sizes, places, piece)
+    return LearntModel(fit_weights(examples, len(labels), len(sizes), places, penalty, rounds, tolerance), labels, tuple(sizes), places)

@@ -91,3 +91,42 @@ def test_filters_take_a_learnt_model(spark):
     model = learnt.fit_learnt(text_table(spark, "/root/testdata/sf0.001"))
     results = spark.createDataFrame([("the quick brown fox and the", 1)], "snippet string, pos int")
     assert lid.snippet_language_filter(results, model, ["zzz_Latn"]).count() == 1
+
+
+ODD = ["", "a", "ab", "\x00 x\U0001F600y\U0001F600", "Grüße, žluťoučký kůň", "東京都に住む人", "la la la la", "x" * 95, "\uffff\ufdd0!"]
+
+
+@pytest.mark.parametrize("features", [16, 1 << 14])
+def test_blocks_hold_the_vectors_that_spark_makes(spark, features):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(ODD)], "i long, text string")
+    rows = learnt.hashed(df, F.col("text"), (1, 2, 3), features).select("i", vector_to_array("__x").alias("x")).orderBy("i").collect()
+    made, owner, sums, squares = learnt.block(ODD, (1, 2, 3), features, None)
+    x = np.array([r.x for r in rows])
+    assert owner.tolist() == list(range(len(ODD))) and np.allclose(made.sums(np.eye(len(ODD)), features), x)
+    assert np.allclose(sums, x.sum(axis=0)) and np.allclose(squares, (x * x).sum(axis=0))
+    table = np.pad(np.random.default_rng(1).normal(size=(3, features)), ((0, 0), (0, 1)))
+    assert np.allclose(made.scores(table), table[:, :-1] @ x.T)
+    pieces, owner, _, _ = learnt.block(ODD, (1, 2, 3), features, 3)
+    cut = [t[at : at + 3] for t in ODD for at in range(0, max(len(t), 1), 3)]
+    assert np.allclose(pieces.scores(table), learnt.block(cut, (1, 2, 3), features, None)[0].scores(table)) and len(owner) == len(cut)
+
+
+def test_texts_longer_than_a_chunk_are_scored_and_coded_whole(spark, monkeypatch):
+    text = " ".join(ODD) * 3
+    table = np.pad(np.random.default_rng(2).normal(size=(2, 512)), ((0, 0), (0, 1)))
+    whole = learnt.block([text], (1, 2, 3), 512, None)[0].scores(table)
+    rows = spark.createDataFrame([("b", text), ("a", "short"), ("b", "")], "lid_label string, text string").coalesce(1)
+    monkeypatch.setattr(learnt, "CHUNK", 64)
+    assert np.allclose(learnt._scores([text], table, (1, 2, 3), 512), whole)
+    moments = learnt.coded(rows, ("a", "b"), (1, 2, 3), 512, 40).filter("moments IS NOT NULL").select("moments").collect()
+    total = sum(np.frombuffer(r.moments) for r in moments)
+    assert total[1024:].tolist() == [1, -(-len(text) // 40) + 1]
+
+
+def test_examples_are_stored_in_three_bytes_a_character(spark):
+    """Vectors of their n-grams took about thirty, and each round reads them."""
+    texts = text_table(spark, SF).where("lid_label IS NOT NULL AND text IS NOT NULL")
+    held = learnt.coded(texts.coalesce(1), ("deu_Latn", "eng_Latn", "fra_Latn", "spa_Latn"), learnt.SIZES, learnt.FEATURES, learnt.PIECE)
+    n_bytes = held.agg(*[F.sum(F.length(c)) for c in ("runs", "places", "rows", "norms", "labels")]).first()
+    n_chars = texts.agg(F.sum(F.length("text"))).first()[0]
+    assert sum(n_bytes) < 3.2 * n_chars
