@@ -1,6 +1,7 @@
 import time
 from html.parser import HTMLParser
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -212,3 +213,13 @@ def test_parsed_pages_of_one_url_keep_all_texts(spark, tmp_path):
     spark.createDataFrame(rows, "page_id bigint, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
     found = sorted((r.dst, r.text) for r in parse_pages(spark, str(tmp_path)).collect())
     assert found == [("http://h/a", "one"), ("http://h/a", "two"), ("http://h/b", "one"), ("http://h/b", "two")]
+
+
+def test_visible_texts_leave_a_batch_in_slices(spark):
+    """A worker holds a batch and a slice of its texts, not all texts of the batch once more as strings and as an array."""
+    sources = ["<p>é" + "x" * 300_000, None, "", "<b>" + "y" * (3 << 20)] * 3
+    made = list(html._visible_slices(iter([pa.array(sources), pa.array([], pa.string())])))
+    assert max(map(len, made)) <= 4 and [x for part in made for x in part.to_pylist()] == [s and markup.visible(s) for s in sources]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(sources)], "i long, source string").coalesce(1)
+    rows = df.select("i", html.html_to_text("source").alias("t")).orderBy("i").collect()
+    assert [r.t for r in rows] == [s and s[3:] for s in sources]
