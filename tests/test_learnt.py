@@ -130,3 +130,73 @@ def test_examples_are_stored_in_three_bytes_a_character(spark):
     n_bytes = held.agg(*[F.sum(F.length(c)) for c in ("runs", "places", "rows", "norms", "labels")]).first()
     n_chars = texts.agg(F.sum(F.length("text"))).first()[0]
     assert sum(n_bytes) < 3.2 * n_chars
+
+
+def words(n, seed=5):
+    """Texts of words that come again and again, and of some that come once."""
+    rng = np.random.default_rng(seed)
+    known = ["".join(rng.choice(list("abcdefghijklmnop"), rng.integers(2, 9))) for _ in range(300)]
+    once = ["".join(rng.choice(list("abcdefgß東"), 7)) for _ in range(n)]
+    return [" ".join([*rng.choice(known, int(rng.integers(0, 120))), once[i]]) for i in range(n)] + ["", "a"]
+
+
+def test_runs_that_often_stand_together_have_one_number():
+    """Each round looks at every number: there was one for each character."""
+    texts = words(400)
+    made, _, sums, squares = learnt.block(texts, (1, 2, 3), 1 << 14, 40)
+    assert len(made.ids) < 0.5 * sum(map(len, texts))
+    alone, _, _, _ = learnt.block(texts, (1, 2, 3), 1 << 14, 40, again=False)
+    assert len(alone.ids) == sum(map(len, texts)) and not alone.pairs
+    table = np.pad(np.random.default_rng(1).normal(size=(3, 1 << 14)), ((0, 0), (0, 1)))
+    assert np.array_equal(made.norms, alone.norms) and np.allclose(made.scores(table), alone.scores(table))
+    shares = np.random.default_rng(2).normal(size=(2, len(made.norms)))
+    assert np.allclose(made.sums(shares, 1 << 14), alone.sums(shares, 1 << 14))
+    assert np.allclose(sums, alone.sums(np.ones((1, len(made.norms))), 1 << 14))
+
+
+def test_kept_blocks_give_the_slopes_of_the_vectors(spark, monkeypatch):
+    monkeypatch.setattr(learnt, "CHUNK", 500)
+    texts = [*ODD, *words(40)]
+    labels = ("a", "b", "c")
+    rows = spark.createDataFrame([(labels[i % 3], t) for i, t in enumerate(texts)], "lid_label string, text string").repartition(2)
+    kept = learnt.coded(rows, labels, (1, 2, 3), 256, 40).filter("labels IS NOT NULL").collect()
+    assert len(kept) > 3
+    table = np.pad(np.random.default_rng(1).normal(size=(3, 256)), ((0, 0), (0, 1)))
+    starts = np.array([0.5, 0.1, -0.4])
+    got = sum(learnt._slopes(row, table, starts, 3) for row in kept)
+    cut = [(i % 3, t[at : at + 40]) for i, t in enumerate(texts) for at in range(0, max(len(t), 1), 40)]
+    df = spark.createDataFrame([(t,) for _, t in cut], "text string").coalesce(1)
+    x = np.array([r.x for r in learnt.hashed(df, F.col("text"), (1, 2, 3), 256).select(vector_to_array("__x").alias("x")).collect()])
+    y = np.array([k for k, _ in cut])
+    scores = x @ table[:, :-1].T + starts
+    p = np.exp(scores) / np.exp(scores).sum(axis=1, keepdims=True)
+    assert np.isclose(got[0], -np.log(p[np.arange(len(y)), y]).sum())
+    off = (p - np.eye(3)[y])[:, :2]
+    assert np.allclose(got[1:3], off.sum(axis=0)) and np.allclose(got[3:], (off.T @ x).reshape(-1))
+
+
+def test_examples_are_kept_in_less_than_two_bytes_a_character_and_let_go(spark):
+    texts = words(2000)
+    rows = spark.createDataFrame([("a" if i % 2 else "b", t) for i, t in enumerate(texts)], "lid_label string, text string").coalesce(1)
+    held = learnt.coded(rows, ("a", "b"), learnt.SIZES, learnt.FEATURES, learnt.PIECE)
+    n_bytes = held.drop("moments").agg(*[F.sum(F.length(c)) for c in held.columns if c != "moments"]).first()
+    assert sum(n_bytes) < 2 * sum(map(len, texts))
+    persisted = spark.sparkContext._jsc.getPersistentRDDs
+    before = set(persisted())
+    learnt.fit_learnt(rows, rounds=2)
+    assert set(persisted()) == before
+
+
+def test_sums_of_many_tasks_are_merged_in_slices(spark, monkeypatch):
+    rows = spark.createDataFrame([("a" if i % 2 else "b", t) for i, t in enumerate(words(60))], "lid_label string, text string").repartition(4)
+    whole = learnt.fit_learnt(rows, rounds=5)
+    monkeypatch.setattr(learnt, "SENT_BYTES", 0)
+    monkeypatch.setattr(learnt, "SLICE", 1000)
+    cut = learnt.fit_learnt(rows, rounds=5)
+    assert np.allclose(whole.weights.coefficientMatrix.toArray(), cut.weights.coefficientMatrix.toArray())
+
+
+def test_no_texts_but_empty_ones(spark):
+    rows = spark.createDataFrame([("a", ""), ("a", ""), ("b", "")], "lid_label string, text string").coalesce(1)
+    model = learnt.fit_learnt(rows)
+    assert [r.predicted_lid for r in lid.tag_language(rows, model).collect()] == ["a"] * 3
