@@ -121,31 +121,34 @@ class Block:
 
     def scores(self, table: np.ndarray) -> np.ndarray:
         """For each row of weights the score of each example; the last weight of a row is zero."""
-        by_id = np.empty((len(table), self.held))
-        for own, weights in zip(by_id, table):
-            at = len(self.places)
+        totals = []
+        taken = np.empty(len(self.rows), dtype=complex)
+        by_id = []
+        for weights in _twos(table):
+            own, at = np.empty(self.held, dtype=weights.dtype), len(self.places)
             own[:at] = sum(weights[spots] for spots in self.places.T)
             for one, two in self.pairs:
                 own[at : at + len(one)] = own[one] + own[two]
                 at += len(one)
-        total, taken = np.zeros((len(table), len(self.rows))), np.empty(len(self.rows))
+            by_id.append(own)
+            totals.append(np.zeros(len(self.rows), dtype=weights.dtype))
         for n, ids in self._columns():
-            for own, sums in zip(by_id, total):
-                sums[:n] += own.take(ids, out=taken[:n], mode="clip")
+            for own, total in zip(by_id, totals):
+                total[:n] += own.take(ids, out=taken.view(own.dtype)[:n], mode="clip")
         out = np.empty((len(table), len(self.norms)))
-        for k, sums in enumerate(total):
-            out[k] = np.bincount(self.rows, sums, len(self.norms))
+        for k, total in enumerate(_ones(totals)):
+            out[k] = np.bincount(self.rows, total, len(self.norms))
         return out / self.norms
 
     def sums(self, shares: np.ndarray, features: int) -> np.ndarray:
         """For each row of ``shares`` the sum of the examples' vectors, each times its share."""
-        by_id = np.zeros((len(shares), self.held))
-        dealt = (shares / self.norms)[:, self.rows]
+        dealt = [share[self.rows] for share in _twos(shares / self.norms)]
+        by_id = [np.zeros(self.held, dtype=share.dtype) for share in dealt]
         for n, ids in self._columns():
             for own, share in zip(by_id, dealt):
                 np.add.at(own, ids, share[:n])
         out = np.empty((len(shares), features))
-        for k, own in enumerate(by_id):
+        for k, own in enumerate(_ones(by_id)):
             for one, two in reversed(self.pairs):
                 own, made = np.split(own, [len(own) - len(one)])
                 own = own + np.bincount(one, made, len(own)) + np.bincount(two, made, len(own))
@@ -164,6 +167,19 @@ class Block:
             at += n
 
 
+def _twos(rows: np.ndarray) -> list[np.ndarray]:
+    """Two rows at a time as one of complex numbers, so that a look-up or a sum serves both; the last of an odd number as it is."""
+    out = [np.empty(rows.shape[1], dtype=complex) for _ in range(len(rows) // 2)]
+    for k, pair in enumerate(out):
+        pair.real, pair.imag = rows[2 * k], rows[2 * k + 1]
+    return [*out, *rows[2 * len(out) :]]
+
+
+def _ones(rows: list[np.ndarray]) -> list[np.ndarray]:
+    """The rows that ``_twos`` was given."""
+    return [np.ascontiguousarray(part) for row in rows for part in ((row.real, row.imag) if np.iscomplexobj(row) else (row,))]
+
+
 def block(texts: list[str], sizes: tuple[int, ...], features: int, piece: int | None, again: bool = True) -> tuple[Block, np.ndarray, np.ndarray, np.ndarray]:
     """The examples of ``texts``, the text of each, and the sums of their vectors and of the squares of these.
 
